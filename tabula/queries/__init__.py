@@ -7,7 +7,7 @@ from importlib import import_module
 
 from .registry import ORACLES, QUERIES
 
-_MODULES = ["aggregating"]
+_MODULES = ["aggregating", "cleaning", "decoding", "filtering"]
 
 for _m in _MODULES:
     import_module(f"{__name__}.{_m}")
