@@ -44,6 +44,7 @@ from {orders}""",
     "ref_pais": "select lpad(cast(n_nationkey as string),3,'0') as codigo, 'PAIS_' || n_name as descricao from {nation}",
     "ref_sin": "select cast(100000 + n_nationkey as string) as antigo, cast(100500 + n_nationkey as string) as atual from {nation}",
     "ref_ocup": "select distinct lpad(cast(p_size as string),3,'0') as codigo, 'OCUP_' || cast(p_size as string) as descricao from {part}",
+    "ref_cid9": "select distinct cast(100 + p_size * 3 as string) as codigo, 'CID9_' || cast(p_size as string) as descricao from {part}",
     # facility qualifications, beds, registry
     "hab": """select cast(l_suppkey as string) as cnes,
   case l_partkey % 8 when 0 then '1704' when 1 then '17.06' when 2 then '01709' when 3 then '1711' when 4 then '1712' when 5 then ' 1713 ' when 6 then '1801' else null end as sgruphab,
@@ -114,6 +115,9 @@ def with_views(views, body: str) -> str:
     ctes = ",\n".join(
         f"{n} AS (\n{VIEWS[n].format(**{d: d for d in _deps(n)})}\n)" for n in names
     )
+    stripped = body.lstrip()
+    if stripped[:5].lower() == "with ":
+        return f"WITH {ctes},\n{stripped[5:]}"
     return f"WITH {ctes}\n{body}"
 
 

@@ -92,14 +92,15 @@ def enrich_found_flag(left: DataFrame, left_key: str, right: DataFrame, right_ke
     return j.withColumn(flag, F.coalesce(F.col("_lk_found"), F.lit(False))).drop("_lk_found", "_lk_rkey")
 
 
-def three_way_reference(base: DataFrame, base_key: str, second: DataFrame, second_key: str,
-                        third: DataFrame, third_key: str) -> DataFrame:
-    """Keep every base column and add the others' columns, excluding their
-    keys; the middle and last tables are made key-unique first."""
-    s = unique_by_key(second, second_key)
-    t = unique_by_key(third, third_key)
-    j = base.join(sized(s), base[base_key] == s[second_key], "left").drop(s[second_key])
-    return j.join(sized(t), j[base_key] == t[third_key], "left").drop(t[third_key])
+def three_way_reference(base: DataFrame, refs) -> DataFrame:
+    """Keep every base column and add each reference's columns, excluding
+    its key.  ``refs`` = [(table, base_key, table_key), ...]; every reference
+    is made key-unique first, so the base row count never changes."""
+    out = base
+    for table, base_key, table_key in refs:
+        d = unique_by_key(table, table_key).withColumnRenamed(table_key, "_ref_key")
+        out = out.join(sized(d), out[base_key] == F.col("_ref_key"), "left").drop("_ref_key")
+    return out
 
 
 def duplicate_keys(dim: DataFrame, key) -> DataFrame:
