@@ -45,6 +45,20 @@ from {orders}""",
     "ref_sin": "select cast(100000 + n_nationkey as string) as antigo, cast(100500 + n_nationkey as string) as atual from {nation}",
     "ref_ocup": "select distinct lpad(cast(p_size as string),3,'0') as codigo, 'OCUP_' || cast(p_size as string) as descricao from {part}",
     "ref_cid9": "select distinct cast(100 + p_size * 3 as string) as codigo, 'CID9_' || cast(p_size as string) as descricao from {part}",
+    # death records as landed (source column names), modern and old era
+    "sim_do": """select cast(rec_id as string) as CONTADOR, causabas as CAUSABAS, idade as IDADE, dtobito as DTOBITO,
+  munres as CODMUNRES, sexo as SEXO, naturalidade as NATUR, ocup as OCUP,
+  cast(rec_id % 6 as string) as RACACOR, cast(rec_id % 7 as string) as ESTCIV,
+  lpad(cast(rec_id % 13 as string), 2, '0') as ESCFALAGR1, cast(rec_id % 8 as string) as LOCOCOR,
+  case when rec_id % 9 = 0 then 'None' else cast(rec_id % 3 as string) end as ASSISTMED,
+  '1' as TPPOS, cast(rec_id % 4 as string) as OBITOGRAV, arquivo_origem as ARQUIVO_ORIGEM
+from {rec}""",
+    "sim_do_old": """select cast(rec_id as string) as contador, causa9 as CAUSABAS, idade as IDADE, dataobito as DATAOBITO,
+  munres as MUNIRES, sexo as SEXO, naturalidade as NATUR, ocup as OCUPACAO,
+  cast(rec_id % 5 as string) as INSTRUCAO, cast(rec_id % 6 as string) as RACACOR,
+  'DORBR' || substr(dataobito, 1, 2) || '.dbc' as ARQUIVO_ORIGEM
+from {rec}""",
+    "ref_sinonimos": "select antigo as COD_MUNICIPIO_ANTIGO, atual as COD_MUNICIPIO_ATUAL from {ref_sin}",
     # facility qualifications, beds, registry
     "hab": """select cast(l_suppkey as string) as cnes,
   case l_partkey % 8 when 0 then '1704' when 1 then '17.06' when 2 then '01709' when 3 then '1711' when 4 then '1712' when 5 then ' 1713 ' when 6 then '1801' else null end as sgruphab,
