@@ -99,6 +99,73 @@ from {listing} where nome not like '%08%' group by upper(nome)""",
 }
 
 
+def _auth_view(prefix: str) -> str:
+    """An outpatient-authorization layout (``prefix`` = AQ / AR / AM) over rec."""
+    body = """select cast(1000000 + rec_id % 500 as string) as AP_CODUNI, cast(rec_id as string) as AP_AUTORIZ,
+  substr(dtobito, 5, 4) || substr(dtobito, 3, 2) as AP_CMP, '0304' || lpad(cast(rec_id % 100 as string), 6, '0') as AP_PRIPAL,
+  cast(rec_id % 1000 as string) || '.50' as AP_VL_AP, munres as AP_UFMUN, cast(rec_id % 3 as string) as AP_SEXO,
+  lpad(cast(rec_id % 7 as string), 2, '0') as AP_RACACOR, cast(rec_id % 4 as string) as AP_TPAPAC,
+  causabas as AP_CIDPRI, causa9 as AP_CIDSEC, ocup as AP_NUIDADE, 'CNS' || cast(rec_id as string) as AP_CNSPCN,
+  causabas as XX_CID10, cast(rec_id % 6 as string) as XX_ESTADI, substr('SN3X', cast(rec_id % 4 as int) + 1, 1) as XX_LINFIN,
+  cast(rec_id % 4 as string) as XX_GRAHIS, substr('SNX', cast(rec_id % 3 as int) + 1, 1) as XX_TRANTE, dtobito as XX_DTIDEN,
+  substr('SN', cast(rec_id % 2 as int) + 1, 1) as XX_CONTTR, dtobito as XX_DTINTR,
+  'P' || cast(rec_id % 9 as string) as AQ_ESQU_P1, 'F' || cast(rec_id % 5 as string) as AQ_ESQU_P2,
+  cast(rec_id % 12 as string) as AQ_TOTMPL, cast(rec_id % 6 as string) as AQ_TOTMAU,
+  cast(rec_id % 8 as string) as AR_FINALI, cast(40 + rec_id % 80 as string) as AM_PESO,
+  cast(140 + rec_id % 60 as string) as AM_ALTURA, substr('SNX', cast(rec_id % 3 as int) + 1, 1) as AM_GESTANT,
+  'XXBR' || substr(dtobito, 5, 4) || '.dbc' as ARQUIVO_ORIGEM
+from {rec}"""
+    return body.replace("XX", prefix)
+
+
+# Exposure flag source names of the work-cancer layout.
+_EXPOSURE_SOURCES = ["ASBESTO", "SILICA", "AMINA", "BENZENO", "ALCATRAO", "HIDROCARBO", "OLEOS", "BERILIO",
+                     "CADMIO", "CROMO", "NIQUEL", "IONIZANTES", "NAO_IONIZA", "HORMONIO", "NEOPLASICO", "OUTRO_EXP"]
+
+
+def _work_view() -> str:
+    exposures = ",\n  ".join(f"substr('129 ', cast((rec_id + {i}) % 4 as int) + 1, 1) as {n}"
+                             for i, n in enumerate(_EXPOSURE_SOURCES))
+    return f"""select dtobito as DT_NOTIFIC, substr(dtobito, 5, 4) as NU_ANO, 'Y94' as ID_AGRAVO,
+  lpad(cast(rec_id % 27 as string), 2, '0') as SG_UF_NOT, munres as ID_MUNICIP, cast(rec_id % 300 as string) as ID_UNIDADE,
+  dtobito as DT_DIAG, cast(1930 + rec_id % 60 as string) as ANO_NASC, lpad(cast(rec_id % 29 as string), 2, '0') as SG_UF,
+  munres as ID_MN_RESI, ocup as ID_OCUPA_N, cast(rec_id % 30 as string) as NUTEMPO, cast(rec_id % 99 as string) as CNAE,
+  cast(rec_id % 20 as string) as NUTEMPORIS, causabas as DIAG_ESP, 'outro ' || cast(rec_id % 5 as string) as OUT_EXP_DE,
+  cast(rec_id % 40 as string) as TEMPO_FUMA, case when rec_id % 9 = 0 then dtobito end as DT_OBITO,
+  case rec_id % 4 when 0 then '4' || lpad(cast(rec_id % 90 as string), 3, '0') when 1 then '5003' when 2 then '3011' else null end as NU_IDADE_N,
+  substr('MFIX', cast(rec_id % 4 as int) + 1, 1) as CS_SEXO, cast(rec_id % 10 as string) as CS_RACA,
+  cast(rec_id % 10 as string) as CS_GESTANT, lpad(cast(rec_id % 12 as string), 2, '0') as CS_ESCOL_N,
+  lpad(cast(rec_id % 14 as string), 2, '0') as SIT_TRAB, cast(rec_id % 5 as string) as TPTEMPO,
+  cast(rec_id % 6 as string) as TPTEMPORIS, cast(rec_id % 10 as string) as TERCEIRIZA, cast(rec_id % 3 as string) as REGIME,
+  cast(rec_id % 4 as string) as FUMA, cast(rec_id % 5 as string) as TP_TEMP_FU, cast(rec_id % 10 as string) as TRAB_DOE,
+  cast(rec_id % 10 as string) as CAT, cast(rec_id % 10 as string) as EVOLUCAO,
+  {exposures},
+  'CANCBR' || substr(dtobito, 5, 4) || '.dbc' as ARQUIVO_ORIGEM
+from {{rec}}"""
+
+
+VIEWS["painel"] = """select substr(dtobito, 5, 4) as ANO_DIAGN, substr(dtobito, 5, 4) || substr(dtobito, 3, 2) as ANOMES_DIA,
+  cast(cast(substr(dtobito, 5, 4) as int) + cast(rec_id % 2 as int) as string) as ANO_TRATAM,
+  substr(dtobito, 5, 4) || substr(dtobito, 3, 2) as ANOMES_TRA,
+  lpad(cast(rec_id % 27 as string), 2, '0') as UF_RESID, munres as MUN_RESID,
+  lpad(cast(rec_id % 29 as string), 2, '0') as UF_TRATAM, ' ' || substr(munres, 1, 6) as MUN_TRATAM,
+  lpad(cast(rec_id % 31 as string), 2, '0') as UF_DIAGN, substr(munres, 1, 6) as MUN_DIAG,
+  cast(rec_id % 7 as string) as TRATAMENTO, lpad(cast(rec_id % 6 as string), 2, '0') as DIAGNOSTIC,
+  case when rec_id % 11 = 0 then '999' else lpad(cast(rec_id % 90 as string), 3, '0') end as IDADE,
+  case rec_id % 3 when 0 then 'F' when 1 then 'M' else ' X ' end as SEXO,
+  cast(rec_id % 10 as string) as ESTADIAM, cast(1000000 + rec_id % 500 as string) as CNES_DIAG,
+  cast(2000000 + rec_id % 300 as string) as CNES_TRAT, cast(rec_id % 400 - 20 as string) as TEMPO_TRAT,
+  causabas as DIAG_DETH, dtobito as DT_DIAG, dtobito as DT_TRAT, '01011950' as DT_NASC,
+  'CNS' || cast(rec_id as string) as CNS_PAC, 'POBR' || substr(dtobito, 5, 4) || '.dbc' as ARQUIVO_ORIGEM
+from {rec}"""
+VIEWS["apac_aq"] = _auth_view("AQ")
+VIEWS["apac_ar"] = _auth_view("AR")
+VIEWS["apac_am"] = _auth_view("AM")
+VIEWS["sinan"] = _work_view()
+VIEWS["ref_cid10"] = "select codigo as CODIGO, descricao as DESCRICAO from {ref_icd}"
+VIEWS["ref_cbo"] = "select codigo as CODIGO, descricao as DESCRICAO from {ref_ocup}"
+
+
 def _deps(name: str) -> list[str]:
     import string
 

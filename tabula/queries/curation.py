@@ -149,3 +149,53 @@ def curate_annual_summary(t):
     return MO.annual_summary(None, [(modern.filter(year < 2001), "CID10", "modern"),
                                     (modern.filter(year >= 2000), "PRELIM", "modern"),
                                     (t("sim_do_old"), "CID9", "old")])
+
+
+# ---- panel, authorizations, work registry ----------------------------------------------------
+
+from ..fixtures import VIEWS as _V  # noqa: E402
+from ..plans import outpatient as OP  # noqa: E402
+from ..plans import work as WK  # noqa: E402
+from .spec_sql import spec_sql  # noqa: E402
+
+
+def _cols(view):
+    import re
+
+    return re.findall(r" as ([A-Z_][A-Z0-9_]*)", _V[view])
+
+
+_REFS = {"causes": "ref_cid10", "occupations": "ref_cbo"}
+
+
+@query("curate_panel", spec_sql(OP.PANEL, "painel", _cols("painel"), _REFS), ["painel", "ref_cid10"])
+def curate_panel(t):
+    """Panel cases: topography label, decode pairs (zero-tolerant category),
+    sentinel age, renames; the patient card never selected."""
+    return OP.curate_panel(t("painel"), t("ref_cid10"))
+
+
+@query("curate_chemo", spec_sql(OP.CHEMO, "apac_aq", _cols("apac_aq"), _REFS), ["apac_aq", "ref_cid10"])
+def curate_chemo(t):
+    """Chemotherapy authorizations: header block, oncology block, scheme."""
+    return OP.curate_chemo(t("apac_aq"), t("ref_cid10"))
+
+
+@query("curate_radio", spec_sql(OP.RADIO, "apac_ar", _cols("apac_ar"), _REFS), ["apac_ar", "ref_cid10"])
+def curate_radio(t):
+    """Radiotherapy authorizations: header, oncology block, purpose."""
+    return OP.curate_radio(t("apac_ar"), t("ref_cid10"))
+
+
+@query("curate_drugs", spec_sql(OP.DRUGS, "apac_am", _cols("apac_am"), _REFS, where=S.f4("b.AP_CIDPRI")),
+       ["apac_am", "ref_cid10"])
+def curate_drugs(t):
+    """Drug authorizations: F4 on the main diagnosis, header, weight/height."""
+    return OP.curate_drugs(t("apac_am"), t("ref_cid10"))
+
+
+@query("curate_work_cancer", spec_sql(WK.WORK, "sinan", _cols("sinan"), _REFS), ["sinan", "ref_cid10", "ref_cbo"])
+def curate_work_cancer(t):
+    """Work-related cancer: strict age, decode pairs, 16 exposure flags,
+    diagnosis and occupation labels."""
+    return WK.curate_work_cancer(t("sinan"), t("ref_cid10"), t("ref_cbo"))
