@@ -165,6 +165,27 @@ VIEWS["sinan"] = _work_view()
 VIEWS["ref_cid10"] = "select codigo as CODIGO, descricao as DESCRICAO from {ref_icd}"
 VIEWS["ref_cbo"] = "select codigo as CODIGO, descricao as DESCRICAO from {ref_ocup}"
 
+VIEWS["estab_reg"] = """select co_cnes as CO_CNES, cnpj as NU_CNPJ, cnpj_mantenedora as NU_CNPJ_MANTENEDORA,
+  'RAZAO ' || no_fantasia as NO_RAZAO_SOCIAL, no_fantasia as NO_FANTASIA,
+  lpad(cast(cast(co_cnes as int) % 27 as string), 2, '0') as CO_UF, cast(100000 + cast(co_cnes as int) % 25 as string) as CO_IBGE,
+  'RUA ' || co_cnes as NO_LOGRADOURO, '-23.' || lpad(cast(cast(co_cnes as int) % 1000 as string), 3, '0') as NU_LATITUDE,
+  tp_unidade as TP_UNIDADE, st_flag as ST_CENTRO_CIRURGICO,
+  substr('SN1 ', cast(cast(co_cnes as int) % 4 as int) + 1, 1) as ST_ATEND_HOSPITALAR
+from {estab}"""
+VIEWS["geo_saude"] = """select cast(n_nationkey + 1000 as string) as cod_municipio, cast(n_regionkey as string) as cod_macro,
+  'MACRO ' || cast(n_regionkey as string) as macro, n_name as no_municipio, cast(n_nationkey * 1000 as string) as populacao
+from {nation}"""
+VIEWS["geo_xls"] = """select cast(n_nationkey + 1000 as string) as MUNCOD, cast(n_nationkey - 30 as string) as LATITUDE,
+  cast(n_nationkey - 50 as string) as LONGITUDE, cast(n_nationkey * 10 as string) as AREA
+from {nation} where n_nationkey % 4 <> 1
+union all select cast(n_nationkey + 1000 as string), 'dup', 'dup', 'dup' from {nation} where n_nationkey % 5 = 0"""
+VIEWS["cadmun_full"] = """select '00' || cast(n_nationkey + 1000 as string) as MUNCOD,
+  case when n_nationkey % 6 = 0 then 'EXTINTO' else 'ATIVO' end as SITUACAO,
+  case when n_nationkey % 7 = 0 then 'S' else 'N' end as CAPITAL, cast(n_regionkey * 10 as string) as MESOCOD,
+  cast(n_regionkey * 100 + n_nationkey as string) as MICROCOD, cast(n_nationkey as string) as AREA,
+  cast(200000 + n_nationkey as string) || ', 001' || lpad(cast(n_nationkey + 1 as string), 3, '0') as MUNSINON
+from {nation}"""
+
 
 def _deps(name: str) -> list[str]:
     import string

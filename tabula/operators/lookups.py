@@ -88,7 +88,7 @@ def enrich_found_flag(left: DataFrame, left_key: str, right: DataFrame, right_ke
     boolean "found" flag; left rows are never dropped or multiplied."""
     r = unique_by_key(right, right_key, order).withColumn("_lk_found", F.lit(True))
     r = r.withColumnRenamed(right_key, "_lk_rkey")
-    j = left.join(sized(r), F.col(left_key) == F.col("_lk_rkey"), "left")
+    j = left.join(sized(r), F.col(f"`{left_key}`") == F.col("_lk_rkey"), "left")
     return j.withColumn(flag, F.coalesce(F.col("_lk_found"), F.lit(False))).drop("_lk_found", "_lk_rkey")
 
 

@@ -199,3 +199,133 @@ def curate_work_cancer(t):
     """Work-related cancer: strict age, decode pairs, 16 exposure flags,
     diagnosis and occupation labels."""
     return WK.curate_work_cancer(t("sinan"), t("ref_cid10"), t("ref_cbo"))
+
+
+# ---- facilities, grants, geography ---------------------------------------------------------
+
+from ..functions.domains import ONCO_QUALIFICATIONS, UNIT_TYPE  # noqa: E402
+from ..operators import filters as FL  # noqa: E402
+from ..plans import facilities as FA  # noqa: E402
+from ..plans import geography as GE  # noqa: E402
+from .filtering import DOC_KEYWORDS  # noqa: E402
+
+_QL = {k: v[0] for k, v in ONCO_QUALIFICATIONS.items()}
+_QP = [k for k, v in ONCO_QUALIFICATIONS.items() if v[1]]
+
+
+def _label_sql(c):
+    return f"coalesce({S.lookup(_QL, S.norm4(c))}, 'Código ' || trim({c}) || ' (não catalogado)')"
+
+
+def _flag_sql(c):
+    return (f"case when upper(trim({c})) in ('1', '1.0', 'S', 'SIM', 'TRUE', 'T') then 'Sim' "
+            f"when upper(trim({c})) in ('0', '0.0', 'N', 'NAO', 'NÃO', 'FALSE', 'F') then 'Não' end")
+
+
+FACILITIES_SQL = f"""with inst as (
+  select coalesce({S.pad('trim(cnes)', 7)}, '') as CNES,
+    bool_or({S.norm4('sgruphab')} in ({', '.join(S.q(x) for x in _QP)})) as TEM_ONCOLOGIA_PEDIATRICA,
+    count(*) as QTD_HABILITACOES_ONCOLOGIA,
+    string_agg(distinct {_label_sql('sgruphab')}, '; ' order by {_label_sql('sgruphab')}) as HABILITACOES_ONCOLOGIA,
+    coalesce(string_agg(distinct case when not {S.blank('portaria')} then portaria end, '; '
+      order by case when not {S.blank('portaria')} then portaria end), '') as PORTARIAS,
+    min(dtportar) as DATA_PORTARIA_MAIS_ANTIGA
+  from hab where {S.f5('sgruphab', list(ONCO_QUALIFICATIONS))} group by 1),
+reg as (select * from (select *, row_number() over (partition by K order by NU_CNPJ nulls first) as rn
+  from (select *, coalesce({S.pad('trim(CO_CNES)', 7)}, '') as K from estab_reg) x) y where rn = 1),
+beds as (select coalesce({S.pad('trim(cnes)', 7)}, '') as CNES,
+  sum(case when regexp_matches(trim(qt_exist), '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$') then cast(trim(qt_exist) as double) end) as T
+  from leitos group by 1)
+select i.CNES as COD_CNES, r.NO_RAZAO_SOCIAL as RAZAO_SOCIAL, r.NO_FANTASIA as NOME_FANTASIA, r.NU_CNPJ as CNPJ,
+  r.NU_CNPJ_MANTENEDORA as CNPJ_MANTENEDORA, i.HABILITACOES_ONCOLOGIA, i.QTD_HABILITACOES_ONCOLOGIA,
+  i.TEM_ONCOLOGIA_PEDIATRICA, i.PORTARIAS, i.DATA_PORTARIA_MAIS_ANTIGA, r.TP_UNIDADE as COD_TIPO_UNIDADE,
+  coalesce({S.lookup(UNIT_TYPE, S.pad('trim(r.TP_UNIDADE)', 2))}, {S.pad('trim(r.TP_UNIDADE)', 2)}) as TIPO_UNIDADE,
+  cast(round_even(b.T, 0) as bigint) as TOTAL_LEITOS_CNES,
+  {_flag_sql('r.ST_CENTRO_CIRURGICO')} as TEM_CENTRO_CIRURGICO,
+  {_flag_sql('r.ST_ATEND_HOSPITALAR')} as TEM_ATENDIMENTO_HOSPITALAR,
+  r.CO_IBGE as COD_MUNICIPIO, r.CO_UF as COD_UF, r.NO_LOGRADOURO as LOGRADOURO, r.NU_LATITUDE as LATITUDE,
+  r.K is not null as ENCONTRADO_NO_CNES
+from inst i left join reg r on i.CNES = r.K left join beds b on i.CNES = b.CNES"""
+
+
+def _facilities(t):
+    return FA.curate_facilities(t("hab"), t("estab_reg"), t("leitos"))
+
+
+@query("curate_facilities", FACILITIES_SQL, ["hab", "estab_reg", "leitos"])
+def curate_facilities(t):
+    """Qualifications (F5, A1) + registry (J6) + beds (A2, J8); unit type,
+    yes/no flags, preferred order."""
+    return _facilities(t)
+
+
+_KW = DOC_KEYWORDS + FL.GRANT_KEYWORDS
+_EK = "case when not (CNPJ is null or trim(CNPJ) = '') then CNPJ else CNPJ_MANTENEDORA end"
+
+
+def _first(c):
+    return f"arg_min({c}, COD_CNES) filter (where {c} is not null)"
+
+
+GRANTS_SQL = f"""with fac as ({FACILITIES_SQL}),
+k as (select {_EK} as KEY, bool_or(TEM_ONCOLOGIA_PEDIATRICA) as CNES_TEM_ONCOLOGIA_PEDIATRICA,
+  {_first('NOME_FANTASIA')} as CNES_NOME_FANTASIA, {_first('RAZAO_SOCIAL')} as CNES_RAZAO_SOCIAL,
+  string_agg(distinct HABILITACOES_ONCOLOGIA, '; ' order by HABILITACOES_ONCOLOGIA) as CNES_HABILITACOES,
+  count(*) as CNES_QTD_UNIDADES_VINCULADAS, cast(sum(TOTAL_LEITOS_CNES) as bigint) as CNES_TOTAL_LEITOS,
+  {_first('COD_UF')} as CNES_COD_UF, {_first('COD_MUNICIPIO')} as CNES_COD_MUNICIPIO,
+  {_first('LOGRADOURO')} as CNES_LOGRADOURO, {_first('LATITUDE')} as CNES_LATITUDE,
+  cast(null as varchar) as CNES_LONGITUDE,
+  bool_or({S.blank('CNPJ')} and not {S.blank('CNPJ_MANTENEDORA')}) as CNES_VIA_CNPJ_MANTENEDORA
+  from fac where not {S.blank(_EK)} group by 1),
+g as (select num as NUM_CONVENIO, objeto as "{FA.GRANT_TEXT}", convenente as "{FA.GRANT_KEY}" from convenios
+  where regexp_matches(lower(objeto), '{FL.keyword_pattern(_KW).replace("'", "''")}'))
+select g.*, k.* exclude (KEY), k.KEY is not null as HABILITADO_CNES_ONCOLOGIA
+from g left join k on g."{FA.GRANT_KEY}" = k.KEY"""
+
+
+@query("curate_grants", GRANTS_SQL, ["hab", "estab_reg", "leitos", "convenios"])
+def curate_grants(t):
+    """Grants: keyword filter over whole texts, then the published facilities
+    rolled up by effective registry key (own, else parent) and joined."""
+    g = t("convenios").select(F.col("num").alias("NUM_CONVENIO"), F.col("objeto").alias(FA.GRANT_TEXT),
+                              F.col("convenente").alias(FA.GRANT_KEY))
+    return FA.curate_grants(g, _facilities(t), _KW)
+
+
+GEO_SQL = f"""with m as (select {S.pad('cod_municipio', 6)} as COD_MUNICIPIO, cod_macro as COD_MACRORREGIAO_DE_SAUDE,
+  macro as MACRORREGIAO_DE_SAUDE, no_municipio as NOME_MUNICIPIO, populacao as POPULACAO_IBGE_2022 from geo_saude),
+g as (select * from (select *, row_number() over (partition by M6 order by LATITUDE, LONGITUDE, AREA) as rn
+  from (select {S.pad('MUNCOD', 6)} as M6, LATITUDE, LONGITUDE, AREA from geo_xls) x) y where rn = 1),
+c as (select * from (select *, row_number() over (partition by M6 order by SITUACAO, CAPITAL, MESOCOD, MICROCOD) as rn
+  from (select {S.pad('MUNCOD', 6)} as M6, SITUACAO, CAPITAL, MESOCOD, MICROCOD from cadmun_full) x) y where rn = 1)
+select m.*, g.LATITUDE, g.LONGITUDE, g.AREA as AREA_KM2, c.SITUACAO as SITUACAO_MUNICIPIO, c.CAPITAL as EH_CAPITAL,
+  c.MESOCOD as COD_MESORREGIAO, c.MICROCOD as COD_MICRORREGIAO
+from m left join g on m.COD_MUNICIPIO = g.M6 left join c on m.COD_MUNICIPIO = c.M6"""
+
+# Source headers as delivered (accents, spaces, BOM): normalised by the flow.
+_GEO_HEADERS = {"cod_municipio": "cod_municipio", "cod_macro": "COD_MACRORREGIÃO_DE_SAÚDE",
+                "macro": " macrorregião_de_saúde", "no_municipio": "﻿NO_MUNICÍPIO", "populacao": "POPULAÇÃO_IBGE_2022"}
+
+
+@query("curate_geography", GEO_SQL, ["geo_saude", "geo_xls", "cadmun_full"])
+def curate_geography(t):
+    """Three references joined on the padded municipality code (each made
+    key-unique), headers normalised, harmonic order."""
+    health = t("geo_saude").select(*[F.col(k).alias(v) for k, v in _GEO_HEADERS.items()])
+    return GE.curate_geography(health, t("geo_xls"), t("cadmun_full"))
+
+
+@query("curate_municipal_synonyms", f"""with {'''parts as (
+  select MUNCOD as muncod, SITUACAO as situacao, trim(p) as part, pos - 1 as pos from (
+    select MUNCOD, SITUACAO, unnest(string_split(coalesce(MUNSINON, ''), ',')) as p,
+           generate_subscripts(string_split(coalesce(MUNSINON, ''), ','), 1) as pos from cadmun_full) x),
+ok as (select muncod, pos, case when length(part) < 6 then lpad(part, 6, '0') else substr(part, 1, 6) end as codigo
+  from parts where regexp_matches(part, '^[0-9]+$') and upper(trim(situacao)) = 'ATIVO'
+  and muncod <> '000000' and not ends_with(muncod, '9999'))'''}
+select codigo as COD_MUNICIPIO_ANTIGO, muncod as COD_MUNICIPIO_ATUAL from (
+  select *, row_number() over (partition by codigo order by muncod desc, pos desc) as rn from ok
+  where codigo <> muncod and codigo <> '000000' and not ends_with(codigo, '9999')) z where rn = 1""",
+       ["cadmun_full"])
+def curate_municipal_synonyms(t):
+    """R3 published beside the geography: old code -> current code."""
+    return GE.municipal_synonyms(t("cadmun_full"), "MUNCOD")
