@@ -187,6 +187,69 @@ VIEWS["cadmun_full"] = """select '00' || cast(n_nationkey + 1000 as string) as M
 from {nation}"""
 
 
+def _survey_line_view(edition: str) -> str:
+    """Raw fixed-width survey lines (one per customer) with every field of the
+    edition's extracts at its layout position; blanks included."""
+    from .plans import surveys as SV
+
+    fields = {}
+    for name, sv in SV.SURVEYS.items():
+        if not name.endswith(edition):
+            continue
+        for _, pos, ln in sv.layout:
+            fields[pos] = ln
+        for pos, ln, _ in sv.equals:
+            fields[pos] = ln
+    sex_pos = 106 if edition == "2013" else 108
+    flag_pos = 1018 if edition == "2013" else 1031
+    fields[flag_pos] = 1
+    parts, cur = [], 1
+    for pos in sorted(fields):
+        ln = fields[pos]
+        if pos > cur:
+            parts.append(f"repeat(' ', {pos - cur})")
+        if pos == sex_pos:
+            e = "case when c_custkey % 2 = 0 then '2' else '1' end"
+        elif pos == flag_pos:
+            e = "case when c_custkey % 3 = 0 then '2' else '1' end"
+        elif ln == 1:
+            e = f"substr('1234 5967', cast((c_custkey + {pos}) % 9 as int) + 1, 1)"
+        else:
+            e = f"lpad(cast((c_custkey * 7 + {pos}) % {10 ** min(ln, 9)} as string), {ln}, '0')"
+        parts.append(f"rpad({e}, {ln}, ' ')")
+        cur = pos + ln
+    return "select " + " || ".join(parts) + " as value from {customer}"
+
+
+VIEWS["pns2013"] = _survey_line_view("2013")
+VIEWS["pns2019"] = _survey_line_view("2019")
+VIEWS["siscan_mat"] = """select 'V' || cast(user_id % 5 as string) as VISAO, cast(2013 + day(ts) % 14 as string) as ANO,
+  cast(user_id as string) as linha,
+  cast(sum(case when event_type = 'click' then 1 else 0 end) as string) as click,
+  cast(sum(case when event_type = 'view' then 1 else 0 end) as string) || ',00' as view_,
+  cast(count(*) as string) as Total
+from {events} group by 1, 2, 3"""
+VIEWS["siscan_views"] = """select 'V' || cast(r_regionkey as string) as VISAO, case r_regionkey when 0 then '2024-01'
+  when 1 then 'Desconhecida' when 2 then '2024-02' when 3 then '2024-03' else '2024-04' end as DATA from {region}"""
+VIEWS["siscan_manifest"] = """select 'V' || cast(r_regionkey as string) as chave, case r_regionkey when 0 then '2024-01'
+  when 2 then '2023-12' else '2024-03' end as assinatura from {region} where r_regionkey in (0, 2, 3)"""
+VIEWS["siscan_pub"] = """select VISAO, 'antigo' as EXAME, cast(null as string) as PERFIL, 'Linha' as DIMENSAO_LINHA,
+  linha as CATEGORIA_LINHA, 'Coluna' as DIMENSAO_COLUNA, 'click' as CATEGORIA_COLUNA, 'Exames' as MEDIDA,
+  cast(1000 as bigint) as QTD, ANO from {siscan_mat}"""
+
+VIEWS["raw_cid10"] = """select 'C' || lpad(cast(p_partkey % 1000 as string), 3, '0') as CID10,
+  'C' || lpad(cast(p_partkey % 1000 as string), 3, '0') || '  ' || p_name || ' ' as DESCR, p_partkey as ordem from {part}"""
+VIEWS["raw_cid9"] = """select cast(100 + p_size * 3 as string) as CAUSAS, cast(100 + p_size * 3 as string) || ' ' || p_type as DESCRICAO,
+  p_partkey as ordem from {part}"""
+VIEWS["raw_cbo2002"] = """select case when p_partkey % 13 = 0 then ' ' else lpad(cast(p_size as string), 3, '0') || '00' end as CODIGO,
+  'CBO ' || p_brand as DESCRICAO, p_partkey as ordem from {part} where p_partkey % 3 = 0"""
+VIEWS["raw_tabocup"] = "select cast(p_size as string) as CODIGO, ' OCUP ' || p_type as DESCRICAO, p_partkey as ordem from {part}"
+VIEWS["raw_tabpais"] = """select cast(n_nationkey % 20 as string) as CODIGO, ' ' || n_name || ' ' as DESCRICAO, n_nationkey as ordem
+from {nation}"""
+VIEWS["raw_tabuf"] = """select lpad(cast(n_nationkey % 22 as string), 2, '0') as CODIGO, n_name || ' ' as DESCRICAO,
+  substr(n_name, 1, 2) as SIGLA_UF, n_nationkey as ordem from {nation}"""
+
+
 def _deps(name: str) -> list[str]:
     import string
 

@@ -26,15 +26,21 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def merge_replace(existing: DataFrame, batch: DataFrame, key: str,
+def merge_replace(existing: DataFrame, batch: DataFrame, key,
                   read_keys: DataFrame | None = None) -> DataFrame:
     """M1 / M2: rows of ``existing`` whose key is not in the batch key set,
-    plus every batch row.  The key set is the keys actually read
-    (``read_keys``, one column named ``key``), so a file that was read but
-    filtered to zero rows still replaces its old rows.  Existing rows with a
-    null key are kept (anti-join, not NOT IN)."""
-    keys = (read_keys if read_keys is not None else batch.select(key)).select(F.col(key).alias("_mk")).distinct()
-    kept = existing.join(sized(keys), existing[key] == F.col("_mk"), "left_anti")
+    plus every batch row.  ``key`` is a column name or a list of names.  The
+    key set is the keys actually read (``read_keys``), so a file that was
+    read but filtered to zero rows still replaces its old rows.  Existing
+    rows with a null key are kept (anti-join, not NOT IN)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    src = read_keys if read_keys is not None else batch
+    ks = src.select(*[F.col(k).alias(f"_mk{i}") for i, k in enumerate(keys)]).distinct()
+    cond = None
+    for i, k in enumerate(keys):
+        c = existing[k] == F.col(f"_mk{i}")
+        cond = c if cond is None else cond & c
+    kept = existing.join(sized(ks), cond, "left_anti")
     return union_by_name([kept, batch])
 
 

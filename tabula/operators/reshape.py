@@ -12,25 +12,31 @@ LONG_COLUMNS = ["VISAO", "EXAME", "PERFIL", "DIMENSAO_LINHA", "CATEGORIA_LINHA",
                 "DIMENSAO_COLUNA", "CATEGORIA_COLUNA", "MEDIDA", "QTD"]
 
 
-def unpivot_matrix(matrix: DataFrame, tags: dict | None = None) -> DataFrame:
-    """First column = row category; ``total`` rows and columns dropped;
-    melt; locale number (C14); keep positive quantities; add tag columns."""
+def unpivot_matrix(matrix: DataFrame, tags: dict | None = None, ids=()) -> DataFrame:
+    """First column (after ``ids``) = row category; ``total`` rows and
+    columns dropped; melt; locale number (C14); keep positive quantities; add
+    tag columns.  ``ids`` are extra key columns carried through (several
+    matrices stacked in one table, e.g. per view and year)."""
     tags = tags or {}
-    id_col = matrix.columns[0]
-    values = [c for c in matrix.columns[1:] if c.strip().lower() != "total"]
+    ids = list(ids)
+    rest = [c for c in matrix.columns if c not in ids]
+    id_col = rest[0]
+    values = [c for c in rest[1:] if c.strip().lower() != "total"]
     rows = matrix.filter(~F.coalesce(F.lower(F.trim(F.col(f"`{id_col}`"))).isin("total", ""), F.lit(False)))
-    rows = rows.select(F.col(f"`{id_col}`").alias("CATEGORIA_LINHA"),
+    rows = rows.select(*[F.col(f"`{i}`") for i in ids], F.col(f"`{id_col}`").alias("CATEGORIA_LINHA"),
                        *[F.col(f"`{v}`").cast("string").alias(v) for v in values])
-    long = rows.unpivot(["CATEGORIA_LINHA"], values, "CATEGORIA_COLUNA", "_raw")
-    long = long.select(F.trim("CATEGORIA_LINHA").alias("CATEGORIA_LINHA"), "CATEGORIA_COLUNA",
+    long = rows.unpivot(ids + ["CATEGORIA_LINHA"], values, "CATEGORIA_COLUNA", "_raw")
+    long = long.select(*ids, F.trim("CATEGORIA_LINHA").alias("CATEGORIA_LINHA"), "CATEGORIA_COLUNA",
                        locale_number("_raw").alias("QTD")).filter(F.col("QTD") > 0)
     out = []
     for c in LONG_COLUMNS:
         if c in ("CATEGORIA_LINHA", "CATEGORIA_COLUNA", "QTD"):
             out.append(F.col(c))
+        elif c in ids:
+            out.append(F.col(c))
         else:
             out.append(F.lit(tags.get(c)).cast("string").alias(c))
-    return long.select(*out)
+    return long.select(*out, *[F.col(i) for i in ids if i not in LONG_COLUMNS])
 
 
 # Fixed value: a synonym range wider than this is an administrative range, not a list.

@@ -59,14 +59,15 @@ def dedupe_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
             .select(*df.columns))
 
 
-def priority_dedupe(frames: list[DataFrame], key: str) -> DataFrame:
-    """Union of vocabularies, the earlier frame in the list wins a key."""
+def priority_dedupe(frames: list[DataFrame], key: str, order: list[str] | None = None) -> DataFrame:
+    """Union of vocabularies; the earlier frame in the list wins a key,
+    then the smallest ``order`` within a frame."""
     tagged = [f.withColumn("_prio", F.lit(i)) for i, f in enumerate(frames)]
     u = tagged[0]
     for t in tagged[1:]:
         u = u.unionByName(t, allowMissingColumns=True)
     cols = [c for c in u.columns if c not in (key, "_prio")]
-    return dedupe_first(u, [key], ["_prio"]).select(key, *cols)
+    return dedupe_first(u, [key], ["_prio"] + list(order or [])).select(key, *cols)
 
 
 def count_by(df: DataFrame, by, name: str = "n") -> DataFrame:

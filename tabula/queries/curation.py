@@ -329,3 +329,132 @@ select codigo as COD_MUNICIPIO_ANTIGO, muncod as COD_MUNICIPIO_ATUAL from (
 def curate_municipal_synonyms(t):
     """R3 published beside the geography: old code -> current code."""
     return GE.municipal_synonyms(t("cadmun_full"), "MUNCOD")
+
+
+# ---- surveys, screening, code references, static ------------------------------------------
+
+from ..operators import merge as MG  # noqa: E402
+from ..plans import references as RF  # noqa: E402
+from ..plans import screening as SC  # noqa: E402
+from ..plans import surveys as SV  # noqa: E402
+from ..session import staging_path  # noqa: E402
+
+
+def _survey_sql(sv, view):
+    def cut(p, n):
+        return f"trim(substr(value, {p}, {n}))"
+
+    cols = []
+    for name, p, n in sv.layout:
+        v = cut(p, n)
+        dom = sv.domains.get(name) or (SV.RACE if name == "COR_RACA" else None)
+        if dom is not None:
+            v = f"case when {v} = '' then '' else coalesce({S.lookup(dom, v)}, {v}) end"
+        elif name in SV.AGE_FIELDS:
+            v = S.int_text(v)
+        cols.append(f"{v} as {SV.SURVEY_NAMES.get(name, name)}")
+    cols += [f"'{v}' as {k}" for k, v in sv.constants.items()]
+    preds = [f"{cut(p, n)} = '{val}'" for p, n, val in sv.equals] + [f"{cut(p, n)} <> ''" for p, n in sv.answered]
+    return f"select {', '.join(cols)} from {view} where {' and '.join(preds)}"
+
+
+def _survey_query(key):
+    edition = key.rsplit("_", 1)[1]
+    view = f"pns{edition}"
+    sv = SV.SURVEYS[key]
+
+    def run(t):
+        return SV.curate_survey(t(view), sv)
+
+    run.__doc__ = f"Survey extract {key}: position filter, layout, decode, ages, order."
+    query(f"curate_survey_{key}", _survey_sql(sv, view), [view])(run)
+
+
+for _k in SV.SURVEYS:
+    _survey_query(_k)
+
+_SC_TAGS = {"EXAME": "eventos", "PERFIL": "usuarios", "DIMENSAO_LINHA": "Usuário", "DIMENSAO_COLUNA": "Tipo",
+            "MEDIDA": "Quantidade"}
+
+
+def _sc_unpivot(col):
+    x = f"replace(replace(trim({col}), '.', ''), ',', '.')"
+    q = (f"cast(trunc(coalesce(case when regexp_matches({x}, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$') "
+         f"then cast({x} as double) end, 0)) as bigint)")
+    return (f"select VISAO, '{_SC_TAGS['EXAME']}' as EXAME, '{_SC_TAGS['PERFIL']}' as PERFIL, "
+            f"'{_SC_TAGS['DIMENSAO_LINHA']}' as DIMENSAO_LINHA, trim(linha) as CATEGORIA_LINHA, "
+            f"'{_SC_TAGS['DIMENSAO_COLUNA']}' as DIMENSAO_COLUNA, '{col}' as CATEGORIA_COLUNA, "
+            f"'{_SC_TAGS['MEDIDA']}' as MEDIDA, {q} as QTD, ANO from todo")
+
+
+SCREENING_SQL = f"""with ch as (select v.VISAO, v.DATA from siscan_views v left join siscan_manifest m on upper(v.VISAO) = m.chave
+  where not coalesce(v.DATA is not null and v.DATA is not distinct from m.assinatura, false) or v.DATA = 'Desconhecida'),
+plan as (select ch.VISAO, cast(y.a as varchar) as ANO from ch, range(2013, 2027) y(a)
+  where ch.VISAO not in (select chave from siscan_manifest) or y.a >= 2025),
+todo as (select * from siscan_mat m where exists (select 1 from plan p where p.VISAO = m.VISAO and p.ANO = m.ANO)
+  and not coalesce(lower(trim(linha)) in ('total', ''), false)),
+new as (select * from ({_sc_unpivot('click')} union all {_sc_unpivot('view_')}) u where QTD > 0)
+select * from siscan_pub p where not exists (select 1 from plan k where k.VISAO = p.VISAO and k.ANO = p.ANO)
+union all select * from new"""
+
+
+@query("curate_screening", SCREENING_SQL, ["siscan_mat", "siscan_views", "siscan_manifest", "siscan_pub"])
+def curate_screening(t):
+    """Per view: changed or unknown date (P9), years to take (P10), stacked
+    matrices melted (R1), those years replaced in the published table (M2)."""
+    return SC.curate_screening(t("siscan_mat"), t("siscan_pub"), t("siscan_views"), t("siscan_manifest"), 2026,
+                               _SC_TAGS)
+
+
+def _dedupe_sql(select, key, order):
+    return (f"select * exclude (rn) from (select *, row_number() over (partition by {key} order by {order}) as rn "
+            f"from ({select}) x) y where rn = 1")
+
+
+@query("curate_ref_causes", _dedupe_sql(
+    "select CID10 as CODIGO, trim(regexp_replace(DESCR, '^\\S+\\s+', '')) as DESCRICAO, ordem from raw_cid10",
+    "CODIGO", "ordem").replace("select * exclude (rn)", "select CODIGO, DESCRICAO"), ["raw_cid10"])
+def curate_ref_causes(t):
+    """Modern cause codes: label prefix stripped, first row per code."""
+    return RF.causes(t("raw_cid10"), "CID10", "DESCR", "ordem")
+
+
+@query("curate_ref_causes_old", _dedupe_sql(
+    "select CAUSAS as CODIGO, trim(regexp_replace(DESCRICAO, '^[0-9]+\\s+', '')) as DESCRICAO, ordem from raw_cid9",
+    "CODIGO", "ordem").replace("select * exclude (rn)", "select CODIGO, DESCRICAO"), ["raw_cid9"])
+def curate_ref_causes_old(t):
+    """Old-era cause codes: numeric prefix stripped, first row per code."""
+    return RF.causes(t("raw_cid9"), "CAUSAS", "DESCRICAO", "ordem", prefix=r"^\d+\s+")
+
+
+@query("curate_ref_occupations", f"""with o as (select {S.pad('CODIGO', 3)} as CODIGO, trim(DESCRICAO) as DESCRICAO, ordem from raw_tabocup),
+u as (select trim(CODIGO) as CODIGO, trim(DESCRICAO) as DESCRICAO, ordem, 0 as p from raw_cbo2002
+      where trim(CODIGO) <> '' and trim(DESCRICAO) <> ''
+  union all select CODIGO, DESCRICAO, ordem, 1 from o union all select CODIGO || '00', DESCRICAO, ordem, 1 from o)
+select CODIGO, DESCRICAO from (select *, row_number() over (partition by CODIGO order by p, ordem) as rn from u) x
+where rn = 1""", ["raw_cbo2002", "raw_tabocup"])
+def curate_ref_occupations(t):
+    """Occupations: newer vocabulary wins; old codes as NNN and NNN00."""
+    return RF.occupations(t("raw_cbo2002"), t("raw_tabocup"))
+
+
+@query("curate_ref_countries", f"""select {S.pad('CODIGO', 3)} as CODIGO, trim(DESCRICAO) as DESCRICAO from (
+  {_dedupe_sql('select CODIGO, DESCRICAO, ordem from raw_tabpais', 'CODIGO', 'ordem')}) z""", ["raw_tabpais"])
+def curate_ref_countries(t):
+    """Countries: first per code, code padded to 3."""
+    return RF.countries(t("raw_tabpais"))
+
+
+@query("curate_ref_states", f"""select CODIGO, trim(DESCRICAO) as DESCRICAO, SIGLA_UF from (
+  {_dedupe_sql('select CODIGO, DESCRICAO, SIGLA_UF, ordem from raw_tabuf', 'CODIGO', 'ordem')}) z""", ["raw_tabuf"])
+def curate_ref_states(t):
+    """States: first per code, with the state abbreviation."""
+    return RF.states(t("raw_tabuf"))
+
+
+@query("curate_static", "select * from customer")
+def curate_static(t):
+    """Static snapshots published as they are (M7): write, then read back."""
+    path = staging_path(t.spark, "snapshot")
+    MG.publish(t("customer"), path)
+    return t.spark.read.parquet(path)
