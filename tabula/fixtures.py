@@ -290,8 +290,11 @@ class Tables:
     """Driver tables and binding views of one scale-factor folder, as DataFrames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        from .session import tune
+
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        tune(spark)
         self._cache: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:

@@ -73,8 +73,15 @@ def keyword_pattern(keywords) -> str:
 
 
 def keyword_match(c, keywords) -> Column:
-    """case-insensitive "contains any keyword" (keywords are literal text)."""
-    return F.coalesce(F.lower(_c(c)).rlike("(?iu)" + keyword_pattern(keywords)), F.lit(False))
+    """case-insensitive "contains any keyword" over the whole text.  The
+    keywords are literal text, so after ``lower`` this is a chain of native
+    substring tests (no regex engine per row)."""
+    low = F.lower(_c(c))
+    pred = None
+    for k in dict.fromkeys(k.lower() for k in keywords):
+        p = low.contains(k)
+        pred = p if pred is None else pred | p
+    return F.coalesce(pred if pred is not None else F.lit(False), F.lit(False))
 
 
 # Keywords that mark a federal grant as cancer related.

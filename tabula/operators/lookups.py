@@ -21,8 +21,18 @@ BROADCAST_MAX_ROWS = 200_000
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (reads at most max+1)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+    """True when ``dim`` has at most ``max_rows`` rows (reads at most max+1).
+    The answer is remembered on the DataFrame object, so a dimension reused
+    by several lookups of one flow is counted once."""
+    memo = getattr(dim, "_tabula_rows_le", None)
+    if memo is not None and memo[0] == max_rows:
+        return memo[1]
+    ok = dim.limit(max_rows + 1).count() <= max_rows
+    try:
+        dim._tabula_rows_le = (max_rows, ok)
+    except AttributeError:
+        pass
+    return ok
 
 
 def sized(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -44,10 +54,11 @@ def unique_by_key(dim: DataFrame, key: str, order: list[str] | None = None) -> D
 def lookup_label(fact: DataFrame, key: Column, dim: DataFrame, dim_key: str, label: str,
                  out: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Add ``out`` = dim[label] where ``key`` = dim[dim_key] (left)."""
+    small = fits_broadcast(dim, max_rows)  # deduping below can only shrink it
     d = unique_by_key(dim.select(dim_key, label), dim_key).select(
         F.col(dim_key).alias("_lk_key"), F.col(label).alias(out))
     return (fact.withColumn("_lk_fact_key", key)
-            .join(sized(d, max_rows), F.col("_lk_fact_key") == F.col("_lk_key"), "left")
+            .join(F.broadcast(d) if small else d, F.col("_lk_fact_key") == F.col("_lk_key"), "left")
             .drop("_lk_fact_key", "_lk_key"))
 
 
@@ -86,9 +97,10 @@ def enrich_found_flag(left: DataFrame, left_key: str, right: DataFrame, right_ke
                       flag: str, order: list[str] | None = None) -> DataFrame:
     """Right side deduped by key (smallest by ``order`` wins), left join,
     boolean "found" flag; left rows are never dropped or multiplied."""
+    small = fits_broadcast(right)
     r = unique_by_key(right, right_key, order).withColumn("_lk_found", F.lit(True))
     r = r.withColumnRenamed(right_key, "_lk_rkey")
-    j = left.join(sized(r), F.col(f"`{left_key}`") == F.col("_lk_rkey"), "left")
+    j = left.join(F.broadcast(r) if small else r, F.col(f"`{left_key}`") == F.col("_lk_rkey"), "left")
     return j.withColumn(flag, F.coalesce(F.col("_lk_found"), F.lit(False))).drop("_lk_found", "_lk_rkey")
 
 
@@ -98,8 +110,9 @@ def three_way_reference(base: DataFrame, refs) -> DataFrame:
     is made key-unique first, so the base row count never changes."""
     out = base
     for table, base_key, table_key in refs:
+        small = fits_broadcast(table)
         d = unique_by_key(table, table_key).withColumnRenamed(table_key, "_ref_key")
-        out = out.join(sized(d), out[base_key] == F.col("_ref_key"), "left").drop("_ref_key")
+        out = out.join(F.broadcast(d) if small else d, out[base_key] == F.col("_ref_key"), "left").drop("_ref_key")
     return out
 
 
