@@ -125,6 +125,7 @@ class DbfReader(DataSourceReader):
         return parts or [DbfPartition(path, "", 0, 0, Header(0, 0, 0, []))]
 
     def read(self, partition: DbfPartition):
+        """Parse the partition's records in chunks (bounded task memory)."""
         import numpy as np
         import pyarrow as pa
 
@@ -134,27 +135,32 @@ class DbfReader(DataSourceReader):
             return
         fs, _ = _fs(partition.uri)
         h = partition.header
+        chunk = int(self.options.get("recordsPerBatch", 65_536))
         with fs.open_input_file(partition.path) as f:
             f.seek(h.header_len + partition.start * h.record_len)
-            buf = f.read(partition.count * h.record_len)
-        n = len(buf) // h.record_len
-        rec = np.frombuffer(buf[: n * h.record_len], dtype=np.uint8).reshape(n, h.record_len)
-        live = rec[:, 0] == ord(" ")
-        rec = rec[live]
-        cols = {}
-        off = 1
-        for name, kind, size in h.fields:
-            raw = np.ascontiguousarray(rec[:, off:off + size]).view(f"S{size}").ravel()
-            cols[name.upper()] = _convert(kind, raw)
-            off += size
-        arrays = []
-        for nm in names:
-            if lineage and nm == lineage:
-                arrays.append(pa.array([posixpath.basename(partition.path)] * len(rec), pa.string()))
-            else:
-                v = cols.get(nm.upper())
-                arrays.append(pa.array(list(v) if v is not None else [None] * len(rec), pa.string()))
-        yield pa.RecordBatch.from_arrays(arrays, names=names)
+            left = partition.count
+            while left > 0:
+                take = min(chunk, left)
+                buf = f.read(take * h.record_len)
+                left -= take
+                n = len(buf) // h.record_len
+                if n == 0:
+                    break
+                rec = np.frombuffer(buf[: n * h.record_len], dtype=np.uint8).reshape(n, h.record_len)
+                rec = rec[rec[:, 0] == ord(" ")]
+                cols, off = {}, 1
+                for name, kind, size in h.fields:
+                    raw = np.ascontiguousarray(rec[:, off:off + size]).view(f"S{size}").ravel()
+                    cols[name.upper()] = _convert(kind, raw)
+                    off += size
+                arrays = []
+                for nm in names:
+                    if lineage and nm == lineage:
+                        arrays.append(pa.array([posixpath.basename(partition.path)] * len(rec), pa.string()))
+                    else:
+                        v = cols.get(nm.upper())
+                        arrays.append(pa.array(list(v) if v is not None else [None] * len(rec), pa.string()))
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
 class DbfDataSource(DataSource):
@@ -209,20 +215,23 @@ def dbf_bytes(columns: dict, fields: list, deleted=None) -> bytes:
 
 
 def write_partitions(df, folder: str, fields: list, deleted_col: str | None = None):
-    """Write each partition of ``df`` as one DBF file under ``folder``
-    (executor side, via ``mapInPandas``); returns the (file, rows) DataFrame."""
-    import uuid
+    """Write each partition of ``df`` as DBF files under ``folder`` (executor
+    side, via ``mapInPandas``); returns the (file, rows) DataFrame.  File
+    names come from the partition id and batch number, so a task retried
+    after a lost executor overwrites its own files instead of adding copies."""
 
     def write(batches):
         import pandas as pd
+        from pyspark import TaskContext
 
         fs, root = _fs(folder)
-        for pdf in batches:
+        part = TaskContext.get().partitionId()
+        for i, pdf in enumerate(batches):
             if len(pdf) == 0:
                 continue
             cols = {name: [None if pd.isna(x) else x for x in pdf[name]] for name, _, _ in fields}
             deleted = list(pdf[deleted_col]) if deleted_col else None
-            name = f"part-{uuid.uuid4().hex[:16]}.dbf"
+            name = f"part-{part:05d}-{i:05d}.dbf"
             with fs.open_output_stream(posixpath.join(root, name)) as f:
                 f.write(dbf_bytes(cols, fields, deleted))
             yield pd.DataFrame({"arquivo": [name], "linhas": [len(pdf)]})
