@@ -154,7 +154,9 @@ VIEWS["painel"] = """select substr(dtobito, 5, 4) as ANO_DIAGN, substr(dtobito,
   case when rec_id % 11 = 0 then '999' else lpad(cast(rec_id % 90 as string), 3, '0') end as IDADE,
   case rec_id % 3 when 0 then 'F' when 1 then 'M' else ' X ' end as SEXO,
   cast(rec_id % 10 as string) as ESTADIAM, cast(1000000 + rec_id % 500 as string) as CNES_DIAG,
-  cast(2000000 + rec_id % 300 as string) as CNES_TRAT, cast(rec_id % 400 - 20 as string) as TEMPO_TRAT,
+  lpad(cast(rec_id % 150 as string), 7, '0') as CNES_TRAT,
+  case when rec_id % 19 = 0 then '99999' when rec_id % 2 = 0 then '+' || cast(rec_id % 400 as string)
+       else '-' || cast(rec_id % 30 as string) end as TEMPO_TRAT,
   causabas as DIAG_DETH, dtobito as DT_DIAG, dtobito as DT_TRAT, '01011950' as DT_NASC,
   'CNS' || cast(rec_id as string) as CNS_PAC, 'POBR' || substr(dtobito, 5, 4) || '.dbc' as ARQUIVO_ORIGEM
 from {rec}"""

@@ -158,6 +158,15 @@ def year_yymmdd(c, century: int = 1900) -> Column:
     return F.when(t.rlike(r"^\d{2}"), F.substring(t, 1, 2).cast("int") + century)
 
 
+def signed_days(c, sentinel: str = "99999") -> Column:
+    """Days between two events written with a sign (``+12`` after, ``-3``
+    before); the sentinel means no information -> null."""
+    t = F.trim(_c(c))
+    digits = F.regexp_extract(t, r"^[+-]?(\d+)$", 1)
+    return F.when((digits == "") | (digits == sentinel), F.lit(None).cast("int")).otherwise(
+        F.when(t.startswith("-"), -digits.cast("int")).otherwise(digits.cast("int")))
+
+
 # --- C23 / C24 ----------------------------------------------------------------
 
 def constant(value, dtype: str = "string") -> Column:
