@@ -88,11 +88,26 @@ def publish(df: DataFrame, path: str, mode: str = "overwrite", rows_per_group: i
 
 def publish_partitioned(batch: DataFrame, path: str, key: str) -> None:
     """M1 at scale: rewrite only the partitions (source files / years) present
-    in the batch; all other partitions are left untouched."""
+    in the batch; all other partitions are left untouched.  The overwrite
+    mode is a per-write option, so the session's setting is never changed."""
+    (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(key).parquet(path))
+
+
+def publish_replacing(batch: DataFrame, path: str, key: str, read_keys: list[str] | None = None) -> None:
+    """M1 at scale with the full key rule: the batch's partitions are
+    rewritten (dynamic overwrite) and the partitions of files that were read
+    but kept no rows are removed, so their old rows disappear too.
+    ``read_keys`` is the small list of files (or years) of this delivery."""
+    publish_partitioned(batch, path, key)
+    if not read_keys:
+        return
+    present = {r[0] for r in batch.select(key).distinct().collect()}  # one row per delivered file
     spark = batch.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        batch.write.mode("overwrite").partitionBy(key).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    for k in sorted(set(read_keys) - present):
+        part = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{key}={k}")
+        fs = part.getFileSystem(conf)
+        if fs.exists(part):
+            fs.delete(part, True)

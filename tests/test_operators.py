@@ -110,3 +110,11 @@ def test_two_digit_year_and_recency(spark):
 def test_dedupe_case_insensitive(spark):
     df = spark.createDataFrame([("aqSP0801.dbc", 1), ("AQSP0801.dbc", 2), ("x.txt", 3)], "nome string, doc_id int")
     assert rows(A.dedupe_case_insensitive(df, "nome", "doc_id")) == [("AQSP0801.dbc", 2)]
+
+
+def test_publish_replacing_drops_emptied_files(spark, tmp_path):
+    path = str(tmp_path / "r")
+    M.publish_partitioned(_pub(spark).filter("ARQUIVO_ORIGEM is not null"), path, "ARQUIVO_ORIGEM")
+    batch = spark.createDataFrame([(30, "A.dbc")], "id int, ARQUIVO_ORIGEM string")
+    M.publish_replacing(batch, path, "ARQUIVO_ORIGEM", ["A.dbc", "C.dbc"])  # C read, nothing kept
+    assert sorted(rows(spark.read.parquet(path), "id", "ARQUIVO_ORIGEM")) == [(2, "B.dbc"), (30, "A.dbc")]
