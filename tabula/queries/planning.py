@@ -131,9 +131,9 @@ def changed_by_version(t):
 
 
 @query("recent_years_plan", VERSION_SQL + """
-select v.visao, v.versao, y.ANO from views v
+select v.visao, v.versao, cast(y.ANO as integer) as ANO from views v
 join (select distinct chave from man) k on v.visao = k.chave, range(2025, 2027) y(ANO)
-union all select v.visao, v.versao, y.ANO from views v, range(2013, 2027) y(ANO)
+union all select v.visao, v.versao, cast(y.ANO as integer) from views v, range(2013, 2027) y(ANO)
 where v.visao not in (select chave from man)""")
 def recent_years_plan(t):
     """P10: first load = whole series, later loads = current and previous year."""
