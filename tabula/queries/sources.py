@@ -126,3 +126,14 @@ def passthrough(t):
     path = staging_path(t.spark, "static")
     M.publish(t("nation"), path)
     return t.spark.read.parquet(path)
+
+
+@query("snapshot_replace", "select * from supplier where s_suppkey % 2 = 0")
+def snapshot_replace(t):
+    """M5: a snapshot source replaces the whole published table on each
+    delivery (the older snapshot leaves no rows behind)."""
+    path = staging_path(t.spark, "snapshot")
+    s = t("supplier")
+    M.publish(s, path)                                   # previous month's snapshot
+    M.publish(s.filter(F.col("s_suppkey") % 2 == 0), path)  # latest snapshot replaces it
+    return t.spark.read.parquet(path)

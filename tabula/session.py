@@ -65,19 +65,32 @@ def shared_dir(spark: SparkSession) -> str:
 
     Read from the session; only a local-mode session without the setting
     gets its own fresh folder (as in tests)."""
-    conf_dir = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    conf_dir = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = _context(spark)
+    if not conf_dir and sc is not None:
+        conf_dir = sc.getConf().get(CHECKPOINT_CONF, None)
     if conf_dir:
-        if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-            spark.sparkContext.setCheckpointDir(conf_dir)
+        if sc is not None and not sc._jsc.sc().getCheckpointDir().isDefined():
+            sc.setCheckpointDir(conf_dir)
         return conf_dir
-    if not spark.sparkContext.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
     local = tempfile.mkdtemp(prefix="tabula-ckpt-")
     spark.conf.set(CHECKPOINT_CONF, local)
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a remote session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions have no SparkContext
+        return None
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for one staged table."""
     base = shared_dir(spark).rstrip("/")

@@ -72,3 +72,14 @@ def test_stream_rerun_without_new_files_is_idempotent(spark):
     arrival_merge(spark, landing, e.schema, table, "ARQUIVO_ORIGEM", checkpoint=ck)
     assert sorted(rows(spark.read.parquet(table))) == first
     assert len(first) == e.count()
+
+
+def test_published_column_counts(spark):
+    """Widths of the published tables whose full source layout is known."""
+    t = Tables(spark, SMALL)
+    assert len(OP.curate_panel(t("painel"), t("ref_cid10")).columns) == 27
+    expected = {"diagnosis_2013": 12, "diagnosis_2019": 25, "cervix_2013": 16, "cervix_2019": 17,
+                "breast_2013": 17, "breast_2019": 17}
+    for name, n in expected.items():
+        edition = name.rsplit("_", 1)[1]
+        assert len(SV.curate_survey(t(f"pns{edition}"), SV.SURVEYS[name]).columns) == n, name
