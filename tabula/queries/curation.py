@@ -252,6 +252,20 @@ def _facilities(t):
     return FA.curate_facilities(t("hab"), t("estab_reg"), t("leitos"))
 
 
+def _published_facilities(t):
+    """The facilities table as published (written once to the shared
+    folder, then read back), as later flows read it; the write also cuts the
+    lineage so size checks and joins do not recompute the flow."""
+    if "_published_facilities" not in t._cache:
+        from ..operators import merge as _M
+        from ..session import staging_path as _sp
+
+        path = _sp(t.spark, "facilities")
+        _M.publish(_facilities(t), path)
+        t._cache["_published_facilities"] = t.spark.read.parquet(path)
+    return t._cache["_published_facilities"]
+
+
 @query("curate_facilities", FACILITIES_SQL, ["hab", "estab_reg", "leitos"])
 def curate_facilities(t):
     """Qualifications (F5, A1) + registry (J6) + beds (A2, J8); unit type,
@@ -289,7 +303,7 @@ def curate_grants(t):
     rolled up by effective registry key (own, else parent) and joined."""
     g = t("convenios").select(F.col("num").alias("NUM_CONVENIO"), F.col("objeto").alias(FA.GRANT_TEXT),
                               F.col("convenente").alias(FA.GRANT_KEY))
-    return FA.curate_grants(g, _facilities(t), _KW)
+    return FA.curate_grants(g, _published_facilities(t), _KW)
 
 
 GEO_SQL = f"""with m as (select {S.pad('cod_municipio', 6)} as COD_MUNICIPIO, cod_macro as COD_MACRORREGIAO_DE_SAUDE,

@@ -43,7 +43,7 @@ from p left join f on p.COD_CNES_TRATAMENTO = f.COD_CNES group by p.COD_CNES_TRA
 def panel_facility_link(t):
     """Treated cases per facility, linked to the oncology facility table."""
     cases = _panel(t).groupBy("COD_CNES_TRATAMENTO").agg(F.count(F.lit(1)).alias("CASOS"))
-    fac = CU._facilities(t).select(F.col("COD_CNES"), "NOME_FANTASIA")
+    fac = CU._published_facilities(t).select(F.col("COD_CNES"), "NOME_FANTASIA")
     fac = F.broadcast(fac) if fits_broadcast(fac) else fac
     j = cases.join(fac, cases["COD_CNES_TRATAMENTO"] == fac["COD_CNES"], "left")
     return j.groupBy("COD_CNES_TRATAMENTO").agg(
@@ -97,7 +97,7 @@ from fs full outer join gs on fs.UF = gs.UF full outer join ds on coalesce(fs.UF
        ["hab", "estab_reg", "leitos", "convenios", "sim_do", "ref_icd", "ref_ocup", "ref_uf", "ref_pais", "ref_sin"])
 def network_by_state(t):
     """Oncology network, matched grants and oncology deaths per state."""
-    fac = CU._facilities(t)
+    fac = CU._published_facilities(t)
     g = t("convenios").select(F.col("num").alias("NUM_CONVENIO"), F.col("objeto").alias(FA.GRANT_TEXT),
                               F.col("convenente").alias(FA.GRANT_KEY))
     grants = FA.curate_grants(g, fac, CU._KW)

@@ -118,3 +118,21 @@ def test_publish_replacing_drops_emptied_files(spark, tmp_path):
     batch = spark.createDataFrame([(30, "A.dbc")], "id int, ARQUIVO_ORIGEM string")
     M.publish_replacing(batch, path, "ARQUIVO_ORIGEM", ["A.dbc", "C.dbc"])  # C read, nothing kept
     assert sorted(rows(spark.read.parquet(path), "id", "ARQUIVO_ORIGEM")) == [(2, "B.dbc"), (30, "A.dbc")]
+
+
+def test_sum_all_null_and_ratio(spark):
+    from tabula.operators import rollups as RO
+
+    df = spark.createDataFrame([("a", None), ("a", None), ("b", 2.0), ("b", None)], "k string, v double")
+    assert sorted(rows(df.groupBy("k").agg(RO.sum_all_null("v").alias("s")))) == [("a", None), ("b", 2.0)]
+    r = spark.createDataFrame([(3, 7), (1, 0), (None, 5), (2, None)], "kept long, total long")
+    assert [x[0] for x in r.select(RO.ratio("kept", "total")).collect()] == [0.4286, None, None, None]
+
+
+def test_occupation_vocabularies(spark):
+    from tabula.plans import references as RF
+
+    old = spark.createDataFrame([("7", " Pedreiro ", 1), ("12", "Pintor", 2)], "CODIGO string, DESCRICAO string, ordem int")
+    new = spark.createDataFrame([("00700", "Pedreiro de obras", 1), (" ", "x", 2)], "CODIGO string, DESCRICAO string, ordem int")
+    got = sorted(rows(RF.occupations(new, old)))
+    assert got == [("007", "Pedreiro"), ("00700", "Pedreiro de obras"), ("012", "Pintor"), ("01200", "Pintor")]
