@@ -98,21 +98,30 @@ DRUGS = Spec([Label("AP_CIDPRI", "CID_PRINCIPAL_DESCRICAO", "causes", first=True
     Pair("AM_GESTANT", D.AUTH_YES_NO, None, "GESTANTE"), Keep("ARQUIVO_ORIGEM")])
 
 
+def _curate(raw: DataFrame, spec: Spec, causes: DataFrame | None) -> DataFrame:
+    """Landing null tokens (C1), then the spec; personal data never leaves."""
+    out = apply_spec(C.normalize_null_tokens(raw), spec, {"causes": causes})
+    leaked = {c.upper() for c in out.columns} & set(AUTH_PERSONAL)
+    if leaked:
+        raise AssertionError(f"personal data in output: {sorted(leaked)}")
+    return out
+
+
 def curate_panel(raw: DataFrame, causes: DataFrame | None) -> DataFrame:
-    return apply_spec(raw, PANEL, {"causes": causes})
+    return _curate(raw, PANEL, causes)
 
 
 def curate_chemo(raw: DataFrame, causes: DataFrame | None) -> DataFrame:
-    return apply_spec(raw, CHEMO, {"causes": causes})
+    return _curate(raw, CHEMO, causes)
 
 
 def curate_radio(raw: DataFrame, causes: DataFrame | None) -> DataFrame:
-    return apply_spec(raw, RADIO, {"causes": causes})
+    return _curate(raw, RADIO, causes)
 
 
 def curate_drugs(raw: DataFrame, causes: DataFrame | None) -> DataFrame:
     """F4 on the first diagnosis column present (none -> empty), then the spec."""
     col = first_present(raw, DRUG_CID_CANDIDATES)
     if col is None:
-        return apply_spec(raw.limit(0), DRUGS, {"causes": causes})
-    return apply_spec(fl.keep(raw, fl.drug_onco(f"`{col}`")), DRUGS, {"causes": causes})
+        return _curate(raw.limit(0), DRUGS, causes)
+    return _curate(fl.keep(raw, fl.drug_onco(f"`{col}`")), DRUGS, causes)
