@@ -55,15 +55,16 @@ YEAR_SQL = ("case when length(trim(dtobito)) = 8 and regexp_matches(substr(trim(
 
 
 @query("merge_replace_year", f"""with pub as (select rec_id, sexo, {YEAR_SQL} as ANO from rec),
-mx as (select max(ANO) as m from pub),
-new as (select rec_id, 'novo' as sexo, ANO from pub, mx where ANO >= m - 1 and rec_id % 2 = 0)
+yrs as (select distinct ANO from pub where ANO is not null order by ANO desc limit 2),
+new as (select rec_id, 'novo' as sexo, ANO from pub where ANO in (select ANO from yrs) and rec_id % 2 = 0)
 select * from pub where ANO is null or ANO not in (select ANO from new)
 union all select * from new""", ["rec"])
 def merge_replace_year(t):
     """M2: the reprocessed years (latest two) replace their rows."""
     pub = t("rec").select("rec_id", "sexo", year_ddmmyyyy("dtobito").alias("ANO"))
-    latest = pub.agg(F.max("ANO").alias("_m"))
-    new = (pub.crossJoin(F.broadcast(latest)).filter((F.col("ANO") >= F.col("_m") - 1) & (F.col("rec_id") % 2 == 0))
+    # the two latest years: a top-2 of the few distinct years, joined back by value
+    years = pub.select("ANO").distinct().filter(F.col("ANO").isNotNull()).orderBy(F.col("ANO").desc()).limit(2)
+    new = (pub.join(F.broadcast(years), "ANO", "left_semi").filter(F.col("rec_id") % 2 == 0)
            .select("rec_id", F.lit("novo").alias("sexo"), "ANO"))
     return M.merge_replace(pub, new, "ANO")
 
