@@ -40,6 +40,27 @@ def sized(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
 
 
+# Salt buckets for lookups whose dimension is too big to broadcast: a hot
+# code (a third of the fact rows) is spread over this many join tasks.
+SALT_BUCKETS = 16
+
+
+def left_join_sized(fact: DataFrame, fact_key: Column, dim: DataFrame, dim_key: str, small: bool,
+                    salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Left equi-join of ``fact`` to a key-unique ``dim``.
+
+    ``small`` (checked by the caller): broadcast the dimension, no shuffle of
+    the fact.  Otherwise a salted shuffle join: each fact row gets a bucket
+    from its row id (deterministic on task retry) and every dimension row is
+    replicated once per bucket, so no single key lands whole in one task."""
+    if small:
+        return fact.join(F.broadcast(dim), fact_key == F.col(dim_key), "left")
+    f = fact.withColumn("_fsalt", F.pmod(F.monotonically_increasing_id(), F.lit(salt_buckets)))
+    d = dim.withColumn("_dsalt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    j = f.join(d, (fact_key == F.col(dim_key)) & (F.col("_fsalt") == F.col("_dsalt")), "left")
+    return j.drop("_fsalt", "_dsalt")
+
+
 def unique_by_key(dim: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """One row per key: the smallest row by ``order`` (default: the other
     columns).  A ``min`` over a struct is partially aggregated map-side, so
@@ -57,9 +78,8 @@ def lookup_label(fact: DataFrame, key: Column, dim: DataFrame, dim_key: str, lab
     small = fits_broadcast(dim, max_rows)  # deduping below can only shrink it
     d = unique_by_key(dim.select(dim_key, label), dim_key).select(
         F.col(dim_key).alias("_lk_key"), F.col(label).alias(out))
-    return (fact.withColumn("_lk_fact_key", key)
-            .join(F.broadcast(d) if small else d, F.col("_lk_fact_key") == F.col("_lk_key"), "left")
-            .drop("_lk_fact_key", "_lk_key"))
+    f = fact.withColumn("_lk_fact_key", key)
+    return left_join_sized(f, F.col("_lk_fact_key"), d, "_lk_key", small).drop("_lk_fact_key", "_lk_key")
 
 
 def lookup_concat(fact: DataFrame, col: str, dim: DataFrame, dim_key: str, label: str,
@@ -100,7 +120,7 @@ def enrich_found_flag(left: DataFrame, left_key: str, right: DataFrame, right_ke
     small = fits_broadcast(right)
     r = unique_by_key(right, right_key, order).withColumn("_lk_found", F.lit(True))
     r = r.withColumnRenamed(right_key, "_lk_rkey")
-    j = left.join(F.broadcast(r) if small else r, F.col(f"`{left_key}`") == F.col("_lk_rkey"), "left")
+    j = left_join_sized(left, F.col(f"`{left_key}`"), r, "_lk_rkey", small)
     return j.withColumn(flag, F.coalesce(F.col("_lk_found"), F.lit(False))).drop("_lk_found", "_lk_rkey")
 
 
@@ -112,7 +132,7 @@ def three_way_reference(base: DataFrame, refs) -> DataFrame:
     for table, base_key, table_key in refs:
         small = fits_broadcast(table)
         d = unique_by_key(table, table_key).withColumnRenamed(table_key, "_ref_key")
-        out = out.join(F.broadcast(d) if small else d, out[base_key] == F.col("_ref_key"), "left").drop("_ref_key")
+        out = left_join_sized(out, F.col(f"`{base_key}`"), d, "_ref_key", small).drop("_ref_key")
     return out
 
 

@@ -136,3 +136,23 @@ def test_occupation_vocabularies(spark):
     new = spark.createDataFrame([("00700", "Pedreiro de obras", 1), (" ", "x", 2)], "CODIGO string, DESCRICAO string, ordem int")
     got = sorted(rows(RF.occupations(new, old)))
     assert got == [("007", "Pedreiro"), ("00700", "Pedreiro de obras"), ("012", "Pintor"), ("01200", "Pintor")]
+
+
+def test_salted_join_equals_broadcast_join(spark):
+    """The path for dimensions beyond the broadcast bound gives the same rows."""
+    fact = spark.range(0, 3000).select((F.col("id") % 7).cast("string").alias("k"), F.col("id"))
+    fact = fact.union(spark.range(0, 3000).select(F.lit("hot").alias("k"), F.col("id")))  # a hot key
+    dim = spark.createDataFrame([(str(i), f"L{i}") for i in range(5)] + [("hot", "H")], "codigo string, descricao string")
+    a = L.lookup_label(fact, F.col("k"), dim, "codigo", "descricao", "lbl")
+    b = L.lookup_label(fact, F.col("k"), dim, "codigo", "descricao", "lbl", max_rows=0)
+    assert sorted(rows(a)) == sorted(rows(b)) and b.count() == 6000
+    assert "_dsalt" in b._jdf.queryExecution().analyzed().toString()  # the salted path was taken
+
+
+def test_merge_replace_salted_path(spark, monkeypatch):
+    from tabula.operators import merge as MM
+
+    monkeypatch.setattr(MM, "fits_broadcast", lambda df, *a: False)
+    pub = _pub(spark)
+    new = spark.createDataFrame([(10, "B.dbc")], "id int, ARQUIVO_ORIGEM string")
+    assert sorted(rows(MM.merge_replace(pub, new, "ARQUIVO_ORIGEM"), "id")) == [(1,), (3,), (4,), (10,)]
