@@ -35,6 +35,21 @@ def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return ok
 
 
+def check_sizes(*dims: DataFrame | None, max_rows: int = BROADCAST_MAX_ROWS) -> None:
+    """Run the size checks of several dimensions as concurrent Spark jobs
+    (each a bounded count of one small table); results are memoized on the
+    DataFrames for the lookups that follow."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    todo = [d for d in dims if d is not None and getattr(d, "_tabula_rows_le", (None,))[0] != max_rows]
+    if len(todo) <= 1:
+        for d in todo:
+            fits_broadcast(d, max_rows)
+        return
+    with ThreadPoolExecutor(max_workers=min(8, len(todo))) as pool:
+        list(pool.map(lambda d: fits_broadcast(d, max_rows), todo))
+
+
 def sized(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``dim`` with a broadcast hint when its checked size allows it."""
     return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim

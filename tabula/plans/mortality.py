@@ -41,6 +41,7 @@ def _q(c):
 def curate_death_records(raw: DataFrame, era: str = "modern", refs: References | None = None) -> DataFrame:
     """The curated oncology death table of one batch (before the merge)."""
     refs = refs or References()
+    L.check_sizes(refs.causes, refs.occupations, refs.states, refs.countries, refs.synonyms)
     old = era == "old"
     df = C.normalize_null_tokens(raw)
     cause = P.first_present(df, OLD_CAUSE_CANDIDATES if old else ["CAUSABAS"])

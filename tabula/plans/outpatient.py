@@ -100,7 +100,7 @@ DRUGS = Spec([Label("AP_CIDPRI", "CID_PRINCIPAL_DESCRICAO", "causes", first=True
 
 def _curate(raw: DataFrame, spec: Spec, causes: DataFrame | None) -> DataFrame:
     """Landing null tokens (C1), then the spec; personal data never leaves."""
-    out = apply_spec(C.normalize_null_tokens(raw), spec, {"causes": causes})
+    out = apply_spec(raw, spec, {"causes": causes}, landing=True)
     leaked = {c.upper() for c in out.columns} & set(AUTH_PERSONAL)
     if leaked:
         raise AssertionError(f"personal data in output: {sorted(leaked)}")

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import null_tokens
 from ..functions.domains import decode_keep_unknown
 from ..operators import lookups as L
 from ..operators.policy import present
@@ -72,8 +73,12 @@ def dot_free(c: Column) -> Column:
     return F.replace(F.trim(c), F.lit("."), F.lit(""))
 
 
-def apply_spec(df: DataFrame, spec: Spec, refs: dict | None = None) -> DataFrame:
+def apply_spec(df: DataFrame, spec: Spec, refs: dict | None = None, landing: bool = False) -> DataFrame:
+    """``landing``: the source is a raw landing, so every source column read
+    first maps the missing-value tokens to null (C1), inside the same
+    expressions (no extra projection over all columns)."""
     refs = refs or {}
+    L.check_sizes(*refs.values())
     cols: list[Column] = []
     names: list[str] = []
     labels = []
@@ -82,7 +87,7 @@ def apply_spec(df: DataFrame, spec: Spec, refs: dict | None = None) -> DataFrame
         p = present(df, s.src)
         if p is None:
             continue
-        c = _q(p)
+        c = null_tokens(_q(p)) if landing else _q(p)
         if isinstance(s, Rename):
             cols.append(F.trim(c).alias(s.dst)); names.append(s.dst)
         elif isinstance(s, Keep):

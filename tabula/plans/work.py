@@ -85,4 +85,4 @@ WORK = Spec(
 
 def curate_work_cancer(raw: DataFrame, causes: DataFrame | None, occupations: DataFrame | None) -> DataFrame:
     """Landing null tokens (C1), then the spec."""
-    return apply_spec(C.normalize_null_tokens(raw), WORK, {"causes": causes, "occupations": occupations})
+    return apply_spec(raw, WORK, {"causes": causes, "occupations": occupations}, landing=True)
