@@ -36,6 +36,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         # Wide curated tables (50-70 columns of decode expressions) produce
         # generated methods above HotSpot's 8 KB JIT limit; let the JIT
         # compile them instead of interpreting them.
+        # many distinct wide stages per run: keep their compiled classes
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
         .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
         .getOrCreate()
