@@ -25,10 +25,26 @@ def _c(c) -> Column:
 
 # --- C1 / C2: landing normalisation -----------------------------------------
 
+_LITERALS: dict = {}
+
+
+def _token_literals(tokens) -> tuple:
+    """Literal columns of the tokens and a typed null, built once per
+    SparkContext (each literal is a JVM call; flows use them per column)."""
+    from pyspark import SparkContext
+
+    key = (id(SparkContext._active_spark_context), tuple(tokens))
+    if key not in _LITERALS:
+        _LITERALS.clear()
+        _LITERALS[key] = ([F.lit(t) for t in tokens], F.lit(None).cast("string"))
+    return _LITERALS[key]
+
+
 def null_tokens(c, tokens=NULL_TOKENS) -> Column:
     """The landing tokens for "missing" become null; anything else kept."""
     c = _c(c)
-    return F.when(c.isin(list(tokens)), F.lit(None).cast("string")).otherwise(c)
+    lits, null = _token_literals(tokens)
+    return F.when(c.isin(*lits), null).otherwise(c)
 
 
 def normalize_null_tokens(df: DataFrame, tokens=NULL_TOKENS) -> DataFrame:

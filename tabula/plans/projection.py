@@ -112,7 +112,10 @@ def apply_spec(df: DataFrame, spec: Spec, refs: dict | None = None, landing: boo
                     names.append(s.dst)
     out = df.select(*cols)
     for tmp, s in labels:
-        out = L.lookup_label(out, F.col(tmp), refs[s.ref], "CODIGO", "DESCRICAO", s.dst).drop(tmp)
+        ref = refs[s.ref]
+        d = L.unique_by_key(ref.select("CODIGO", "DESCRICAO"), "CODIGO").select(
+            F.col("CODIGO").alias(f"{tmp}_k"), F.col("DESCRICAO").alias(s.dst))
+        out = L.left_join_sized(out, F.col(tmp), d, f"{tmp}_k", L.fits_broadcast(ref))
     names = firsts + names
     if spec.order:
         first = [n for n in spec.order if n in names]
