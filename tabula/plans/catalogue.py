@@ -68,3 +68,10 @@ def catalogue_audit(cat: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("TOTAL_ARQUIVOS"),
         F.sum(F.coalesce("NUM_REGISTROS", F.lit(0))).alias("TOTAL_REGISTROS"),
     )
+
+
+def write_catalogue(cat: DataFrame, path: str) -> None:
+    """K2 output: the catalogue as one CSV with header (one row per published
+    file, so a single output file is small by construction)."""
+    (cat.select(*CATALOGUE_COLUMNS).coalesce(1).write.mode("overwrite")
+     .option("header", True).option("encoding", "UTF-8").csv(path))

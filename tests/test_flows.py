@@ -83,3 +83,20 @@ def test_published_column_counts(spark):
     for name, n in expected.items():
         edition = name.rsplit("_", 1)[1]
         assert len(SV.curate_survey(t(f"pns{edition}"), SV.SURVEYS[name]).columns) == n, name
+
+
+def test_catalogue_rows_and_csv(spark, tmp_path):
+    from tabula.fixtures import BASE_TABLES
+    from tabula.plans import catalogue as K
+
+    t = Tables(spark, SMALL)
+    cat = K.catalogue(spark, {n: t.path(n) for n in BASE_TABLES}, {"orders.parquet": "Pedidos"})
+    got = {r["ARQUIVO"]: r for r in cat.collect()}
+    assert got["orders.parquet"]["NUM_REGISTROS"] == t("orders").count()
+    assert got["orders.parquet"]["FONTE_RELACIONADA"] == "Pedidos"
+    assert got["region.parquet"]["FONTE_RELACIONADA"] == K.UNMAPPED
+    assert all(len(r["ULTIMA_ATUALIZACAO"]) == 19 for r in got.values())
+    K.write_catalogue(cat, str(tmp_path / "cat"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "cat")).count() == len(BASE_TABLES)
+    audit = K.catalogue_audit(cat).first()
+    assert audit["TOTAL_ARQUIVOS"] == len(BASE_TABLES) and audit["PASTAS_NAO_MAPEADAS"] == 1
