@@ -175,7 +175,9 @@ class DbfDataSource(DataSource):
         fs, _ = _fs(path)
         files = list_files(path)
         names: list[str] = []
-        for p in files[:1] if self.options.get("mergeSchema", "false") != "true" else files:
+        # layouts drift between deliveries: the schema is the union of all
+        # headers by name (case-insensitive), in order of first appearance
+        for p in files if self.options.get("mergeSchema", "true") == "true" else files[:1]:
             for name, _, _ in read_header(fs, p).fields:
                 if name.upper() not in {x.upper() for x in names}:
                     names.append(name)

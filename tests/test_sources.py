@@ -52,3 +52,15 @@ def test_wide_matrix(spark, tmp_path):
     out = X.wide_matrix(spark, str(p))
     assert out.columns == ["Linha", "2019", "Total"] and rows(out) == [("a", "1.234", "9")]
     assert os.path.exists(p)
+
+
+def test_dbf_drifting_layouts_union_by_name(spark, tmp_path):
+    a = dbf.dbf_bytes({"ID": ["1"], "CAUSABAS": ["C50"]}, [("ID", "N", 4), ("CAUSABAS", "C", 4)])
+    b = dbf.dbf_bytes({"ID": ["2"], "IDADE": ["460"], "CAUSABAS": ["C61"]},
+                      [("ID", "N", 4), ("IDADE", "C", 3), ("CAUSABAS", "C", 4)])
+    (tmp_path / "a.dbf").write_bytes(a)
+    (tmp_path / "b.dbf").write_bytes(b)
+    dbf.register(spark)
+    df = spark.read.format("dbf").option("lineage", "ARQUIVO_ORIGEM").load(str(tmp_path))
+    assert df.columns == ["ID", "CAUSABAS", "IDADE", "ARQUIVO_ORIGEM"]
+    assert sorted(rows(df)) == [("1", "C50", None, "a.dbf"), ("2", "C61", "460", "b.dbf")]
