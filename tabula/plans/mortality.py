@@ -43,32 +43,37 @@ def curate_death_records(raw: DataFrame, era: str = "modern", refs: References |
     refs = refs or References()
     L.check_sizes(refs.causes, refs.occupations, refs.states, refs.countries, refs.synonyms)
     old = era == "old"
-    df = C.normalize_null_tokens(raw)
+    df = raw
+    strings = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string"}
+
+    def land(c):  # C1 on read: landing tokens -> null, inside each expression
+        return C.null_tokens(_q(c)) if c in strings else _q(c)
+
     cause = P.first_present(df, OLD_CAUSE_CANDIDATES if old else ["CAUSABAS"])
     if cause is None:
         return df.limit(0)
-    df = fl.keep(df, fl.icd9_malignant(_q(cause)) if old else fl.icd10_onco(_q(cause)))
+    df = fl.keep(df, fl.icd9_malignant(land(cause)) if old else fl.icd10_onco(land(cause)))
 
     domains = MORTALITY_OLD if old else MORTALITY_MODERN
-    exprs = {c: decode_else_default(_q(c), domains[c.upper()]) for c in df.columns if c.upper() in domains}
+    exprs = {c: decode_else_default(land(c), domains[c.upper()]) for c in df.columns if c.upper() in domains}
     names = list(df.columns)
     age = P.present(df, "IDADE")
     if age:
-        exprs["IDADE_ANOS"] = C.age_unit_value(_q(age))
+        exprs["IDADE_ANOS"] = C.age_unit_value(land(age))
         names.append("IDADE_ANOS")
     date = P.present(df, "DATAOBITO" if old else "DTOBITO")
     if date:
-        exprs["ANO_OBITO"] = C.year_yymmdd(_q(date)) if old else C.year_ddmmyyyy(_q(date))
+        exprs["ANO_OBITO"] = C.year_yymmdd(land(date)) if old else C.year_ddmmyyyy(land(date))
         names.append("ANO_OBITO")
     muni = P.present(df, "MUNIRES" if old else "CODMUNRES")
     if muni:
-        exprs["CO_IBGE_RESIDENCIA"] = C.municipality_code6(_q(muni))
+        exprs["CO_IBGE_RESIDENCIA"] = C.municipality_code6(land(muni))
         names.append("CO_IBGE_RESIDENCIA")
         if refs.synonyms is not None:
             names.append("COD_MUNICIPIO_ATUAL")
     drop = P.MORTALITY_DROP + (P.MORTALITY_DROP_OLD_ERA if old else [])
     order = P.order_columns(names, drop, P.MORTALITY_GROUPS, P.MORTALITY_TAIL, P.MORTALITY_LINEAGE)
-    base = df.select(*[exprs.get(c, _q(c) if c in df.columns else F.lit(None).cast("string")).alias(c)
+    base = df.select(*[exprs.get(c, land(c) if c in df.columns else F.lit(None).cast("string")).alias(c)
                        for c in order if c != "COD_MUNICIPIO_ATUAL"])
     if "COD_MUNICIPIO_ATUAL" in order:
         base = L.synonym_resolve(base, "CO_IBGE_RESIDENCIA", refs.synonyms, "COD_MUNICIPIO_ANTIGO",
