@@ -8,7 +8,6 @@ a fresh folder of its own under ``/tmp``.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -97,8 +96,3 @@ def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for one staged table."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_scratch(prefix: str = "tabula-") -> str:
-    """Fresh local folder, only for tests writing their own input files."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("TMPDIR", "/tmp"))
