@@ -100,3 +100,18 @@ def test_catalogue_rows_and_csv(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "cat")).count() == len(BASE_TABLES)
     audit = K.catalogue_audit(cat).first()
     assert audit["TOTAL_ARQUIVOS"] == len(BASE_TABLES) and audit["PASTAS_NAO_MAPEADAS"] == 1
+
+
+def test_screening_plan_semantics(spark):
+    from tabula.plans import screening as SC
+
+    t = Tables(spark, SMALL)
+    plan = {(r.VISAO, r.ANO) for r in SC.plan_years(t("siscan_views"), t("siscan_manifest"), 2026).collect()}
+    assert not any(v in ("V0", "V3") for v, _ in plan)                  # same date: skipped
+    assert {a for v, a in plan if v == "V1"} == {str(y) for y in range(2013, 2027)}  # unknown date, first load
+    assert {a for v, a in plan if v == "V2"} == {"2025", "2026"}         # changed: recent years only
+    out = SC.curate_screening(t("siscan_mat"), t("siscan_pub"), t("siscan_views"), t("siscan_manifest"), 2026)
+    old = out.filter(F.col("EXAME") == "antigo")
+    assert old.filter(F.col("VISAO").isin("V1", "V4")).count() == 0
+    assert old.filter((F.col("VISAO") == "V2") & F.col("ANO").isin("2025", "2026")).count() == 0
+    assert old.filter(F.col("VISAO") == "V0").count() == t("siscan_pub").filter(F.col("VISAO") == "V0").count()
