@@ -96,3 +96,31 @@ def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for one staged table."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tabula`` importable in the Python workers (the DBF source and
+    writer run there).  The package is zipped once per SparkContext into the
+    session's shared folder and added with ``addPyFile``.  On a cluster whose
+    shared folder is not a plain path, install the package on the executors
+    instead (``--py-files`` or a wheel)."""
+    import os
+    import zipfile
+
+    sc = _context(spark)
+    if sc is None or getattr(sc, "_tabula_shipped", False):
+        return
+    base = shared_dir(spark)
+    if "://" in base and not base.startswith("file://"):
+        return
+    base = base.replace("file://", "")
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(base, f"tabula-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    sc._tabula_shipped = True

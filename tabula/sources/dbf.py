@@ -190,6 +190,9 @@ class DbfDataSource(DataSource):
 
 
 def register(spark) -> None:
+    from ..session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(DbfDataSource)
 
 
