@@ -156,3 +156,23 @@ def test_merge_replace_salted_path(spark, monkeypatch):
     pub = _pub(spark)
     new = spark.createDataFrame([(10, "B.dbc")], "id int, ARQUIVO_ORIGEM string")
     assert sorted(rows(MM.merge_replace(pub, new, "ARQUIVO_ORIGEM"), "id")) == [(1,), (3,), (4,), (10,)]
+
+
+def test_filename_attributes_and_control_files(spark):
+    from tabula.operators.filters import not_control_file
+
+    df = spark.createDataFrame([("AQSP0801.dbc",), ("arrj0712.DBC",), ("HBSP2401.dbc",), ("_manifest.json",)], "n string")
+    got = rows(df.select(*A.authorization_attributes("n")))
+    assert got[0] == ("AQ", "SP", 2008, 1, True)
+    assert got[1] == ("AR", "RJ", 2007, 12, False)      # before 2008: not valid
+    assert got[2] == (None, None, None, None, False)    # other prefix
+    assert [r[0] for r in df.filter(not_control_file("n")).collect()] == ["AQSP0801.dbc", "arrj0712.DBC", "HBSP2401.dbc"]
+
+
+def test_strip_date_prefix_and_latest_period(spark):
+    df = spark.createDataFrame([("20240131_AQSP2401.dbc",), ("AQSP9912.dbc",), ("AQRJ2401.dbc",)], "nome string")
+    assert [r[0] for r in df.select(A.strip_date_prefix("nome")).collect()] == \
+        ["AQSP2401.dbc", "AQSP9912.dbc", "AQRJ2401.dbc"]
+    clean = df.select(A.strip_date_prefix("nome").alias("nome"))
+    latest = sorted(r.nome for r in A.latest_period_slice(clean, A.period_of("nome")).collect())
+    assert latest == ["AQRJ2401.dbc", "AQSP2401.dbc"]  # 2024-01 beats 1999-12 (no text-max trap)
