@@ -176,3 +176,14 @@ def test_strip_date_prefix_and_latest_period(spark):
     clean = df.select(A.strip_date_prefix("nome").alias("nome"))
     latest = sorted(r.nome for r in A.latest_period_slice(clean, A.period_of("nome")).collect())
     assert latest == ["AQRJ2401.dbc", "AQSP2401.dbc"]  # 2024-01 beats 1999-12 (no text-max trap)
+
+
+def test_publish_replacing_replay_is_idempotent(spark, tmp_path):
+    path = str(tmp_path / "replay")
+    M.publish_partitioned(_pub(spark).filter("ARQUIVO_ORIGEM is not null"), path, "ARQUIVO_ORIGEM")
+    batch = spark.createDataFrame([(30, "A.dbc"), (31, "A.dbc")], "id int, ARQUIVO_ORIGEM string")
+    M.publish_replacing(batch, path, "ARQUIVO_ORIGEM", ["A.dbc", "C.dbc"])
+    once = sorted(rows(spark.read.parquet(path), "id", "ARQUIVO_ORIGEM"))
+    M.publish_replacing(batch, path, "ARQUIVO_ORIGEM", ["A.dbc", "C.dbc"])  # the same batch replayed
+    assert sorted(rows(spark.read.parquet(path), "id", "ARQUIVO_ORIGEM")) == once == \
+        [(2, "B.dbc"), (30, "A.dbc"), (31, "A.dbc")]
