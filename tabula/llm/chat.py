@@ -107,8 +107,10 @@ def digests(formatted: DataFrame) -> DataFrame:
 
 
 def with_probe(conversations: DataFrame) -> DataFrame:
-    probe = conversations.sparkSession.createDataFrame(
-        [(-1, 0, "user", PROBE), (-1, 1, LEARNED_ROLE, PROBE)], "conv_id long, turn long, role string, text string")
+    turn = F.col("id")
+    probe = conversations.sparkSession.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), turn.alias("turn"),
+        F.when(turn == 0, "user").otherwise(LEARNED_ROLE).alias("role"), F.lit(PROBE).alias("text"))
     return conversations.select("conv_id", "turn", "role", "text").unionByName(probe)
 
 
