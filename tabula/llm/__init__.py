@@ -4,7 +4,7 @@ Nothing else in the library imports this package."""
 
 from importlib import import_module
 
-_MODULES = ["quality", "chat", "shards"]
+_MODULES = ["quality", "chat", "shards", "tokencount", "packing"]
 
 QUERIES: dict = {}
 ORACLES: dict = {}
