@@ -4,7 +4,7 @@ Nothing else in the library imports this package."""
 
 from importlib import import_module
 
-_MODULES = ["quality", "chat", "shards", "tokencount", "packing", "neardup", "decontaminate"]
+_MODULES = ["quality", "chat", "shards", "tokencount", "packing", "neardup", "decontaminate", "pii"]
 
 QUERIES: dict = {}
 ORACLES: dict = {}
