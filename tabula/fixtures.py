@@ -39,7 +39,7 @@ VIEWS: dict[str, str] = {
   'DOBR' || cast(year(o_orderdate) as string) || '.dbc' as arquivo_origem
 from {orders}""",
     # dimensions
-    "ref_icd": "select 'C' || lpad(cast(p_partkey as string),3,'0') as codigo, p_name || ' ' || p_brand as descricao from {part} where p_partkey < 1000",
+    "ref_icd": "select 'C' || case when p_partkey < 1000 then lpad(cast(p_partkey as string),3,'0') else cast(p_partkey as string) end as codigo, p_name || ' ' || p_brand as descricao from {part}",
     "ref_uf": "select lpad(cast(n_nationkey as string),2,'0') as codigo, n_name as descricao from {nation}",
     "ref_pais": "select lpad(cast(n_nationkey as string),3,'0') as codigo, 'PAIS_' || n_name as descricao from {nation}",
     "ref_sin": "select cast(100000 + n_nationkey as string) as antigo, cast(100500 + n_nationkey as string) as atual from {nation}",
@@ -66,14 +66,14 @@ from {rec}""",
   cast(year(l_shipdate) as string) || lpad(cast(month(l_shipdate) as string),2,'0') as dtportar
 from {lineitem}""",
     "leitos": "select cast(l_suppkey as string) as cnes, case when l_suppkey % 5 = 0 or l_linenumber = 2 then 'x' else cast(cast(l_quantity as int) as string) end as qt_exist from {lineitem}",
-    "estab": """select cast(s_suppkey as string) as co_cnes, s_name as no_fantasia,
+    "estab": """select cast(case when s_suppkey % 10 = 3 then s_suppkey + 5000000 else s_suppkey end as string) as co_cnes, s_name as no_fantasia,
   case when s_suppkey % 4 = 0 then ' ' when s_suppkey % 7 = 0 then null else 'J' || cast(s_suppkey % 30 as string) end as cnpj,
   case when s_suppkey % 8 = 0 then null else 'M' || cast(s_suppkey % 6 as string) end as cnpj_mantenedora,
   case s_suppkey % 6 when 0 then '1' when 1 then ' sim ' when 2 then '0' when 3 then 'N' when 4 then '' else 'x' end as st_flag,
   cast(s_suppkey % 9 as string) as tp_unidade
-from {supplier} where s_suppkey % 10 <> 3""",
+from {supplier}""",
     # file listing, reference list field
-    "listing": "select (case when doc_id % 2 = 0 then 'AQ' else 'aq' end) || upper(lang) || lpad(cast(8 + doc_id % 17 as string),2,'0') || lpad(cast(1 + cast(floor(doc_id / 4) as bigint) % 3 as string),2,'0') || '.dbc' as nome, n_chars as tamanho, doc_id from {documents} where doc_id % 4 < 2",
+    "listing": "select (case when doc_id % 2 = 0 then 'AQ' else 'aq' end) || upper(lang) || lpad(cast(8 + doc_id % 17 as string),2,'0') || lpad(cast(1 + cast(floor(doc_id / 4) as bigint) % 3 as string),2,'0') || '.dbc' as nome, n_chars as tamanho, doc_id from {documents}",
     "cadmun": """select cast(100000 + n_nationkey as string) as muncod, case when n_nationkey % 6 = 0 then 'EXTINTO' else ' ativo ' end as situacao,
   cast(200000 + n_nationkey as string) || ', 300' || lpad(cast(n_nationkey as string),3,'0') || '-300' || lpad(cast(n_nationkey + 2 as string),3,'0') || ', 400000-409999, x' as munsinon from {nation}""",
     # wide text matrix for unpivot, with total row and column
@@ -244,7 +244,7 @@ VIEWS["raw_cid10"] = """select 'C' || lpad(cast(p_partkey % 1000 as string), 3,
 VIEWS["raw_cid9"] = """select cast(100 + p_size * 3 as string) as CAUSAS, cast(100 + p_size * 3 as string) || ' ' || p_type as DESCRICAO,
   p_partkey as ordem from {part}"""
 VIEWS["raw_cbo2002"] = """select case when p_partkey % 13 = 0 then ' ' else lpad(cast(p_size as string), 3, '0') || '00' end as CODIGO,
-  'CBO ' || p_brand as DESCRICAO, p_partkey as ordem from {part} where p_partkey % 3 = 0"""
+  'CBO ' || p_brand as DESCRICAO, p_partkey as ordem from {part}"""
 VIEWS["raw_tabocup"] = "select cast(p_size as string) as CODIGO, ' OCUP ' || p_type as DESCRICAO, p_partkey as ordem from {part}"
 VIEWS["raw_tabpais"] = """select cast(n_nationkey % 20 as string) as CODIGO, ' ' || n_name || ' ' as DESCRICAO, n_nationkey as ordem
 from {nation}"""

@@ -61,8 +61,8 @@ def integral_float_text(c) -> Column:
     (``5.0`` -> ``5``); other values print as they are; null stays null."""
     c = _c(c)
     return (F.when(c.isNull() | F.isnan(c), F.lit(None).cast("string"))
-            .when(c == F.floor(c), c.cast("bigint").cast("string"))
-            .otherwise(c.cast("string")))
+            .when(c == F.floor(c), F.coalesce(c.try_cast("decimal(38,0)").cast("string"), c.cast("string")))
+            .otherwise(F.regexp_replace(F.regexp_replace(F.coalesce(c.try_cast("decimal(38,15)").cast("string"), c.cast("string")), "0+$", ""), r"\.$", "")))
 
 
 # --- C3 .. C17: cleaning ----------------------------------------------------
@@ -180,7 +180,7 @@ def signed_days(c, sentinel: str = "99999") -> Column:
     t = F.trim(_c(c))
     digits = F.regexp_extract(t, r"^[+-]?(\d+)$", 1)
     return F.when((digits == "") | (digits == sentinel), F.lit(None).cast("int")).otherwise(
-        F.when(t.startswith("-"), -digits.cast("int")).otherwise(digits.cast("int")))
+        F.when(t.startswith("-"), -digits.try_cast("int")).otherwise(digits.try_cast("int")))
 
 
 # --- C23 / C24 ----------------------------------------------------------------

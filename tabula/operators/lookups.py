@@ -1,9 +1,8 @@
 """Lookup joins (J1-J10): left equi-joins of a large fact table to small
 dimensions.
 
-A dimension is broadcast only after its size has been checked (a bounded
-``limit(n + 1).count()`` on the dimension, never on the fact); beyond the
-bound the join is left to a shuffle join that AQE can re-plan at run time.
+Whether a dimension is broadcast is Spark's decision, from size statistics in
+bytes and, at run time, from adaptive execution; building a plan starts no job.
 Dimensions are made key-unique first, so a left lookup never multiplies fact
 rows (the J10 guard).
 """
@@ -15,65 +14,13 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import _c, code_label_concat
 
-# Rows above which a dimension is no longer broadcast (a 200k-row code table
-# of short strings stays far below the broadcast memory budget).
-BROADCAST_MAX_ROWS = 200_000
 
-
-def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows (reads at most max+1).
-    The answer is remembered on the DataFrame object, so a dimension reused
-    by several lookups of one flow is counted once."""
-    memo = getattr(dim, "_tabula_rows_le", None)
-    if memo is not None and memo[0] == max_rows:
-        return memo[1]
-    ok = dim.limit(max_rows + 1).count() <= max_rows
-    try:
-        dim._tabula_rows_le = (max_rows, ok)
-    except AttributeError:
-        pass
-    return ok
-
-
-def check_sizes(*dims: DataFrame | None, max_rows: int = BROADCAST_MAX_ROWS) -> None:
-    """Run the size checks of several dimensions as concurrent Spark jobs
-    (each a bounded count of one small table); results are memoized on the
-    DataFrames for the lookups that follow."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    todo = [d for d in dims if d is not None and getattr(d, "_tabula_rows_le", (None,))[0] != max_rows]
-    if len(todo) <= 1:
-        for d in todo:
-            fits_broadcast(d, max_rows)
-        return
-    with ThreadPoolExecutor(max_workers=min(8, len(todo))) as pool:
-        list(pool.map(lambda d: fits_broadcast(d, max_rows), todo))
-
-
-def sized(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``dim`` with a broadcast hint when its checked size allows it."""
-    return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-
-
-# Salt buckets for lookups whose dimension is too big to broadcast: a hot
-# code (a third of the fact rows) is spread over this many join tasks.
-SALT_BUCKETS = 16
-
-
-def left_join_sized(fact: DataFrame, fact_key: Column, dim: DataFrame, dim_key: str, small: bool,
-                    salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Left equi-join of ``fact`` to a key-unique ``dim``.
-
-    ``small`` (checked by the caller): broadcast the dimension, no shuffle of
-    the fact.  Otherwise a salted shuffle join: each fact row gets a bucket
-    from its row id (deterministic on task retry) and every dimension row is
-    replicated once per bucket, so no single key lands whole in one task."""
-    if small:
-        return fact.join(F.broadcast(dim), fact_key == F.col(dim_key), "left")
-    f = fact.withColumn("_fsalt", F.pmod(F.monotonically_increasing_id(), F.lit(salt_buckets)))
-    d = dim.withColumn("_dsalt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    j = f.join(d, (fact_key == F.col(dim_key)) & (F.col("_fsalt") == F.col("_dsalt")), "left")
-    return j.drop("_fsalt", "_dsalt")
+def left_join(fact: DataFrame, fact_key: Column, dim: DataFrame, dim_key: str) -> DataFrame:
+    """Left equi-join of ``fact`` to a key-unique ``dim``.  The plan carries no
+    hint: Spark broadcasts a side whose size statistics stay under
+    ``spark.sql.autoBroadcastJoinThreshold`` (bytes, not rows), and adaptive
+    execution splits a key that holds much of the fact otherwise."""
+    return fact.join(dim, fact_key == F.col(dim_key), "left")
 
 
 def unique_by_key(dim: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
@@ -88,13 +35,12 @@ def unique_by_key(dim: DataFrame, key: str, order: list[str] | None = None) -> D
 
 
 def lookup_label(fact: DataFrame, key: Column, dim: DataFrame, dim_key: str, label: str,
-                 out: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                 out: str) -> DataFrame:
     """Add ``out`` = dim[label] where ``key`` = dim[dim_key] (left)."""
-    small = fits_broadcast(dim, max_rows)  # deduping below can only shrink it
     d = unique_by_key(dim.select(dim_key, label), dim_key).select(
         F.col(dim_key).alias("_lk_key"), F.col(label).alias(out))
     f = fact.withColumn("_lk_fact_key", key)
-    return left_join_sized(f, F.col("_lk_fact_key"), d, "_lk_key", small).drop("_lk_fact_key", "_lk_key")
+    return left_join(f, F.col("_lk_fact_key"), d, "_lk_key").drop("_lk_fact_key", "_lk_key")
 
 
 def lookup_concat(fact: DataFrame, col: str, dim: DataFrame, dim_key: str, label: str,
@@ -129,13 +75,16 @@ def synonym_resolve(fact: DataFrame, col: str, synonyms: DataFrame, old: str, ne
 
 
 def enrich_found_flag(left: DataFrame, left_key: str, right: DataFrame, right_key: str,
-                      flag: str, order: list[str] | None = None) -> DataFrame:
+                      flag: str, order: list[str] | None = None,
+                      columns: list[str] | None = None) -> DataFrame:
     """Right side deduped by key (smallest by ``order`` wins), left join,
-    boolean "found" flag; left rows are never dropped or multiplied."""
-    small = fits_broadcast(right)
+    boolean "found" flag; left rows are never dropped or multiplied.
+    ``columns`` are the right side's columns to bring over (default: all)."""
+    if columns is not None:
+        right = right.select(*[F.col(f"`{c}`") for c in dict.fromkeys([right_key, *columns])])
     r = unique_by_key(right, right_key, order).withColumn("_lk_found", F.lit(True))
     r = r.withColumnRenamed(right_key, "_lk_rkey")
-    j = left_join_sized(left, F.col(f"`{left_key}`"), r, "_lk_rkey", small)
+    j = left_join(left, F.col(f"`{left_key}`"), r, "_lk_rkey")
     return j.withColumn(flag, F.coalesce(F.col("_lk_found"), F.lit(False))).drop("_lk_found", "_lk_rkey")
 
 
@@ -145,9 +94,8 @@ def three_way_reference(base: DataFrame, refs) -> DataFrame:
     is made key-unique first, so the base row count never changes."""
     out = base
     for table, base_key, table_key in refs:
-        small = fits_broadcast(table)
         d = unique_by_key(table, table_key).withColumnRenamed(table_key, "_ref_key")
-        out = left_join_sized(out, F.col(f"`{base_key}`"), d, "_ref_key", small).drop("_ref_key")
+        out = left_join(out, F.col(f"`{base_key}`"), d, "_ref_key").drop("_ref_key")
     return out
 
 

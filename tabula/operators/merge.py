@@ -1,8 +1,8 @@
 """Incremental merge and publish.
 
 A re-delivered source file replaces exactly its own rows.  The key set of a
-batch (file names or years) is tiny next to the table, so the anti-join
-broadcasts it behind a size check and the table itself never shuffles.
+batch (file names or years) is tiny next to the table, so Spark broadcasts it
+in the anti-join and the table itself does not shuffle.
 
 ``publish_partitioned`` is the scale path: the table is partitioned by the
 lineage key, and only the partitions of the batch are rewritten (dynamic
@@ -11,11 +11,12 @@ partition overwrite) instead of the whole table on every delivery.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .lookups import SALT_BUCKETS, fits_broadcast, sized
 
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:
@@ -36,21 +37,8 @@ def merge_replace(existing: DataFrame, batch: DataFrame, key,
     keys = [key] if isinstance(key, str) else list(key)
     src = read_keys if read_keys is not None else batch
     ks = src.select(*[F.col(k).alias(f"_mk{i}") for i, k in enumerate(keys)]).distinct()
-    if fits_broadcast(ks):
-        cond = None
-        for i, k in enumerate(keys):
-            c = existing[k] == F.col(f"_mk{i}")
-            cond = c if cond is None else cond & c
-        kept = existing.join(F.broadcast(ks), cond, "left_anti")
-    else:
-        # more keys than can be broadcast: salted anti-join, so one file holding
-        # a third of the table is spread over SALT_BUCKETS tasks
-        e = existing.withColumn("_esalt", F.pmod(F.monotonically_increasing_id(), F.lit(SALT_BUCKETS)))
-        k2 = ks.withColumn("_ksalt", F.explode(F.sequence(F.lit(0), F.lit(SALT_BUCKETS - 1))))
-        cond = F.col("_esalt") == F.col("_ksalt")
-        for i, k in enumerate(keys):
-            cond = cond & (e[k] == F.col(f"_mk{i}"))
-        kept = e.join(k2, cond, "left_anti").drop("_esalt")
+    same = reduce(lambda a, b: a & b, [existing[k] == F.col(f"_mk{i}") for i, k in enumerate(keys)])
+    kept = existing.join(ks, same, "left_anti")
     return union_by_name([kept, batch])
 
 

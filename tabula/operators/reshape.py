@@ -41,28 +41,49 @@ def unpivot_matrix(matrix: DataFrame, tags: dict | None = None, ids=()) -> DataF
 
 # Fixed value: a synonym range wider than this is an administrative range, not a list.
 MAX_RANGE = 200
+_RANGE = r"^(\d{1,18})\s*-\s*(\d{1,18})$"
+
+
+def _parts(df: DataFrame, col: str) -> DataFrame:
+    """One row per comma-separated part, its position, and the bounds of a range."""
+    cut = df.select("*", F.posexplode(F.split(F.coalesce(F.col(col), F.lit("")), ",")).alias("_pos", "_raw"))
+    part = F.trim("_raw")
+    return cut.select("*", part.alias("_part"), F.regexp_extract(part, _RANGE, 1).alias("_a"),
+                      F.regexp_extract(part, _RANGE, 2).alias("_b")).drop("_raw")
+
+
+def _range_state(max_range: int):
+    """None for a part that is no range, else ``ok`` or why it is left out."""
+    lo, hi = F.col("_a").try_cast("bigint"), F.col("_b").try_cast("bigint")
+    return (F.when(F.col("_a") == "", F.lit(None).cast("string"))
+            .when(F.length("_a") != F.length("_b"), "widths differ").when(hi < lo, "descending")
+            .when(hi - lo + 1 > max_range, "too wide").otherwise("ok"))
 
 
 def range_list_explode(df: DataFrame, col: str, out: str = "codigo", width: int = 6,
                        max_range: int = MAX_RANGE) -> DataFrame:
     """R2: comma-separated codes and ``a-b`` ranges (equal width, at most
-    ``max_range`` codes) -> one row per code, zero-padded and cut to ``width``.
-    Junk parts are ignored.  Keeps the other columns and the part position."""
-    parts = df.select("*", F.posexplode(F.split(F.coalesce(F.col(col), F.lit("")), ",")).alias("_pos", "_part"))
-    p = F.trim(F.col("_part"))
-    rng = r"^(\d{1,18})\s*-\s*(\d{1,18})$"
-    a, b = F.regexp_extract(p, rng, 1), F.regexp_extract(p, rng, 2)
-    is_range = (a != "") & (F.length(a) == F.length(b))
-    lo, hi = a.cast("bigint"), b.cast("bigint")
-    ok_range = is_range & (hi >= lo) & (hi - lo + 1 <= max_range)
-    seq = (F.when(ok_range, F.sequence(lo, hi))
-           .when(p.rlike(r"^\d+$"), F.array(F.lit(-1).cast("bigint")))
+    ``max_range`` codes) -> one row per code, cut to ``width``.  A single code
+    is zero-padded to ``width``, a range's codes keep the width of its bounds.
+    Junk parts are ignored; ``rejected_ranges`` lists the ranges left out.
+    Keeps the other columns and the part position."""
+    parts = _parts(df, col)
+    whole = F.sequence(F.col("_a").try_cast("bigint"), F.col("_b").try_cast("bigint"))
+    seq = (F.when(_range_state(max_range) == "ok", whole)
+           .when(F.col("_part").rlike(r"^\d+$"), F.array(F.lit(-1).cast("bigint")))
            .otherwise(F.array().cast("array<bigint>")))
     exploded = parts.select("*", F.posexplode(seq).alias("_sub", "_n"))
-    text = F.when(F.col("_n") >= 0, F.lpad(F.col("_n").cast("string"), F.length(a), "0")).otherwise(p)
-    padded = F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
-    return (exploded.withColumn(out, F.substring(padded, 1, width))
-            .drop("_part", "_n").withColumnRenamed("_sub", "_subpos"))
+    single = F.when(F.length("_part") < width, F.lpad("_part", width, "0")).otherwise(F.col("_part"))
+    text = F.when(F.col("_n") >= 0, F.lpad(F.col("_n").cast("string"), F.length("_a"), "0")).otherwise(single)
+    return (exploded.withColumn(out, F.substring(text, 1, width))
+            .drop("_part", "_n", "_a", "_b").withColumnRenamed("_sub", "_subpos"))
+
+
+def rejected_ranges(df: DataFrame, col: str, max_range: int = MAX_RANGE) -> DataFrame:
+    """R2's reject table: the ranges that ``range_list_explode`` leaves out,
+    with the other columns, the part and the reason."""
+    return (_parts(df, col).withColumn("motivo", _range_state(max_range)).filter(F.col("motivo") != "ok")
+            .withColumnRenamed("_part", "parte").drop("_a", "_b", "_pos"))
 
 
 def synonym_map(cadmun: DataFrame, code: str, status: str, synonyms: str, order: str,

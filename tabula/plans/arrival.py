@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import _c
-from ..operators.lookups import sized
 
 
 def dedupe_case_insensitive(listing: DataFrame, name: str = "nome", tie: str | None = None,
@@ -30,7 +29,7 @@ def dedupe_case_insensitive(listing: DataFrame, name: str = "nome", tie: str | N
 
 def two_digit_year(yy: Column, pivot: int) -> Column:
     """``yy >= pivot`` -> 19yy, else 20yy."""
-    n = yy.cast("int")
+    n = yy.try_cast("int")  # not a number: no year
     return F.when(n >= pivot, n + 1900).otherwise(n + 2000)
 
 
@@ -91,7 +90,7 @@ def recency_window_plan(listing: DataFrame, manifest: DataFrame, name: str = "no
     recent = recent_periods(lst, "_rk", n).withColumn("_recent", F.lit(True))
     known = manifest.select(F.col(key).alias("_known")).distinct().withColumn("_in", F.lit(True))
     j = (lst.join(F.broadcast(recent), "_rk", "left")
-         .join(sized(known), F.upper(name) == F.col("_known"), "left"))
+         .join(known, F.upper(name) == F.col("_known"), "left"))
     return j.filter(F.coalesce(F.col("_recent"), F.lit(False)) | F.col("_in").isNull()).drop(
         "_rk", "_recent", "_known", "_in")
 
@@ -102,7 +101,7 @@ def changed_by_signature(listing: DataFrame, manifest: DataFrame, name: str, sig
     holds the same signature; a missing or unknown signature counts as
     changed.  Adds ``ALTERADO``."""
     m = manifest.select(F.col(key).alias("_mk"), F.col(stored).alias("_sig"))
-    j = listing.join(sized(m), F.upper(F.col(name)) == F.col("_mk"), "left")
+    j = listing.join(m, F.upper(F.col(name)) == F.col("_mk"), "left")
     same = F.col(signature).isNotNull() & F.col(signature).eqNullSafe(F.col("_sig"))
     return j.withColumn("ALTERADO", ~same).drop("_mk", "_sig")
 
@@ -112,7 +111,7 @@ def recent_years_plan(views: DataFrame, manifest: DataFrame, view: str, key: str
     """P10: a view never published gets its whole series (first_year..current),
     a known view only the current and previous year."""
     known = manifest.select(F.col(key).alias("_k")).distinct().withColumn("_known", F.lit(True))
-    j = views.join(sized(known), F.col(view) == F.col("_k"), "left")
+    j = views.join(known, F.col(view) == F.col("_k"), "left")
     start = F.when(F.col("_known").isNull(), F.lit(first_year)).otherwise(F.lit(current_year - 1))
     return j.select("*", F.explode(F.sequence(start, F.lit(current_year))).alias("ANO")).drop("_k", "_known")
 

@@ -17,7 +17,7 @@ from ..functions.domains import ONCO_QUALIFICATIONS, UNIT_TYPE, decode_padded, f
 from ..operators import filters as fl
 from ..operators import lookups as L
 from ..operators import rollups as R
-from ..operators.policy import first_present, preferred_order, rename_map
+from ..operators.policy import first_present, preferred_order, rename_map, whitelist
 
 # Candidate source columns of the qualification / beds files.
 QUALIFICATION_CANDIDATES = ["SGRUPHAB", "CO_HABILITACAO", "CO_HAB", "HABILITACAO", "TP_HABILITACAO"]
@@ -109,13 +109,15 @@ def curate_facilities(hab: DataFrame, registry: DataFrame | None, beds: DataFram
     inst = rollup_qualifications(hab)
     if registry is not None:
         reg = registry.withColumn("CO_CNES", facility_code(F.col("CO_CNES")))
+        # only the published registry columns are read; none of the others may reach the output
+        reg = whitelist(reg, ["CO_CNES", *(c for c in REGISTRY_NAMES if c != "CNES")])
         order = [c for c in reg.columns if c != "CO_CNES"]
         df = L.enrich_found_flag(inst, "CNES", reg, "CO_CNES", "ENCONTRADO_NO_CNES", order)
     else:
         df = inst.withColumn("ENCONTRADO_NO_CNES", F.lit(False))
     b = beds_by_facility(beds) if beds is not None else None
     if b is not None:
-        df = df.join(L.sized(b), "CNES", "left")
+        df = df.join(b, "CNES", "left")
     df = rename_map(df, {k: v for k, v in REGISTRY_NAMES.items()})
     df = df.select(*[_q(c).alias(c.upper()) for c in df.columns])
     if "COD_TIPO_UNIDADE" in df.columns:

@@ -11,6 +11,9 @@ joins are against code tables.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,7 @@ from ..operators import lookups as L
 from ..operators import merge as M
 from ..operators import policy as P
 from ..operators import rollups as R
+from .projection import Derived, Keep, Spec, apply_spec
 
 # Where the cause of death may be stored in old-era layouts.
 OLD_CAUSE_CANDIDATES = ["CAUSABAS", "CAUSAMORT", "CAUSAM", "CAUSABAS_O"]
@@ -38,49 +42,55 @@ def _q(c):
     return F.col(f"`{c}`")
 
 
-def curate_death_records(raw: DataFrame, era: str = "modern", refs: References | None = None) -> DataFrame:
-    """The curated oncology death table of one batch (before the merge)."""
-    refs = refs or References()
-    L.check_sizes(refs.causes, refs.occupations, refs.states, refs.countries, refs.synonyms)
-    old = era == "old"
-    df = raw
-    strings = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string"}
+@dataclass(frozen=True)
+class Era:
+    """What differs between the layouts of the eras."""
+
+    causes: tuple[str, ...]
+    keep: object  # Column -> Column: the era's oncology filter
+    domains: dict
+    derived: tuple[Derived, ...]
+    drop: tuple[str, ...]
+
 
-    def land(c):  # C1 on read: landing tokens -> null, inside each expression
-        return C.null_tokens(_q(c)) if c in strings else _q(c)
+# IDADE, the date and the municipality give the published age, year and code.
+ERAS = {
+    "modern": Era(("CAUSABAS",), fl.icd10_onco, MORTALITY_MODERN,
+                  (Derived("IDADE", "IDADE_ANOS", C.age_unit_value), Derived("DTOBITO", "ANO_OBITO", C.year_ddmmyyyy),
+                   Derived("CODMUNRES", "CO_IBGE_RESIDENCIA", C.municipality_code6)), tuple(P.MORTALITY_DROP)),
+    "old": Era(tuple(OLD_CAUSE_CANDIDATES), fl.icd9_malignant, MORTALITY_OLD,
+               (Derived("IDADE", "IDADE_ANOS", C.age_unit_value), Derived("DATAOBITO", "ANO_OBITO", C.year_yymmdd),
+                Derived("MUNIRES", "CO_IBGE_RESIDENCIA", C.municipality_code6)),
+               (*P.MORTALITY_DROP, *P.MORTALITY_DROP_OLD_ERA)),
+}
 
-    cause = P.first_present(df, OLD_CAUSE_CANDIDATES if old else ["CAUSABAS"])
+
+def death_spec(columns: list[str], era: Era, cause: str) -> Spec:
+    """Every landed column decoded in place (D1), the derived ones, and the
+    published order; the column that holds the cause is never dropped."""
+    decoded = [Derived(c, c, partial(decode_else_default, domain=era.domains[c.upper()])) if c.upper() in era.domains
+               else Keep(c, c) for c in columns]
+    present = {c.upper() for c in columns}
+    steps = [*decoded, *(d for d in era.derived if d.src in present)]
+    drop = [d for d in era.drop if d != cause.upper()]
+    order = P.order_columns([s.dst for s in steps], drop, P.MORTALITY_GROUPS, P.MORTALITY_TAIL, P.MORTALITY_LINEAGE)
+    return Spec([s for s in steps if s.dst in order], order)
+
+
+def curate_death_records(raw: DataFrame, era: str = "modern", refs: References | None = None) -> DataFrame:
+    """The curated oncology death table of one batch (before the merge)."""
+    refs, rules = refs or References(), ERAS[era]
+    cause = P.first_present(raw, rules.causes)
     if cause is None:
-        return df.limit(0)
-    df = fl.keep(df, fl.icd9_malignant(land(cause)) if old else fl.icd10_onco(land(cause)))
-
-    domains = MORTALITY_OLD if old else MORTALITY_MODERN
-    exprs = {c: decode_else_default(land(c), domains[c.upper()]) for c in df.columns if c.upper() in domains}
-    names = list(df.columns)
-    age = P.present(df, "IDADE")
-    if age:
-        exprs["IDADE_ANOS"] = C.age_unit_value(land(age))
-        names.append("IDADE_ANOS")
-    date = P.present(df, "DATAOBITO" if old else "DTOBITO")
-    if date:
-        exprs["ANO_OBITO"] = C.year_yymmdd(land(date)) if old else C.year_ddmmyyyy(land(date))
-        names.append("ANO_OBITO")
-    muni = P.present(df, "MUNIRES" if old else "CODMUNRES")
-    if muni:
-        exprs["CO_IBGE_RESIDENCIA"] = C.municipality_code6(land(muni))
-        names.append("CO_IBGE_RESIDENCIA")
-        if refs.synonyms is not None:
-            names.append("COD_MUNICIPIO_ATUAL")
-    drop = P.MORTALITY_DROP + (P.MORTALITY_DROP_OLD_ERA if old else [])
-    order = P.order_columns(names, drop, P.MORTALITY_GROUPS, P.MORTALITY_TAIL, P.MORTALITY_LINEAGE)
-    base = df.select(*[exprs.get(c, land(c) if c in df.columns else F.lit(None).cast("string")).alias(c)
-                       for c in order if c != "COD_MUNICIPIO_ATUAL"])
-    if "COD_MUNICIPIO_ATUAL" in order:
+        return raw.limit(0)
+    kept = fl.keep(raw, rules.keep(C.null_tokens(_q(cause))))
+    base = apply_spec(kept, death_spec(raw.columns, rules, cause), landing=True)
+    if refs.synonyms is not None and "CO_IBGE_RESIDENCIA" in base.columns:
         base = L.synonym_resolve(base, "CO_IBGE_RESIDENCIA", refs.synonyms, "COD_MUNICIPIO_ANTIGO",
                                  "COD_MUNICIPIO_ATUAL", "COD_MUNICIPIO_ATUAL")
-        base = base.select(*[_q(c) for c in order])
+        base = P.column_policy(base, (), P.MORTALITY_GROUPS, P.MORTALITY_TAIL, P.MORTALITY_LINEAGE)
     out = P.rename_map(base, P.MORTALITY_NAMES)
-    return describe_codes(out, refs, cause_prefix3=old)
+    return describe_codes(out, refs, cause_prefix3=era == "old")
 
 
 def describe_codes(df: DataFrame, refs: References, cause_prefix3: bool = False) -> DataFrame:

@@ -78,7 +78,7 @@ def apply_spec(df: DataFrame, spec: Spec, refs: dict | None = None, landing: boo
     first maps the missing-value tokens to null (C1), inside the same
     expressions (no extra projection over all columns)."""
     refs = refs or {}
-    L.check_sizes(*refs.values())
+    strings = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string"}
     cols: list[Column] = []
     names: list[str] = []
     labels = []
@@ -87,7 +87,7 @@ def apply_spec(df: DataFrame, spec: Spec, refs: dict | None = None, landing: boo
         p = present(df, s.src)
         if p is None:
             continue
-        c = null_tokens(_q(p)) if landing else _q(p)
+        c = null_tokens(_q(p)) if landing and p in strings else _q(p)
         if isinstance(s, Rename):
             cols.append(F.trim(c).alias(s.dst)); names.append(s.dst)
         elif isinstance(s, Keep):
@@ -115,7 +115,7 @@ def apply_spec(df: DataFrame, spec: Spec, refs: dict | None = None, landing: boo
         ref = refs[s.ref]
         d = L.unique_by_key(ref.select("CODIGO", "DESCRICAO"), "CODIGO").select(
             F.col("CODIGO").alias(f"{tmp}_k"), F.col("DESCRICAO").alias(s.dst))
-        out = L.left_join_sized(out, F.col(tmp), d, f"{tmp}_k", L.fits_broadcast(ref))
+        out = L.left_join(out, F.col(tmp), d, f"{tmp}_k")
     names = firsts + names
     if spec.order:
         first = [n for n in spec.order if n in names]

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..operators import merge as M
 from ..operators import reshape as R
-from ..operators.lookups import sized
 from ..plans import arrival as A
 
 # The tabulation series and the unknown-date marker.
@@ -31,16 +30,22 @@ def plan_years(views: DataFrame, manifest: DataFrame, current_year: int) -> Data
 
 def curate_screening(matrices: DataFrame, published: DataFrame | None, views: DataFrame, manifest: DataFrame,
                      current_year: int, tags: dict | None = None) -> DataFrame:
+    """A view's years are replaced by those that landed; a planned year that
+    did not land keeps its rows, and so does a view whose matrices hold no
+    quantity at all (a failed or empty fetch)."""
     plan = plan_years(views, manifest, current_year)
-    todo = matrices.join(sized(plan), ["VISAO", "ANO"], "left_semi")
+    todo = matrices.join(plan, ["VISAO", "ANO"], "left_semi")
     new = R.unpivot_matrix(todo, tags, ids=["VISAO", "ANO"])
     if published is None:
         return new
-    return M.merge_replace(published, new, ["VISAO", "ANO"], read_keys=plan)
+    landed = todo.select("VISAO", "ANO").distinct().join(new.select("VISAO").distinct(), "VISAO", "left_semi")
+    return M.merge_replace(published, new, ["VISAO", "ANO"], read_keys=landed)
 
 
-def signatures_after(views: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Manifest after the run: known dates recorded, unknown ones not."""
-    new = views.filter(F.col("DATA") != UNKNOWN_DATE).select(F.col("VISAO").alias("chave"),
-                                                             F.col("DATA").alias("assinatura"))
+def signatures_after(views: DataFrame, manifest: DataFrame, new: DataFrame | None = None) -> DataFrame:
+    """Manifest after the run: known dates recorded, unknown ones not.  With
+    the run's ``new`` rows given, a view without any keeps its old signature."""
+    done = views if new is None else views.join(new.select("VISAO").distinct(), "VISAO", "left_semi")
+    new = done.filter(F.col("DATA") != UNKNOWN_DATE).select(F.col("VISAO").alias("chave"),
+                                                            F.col("DATA").alias("assinatura"))
     return M.manifest_upsert(manifest, new, "chave")

@@ -105,14 +105,6 @@ def curate_mortality_prelim(t):
     return MO.curate_preliminary(t.spark, _landed(t, "sim_do"), _refs(t), None, _landed(t, "sim_do"))
 
 
-@query("curate_mortality_prelim_empty", "select * from (" + MODERN_SQL + ") x where false",
-       ["sim_do", "ref_icd", "ref_ocup", "ref_uf", "ref_pais", "ref_sin"])
-def curate_mortality_prelim_empty(t):
-    """Preliminary deaths when nothing arrived and nothing is published:
-    an empty table with the published schema (M6)."""
-    return MO.curate_preliminary(t.spark, None, _refs(t), None, _landed(t, "sim_do"))
-
-
 def _yr_old(c):
     d = f"regexp_extract({c}, '(?i)DORBR([0-9]{{2,4}})\\.dbc', 1)"
     return (f"case when length({d}) = 2 then case when cast({d} as integer) >= 79 then cast({d} as integer) + 1900 "
@@ -408,7 +400,8 @@ plan as (select ch.VISAO, cast(y.a as varchar) as ANO from ch, range(2013, 2027)
 todo as (select * from siscan_mat m where exists (select 1 from plan p where p.VISAO = m.VISAO and p.ANO = m.ANO)
   and not coalesce(lower(trim(linha)) in ('total', ''), false)),
 new as (select * from ({_sc_unpivot('click')} union all {_sc_unpivot('view_')}) u where QTD > 0)
-select * from siscan_pub p where not exists (select 1 from plan k where k.VISAO = p.VISAO and k.ANO = p.ANO)
+select * from siscan_pub p where not exists (select 1 from plan k, siscan_mat m where k.VISAO = p.VISAO and k.ANO = p.ANO
+  and m.VISAO = k.VISAO and m.ANO = k.ANO and k.VISAO in (select VISAO from new))
 union all select * from new"""
 
 

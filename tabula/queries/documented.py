@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import signed_days
-from ..operators.lookups import fits_broadcast
 from ..plans import facilities as FA
 from ..plans import mortality as MO
 from ..plans import outpatient as OP
@@ -44,7 +43,6 @@ def panel_facility_link(t):
     """Treated cases per facility, linked to the oncology facility table."""
     cases = _panel(t).groupBy("COD_CNES_TRATAMENTO").agg(F.count(F.lit(1)).alias("CASOS"))
     fac = CU._published_facilities(t).select(F.col("COD_CNES"), "NOME_FANTASIA")
-    fac = F.broadcast(fac) if fits_broadcast(fac) else fac
     j = cases.join(fac, cases["COD_CNES_TRATAMENTO"] == fac["COD_CNES"], "left")
     return j.groupBy("COD_CNES_TRATAMENTO").agg(
         F.sum("CASOS").alias("CASOS"), F.max("NOME_FANTASIA").alias("NOME_FANTASIA"),

@@ -35,13 +35,13 @@ rng as (
   select *, regexp_extract(part, '^([0-9]{1,18})\\s*-\\s*([0-9]{1,18})$', 1) as a,
             regexp_extract(part, '^([0-9]{1,18})\\s*-\\s*([0-9]{1,18})$', 2) as b from parts),
 codes as (
-  select muncod, situacao, pos, n - cast(a as bigint) as sub, lpad(cast(n as varchar), cast(length(a) as integer), '0') as txt from (
+  select muncod, situacao, pos, n - cast(a as bigint) as sub, lpad(cast(n as varchar), cast(length(a) as integer), '0') as txt, true as ranged from (
     select *, unnest(range(cast(a as bigint), cast(b as bigint) + 1)) as n from rng
     where a <> '' and length(a) = length(b) and cast(b as bigint) >= cast(a as bigint)
       and cast(b as bigint) - cast(a as bigint) + 1 <= 200) y
-  union all select muncod, situacao, pos, 0, part from rng where regexp_matches(part, '^[0-9]+$')),
+  union all select muncod, situacao, pos, 0, part, false from rng where regexp_matches(part, '^[0-9]+$')),
 exp as (select muncod, situacao, pos, sub,
-  substr(case when length(txt) < 6 then lpad(txt, 6, '0') else txt end, 1, 6) as codigo from codes)"""
+  substr(case when length(txt) < 6 and not ranged then lpad(txt, 6, '0') else txt end, 1, 6) as codigo from codes)"""
 
 
 @query("range_list_explode", f"with {_PARTS} select muncod, codigo from exp", ["cadmun"])

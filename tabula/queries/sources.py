@@ -113,13 +113,6 @@ def candidate_column_filter(t):
     return hit.unionByName(miss)
 
 
-@query("empty_with_schema", "select * from rec where rec_id < 0", ["rec"])
-def empty_with_schema(t):
-    """M6: nothing arrived and nothing published -> an empty table that
-    still carries the published schema."""
-    return M.empty_with_schema(t.spark, t("rec").schema)
-
-
 @query("passthrough", "select * from nation")
 def passthrough(t):
     """M7 / K1: a static table published as is (write, then read back)."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tabula.operators import lookups as L
 from tabula.operators import merge as M
 from tabula.operators import reshape as R
+from tabula.operators.policy import order_columns
 from tabula.plans import arrival as A
 
 from .conftest import rows
@@ -36,11 +37,6 @@ def test_fanout_audit(spark):
         L.assert_unique(d, "k")
 
 
-def test_fits_broadcast(spark):
-    d = spark.range(10)
-    assert L.fits_broadcast(d, 10) and not L.fits_broadcast(d, 9)
-
-
 def test_range_list_explode(spark):
     df = spark.createDataFrame([("358001-358003, 000001-000202, 12-345, 7, x, ",)], "s string")
     got = [r.codigo for r in R.range_list_explode(df, "s").orderBy("_pos", "_subpos").collect()]
@@ -138,24 +134,81 @@ def test_occupation_vocabularies(spark):
     assert got == [("007", "Pedreiro"), ("00700", "Pedreiro de obras"), ("012", "Pintor"), ("01200", "Pintor")]
 
 
-def test_salted_join_equals_broadcast_join(spark):
-    """The path for dimensions beyond the broadcast bound gives the same rows."""
+def test_lookups_start_no_job_and_carry_no_hint(spark):
     fact = spark.range(0, 3000).select((F.col("id") % 7).cast("string").alias("k"), F.col("id"))
-    fact = fact.union(spark.range(0, 3000).select(F.lit("hot").alias("k"), F.col("id")))  # a hot key
-    dim = spark.createDataFrame([(str(i), f"L{i}") for i in range(5)] + [("hot", "H")], "codigo string, descricao string")
-    a = L.lookup_label(fact, F.col("k"), dim, "codigo", "descricao", "lbl")
-    b = L.lookup_label(fact, F.col("k"), dim, "codigo", "descricao", "lbl", max_rows=0)
-    assert sorted(rows(a)) == sorted(rows(b)) and b.count() == 6000
-    assert "_dsalt" in b._jdf.queryExecution().analyzed().toString()  # the salted path was taken
+    dim = spark.createDataFrame([(str(i), f"L{i}") for i in range(5)], "codigo string, descricao string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    out = L.lookup_label(fact, F.col("k"), dim, "codigo", "descricao", "lbl")
+    out = L.enrich_found_flag(out, "k", dim, "codigo", "achou", columns=["descricao"])
+    out = M.merge_replace(out, out.limit(5), "k")
+    assert not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("", "")
+    assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString()
 
 
-def test_merge_replace_salted_path(spark, monkeypatch):
-    from tabula.operators import merge as MM
+def test_rejected_ranges_are_reported(spark):
+    df = spark.createDataFrame([("358001-358003, 000001-000202, 12-345, 9-1, 7, x, ",)], "s string")
+    got = sorted((r["parte"], r["motivo"]) for r in R.rejected_ranges(df, "s").collect())
+    assert got == [("000001-000202", "too wide"), ("12-345", "widths differ"), ("9-1", "descending")]
+    short = spark.createDataFrame([("1234-1236, 123",)], "s string")  # a range keeps its own width
+    assert [r.codigo for r in R.range_list_explode(short, "s").orderBy("_pos", "_subpos").collect()] == ["1234", "1235", "1236", "000123"]
 
-    monkeypatch.setattr(MM, "fits_broadcast", lambda df, *a: False)
-    pub = _pub(spark)
-    new = spark.createDataFrame([(10, "B.dbc")], "id int, ARQUIVO_ORIGEM string")
-    assert sorted(rows(MM.merge_replace(pub, new, "ARQUIVO_ORIGEM"), "id")) == [(1,), (3,), (4,), (10,)]
+
+def test_published_order_is_a_stable_sort_by_place():
+    names = ["z", "ARQ", "b", "B", "y", "fim", "drop", "a"]
+    assert order_columns(names, ["DROP"], [["A", "c"], ["B"]], ["FIM"], ["arq"]) == ["a", "b", "z", "y", "fim", "ARQ"]
+
+
+def test_old_era_keeps_the_cause_it_found(spark):
+    from tabula.plans import mortality as MO
+
+    raw = spark.createDataFrame([("1749", "F1"), ("400", "F1")], "CAUSABAS_O string, ARQUIVO_ORIGEM string")
+    out = MO.curate_death_records(raw, "old")
+    assert rows(out) == [("1749", "F1")] and "CAUSA_BASICA" in out.columns
+
+
+def test_empty_preliminary_table_carries_the_schema(spark):
+    from tabula.plans import mortality as MO
+
+    raw = spark.createDataFrame([("C50", "F1")], "CAUSABAS string, ARQUIVO_ORIGEM string")
+    out = MO.curate_preliminary(spark, None, MO.References(), None, raw)
+    assert out.count() == 0 and out.schema == MO.curate_death_records(raw).schema
+
+
+def test_odd_values_give_null_not_an_error(spark):
+    from tabula.functions import columns as C
+
+    df = spark.createDataFrame([("12345678901",), ("+12",), ("-3",), ("x",)], "d string")
+    assert [r[0] for r in df.select(C.signed_days("d")).collect()] == [None, 12, -3, None]
+    assert [r[0] for r in df.select(A.two_digit_year(F.col("d"), 79)).collect()] == [None, 2012, 1997, None]
+    nums = spark.createDataFrame([(12345678.9,), (5.0,), (0.1,), (1e22,), (None,)], "v double")
+    assert [r[0] for r in nums.select(C.integral_float_text("v")).collect()] == ["12345678.9", "5", "0.1", "1" + "0" * 22, None]
+
+
+def test_registry_columns_outside_the_list_never_reach_the_output(spark):
+    from tabula.plans import facilities as FA
+
+    hab = spark.createDataFrame([("123", "1704", "P1", "202001")], "CNES string, SGRUPHAB string, PORTARIA string, DTPORTAR string")
+    reg = spark.createDataFrame([("123", "Nome", "motivo", "cpf")], "CO_CNES string, NO_FANTASIA string, CO_MOTIVO_DESAB string, NU_CPF string")
+    out = FA.curate_facilities(hab, reg, None)
+    assert "NOME_FANTASIA" in out.columns and not {"CO_MOTIVO_DESAB", "NU_CPF"} & set(out.columns)
+
+
+def test_screening_keeps_history_of_what_did_not_land(spark):
+    from tabula.plans import screening as SC
+
+    views = spark.createDataFrame([("V1", "2026-01"), ("V2", "2026-01")], "VISAO string, DATA string")
+    manifest = spark.createDataFrame([("V1", "old"), ("V2", "old")], "chave string, assinatura string")
+    mats = spark.createDataFrame([("V1", "2026", "a", "5"), ("V2", "2026", "a", "0")], "VISAO string, ANO string, linha string, click string")
+    cols = SC.R.LONG_COLUMNS
+    pub = spark.createDataFrame([(v, *["x"] * 7, 1, y) for v in ("V1", "V2") for y in ("2025", "2026")],
+                                ", ".join(f"{c} {'long' if c == 'QTD' else 'string'}" for c in cols) + ", ANO string")
+    out = SC.curate_screening(mats, pub, views, manifest, 2026)
+    got = sorted((r["VISAO"], r["ANO"], r["QTD"]) for r in out.collect())
+    assert got == [("V1", "2025", 1), ("V1", "2026", 5), ("V2", "2025", 1), ("V2", "2026", 1)]
+    new = SC.R.unpivot_matrix(mats, None, ids=["VISAO", "ANO"])
+    assert sorted(rows(SC.signatures_after(views, manifest, new))) == [("V1", "2026-01"), ("V2", "old")]
 
 
 def test_filename_attributes_and_control_files(spark):
