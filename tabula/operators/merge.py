@@ -13,10 +13,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import remove_path, staging_path
+
 
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:
@@ -52,18 +54,13 @@ def summary_upsert(existing: DataFrame, new: DataFrame, year: str = "ANO", sourc
     delivery replaces older rows.  Rows without a year are keyed by file."""
     rank = F.coalesce(F.array_position(F.array(*[F.lit(p) for p in precedence]), F.col(source)),
                       F.lit(len(precedence) + 1))
-    u = union_by_name([existing.withColumn("_b", F.lit(0)), new.withColumn("_b", F.lit(1))]).withColumn("_r", rank)
-    dated = u.filter(F.col(year).isNotNull())
-    best = dated.groupBy(year).agg(
-        F.min(F.struct(F.col("_r").alias("r"), (-F.col("_b")).alias("nb"))).alias("_best"))
-    dated = (dated.join(best, year)
-             .filter((F.col("_r") == F.col("_best.r")) & (-F.col("_b") == F.col("_best.nb")))
-             .drop("_best"))
-    undated = u.filter(F.col(year).isNull())
-    newest = undated.groupBy(file).agg(F.max("_b").alias("_nb"))
-    undated = undated.join(newest, file).filter(F.col("_b") == F.col("_nb")).drop("_nb")
-    cols = [c for c in u.columns if c not in ("_b", "_r")]
-    return dated.select(*cols).unionByName(undated.select(*cols)).orderBy(year, source)
+    u = union_by_name([existing.withColumn("_b", F.lit(0)), new.withColumn("_b", F.lit(1))])
+    # one window over the small summary: a year's rows compete, or a file's where there is no year
+    undated = F.col(year).isNull()
+    place = F.struct(F.when(undated, 0).otherwise(rank).alias("r"), (-F.col("_b")).alias("b"))
+    group = Window.partitionBy(F.col(year), F.when(undated, F.col(file)))
+    kept = u.withColumn("_p", place).withColumn("_best", F.min("_p").over(group)).filter(F.col("_p") == F.col("_best"))
+    return kept.drop("_b", "_p", "_best").orderBy(year, source)
 
 
 def empty_with_schema(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -86,26 +83,36 @@ def publish(df: DataFrame, path: str, mode: str = "overwrite", rows_per_group: i
 
 def publish_partitioned(batch: DataFrame, path: str, key: str) -> None:
     """M1 at scale: rewrite only the partitions (source files / years) present
-    in the batch; all other partitions are left untouched.  The overwrite
-    mode is a per-write option, so the session's setting is never changed."""
-    (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    in the batch; all other partitions are left untouched.  Rows are first
+    rebalanced by key, so a small key makes one file and a large one several.
+    The overwrite mode is a per-write option, the session's setting stays."""
+    (batch.hint("rebalance", key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(key).parquet(path))
 
 
-def publish_replacing(batch: DataFrame, path: str, key: str, read_keys: list[str] | None = None) -> None:
-    """M1 at scale with the full key rule: the batch's partitions are
-    rewritten (dynamic overwrite) and the partitions of files that were read
-    but kept no rows are removed, so their old rows disappear too.
-    ``read_keys`` is the small list of files (or years) of this delivery."""
-    publish_partitioned(batch, path, key)
-    if not read_keys:
-        return
-    present = {r[0] for r in batch.select(key).distinct().collect()}  # one row per delivered file
+def publish_replacing(batch: DataFrame, path: str, key: str, read_keys: DataFrame) -> None:
+    """M1 at scale with the full key rule.  ``read_keys`` holds the keys of
+    everything read; their partitions are rewritten, and those of keys read
+    without a surviving row are removed.  The batch is computed once, into the
+    shared folder; a replay after a failure writes and removes the same."""
     spark = batch.sparkSession
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    for k in sorted(set(read_keys) - present):
-        part = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{key}={k}")
-        fs = part.getFileSystem(conf)
-        if fs.exists(part):
-            fs.delete(part, True)
+    work = staging_path(spark, "publish")
+    batch.write.parquet(work)
+    rows = spark.read.schema(batch.schema).parquet(work)
+    emptied = read_keys.select(key).distinct().join(rows.select(key).distinct(), key, "left_anti").collect()
+    publish_partitioned(rows, path, key)
+    drop_partitions(spark, path, key, [r[0] for r in emptied])
+    remove_path(spark, work)
+
+
+def drop_partitions(spark: SparkSession, path: str, key: str, values: list) -> None:
+    """Remove the partition folders of ``values`` (one per emptied key)."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for v in values:
+        remove_path(spark, f"{path.rstrip('/')}/{names.getPartitionPathString(key, None if v is None else str(v))}")
+
+
+def read_published(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A published table with its own types: without the schema a partition
+    key of digits would come back as a number."""
+    return spark.read.schema(schema).parquet(path)

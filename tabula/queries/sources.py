@@ -36,8 +36,8 @@ def dbf_scan(t):
         F.col("idade").alias("IDADE"), (F.col("rec_id") % 50 == 0).alias("_del"))
     folder = staging_path(spark, "dbf")
     dbf.write_partitions(src, folder, DBF_FIELDS, "_del").collect()
-    return (spark.read.format("dbf").option("recordsPerPartition", 4096).option("lineage", "ARQUIVO_ORIGEM")
-            .load(folder).drop("ARQUIVO_ORIGEM"))
+    layout = ", ".join(f"{name} string" for name, _, _ in DBF_FIELDS)
+    return dbf.scan(spark, folder, schema=layout, bytesPerPartition=1 << 17)
 
 
 @query("csv_scan_text", "select cast(n_nationkey as varchar) as n_nationkey, n_name, cast(n_regionkey as varchar) as n_regionkey from nation")
@@ -90,16 +90,19 @@ def lineage_stamp(t):
 
 @query("wide_matrix_scan", """select linha, click, view_, error_, total from matriz""", ["matriz"])
 def wide_matrix_scan(t):
-    """Tabulation export with title/footer lines; only ';' lines parsed."""
+    """Four tabulation exports, each with title, header and footer lines;
+    only ';' lines are parsed, each file under its own header."""
     path = staging_path(t.spark, "matrix")
     m = t("matriz")
     quoted = F.concat_ws(";", *[F.concat(F.lit('"'), F.col(c), F.lit('"')) for c in m.columns])
-    head = t.spark.range(1).select(F.lit(";".join(f'"{c}"' for c in m.columns)).alias("value"), F.lit(0).alias("o"))
-    title = t.spark.range(1).select(F.lit("Tabulação de eventos por usuário").alias("value"), F.lit(-1).alias("o"))
-    foot = t.spark.range(1).select(F.lit("Fonte: eventos").alias("value"), F.lit(2).alias("o"))
-    body = m.select(quoted.alias("value"), F.lit(1).alias("o"))
-    title.unionByName(head).unionByName(body).unionByName(foot).coalesce(1).sortWithinPartitions("o") \
-        .select("value").write.text(path)
+    body = m.select(F.pmod(F.xxhash64("linha"), F.lit(4)).alias("parte"), F.lit(1).alias("o"), quoted.alias("value"))
+    head = ";".join(f'"{c}"' for c in m.columns)
+    rest = t.spark.range(4).select(F.col("id").alias("parte"), F.explode(F.array(
+        F.struct(F.lit(-1).alias("o"), F.lit("Tabulação de eventos por usuário").alias("value")),
+        F.struct(F.lit(0).alias("o"), F.lit(head).alias("value")),
+        F.struct(F.lit(2).alias("o"), F.lit("Fonte: eventos").alias("value")))).alias("x")).select("parte", "x.*")
+    (body.unionByName(rest).repartition("parte").sortWithinPartitions("parte", "o").select("parte", "value")
+     .write.partitionBy("parte").text(path))
     return X.wide_matrix(t.spark, path)
 
 

@@ -1,44 +1,48 @@
-"""T1 query: events delivered as daily files, one day re-delivered changed."""
+"""T1 query: events delivered as daily files, several days re-delivered."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.merge import read_published
 from ..session import staging_path
 from ..streaming.arrival import arrival_merge
 from .registry import query
 
-REDELIVERED_DAY = "2024-01-05"
+REDELIVERED_DAY = "2024-01-05"  # twice in the second pass; the last one counts
+EMPTIED_DAY = "2024-01-07"  # re-delivered with rows that are all filtered out
 
 
 def _deliveries(t):
     e = t("events").select("event_id", "user_id", "event_type", "value",
                            F.concat(F.lit("events_"), F.date_format("ts", "yyyy-MM-dd")).alias("ARQUIVO_ORIGEM"))
-    again = (e.filter((F.col("ARQUIVO_ORIGEM") == f"events_{REDELIVERED_DAY}") & (F.col("event_id") % 2 == 0))
-             .withColumn("value", F.col("value") * 2))
-    return e, again
+    day = e.filter(F.col("ARQUIVO_ORIGEM") == f"events_{REDELIVERED_DAY}")
+    second = day.withColumn("value", F.col("value") * 3).unionByName(
+        e.filter(F.col("ARQUIVO_ORIGEM") == f"events_{EMPTIED_DAY}").withColumn("event_type", F.lit("noise")))
+    third = day.filter(F.col("event_id") % 2 == 0).withColumn("value", F.col("value") * 2)
+    return e, second, third
 
 
 @query("stream_arrival_merge", f"""select event_id, user_id, event_type, value,
   'events_' || strftime(ts, '%Y-%m-%d') as ARQUIVO_ORIGEM from events
-where strftime(ts, '%Y-%m-%d') <> '{REDELIVERED_DAY}' and event_type <> 'noise'
+where strftime(ts, '%Y-%m-%d') not in ('{REDELIVERED_DAY}', '{EMPTIED_DAY}') and event_type <> 'noise'
 union all select event_id, user_id, event_type, value * 2, 'events_{REDELIVERED_DAY}' from events
 where strftime(ts, '%Y-%m-%d') = '{REDELIVERED_DAY}' and event_id % 2 = 0 and event_type <> 'noise'""")
 def stream_arrival_merge(t):
-    """Daily delivery files land in two rounds (the second re-delivers one
-    day, changed); two availableNow passes of the arrival stream publish
-    them with a per-file replace; the published table is read back."""
+    """Daily deliveries land in parts that hold pieces of every day, and are
+    taken two files at a time; then one day is re-delivered twice and another
+    with nothing to keep.  Two passes publish whole days; the published table
+    is read back."""
     spark = t.spark
-    first, again = _deliveries(t)
-    landing = staging_path(spark, "landing")
-    table = staging_path(spark, "published")
-    first.repartition("ARQUIVO_ORIGEM").write.parquet(f"{landing}/entrega=1")
-    schema = first.schema
+    first, second, third = _deliveries(t)
+    landing, table = staging_path(spark, "landing"), staging_path(spark, "published")
+    first.repartition(4).write.parquet(f"{landing}/entrega=1")
 
     def transform(df):
         return df.filter(F.col("event_type") != "noise")
 
-    ckpt = arrival_merge(spark, landing, schema, table, "ARQUIVO_ORIGEM", transform)
-    again.write.parquet(f"{landing}/entrega=2")
-    arrival_merge(spark, landing, schema, table, "ARQUIVO_ORIGEM", transform, checkpoint=ckpt)
-    return spark.read.parquet(table).select("event_id", "user_id", "event_type", "value", "ARQUIVO_ORIGEM")
+    ckpt = arrival_merge(spark, landing, first.schema, table, "ARQUIVO_ORIGEM", transform, files_per_trigger=2)
+    second.write.parquet(f"{landing}/entrega=2")
+    third.write.parquet(f"{landing}/entrega=3")
+    arrival_merge(spark, landing, first.schema, table, "ARQUIVO_ORIGEM", transform, checkpoint=ckpt)
+    return read_published(spark, table, first.schema)

@@ -2,8 +2,8 @@
 
 The library never picks a machine-local folder on a cluster: intermediate
 tables and checkpoints go under ``spark.checkpoint.dir`` as named by the
-cluster.  Only a local-mode session without that setting (tests, bench) gets
-a fresh folder of its own under ``/tmp``.
+cluster.  Only ``build_session`` (tests, bench) names a folder of its own, for
+a local master and where the configuration has none.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -20,7 +21,7 @@ JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "tabula") -> SparkSession:
     """Session used by tests and bench.  Cluster jobs pass their own."""
-    spark = (
+    builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -39,8 +40,11 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
         .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
-        .getOrCreate()
     )
+    active = SparkSession.getActiveSession()
+    if active is None and master.startswith("local") and not SparkConf().contains(CHECKPOINT_CONF):
+        builder = builder.config(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="tabula-ckpt-"))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     tune(spark)
     return spark
@@ -62,26 +66,18 @@ def tune(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder for checkpoints and staged tables.
-
-    Read from the session; only a local-mode session without the setting
-    gets its own fresh folder (as in tests)."""
+    """The cluster's shared folder for checkpoints and staged tables, as the
+    session names it.  ``build_session`` names one for local runs; any other
+    session must, since only the cluster knows what its executors share."""
     conf_dir = spark.conf.get(CHECKPOINT_CONF, None)
     sc = _context(spark)
     if not conf_dir and sc is not None:
         conf_dir = sc.getConf().get(CHECKPOINT_CONF, None)
-    if conf_dir:
-        if sc is not None and not sc._jsc.sc().getCheckpointDir().isDefined():
-            sc.setCheckpointDir(conf_dir)
-        return conf_dir
-    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
-    local = tempfile.mkdtemp(prefix="tabula-ckpt-")
-    spark.conf.set(CHECKPOINT_CONF, local)
-    if sc is not None:
-        sc.setCheckpointDir(local)
-    return local
+    if not conf_dir:
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
+    if sc is not None and not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(conf_dir)
+    return conf_dir
 
 
 def _context(spark: SparkSession):
@@ -98,24 +94,35 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system Spark would use for it, so
+    that readers outside the JVM open the same files on every machine."""
+    if "://" in path:
+        return path
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    scheme, rest = full.split(":", 1)
+    return f"{scheme}://{rest}" if not rest.startswith("//") else full
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library staged."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Make ``tabula`` importable in the Python workers (the DBF source and
-    writer run there).  The package is zipped once per SparkContext into the
-    session's shared folder and added with ``addPyFile``.  On a cluster whose
-    shared folder is not a plain path, install the package on the executors
-    instead (``--py-files`` or a wheel)."""
+    """Make ``tabula`` importable in the Python workers.  The package is zipped
+    once per SparkContext and handed to ``addPyFile``; the driver serves the
+    file to executors, so its own place needs not be shared."""
     import os
     import zipfile
 
     sc = _context(spark)
     if sc is None or getattr(sc, "_tabula_shipped", False):
         return
-    base = shared_dir(spark)
-    if "://" in base and not base.startswith("file://"):
-        return
-    base = base.replace("file://", "")
     pkg = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(base, f"tabula-{uuid.uuid4().hex[:8]}.zip")
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tabula-pkg-")), "tabula.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg):
             for f in files:

@@ -1,31 +1,38 @@
 """DBF (dBase III) record scan as a Spark Python data source.
 
-The driver reads only each file's header (32 bytes + 32 per field) and
-splits the records into byte ranges aligned on record boundaries; every
-range is one Spark partition, parsed on the executors with numpy/pandas into
-Arrow batches.  Every column lands as text (the all-string landing schema):
+Planning only lists files; a file is cut into byte ranges, and the task that
+reads a range reads the file's header first and takes the records that begin
+in its range, in bounded chunks, with numpy.  Every column lands as text (the
+all-string landing schema):
 
 * ``C``: stripped latin1 text, empty -> null
-* ``N`` / ``F``: number text; whole numbers without ``.0``; unparsable -> null
+* ``N`` / ``F``: number text, exact for whole numbers of any length; other
+  numbers as the nearest double prints; unparsable -> null
 * ``D``: valid ``YYYYMMDD`` -> ``YYYY-MM-DD``; invalid -> null
 * ``L``: ``T y t`` -> ``True``, ``N n F f`` -> ``False``; else null
-* records whose deletion flag is not a space are skipped.
+* records whose deletion flag is not a space are skipped; a file that ends
+  before its last record is an error.
 
 Usage::
 
-    register(spark)
-    spark.read.format("dbf").option("lineage", "ARQUIVO_ORIGEM").load(path)
+    scan(spark, path, schema="...", lineage="ARQUIVO_ORIGEM")
+
+With a ``schema`` no header is read outside the tasks; without one it is the
+union of all headers by name.
 """
 
 from __future__ import annotations
 
+import math
 import posixpath
+import re
 import struct
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-RECORDS_PER_PARTITION = 250_000
+BYTES_PER_PARTITION = 64 << 20
+_WHOLE = re.compile(r"[+-]?\d+$")
 
 
 def _fs(path: str):
@@ -34,16 +41,16 @@ def _fs(path: str):
     return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
 
 
-def list_files(path: str, suffix: str = ".dbf") -> list[str]:
-    """Names under ``path`` (a file or a folder) ending in ``suffix``, sorted."""
+def list_files(path: str, suffix: str = ".dbf") -> list[tuple[str, int]]:
+    """Names and sizes under ``path`` (a file or a folder) ending in ``suffix``, sorted."""
     from pyarrow import fs as pafs
 
     fs, root = _fs(path)
     info = fs.get_file_info(root)
     if info.type == pafs.FileType.File:
-        return [root]
+        return [(root, info.size)]
     sel = pafs.FileSelector(root, recursive=True)
-    return sorted(i.path for i in fs.get_file_info(sel)
+    return sorted((i.path, i.size) for i in fs.get_file_info(sel)
                   if i.type == pafs.FileType.File and i.path.lower().endswith(suffix))
 
 
@@ -71,8 +78,21 @@ def read_header(fs, path: str) -> Header:
 
 
 class DbfPartition(InputPartition):
-    def __init__(self, uri: str, path: str, start: int, count: int, header: Header):
-        self.uri, self.path, self.start, self.count, self.header = uri, path, start, count, header
+    def __init__(self, uri: str, path: str, first: int, last: int):
+        self.uri, self.path, self.first, self.last = uri, path, first, last
+
+
+def number_text(s: str) -> str | None:
+    """The landing text of a numeric field, whatever stands around it."""
+    if _WHOLE.match(s):
+        return str(int(s))
+    try:
+        v = float(s)
+    except ValueError:
+        return None
+    if not math.isfinite(v):
+        return None
+    return str(int(v)) if v == math.floor(v) else repr(v)
 
 
 def _text(col):
@@ -91,13 +111,7 @@ def _convert(kind: str, raw):
     if kind == "C":
         return s.where(~blank, None)
     if kind in ("N", "F"):
-        num = pd.to_numeric(s.where(~blank, None), errors="coerce")
-        whole = num.notna() & np.isfinite(num) & (num == np.floor(num)) & (num.abs() < 2 ** 63)
-        out = pd.Series([None] * len(s), dtype=object)
-        out[whole] = num[whole].astype("int64").astype(str)
-        frac = num.notna() & ~whole
-        out[frac] = num[frac].map(repr)
-        return out
+        return s.map({v: number_text(v) for v in s.unique()}).astype(object).where(~blank, None)
     if kind == "D":
         d = pd.to_datetime(s, format="%Y%m%d", errors="coerce")
         return d.dt.strftime("%Y-%m-%d").where(d.notna(), None)
@@ -114,39 +128,35 @@ class DbfReader(DataSourceReader):
         self.schema = schema
 
     def partitions(self):
-        path = self.options["path"]
-        per = int(self.options.get("recordsPerPartition", RECORDS_PER_PARTITION))
-        fs, _ = _fs(path)
-        parts = []
-        for p in list_files(path):
-            h = read_header(fs, p)
-            for start in range(0, h.nrec, per):
-                parts.append(DbfPartition(path, p, start, min(per, h.nrec - start), h))
-        return parts or [DbfPartition(path, "", 0, 0, Header(0, 0, 0, []))]
+        path, step = self.options["path"], int(self.options.get("bytesPerPartition", BYTES_PER_PARTITION))
+        return [DbfPartition(path, p, at, at + step) for p, size in list_files(path) for at in range(0, max(size, 1), step)] or [
+            DbfPartition(path, "", 0, 0)]
 
     def read(self, partition: DbfPartition):
-        """Parse the partition's records in chunks (bounded task memory)."""
+        """The records that begin in the partition's bytes, chunk by chunk."""
         import numpy as np
         import pyarrow as pa
 
+        if not partition.path:
+            return
         names = [f.name for f in self.schema.fields]
         lineage = self.options.get("lineage")
-        if partition.count == 0:
-            return
         fs, _ = _fs(partition.uri)
-        h = partition.header
+        h = read_header(fs, partition.path)
+        if not h.nrec or not h.record_len:
+            return
+        begun = lambda at: min(h.nrec, max(0, -(-(at - h.header_len) // h.record_len)))
+        at, stop = begun(partition.first), begun(partition.last)
         chunk = int(self.options.get("recordsPerBatch", 65_536))
         with fs.open_input_file(partition.path) as f:
-            f.seek(h.header_len + partition.start * h.record_len)
-            left = partition.count
-            while left > 0:
-                take = min(chunk, left)
+            f.seek(h.header_len + at * h.record_len)
+            while at < stop:
+                take = min(chunk, stop - at)
                 buf = f.read(take * h.record_len)
-                left -= take
-                n = len(buf) // h.record_len
-                if n == 0:
-                    break
-                rec = np.frombuffer(buf[: n * h.record_len], dtype=np.uint8).reshape(n, h.record_len)
+                if len(buf) < take * h.record_len:
+                    raise OSError(f"{partition.path}: ends in record {at + len(buf) // h.record_len} of {h.nrec}")
+                at += take
+                rec = np.frombuffer(buf, dtype=np.uint8).reshape(take, h.record_len)
                 rec = rec[rec[:, 0] == ord(" ")]
                 cols, off = {}, 1
                 for name, kind, size in h.fields:
@@ -177,7 +187,7 @@ class DbfDataSource(DataSource):
         names: list[str] = []
         # layouts drift between deliveries: the schema is the union of all
         # headers by name (case-insensitive), in order of first appearance
-        for p in files if self.options.get("mergeSchema", "true") == "true" else files[:1]:
+        for p, _ in files if self.options.get("mergeSchema", "true") == "true" else files[:1]:
             for name, _, _ in read_header(fs, p).fields:
                 if name.upper() not in {x.upper() for x in names}:
                     names.append(name)
@@ -196,11 +206,23 @@ def register(spark) -> None:
     spark.dataSource.register(DbfDataSource)
 
 
+def scan(spark, path: str, schema: str | None = None, **options):
+    """The DBF files under ``path``.  A path without a scheme is taken where
+    Spark would take it, so executors open what the driver listed."""
+    from ..session import qualified
+
+    register(spark)
+    reader = spark.read.format("dbf").options(**options)
+    return (reader.schema(schema) if schema else reader).load(qualified(spark, path))
+
+
 # --- writer (test fixtures): one DBF file per Spark partition -----------------------------
 
 def dbf_bytes(columns: dict, fields: list, deleted=None) -> bytes:
     """Encode ``columns`` (name -> list of str/None) as a dBase III file.
     ``fields`` = [(name, type, size)]; ``deleted`` = per-record bool."""
+    import pandas as pd
+
     n = len(next(iter(columns.values()))) if columns else 0
     rlen = 1 + sum(s for _, _, s in fields)
     hlen = 32 + 32 * len(fields) + 1
@@ -208,13 +230,12 @@ def dbf_bytes(columns: dict, fields: list, deleted=None) -> bytes:
     for name, kind, size in fields:
         out += struct.pack("<11sc4xBB14x", name.encode("latin1")[:11], kind.encode(), size, 0)
     out += b"\r"
-    for i in range(n):
-        out += b"*" if deleted is not None and deleted[i] else b" "
-        for name, kind, size in fields:
-            v = columns[name][i]
-            v = "" if v is None else str(v)
-            b = v.encode("latin1", "replace")[:size]
-            out += b.rjust(size) if kind in ("N", "F") else b.ljust(size)
+    flags = pd.Series(["*" if d else " " for d in deleted] if deleted is not None else [" "] * n, dtype=object)
+    lines = flags
+    for name, kind, size in fields:
+        text = pd.Series(columns[name], dtype=object).map(lambda v: "" if v is None else str(v)).str.slice(0, size)
+        lines = lines + (text.str.rjust(size) if kind in ("N", "F") else text.str.ljust(size))
+    out += "".join(lines).encode("latin1", "replace")
     out += b"\x1a"
     return bytes(out)
 

@@ -18,10 +18,15 @@ def strip_ws(c: Column) -> Column:
 
 
 def csv_text(spark: SparkSession, path, sep: str = ";", encoding: str = "UTF-8", header: bool = True,
-             quote: str = '"') -> DataFrame:
-    """Delimited text, every column a string (no inference)."""
+             quote: str = '"', multi_line: bool = False, mode: str = "FAILFAST") -> DataFrame:
+    """Delimited text, every column a string (no inference).  A quote
+    inside a quoted field is doubled, a backslash is plain text.  ``multi_line``
+    allows newlines inside quotes (such a file is read by one task).  A line
+    with too few or too many fields fails the job unless ``mode`` says
+    otherwise; columns are not pruned while parsing, so none goes unseen."""
     return (spark.read.option("sep", sep).option("header", header).option("encoding", encoding)
-            .option("inferSchema", False).option("quote", quote).option("mode", "PERMISSIVE").csv(path))
+            .option("inferSchema", False).option("quote", quote).option("escape", quote)
+            .option("multiLine", multi_line).option("columnPruning", False).option("mode", mode).csv(path))
 
 
 def header_normalize(df: DataFrame, rename: dict | None = None) -> DataFrame:
@@ -67,21 +72,23 @@ def lineage(df: DataFrame, name: str = "ARQUIVO_ORIGEM") -> DataFrame:
 
 
 def wide_matrix(spark: SparkSession, path, sep: str = ";", encoding: str = "UTF-8") -> DataFrame:
-    """A tabulation export: keep only lines with the separator (title and
-    footer notes are dropped), first kept line = header (quotes stripped),
-    the rest parsed as CSV (quotes honoured).  Empty when fewer than two
-    lines qualify."""
-    ln = lines(spark, path, encoding)
-    ln = ln.withColumn("_pos", F.monotonically_increasing_id())
-    kept = ln.filter(F.col("value").contains(sep))
-    head = kept.orderBy("_pos").limit(1).collect()
-    if not head:
-        return spark.createDataFrame([], "linha string")
-    names = [h.strip().strip('"') for h in head[0]["value"].split(sep)]
-    schema = ", ".join(f"`{n}` string" for n in names)
-    body = kept.filter(F.col("_pos") != head[0]["_pos"])
-    parsed = body.select(F.from_csv("value", schema, {"sep": sep}).alias("_r"))
-    return parsed.select(*[F.col("_r").getField(n).alias(n) for n in names])
+    """Tabulation exports, each with its own header: of a file only lines
+    with the separator count (title and footer notes are dropped), the first
+    of them is the header (quotes stripped), the others are parsed as CSV
+    (quotes honoured).  A file with fewer than two such lines adds nothing.
+    Exports are small, so each is one row until its lines are taken apart;
+    files with different headers are united by column name."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    kept = F.filter(F.split(F.decode("content", encoding), r"\r?\n"), lambda x: x.contains(sep))
+    exports = files.select(kept.alias("ls")).filter(F.size("ls") >= 2).select(F.get("ls", F.lit(0)).alias("head"), "ls")
+    out = None
+    for row in sorted(exports.select("head").distinct().collect()):  # the few layouts there are
+        names = [h.strip().strip('"') for h in row["head"].split(sep)]
+        lines_ = exports.filter(F.col("head") == row["head"]).select(F.explode(F.slice("ls", F.lit(2), F.size("ls"))).alias("value"))
+        schema = ", ".join(f"`{n}` string" for n in names)
+        parsed = lines_.select(F.from_csv("value", schema, {"sep": sep, "escape": '"'}).alias("r")).select("r.*")
+        out = parsed if out is None else out.unionByName(parsed, allowMissingColumns=True)
+    return spark.createDataFrame([], "linha string") if out is None else out
 
 
 def candidate_column(df: DataFrame, candidates, predicate) -> DataFrame:

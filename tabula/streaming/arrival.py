@@ -1,15 +1,17 @@
 """Incremental arrival of delivery files as a Structured Streaming job.
 
-``readStream`` watches the landing folder; ``trigger(availableNow=True)``
-processes whatever arrived since the last run and stops; ``foreachBatch``
-applies the curation transform and publishes with a per-file replace: the
-published table is partitioned by the lineage key and only the partitions of
-the files in the micro-batch are rewritten (dynamic partition overwrite).
-
-Idempotence comes from that key, not from the checkpoint alone: replaying a
-micro-batch after a lost executor or driver rewrites the same partitions
-with the same rows, and a re-delivered file (same name, new folder) replaces
-its earlier rows.  The checkpoint lives in the cluster's shared folder.
+The stream only tells what has arrived.  Each micro-batch notes, in a manifest
+beside the checkpoint, which files of which delivery (folder) hold which keys;
+then every key it touched is published whole: from all files of the key's
+latest delivery, wherever and whenever their parts arrived.  So
+
+* parts of one file that land in several micro-batches or passes add up,
+* of two deliveries of a key the later one wins, also within one pass,
+* a key whose rows are all filtered out loses its old rows,
+* a replayed micro-batch notes and publishes the same again.
+
+Only the touched keys' files are read and only their partitions rewritten.
+The checkpoint and the manifest live in the cluster's shared folder.
 """
 
 from __future__ import annotations
@@ -17,27 +19,47 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.merge import publish_partitioned
+from ..operators.merge import publish_replacing
 from ..session import staging_path
 
+_FILE, _TIME = "_arrival_file", "_arrival_time"
+
+
+def _stamped(df: DataFrame) -> DataFrame:
+    return df.withColumns({_FILE: F.col("_metadata.file_path"), _TIME: F.col("_metadata.file_modification_time")})
+
 
 def arrival_merge(spark: SparkSession, landing: str, schema: StructType, table: str, key: str,
                   transform: Callable[[DataFrame], DataFrame] = lambda df: df,
                   checkpoint: str | None = None, files_per_trigger: int | None = None) -> str:
     """Run one availableNow pass; returns the checkpoint location (reuse it
-    for the next pass so only new files are read)."""
+    for the next pass so only new files are read).  A delivery is a folder;
+    it is as late as its latest file of the key, then by its name."""
     checkpoint = checkpoint or staging_path(spark, "arrival-checkpoint")
+    manifest = f"{checkpoint}/manifest"
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    stream = reader.parquet(landing)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        publish_partitioned(transform(batch), table, key)
+        own = f"{manifest}/lote={batch_id}"
+        batch.groupBy(key, _FILE).agg(F.max(_TIME).alias(_TIME)).write.mode("overwrite").parquet(own)
+        noted = spark.read.parquet(manifest).drop("lote")
+        touched = spark.read.parquet(own).select(key).distinct()
+        known = noted.join(touched, key, "left_semi").withColumn("entrega", F.regexp_replace(_FILE, "/[^/]*$", ""))
+        deliveries = known.groupBy(key, "entrega").agg(F.max(_TIME).alias(_TIME))
+        latest = deliveries.groupBy(key).agg(F.max(F.struct(_TIME, "entrega")).alias("m")).select(key, "m.entrega")
+        wanted = known.join(latest, [key, "entrega"]).select(key, _FILE).distinct()
+        files = [r[0] for r in wanted.select(_FILE).distinct().collect()]  # names of this batch's deliveries
+        if not files:
+            return
+        rows = _stamped(spark.read.schema(schema).parquet(*files)).join(wanted, [key, _FILE], "left_semi")
+        publish_replacing(transform(rows.select(*schema.names)), table, key, touched)
 
-    q = (stream.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    query = (_stamped(reader.parquet(landing)).writeStream.foreachBatch(publish)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
     return checkpoint

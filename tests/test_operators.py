@@ -108,11 +108,15 @@ def test_dedupe_case_insensitive(spark):
     assert rows(A.dedupe_case_insensitive(df, "nome", "doc_id")) == [("AQSP0801.dbc", 2)]
 
 
+def _read(spark, *files):
+    return spark.createDataFrame([(f,) for f in files], "ARQUIVO_ORIGEM string")
+
+
 def test_publish_replacing_drops_emptied_files(spark, tmp_path):
     path = str(tmp_path / "r")
     M.publish_partitioned(_pub(spark).filter("ARQUIVO_ORIGEM is not null"), path, "ARQUIVO_ORIGEM")
     batch = spark.createDataFrame([(30, "A.dbc")], "id int, ARQUIVO_ORIGEM string")
-    M.publish_replacing(batch, path, "ARQUIVO_ORIGEM", ["A.dbc", "C.dbc"])  # C read, nothing kept
+    M.publish_replacing(batch, path, "ARQUIVO_ORIGEM", _read(spark, "A.dbc", "C.dbc"))  # C read, nothing kept
     assert sorted(rows(spark.read.parquet(path), "id", "ARQUIVO_ORIGEM")) == [(2, "B.dbc"), (30, "A.dbc")]
 
 
@@ -147,6 +151,25 @@ def test_lookups_start_no_job_and_carry_no_hint(spark):
     assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString()
 
 
+def test_summary_upsert_reads_each_input_once(spark, tmp_path):
+    cols = "ANO int, FONTE string, ARQUIVO string, N long"
+    old = [(2001, "PRELIM", "a", 1), (2002, "CID10", "b", 2), (None, "CID9", "x", 3), (None, "CID9", "y", 4)]
+    new = [(2001, "PRELIM", "a2", 5), (2002, "PRELIM", "b2", 6), (2003, "ZZ", "c", 7), (None, "CID9", "x", 8)]
+    for name, data in (("old", old), ("new", new)):
+        spark.createDataFrame(data, cols).write.parquet(str(tmp_path / name))
+    out = M.summary_upsert(*[spark.read.parquet(str(tmp_path / n)) for n in ("old", "new")])
+    assert sorted(rows(out), key=str) == sorted(
+        [(2001, "PRELIM", "a2", 5), (2002, "CID10", "b", 2), (2003, "ZZ", "c", 7), (None, "CID9", "x", 8), (None, "CID9", "y", 4)], key=str)
+    assert out._jdf.queryExecution().sparkPlan().toString().count("Scan parquet") == 2
+
+
+def test_published_keys_keep_their_type(spark, tmp_path):
+    path = str(tmp_path / "typed")
+    df = spark.createDataFrame([(1, "2024"), (2, "0007")], "id int, ANO string")
+    M.publish_replacing(df, path, "ANO", df)
+    assert sorted(rows(M.read_published(spark, path, df.schema))) == [(1, "2024"), (2, "0007")]
+
+
 def test_rejected_ranges_are_reported(spark):
     df = spark.createDataFrame([("358001-358003, 000001-000202, 12-345, 9-1, 7, x, ",)], "s string")
     got = sorted((r["parte"], r["motivo"]) for r in R.rejected_ranges(df, "s").collect())
@@ -235,8 +258,8 @@ def test_publish_replacing_replay_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "replay")
     M.publish_partitioned(_pub(spark).filter("ARQUIVO_ORIGEM is not null"), path, "ARQUIVO_ORIGEM")
     batch = spark.createDataFrame([(30, "A.dbc"), (31, "A.dbc")], "id int, ARQUIVO_ORIGEM string")
-    M.publish_replacing(batch, path, "ARQUIVO_ORIGEM", ["A.dbc", "C.dbc"])
+    M.publish_replacing(batch, path, "ARQUIVO_ORIGEM", _read(spark, "A.dbc", "C.dbc"))
     once = sorted(rows(spark.read.parquet(path), "id", "ARQUIVO_ORIGEM"))
-    M.publish_replacing(batch, path, "ARQUIVO_ORIGEM", ["A.dbc", "C.dbc"])  # the same batch replayed
+    M.publish_replacing(batch, path, "ARQUIVO_ORIGEM", _read(spark, "A.dbc", "C.dbc"))  # the same batch replayed
     assert sorted(rows(spark.read.parquet(path), "id", "ARQUIVO_ORIGEM")) == once == \
         [(2, "B.dbc"), (30, "A.dbc"), (31, "A.dbc")]

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabula.sources import dbf
@@ -15,8 +16,7 @@ def test_dbf_round_trip(spark, tmp_path):
     cols = {"ID": ["1", "2", "3", "4"], "NOME": ["ana", "", "José", "x"], "DT": ["20240131", "00000000", "20230230", None],
             "OK": ["T", "f", "?", "y"], "VAL": ["5.00", "2.50", "abc", ""]}
     (tmp_path / "a.dbf").write_bytes(dbf.dbf_bytes(cols, fields, [False, False, False, True]))
-    dbf.register(spark)
-    df = spark.read.format("dbf").option("lineage", "ARQUIVO_ORIGEM").option("recordsPerPartition", 2).load(str(tmp_path))
+    df = dbf.scan(spark, str(tmp_path), lineage="ARQUIVO_ORIGEM", bytesPerPartition=50)
     got = sorted(rows(df))
     assert got == [("1", "ana", "2024-01-31", "True", "5", "a.dbf"),
                    ("2", None, None, "False", "2.5", "a.dbf"),
@@ -28,8 +28,7 @@ def test_dbf_written_by_partitions(spark, tmp_path):
                                                        (F.col("id") % 10 == 0).alias("_del"))
     folder = str(tmp_path / "d")
     dbf.write_partitions(src, folder, [("ID", "N", 6)], "_del").collect()
-    dbf.register(spark)
-    df = spark.read.format("dbf").option("recordsPerPartition", 100).load(folder)
+    df = dbf.scan(spark, folder, bytesPerPartition=333)
     assert df.count() == 900 and df.agg(F.countDistinct("ID")).first()[0] == 900
 
 
@@ -60,7 +59,46 @@ def test_dbf_drifting_layouts_union_by_name(spark, tmp_path):
                       [("ID", "N", 4), ("IDADE", "C", 3), ("CAUSABAS", "C", 4)])
     (tmp_path / "a.dbf").write_bytes(a)
     (tmp_path / "b.dbf").write_bytes(b)
-    dbf.register(spark)
-    df = spark.read.format("dbf").option("lineage", "ARQUIVO_ORIGEM").load(str(tmp_path))
+    df = dbf.scan(spark, str(tmp_path), lineage="ARQUIVO_ORIGEM")
     assert df.columns == ["ID", "CAUSABAS", "IDADE", "ARQUIVO_ORIGEM"]
     assert sorted(rows(df)) == [("1", "C50", None, "a.dbf"), ("2", "C61", "460", "b.dbf")]
+
+
+def test_dbf_numbers_do_not_depend_on_their_neighbours(spark, tmp_path):
+    values = ["123456789012345678", "", "-007", "1.50", "1e3", "nan", "9" * 18]
+    (tmp_path / "n.dbf").write_bytes(dbf.dbf_bytes({"N": values}, [("N", "N", 18)]))
+    for chunk in (1, 3, 100):
+        df = dbf.scan(spark, str(tmp_path), schema="N string", recordsPerBatch=chunk)
+        assert [r[0] for r in df.collect()] == ["123456789012345678", None, "-7", "1.5", "1000", None, "9" * 18]
+
+
+def test_dbf_that_ends_early_is_an_error(spark, tmp_path):
+    data = dbf.dbf_bytes({"ID": ["1", "2", "3"]}, [("ID", "N", 6)])
+    (tmp_path / "t.dbf").write_bytes(data[:-10])
+    with pytest.raises(Exception, match="ends in record 1 of 3|ends in record 2 of 3"):
+        dbf.scan(spark, str(tmp_path), schema="ID string").collect()
+
+
+def test_dbf_planning_reads_no_header(tmp_path):
+    (tmp_path / "bad.dbf").write_bytes(b"not a table")
+    (tmp_path / "two.dbf").write_bytes(b"x" * 250)
+    reader = dbf.DbfReader({"path": str(tmp_path), "bytesPerPartition": "100"}, None)
+    assert len(reader.partitions()) == 4
+
+
+def test_csv_quotes_backslash_newline_and_broken_lines(spark, tmp_path):
+    p = tmp_path / "q.csv"
+    p.write_text('a;b\n"say ""cancer"" now";x\\\n"two\nlines";"y;z"\n')
+    assert rows(X.csv_text(spark, str(p), multi_line=True)) == [('say "cancer" now', "x\\"), ("two\nlines", "y;z")]
+    for bad in ("a;b\n1;2;3\n", "a;b\n1\n"):
+        p.write_text(bad)
+        with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+            X.csv_text(spark, str(p)).select("a").collect()
+
+
+def test_wide_matrix_of_several_exports(spark, tmp_path):
+    (tmp_path / "1.csv").write_text('Titulo\n"Linha";"2019";"Total"\n"a";"1";"9"\n')
+    (tmp_path / "2.csv").write_text('"Linha";"2020"\r\n"b;c";"2"\r\nFonte: x\r\n')
+    (tmp_path / "3.csv").write_text("no separator here\n")
+    out = X.wide_matrix(spark, str(tmp_path)).select("Linha", "2019", "2020", "Total")
+    assert sorted(rows(out)) == [("a", "1", None, "9"), ("b;c", None, "2", None)]
