@@ -10,7 +10,7 @@ broadcasts that back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import _c
@@ -51,6 +51,42 @@ def authorization_attributes(name) -> list[Column]:
             F.coalesce(ok & (year >= 2008), F.lit(False)).alias("VALIDO")]
 
 
+def facility_file_attributes(name) -> list[Column]:
+    """``HBuuAAMM.dbc`` (qualifications) and ``LTuuAAMM.dbc`` (beds) ->
+    prefix, state, period ``AAMM``."""
+    pat = r"(?i)^(HB|LT)([A-Z]{2})(\d{4})\.dbc$"
+    n = _c(name)
+    part = lambda k: F.when(n.rlike(pat), F.upper(F.regexp_extract(n, pat, k)))
+    return [part(1).alias("PREFIXO"), part(2).alias("UF"), part(3).alias("COMPETENCIA")]
+
+
+# The years for which each death-record series is taken.
+DEATH_YEARS = {"DORBR": (1979, 1995), "DOBR": (1996, None)}
+
+
+def death_file_year(name, prefix: str) -> Column:
+    """The year of ``DORBR..`` / ``DOBR..`` files, two digits by the
+    mortality pivot; null outside the series' years or for other names."""
+    n = F.upper(_c(name))
+    d = F.regexp_extract(n, f"^{prefix}(\\d+)\\.DBC$", 1)
+    year = F.when(F.length(d) == 2, two_digit_year(d, MORTALITY_PIVOT)).otherwise(d.try_cast("int"))
+    first, last = DEATH_YEARS[prefix]
+    return F.when((year >= first) & (F.lit(last is None) | (year <= F.lit(last))), year)
+
+
+def is_cancer_notification(name) -> Column:
+    """``CANC*.dbc`` files of work-related cancer notifications."""
+    n = F.upper(_c(name))
+    return F.coalesce(n.startswith("CANC") & n.endswith(".DBC"), F.lit(False))
+
+
+def content_signatures(spark: SparkSession, path) -> DataFrame:
+    """(name, path, signature) of landed files: the hash of each file's
+    bytes, taken in the tasks that read it."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("nome"), "path", F.sha2("content", 256).alias("assinatura"))
+
+
 def recency_key(name) -> Column:
     """Digits before the extension; two digits pivot at 90; other
     lengths verbatim; no digits -> the name itself."""

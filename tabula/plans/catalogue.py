@@ -1,12 +1,14 @@
 """Catalogue of published files (K2) and its audit (K3).
 
-Row counts, sizes and modification times come from the scans' hidden
-``_metadata`` columns in ONE job over all files (a union of per-folder
-scans grouped by file); nothing but file names passes through the driver.
+Spark lists the files (path, size, time; no content); row and column counts
+come from the parquet footers, read in the tasks.  So an empty table is listed
+with 0 rows, an unreadable file with null, and no data page is scanned.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,43 +19,56 @@ CATALOGUE_COLUMNS = ["ARQUIVO", "DIRETORIO", "FONTE_RELACIONADA", "DESCRICAO", "
                      "NUM_COLUNAS", "TAMANHO_BYTES", "ULTIMA_ATUALIZACAO"]
 
 
-def _label(c, by_file: dict, by_folder: dict, folder_col, default: str):
-    fm = F.create_map(*[F.lit(x) for kv in by_file.items() for x in kv]) if by_file else None
-    dm = F.create_map(*[F.lit(x) for kv in by_folder.items() for x in kv]) if by_folder else None
-    parts = []
-    if fm is not None:
-        parts.append(F.try_element_at(fm, c))
-    if dm is not None:
-        parts.append(F.try_element_at(dm, folder_col))
-    return F.coalesce(*parts, F.lit(default))
+def _mapped(mapping: dict | None, key):
+    """``mapping[key]`` as a column; null where there is none."""
+    if not mapping:
+        return F.lit(None).cast("string")
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv]), key)
+
+
+def _footers(batches):
+    """Row and column counts from each file's footer; null if it can't be read."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyarrow import fs as pafs
+
+    for b in batches:
+        rows, cols = [], []
+        for path in b.column(0).to_pylist():
+            n = c = None
+            if path.endswith(".parquet"):
+                try:
+                    fs, own = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+                    meta = pq.read_metadata(own, filesystem=fs)
+                    n, c = meta.num_rows, meta.num_columns
+                except (OSError, pa.ArrowInvalid):
+                    pass
+            rows.append(n)
+            cols.append(c)
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, pa.int64()), pa.array(cols, pa.int32())],
+                                         names=[*b.schema.names, "NUM_REGISTROS", "NUM_COLUNAS"])
 
 
 def catalogue(spark: SparkSession, tables: dict[str, str], names_by_file: dict | None = None,
               names_by_folder: dict | None = None, descriptions_by_file: dict | None = None,
-              tz: str = "America/Sao_Paulo") -> DataFrame:
-    """K2: one row per published parquet file.  ``tables`` maps a table name to
-    its path (a file or a folder of part files)."""
-    parts = []
-    for _, path in sorted(tables.items()):
-        df = spark.read.parquet(path)
-        m = F.col("_metadata")
-        parts.append(df.select(m.file_path.alias("_path"), m.file_name.alias("ARQUIVO"),
-                               m.file_size.alias("TAMANHO_BYTES"), m.file_modification_time.alias("_mtime"))
-                     .groupBy("_path", "ARQUIVO", "TAMANHO_BYTES", "_mtime")
-                     .agg(F.count(F.lit(1)).alias("NUM_REGISTROS"))
-                     .withColumn("NUM_COLUNAS", F.lit(len(df.columns))))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    u = u.filter(not_control_file("ARQUIVO"))
-    folder = F.element_at(F.split("_path", "/"), -2)
+              tz: str = "America/Sao_Paulo", descriptions_by_folder: dict | None = None) -> DataFrame:
+    """K2: one row per published file.  ``tables`` maps a table name to its
+    path (a file or a folder).  The name is the file's own, else the first of
+    the folder's names; the description is the file's own, else the folder's."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([p for _, p in sorted(tables.items())])
+              .select("path", "length", "modificationTime"))
+    spread = listed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
+    u = spread.mapInArrow(_footers, "path string, length long, modificationTime timestamp, NUM_REGISTROS long, NUM_COLUNAS int")
+    u = u.withColumn("ARQUIVO", F.element_at(F.split("path", "/"), -1)).filter(not_control_file("ARQUIVO"))
+    folder = F.element_at(F.split("path", "/"), -2)
     session_tz = spark.conf.get("spark.sql.session.timeZone")
-    local = F.from_utc_timestamp(F.to_utc_timestamp("_mtime", session_tz), tz)
+    local = F.from_utc_timestamp(F.to_utc_timestamp("modificationTime", session_tz), tz)
+    own, of_folder = _mapped(names_by_file, F.col("ARQUIVO")), _mapped(names_by_folder, folder)
+    name = F.coalesce(own, F.substring_index(of_folder, " | ", 1), F.lit(UNMAPPED))
+    text = F.coalesce(_mapped(descriptions_by_file, F.col("ARQUIVO")), _mapped(descriptions_by_folder, folder), F.lit(""))
     return u.select(
-        "ARQUIVO", folder.alias("DIRETORIO"),
-        _label(F.col("ARQUIVO"), names_by_file or {}, names_by_folder or {}, folder, UNMAPPED).alias("FONTE_RELACIONADA"),
-        _label(F.col("ARQUIVO"), descriptions_by_file or {}, {}, folder, "").alias("DESCRICAO"),
-        "NUM_REGISTROS", "NUM_COLUNAS", "TAMANHO_BYTES",
+        "ARQUIVO", folder.alias("DIRETORIO"), name.alias("FONTE_RELACIONADA"), text.alias("DESCRICAO"),
+        "NUM_REGISTROS", "NUM_COLUNAS", F.col("length").alias("TAMANHO_BYTES"),
         F.date_format(local, "dd-MM-yyyy HH:mm:ss").alias("ULTIMA_ATUALIZACAO"),
     ).orderBy("DIRETORIO", "ARQUIVO")
 
@@ -73,5 +88,6 @@ def catalogue_audit(cat: DataFrame) -> DataFrame:
 def write_catalogue(cat: DataFrame, path: str) -> None:
     """K2 output: the catalogue as one CSV with header (one row per published
     file, so a single output file is small by construction)."""
-    (cat.select(*CATALOGUE_COLUMNS).coalesce(1).write.mode("overwrite")
+    marked = cat.select(*CATALOGUE_COLUMNS).withColumnRenamed("ARQUIVO", "\ufeffARQUIVO")  # BOM: opens as UTF-8 in spreadsheets
+    (marked.coalesce(1).write.mode("overwrite")
      .option("header", True).option("encoding", "UTF-8").csv(path))

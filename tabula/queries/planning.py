@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..fixtures import VIEWS
 from ..plans import arrival as A
+from ..session import staging_path
 from .registry import query
 
 PAT = "(?i)^(AQ|AR|AM)([A-Z]{2})([0-9]{2})([0-9]{2})\\.dbc$"
@@ -159,3 +161,40 @@ def listing_diff(t):
     r = (t("listing").filter(F.col("doc_id") % 8 != 1).groupBy(F.upper("nome").alias("k"))
          .agg(F.max("tamanho").alias("s")))
     return A.listing_diff(r, t("manifesto"), "k", "s", "chave", "assinatura")
+
+
+_NAMES = """select doc_id, case doc_id % 6 when 0 then 'HB' || upper(lang) || lpad(cast(doc_id % 100 as string), 2, '0') || '01.dbc'
+  when 1 then 'lt' || lang || '24' || lpad(cast(doc_id % 12 as string), 2, '0') || '.DBC'
+  when 2 then 'DORBR' || lpad(cast(doc_id % 100 as string), 2, '0') || '.dbc' when 3 then 'DOBR' || cast(1990 + doc_id % 40 as string) || '.dbc'
+  when 4 then 'cancBR' || cast(doc_id % 10 as string) || '.dbc' else 'DORBRXX.dbc' end as nome from {documents}"""
+VIEWS.setdefault("nomes_fontes", _NAMES)
+
+
+@query("filename_attributes_sources", """select doc_id, nome,
+  case when regexp_matches(upper(nome), '^(HB|LT)[A-Z]{2}[0-9]{4}[.]DBC$') then substr(upper(nome), 1, 2) end as PREFIXO,
+  case when regexp_matches(upper(nome), '^(HB|LT)[A-Z]{2}[0-9]{4}[.]DBC$') then substr(upper(nome), 3, 2) end as UF,
+  case when regexp_matches(upper(nome), '^(HB|LT)[A-Z]{2}[0-9]{4}[.]DBC$') then substr(nome, 5, 4) end as COMPETENCIA,
+  case when doc_id % 6 = 2 and doc_id % 100 between 79 and 95 then cast(1900 + doc_id % 100 as integer) end as ANO_CID9,
+  case when doc_id % 6 = 3 and doc_id % 40 >= 6 then cast(1990 + doc_id % 40 as integer) end as ANO_CID10,
+  doc_id % 6 = 4 as NOTIFICACAO_CANCER from nomes_fontes""", ["nomes_fontes"])
+def filename_attributes_sources(t):
+    """State and period of facility files, valid years of the death-record
+    series, cancer notification files."""
+    return t("nomes_fontes").select(
+        "doc_id", "nome", *A.facility_file_attributes("nome"), A.death_file_year("nome", "DORBR").alias("ANO_CID9"),
+        A.death_file_year("nome", "DOBR").alias("ANO_CID10"), A.is_cancer_notification("nome").alias("NOTIFICACAO_CANCER"))
+
+
+@query("changed_by_content", """select s_suppkey, sha256(s_name || chr(10)) as assinatura, s_suppkey % 3 = 0 as ALTERADO from supplier""")
+def changed_by_content(t):
+    """One landed file per supplier; its signature is the hash of the
+    file's bytes, compared with a manifest that is stale for every third."""
+    path = staging_path(t.spark, "content")
+    s = t("supplier").select("s_suppkey", "s_name")
+    s.select("s_suppkey", F.col("s_name").alias("value")).write.partitionBy("s_suppkey").text(path)
+    key = F.regexp_extract("path", "s_suppkey=([0-9]+)", 1)
+    landed = A.content_signatures(t.spark, path).select(key.alias("nome"), "assinatura")
+    stale = F.when(F.col("s_suppkey") % 3 == 0, F.lit("antigo")).otherwise(F.col("s_name"))
+    manifest = s.select(F.col("s_suppkey").cast("string").alias("chave"), F.sha2(F.concat(stale, F.lit("\n")), 256).alias("assinatura"))
+    out = A.changed_by_signature(landed, manifest, "nome", "assinatura")
+    return out.select(F.col("nome").cast("long").alias("s_suppkey"), "assinatura", "ALTERADO")

@@ -263,3 +263,24 @@ def test_publish_replacing_replay_is_idempotent(spark, tmp_path):
     M.publish_replacing(batch, path, "ARQUIVO_ORIGEM", _read(spark, "A.dbc", "C.dbc"))  # the same batch replayed
     assert sorted(rows(spark.read.parquet(path), "id", "ARQUIVO_ORIGEM")) == once == \
         [(2, "B.dbc"), (30, "A.dbc"), (31, "A.dbc")]
+
+
+def test_catalogue_of_empty_unreadable_and_other_files(spark, tmp_path):
+    from tabula.plans import catalogue as K
+
+    spark.createDataFrame([], "a int, b string").coalesce(1).write.parquet(str(tmp_path / "vazia"))
+    (tmp_path / "ruim").mkdir()
+    (tmp_path / "ruim" / "x.parquet").write_bytes(b"not parquet")
+    (tmp_path / "ruim" / "y.csv").write_text("a;b")
+    cat = K.catalogue(spark, {"v": str(tmp_path / "vazia"), "r": str(tmp_path / "ruim")}, {"y.csv": "Só este"},
+                      {"ruim": "Fonte 1 | Fonte 2"}, {"y.csv": "texto"}, descriptions_by_folder={"ruim": "da pasta"})
+    got = {(r["DIRETORIO"], r["ARQUIVO"][-9:]): r for r in cat.collect()}
+    empty = next(r for (d, _), r in got.items() if d == "vazia")
+    assert (empty["NUM_REGISTROS"], empty["NUM_COLUNAS"], empty["FONTE_RELACIONADA"]) == (0, 2, K.UNMAPPED)
+    bad, other = got["ruim", "x.parquet"], got["ruim", "y.csv"]
+    assert bad["NUM_REGISTROS"] is None and (bad["FONTE_RELACIONADA"], bad["DESCRICAO"]) == ("Fonte 1", "da pasta")
+    assert other["NUM_REGISTROS"] is None and (other["FONTE_RELACIONADA"], other["DESCRICAO"]) == ("Só este", "texto")
+    assert K.catalogue_audit(cat).first()["ARQUIVOS_SEM_METADADOS"] == 2
+    K.write_catalogue(cat, str(tmp_path / "csv"))
+    data = next((tmp_path / "csv").glob("*.csv")).read_bytes()
+    assert data.startswith("\ufeffARQUIVO".encode())
