@@ -102,7 +102,7 @@ def beds_by_facility(beds: DataFrame) -> DataFrame | None:
     t = F.trim(_q(q))
     num = F.when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), t.try_cast("double"))
     return (beds.select(facility_code(_q(k)).alias("CNES"), num.alias("_q"))
-            .groupBy("CNES").agg(R.sum_all_null("_q").alias("TOTAL_LEITOS_CNES")))
+            .groupBy("CNES").agg(F.bround(R.sum_all_null("_q")).cast("bigint").alias("TOTAL_LEITOS_CNES")))
 
 
 def curate_facilities(hab: DataFrame, registry: DataFrame | None, beds: DataFrame | None) -> DataFrame:
@@ -122,8 +122,6 @@ def curate_facilities(hab: DataFrame, registry: DataFrame | None, beds: DataFram
     df = df.select(*[_q(c).alias(c.upper()) for c in df.columns])
     if "COD_TIPO_UNIDADE" in df.columns:
         df = df.withColumn("TIPO_UNIDADE", decode_padded("COD_TIPO_UNIDADE", UNIT_TYPE, 2))
-    if "TOTAL_LEITOS_CNES" in df.columns:
-        df = df.withColumn("TOTAL_LEITOS_CNES", F.bround("TOTAL_LEITOS_CNES").cast("bigint"))
     for c in FLAG_COLUMNS:
         if c in df.columns:
             df = df.withColumn(c, flag_yes_no(c))

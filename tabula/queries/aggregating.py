@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import effective_key, is_blank, zero_pad
 from ..functions.domains import ONCO_QUALIFICATIONS
 from ..operators import filters as fl
 from ..operators import rollups as ro
+from ..plans import facilities as FA
 from . import sqlbits as S
 from .registry import query
 
@@ -75,41 +75,14 @@ BEDS_SQL = f"""select coalesce({S.pad('trim(cnes)', 7)}, '') as CNES,
 from leitos group by 1"""
 
 
-def beds_by_facility(leitos):
-    """A2: numeric beds per normalised facility code; null when none valid."""
-    q = F.trim("qt_exist")
-    num = F.when(q.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)$"), q.try_cast("double"))
-    return (leitos.select(zero_pad(F.trim("cnes"), 7, null_as_empty=True).alias("CNES"), num.alias("_q"))
-            .groupBy("CNES").agg(F.round(ro.sum_all_null("_q")).cast("bigint").alias("TOTAL_LEITOS_CNES")))
-
-
 @query("sum_all_null", BEDS_SQL, ["leitos"])
 def sum_all_null(t):
     """A2: sum of valid values per key, null when every value is invalid."""
-    return beds_by_facility(t("leitos"))
+    return FA.beds_by_facility(t("leitos"))
 
 
 # --- A1: facility rollup --------------------------------------------------------------
 
-def qualification_rollup(hab):
-    """F5 filter, then A1 per normalised facility code."""
-    h = fl.keep(hab, fl.code_set_tolerant("sgruphab", QUAL_CODES))
-    norm = fl.normalized_code("sgruphab")
-    from ..functions.domains import lookup
-    label = F.coalesce(lookup(QUAL_LABEL, norm),
-                       F.concat(F.lit("Código "), F.trim("sgruphab"), F.lit(" (não catalogado)")))
-    h = h.select(zero_pad(F.trim("cnes"), 7, null_as_empty=True).alias("CNES"),
-                 label.alias("_label"), norm.isin(QUAL_PAED).alias("_paed"),
-                 F.col("portaria"), F.col("dtportar"))
-    return h.groupBy("CNES").agg(
-        F.bool_or("_paed").alias("TEM_ONCOLOGIA_PEDIATRICA"),
-        F.count("_label").alias("QTD_HABILITACOES_ONCOLOGIA"),
-        ro.sorted_distinct_list("_label").alias("HABILITACOES_ONCOLOGIA"),
-        ro.sorted_distinct_list("portaria", skip_blank=True).alias("PORTARIAS"),
-        F.min("dtportar").alias("DATA_PORTARIA_MAIS_ANTIGA"),
-    )
-
-
 def _qual_label_sql(c):
     return f"coalesce({S.lookup(QUAL_LABEL, S.norm4(c))}, 'Código ' || trim({c}) || ' (não catalogado)')"
 
@@ -126,25 +99,25 @@ from hab where {S.f5('sgruphab', QUAL_CODES)} group by 1"""
 @query("facility_rollup", FACILITY_SQL, ["hab"])
 def facility_rollup(t):
     """A1: any(paediatric), count, sorted distinct lists, text min."""
-    return qualification_rollup(t("hab"))
+    return FA.rollup_qualifications(t("hab"))
 
 
 # --- A3: rollup by effective key ------------------------------------------------------
 
-def effective_key_rollup_frame(estab, beds=None):
-    """C17 then A3: facilities grouped by effective registry key."""
-    key, via_parent = effective_key("cnpj", "cnpj_mantenedora")
-    e = estab.select("*", key.alias("_key"), via_parent.alias("_via"))
-    e = e.filter(~is_blank("_key"))
-    order = F.col("co_cnes")
-    return e.groupBy("_key").agg(
-        F.bool_or(F.col("st_flag") == "1").alias("CNES_TEM_ONCOLOGIA_PEDIATRICA"),
-        ro.first_non_null("no_fantasia", order).alias("CNES_NOME_FANTASIA"),
-        ro.first_non_null("tp_unidade", order).alias("CNES_TIPO_UNIDADE"),
-        ro.sorted_distinct_list("no_fantasia").alias("CNES_NOMES"),
-        F.count(F.lit(1)).alias("CNES_QTD_UNIDADES_VINCULADAS"),
-        F.bool_or("_via").alias("CNES_VIA_CNPJ_MANTENEDORA"),
-    ).withColumnRenamed("_key", "CNPJ_EFETIVO")
+def effective_key_rollup_frame(estab):
+    """C17 then A3 by the library's rollup: the registry's columns under the
+    names it expects (the type stands in for the company name, the names for
+    the qualifications)."""
+    fac = estab.select(
+        F.col("co_cnes").alias("COD_CNES"), F.col("cnpj").alias("CNPJ"), F.col("cnpj_mantenedora").alias("CNPJ_MANTENEDORA"),
+        (F.col("st_flag") == "1").alias("TEM_ONCOLOGIA_PEDIATRICA"), F.col("no_fantasia").alias("NOME_FANTASIA"),
+        F.col("tp_unidade").alias("RAZAO_SOCIAL"), F.col("no_fantasia").alias("HABILITACOES_ONCOLOGIA"),
+        F.lit(None).cast("bigint").alias("TOTAL_LEITOS_CNES"))
+    k = FA.facilities_by_effective_key(fac)
+    return k.select(
+        F.col("_CNPJ_EFETIVO").alias("CNPJ_EFETIVO"), "CNES_TEM_ONCOLOGIA_PEDIATRICA", "CNES_NOME_FANTASIA",
+        F.col("CNES_RAZAO_SOCIAL").alias("CNES_TIPO_UNIDADE"), F.col("CNES_HABILITACOES").alias("CNES_NOMES"),
+        "CNES_QTD_UNIDADES_VINCULADAS", "CNES_VIA_CNPJ_MANTENEDORA")
 
 
 EKEY = "case when not (cnpj is null or trim(cnpj) = '') then cnpj else cnpj_mantenedora end"

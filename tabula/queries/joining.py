@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import icd_key, municipality_code6, zero_pad
 from ..operators import lookups as L
 from . import sqlbits as S
-from .aggregating import EKEY_ROLLUP_SQL, FACILITY_SQL, effective_key_rollup_frame, qualification_rollup
+from ..plans.facilities import rollup_qualifications
+from .aggregating import EKEY_ROLLUP_SQL, FACILITY_SQL, effective_key_rollup_frame
 from .registry import query
 
 
@@ -71,7 +72,7 @@ select f.CNES, f.QTD_HABILITACOES_ONCOLOGIA, e.no_fantasia as NOME_FANTASIA, e.c
   e.co_cnes7 is not null as ENCONTRADO_NO_CNES from f left join e on f.CNES = e.co_cnes7""", ["hab", "estab"])
 def enrich_found_flag(t):
     """Right side deduped by key, left join, found flag, rows never multiplied."""
-    f = qualification_rollup(t("hab")).select("CNES", "QTD_HABILITACOES_ONCOLOGIA")
+    f = rollup_qualifications(t("hab")).select("CNES", "QTD_HABILITACOES_ONCOLOGIA")
     j = L.enrich_found_flag(f, "CNES", _estab_norm(t), "co_cnes7", "ENCONTRADO_NO_CNES", ["no_fantasia", "cnpj"])
     return j.select("CNES", "QTD_HABILITACOES_ONCOLOGIA", F.col("no_fantasia").alias("NOME_FANTASIA"),
                     F.col("cnpj").alias("CNPJ"), "ENCONTRADO_NO_CNES")
