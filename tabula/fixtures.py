@@ -51,7 +51,11 @@ from {orders}""",
   cast(rec_id % 6 as string) as RACACOR, cast(rec_id % 7 as string) as ESTCIV,
   lpad(cast(rec_id % 13 as string), 2, '0') as ESCFALAGR1, cast(rec_id % 8 as string) as LOCOCOR,
   case when rec_id % 9 = 0 then 'None' else cast(rec_id % 3 as string) end as ASSISTMED,
-  '1' as TPPOS, cast(rec_id % 4 as string) as OBITOGRAV, arquivo_origem as ARQUIVO_ORIGEM
+  '1' as TPPOS, cast(rec_id % 4 as string) as OBITOGRAV, cast(rec_id % 5 as string) as OBITOPUERP,
+  '0101' || cast(1930 + rec_id % 60 as string) as DTNASC, lpad(cast(rec_id % 300 as string), 4, '0') as ETNIA,
+  munres as CODMUNOCOR, cast(rec_id % 4 as string) as TIPOBITO, cast(rec_id % 3 as string) as EXAME,
+  cast(rec_id % 10 as string) as CIRURGIA, case when rec_id % 8 = 0 then 'nan' else cast(rec_id % 3 as string) end as NECROPSIA,
+  cast(rec_id % 7 as string) as ATESTANTE, arquivo_origem as ARQUIVO_ORIGEM
 from {rec}""",
     "sim_do_old": """select cast(rec_id as string) as contador, causa9 as CAUSABAS, idade as IDADE, dataobito as DATAOBITO,
   munres as MUNIRES, sexo as SEXO, naturalidade as NATUR, ocup as OCUPACAO,
@@ -105,6 +109,12 @@ def _auth_view(prefix: str) -> str:
   substr(dtobito, 5, 4) || substr(dtobito, 3, 2) as AP_CMP, '0304' || lpad(cast(rec_id % 100 as string), 6, '0') as AP_PRIPAL,
   cast(rec_id % 1000 as string) || '.50' as AP_VL_AP, munres as AP_UFMUN, cast(rec_id % 3 as string) as AP_SEXO,
   lpad(cast(rec_id % 7 as string), 2, '0') as AP_RACACOR, cast(rec_id % 4 as string) as AP_TPAPAC,
+  'J' || cast(rec_id % 30 as string) as AP_CNPJCPF, ' M' || cast(rec_id % 6 as string) || ' ' as AP_CNPJMNT,
+  cast(rec_id % 5 as string) as AP_COIDADE, munres as AP_MUNPCN, lpad(cast(rec_id % 400 as string), 3, '0') as AP_UFNACIO,
+  lpad(cast(rec_id % 99999 as string), 8, '0') as AP_CEPPCN, dtobito as AP_DTINIC, case when rec_id % 7 = 0 then 'NaN' else dtobito end as AP_DTFIM,
+  lpad(cast(rec_id % 40 as string), 2, '0') as AP_TPATEN, lpad(cast(rec_id % 6 as string), 2, '0') as AP_CATEND,
+  case when rec_id % 4 = 0 then '' else causabas end as AP_CIDCAS, dtobito as AP_DTSOLIC, dtobito as AP_DTAUT,
+  cast(1000 + rec_id % 9 as string) as AP_NATJUR,
   causabas as AP_CIDPRI, causa9 as AP_CIDSEC, ocup as AP_NUIDADE, 'CNS' || cast(rec_id as string) as AP_CNSPCN,
   causabas as XX_CID10, cast(rec_id % 6 as string) as XX_ESTADI, substr('SN3X', cast(rec_id % 4 as int) + 1, 1) as XX_LINFIN,
   cast(rec_id % 4 as string) as XX_GRAHIS, substr('SNX', cast(rec_id % 3 as int) + 1, 1) as XX_TRANTE, dtobito as XX_DTIDEN,
@@ -172,7 +182,14 @@ VIEWS["estab_reg"] = """select co_cnes as CO_CNES, cnpj as NU_CNPJ, cnpj_mantene
   lpad(cast(cast(co_cnes as int) % 27 as string), 2, '0') as CO_UF, cast(100000 + cast(co_cnes as int) % 25 as string) as CO_IBGE,
   'RUA ' || co_cnes as NO_LOGRADOURO, '-23.' || lpad(cast(cast(co_cnes as int) % 1000 as string), 3, '0') as NU_LATITUDE,
   tp_unidade as TP_UNIDADE, st_flag as ST_CENTRO_CIRURGICO,
-  substr('SN1 ', cast(cast(co_cnes as int) % 4 as int) + 1, 1) as ST_ATEND_HOSPITALAR
+  substr('SN1 ', cast(cast(co_cnes as int) % 4 as int) + 1, 1) as ST_ATEND_HOSPITALAR,
+  lpad(cast(cast(co_cnes as int) % 9999 as string), 8, '0') as CO_CEP, cast(cast(co_cnes as int) % 500 as string) as NU_ENDERECO,
+  'BAIRRO ' || co_cnes as NO_BAIRRO, '-46.' || co_cnes as NU_LONGITUDE, '11 ' || co_cnes as NU_TELEFONE,
+  'c' || co_cnes || '@x.example' as NO_EMAIL, cast(1000 + cast(co_cnes as int) % 9 as string) as CO_NATUREZA_JUR,
+  cast(cast(co_cnes as int) % 3 as string) as CO_ESFERA_ADMINISTRATIVA, 'ESFERA ' || tp_unidade as DS_ESFERA_ADMINISTRATIVA,
+  st_flag as ST_CENTRO_OBSTETRICO, substr('01SN', cast(cast(co_cnes as int) % 4 as int) + 1, 1) as ST_CENTRO_NEONATAL,
+  substr('NS', cast(cast(co_cnes as int) % 2 as int) + 1, 1) as ST_SERVICO_APOIO, ' s ' as ST_ATEND_AMBULATORIAL,
+  'CPF' || co_cnes as NU_CPF, 'M' as CO_MOTIVO_DESAB
 from {estab}"""
 VIEWS["geo_saude"] = """select cast(n_nationkey + 1000 as string) as cod_municipio, cast(n_regionkey as string) as cod_macro,
   'MACRO ' || cast(n_regionkey as string) as macro, n_name as no_municipio, cast(n_nationkey * 1000 as string) as populacao

@@ -50,7 +50,11 @@ left join ref_pais rp on substr(b.NAT, 1, 1) <> '8' and b.NAT = rp.codigo
 left join ref_sin rs on {_muni('b.MUNI')} = rs.antigo"""
 
 
-MODERN_SQL = f"""with l as (select {', '.join(f'{_nt(c)} as {c}' for c in ['CONTADOR', 'CAUSABAS', 'IDADE', 'DTOBITO', 'CODMUNRES', 'SEXO', 'NATUR', 'OCUP', 'RACACOR', 'ESTCIV', 'ESCFALAGR1', 'LOCOCOR', 'ASSISTMED', 'OBITOGRAV', 'ARQUIVO_ORIGEM'])} from sim_do),
+def _modern(c):
+    return _dec(f'b.{c}', MORTALITY_MODERN[c]) if c in MORTALITY_MODERN else f'b.{c}'
+
+
+MODERN_SQL = f"""with l as (select {', '.join(f'{_nt(c)} as {c}' for c in ['CONTADOR', 'CAUSABAS', 'IDADE', 'DTOBITO', 'CODMUNRES', 'SEXO', 'NATUR', 'OCUP', 'RACACOR', 'ESTCIV', 'ESCFALAGR1', 'LOCOCOR', 'ASSISTMED', 'OBITOGRAV', 'OBITOPUERP', 'DTNASC', 'ETNIA', 'CODMUNOCOR', 'TIPOBITO', 'EXAME', 'CIRURGIA', 'NECROPSIA', 'ATESTANTE', 'ARQUIVO_ORIGEM'])} from sim_do),
 b as (select *, NATUR as NAT, CODMUNRES as MUNI from l where {S.f1('CAUSABAS')}),
 ref_icd_x as (select * from ref_icd)
 select b.CONTADOR as ID_REGISTRO, b.CAUSABAS as CAUSA_BASICA, rc.descricao as CAUSA_BASICA_DESCRICAO,
@@ -66,6 +70,9 @@ select b.CONTADOR as ID_REGISTRO, b.CAUSABAS as CAUSA_BASICA, rc.descricao as CA
   {_dec('b.LOCOCOR', MORTALITY_MODERN['LOCOCOR'])} as LOCAL_OCORRENCIA,
   {_dec('b.ASSISTMED', MORTALITY_MODERN['ASSISTMED'])} as ASSISTENCIA_MEDICA,
   {_dec('b.OBITOGRAV', MORTALITY_MODERN['OBITOGRAV'])} as OBITO_NA_GRAVIDEZ,
+  {_modern('OBITOPUERP')} as OBITO_NO_PUERPERIO, {_modern('DTNASC')} as DATA_NASCIMENTO, {_modern('ETNIA')} as ETNIA_INDIGENA,
+  {_modern('CODMUNOCOR')} as COD_MUNICIPIO_OCORRENCIA, {_modern('TIPOBITO')} as TIPO_OBITO, {_modern('EXAME')} as TEVE_EXAME,
+  {_modern('CIRURGIA')} as TEVE_CIRURGIA, {_modern('NECROPSIA')} as TEVE_NECROPSIA, {_modern('ATESTANTE')} as MEDICO_ATESTANTE,
   b.ARQUIVO_ORIGEM
 from b {_labels("replace(b.CAUSABAS, '.', '')")}"""
 
@@ -167,19 +174,19 @@ def curate_panel(t):
     return OP.curate_panel(t("painel"), t("ref_cid10"))
 
 
-@query("curate_chemo", spec_sql(OP.CHEMO, "apac_aq", _cols("apac_aq"), _REFS), ["apac_aq", "ref_cid10"])
+@query("curate_chemo", spec_sql(OP.CHEMO, "apac_aq", _cols("apac_aq"), _REFS, landing=True), ["apac_aq", "ref_cid10"])
 def curate_chemo(t):
     """Chemotherapy authorizations: header block, oncology block, scheme."""
     return OP.curate_chemo(t("apac_aq"), t("ref_cid10"))
 
 
-@query("curate_radio", spec_sql(OP.RADIO, "apac_ar", _cols("apac_ar"), _REFS), ["apac_ar", "ref_cid10"])
+@query("curate_radio", spec_sql(OP.RADIO, "apac_ar", _cols("apac_ar"), _REFS, landing=True), ["apac_ar", "ref_cid10"])
 def curate_radio(t):
     """Radiotherapy authorizations: header, oncology block, purpose."""
     return OP.curate_radio(t("apac_ar"), t("ref_cid10"))
 
 
-@query("curate_drugs", spec_sql(OP.DRUGS, "apac_am", _cols("apac_am"), _REFS, where=S.f4("b.AP_CIDPRI")),
+@query("curate_drugs", spec_sql(OP.DRUGS, "apac_am", _cols("apac_am"), _REFS, where=S.f4("b.AP_CIDPRI"), landing=True),
        ["apac_am", "ref_cid10"])
 def curate_drugs(t):
     """Drug authorizations: F4 on the main diagnosis, header, weight/height."""
@@ -235,6 +242,11 @@ select i.CNES as COD_CNES, r.NO_RAZAO_SOCIAL as RAZAO_SOCIAL, r.NO_FANTASIA as N
   cast(round_even(b.T, 0) as bigint) as TOTAL_LEITOS_CNES,
   {_flag_sql('r.ST_CENTRO_CIRURGICO')} as TEM_CENTRO_CIRURGICO,
   {_flag_sql('r.ST_ATEND_HOSPITALAR')} as TEM_ATENDIMENTO_HOSPITALAR,
+  {_flag_sql('r.ST_CENTRO_OBSTETRICO')} as TEM_CENTRO_OBSTETRICO, {_flag_sql('r.ST_CENTRO_NEONATAL')} as TEM_CENTRO_NEONATAL,
+  {_flag_sql('r.ST_SERVICO_APOIO')} as TEM_SERVICO_APOIO, {_flag_sql('r.ST_ATEND_AMBULATORIAL')} as TEM_ATENDIMENTO_AMBULATORIAL,
+  r.CO_CEP as CEP, r.NU_ENDERECO as NUMERO_ENDERECO, r.NO_BAIRRO as BAIRRO, r.NU_LONGITUDE as LONGITUDE, r.NU_TELEFONE as TELEFONE,
+  r.NO_EMAIL as EMAIL, r.CO_NATUREZA_JUR as COD_NATUREZA_JURIDICA, r.CO_ESFERA_ADMINISTRATIVA as COD_ESFERA_ADMINISTRATIVA,
+  r.DS_ESFERA_ADMINISTRATIVA as ESFERA_ADMINISTRATIVA,
   r.CO_IBGE as COD_MUNICIPIO, r.CO_UF as COD_UF, r.NO_LOGRADOURO as LOGRADOURO, r.NU_LATITUDE as LATITUDE,
   r.K is not null as ENCONTRADO_NO_CNES
 from inst i left join reg r on i.CNES = r.K left join beds b on i.CNES = b.CNES"""
@@ -245,17 +257,8 @@ def _facilities(t):
 
 
 def _published_facilities(t):
-    """The facilities table as published (written once to the shared
-    folder, then read back), as later flows read it; the write also cuts the
-    lineage so size checks and joins do not recompute the flow."""
-    if "_published_facilities" not in t._cache:
-        from ..operators import merge as _M
-        from ..session import staging_path as _sp
-
-        path = _sp(t.spark, "facilities")
-        _M.publish(_facilities(t), path)
-        t._cache["_published_facilities"] = t.spark.read.parquet(path)
-    return t._cache["_published_facilities"]
+    """The facilities table as later flows read it: a lazy part of their plan."""
+    return _facilities(t)
 
 
 @query("curate_facilities", FACILITIES_SQL, ["hab", "estab_reg", "leitos"])
@@ -279,8 +282,7 @@ k as (select {_EK} as KEY, bool_or(TEM_ONCOLOGIA_PEDIATRICA) as CNES_TEM_ONCOLOG
   string_agg(distinct HABILITACOES_ONCOLOGIA, '; ' order by HABILITACOES_ONCOLOGIA) as CNES_HABILITACOES,
   count(*) as CNES_QTD_UNIDADES_VINCULADAS, cast(sum(TOTAL_LEITOS_CNES) as bigint) as CNES_TOTAL_LEITOS,
   {_first('COD_UF')} as CNES_COD_UF, {_first('COD_MUNICIPIO')} as CNES_COD_MUNICIPIO,
-  {_first('LOGRADOURO')} as CNES_LOGRADOURO, {_first('LATITUDE')} as CNES_LATITUDE,
-  cast(null as varchar) as CNES_LONGITUDE,
+  {_first('LOGRADOURO')} as CNES_LOGRADOURO, {_first('LATITUDE')} as CNES_LATITUDE, {_first('LONGITUDE')} as CNES_LONGITUDE,
   bool_or({S.blank('CNPJ')} and not {S.blank('CNPJ_MANTENEDORA')}) as CNES_VIA_CNPJ_MANTENEDORA
   from fac where not {S.blank(_EK)} group by 1),
 g as (select num as NUM_CONVENIO, objeto as "{FA.GRANT_TEXT}", convenente as "{FA.GRANT_KEY}" from convenios

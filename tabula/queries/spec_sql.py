@@ -12,6 +12,9 @@ from ..functions import columns as C
 from ..plans.projection import Derived, Keep, Label, Pair, Rename
 from . import sqlbits as S
 
+# What stands for "missing" in a landed text.
+_TOKENS = "'None', 'nan', 'NaN', 'NaT', '<NA>', ''"
+
 DERIVED_SQL = {
     id(C.age_sentinel): lambda c: f"case when trim({c}) = '999' then null else {S.int_text(f'trim({c})')} end",
     id(F.trim): lambda c: f"trim({c})",
@@ -21,14 +24,15 @@ DERIVED_SQL = {
 }
 
 
-def spec_sql(spec, view: str, columns: list[str], refs: dict, where: str | None = None) -> str:
+def spec_sql(spec, view: str, columns: list[str], refs: dict, where: str | None = None,
+             landing: bool = False) -> str:
     """``columns``: source columns present in ``view``; ``refs``: name -> view."""
     have = {c.upper() for c in columns}
     sel, names, joins, firsts = {}, [], [], []
     for s in spec.steps:
         if s.src.upper() not in have:
             continue
-        c = f"b.{s.src}"
+        c = f"(case when b.{s.src} in ({_TOKENS}) then null else b.{s.src} end)" if landing else f"b.{s.src}"
         if isinstance(s, Rename):
             sel[s.dst] = f"trim({c})"; names.append(s.dst)
         elif isinstance(s, Keep):
