@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import python_ready, spread, stage, table
-from .subwords import WordEncoder, slices
+from .subwords import WordEncoder, shared, slices
 
 CAPACITY = 2048
 END_ID = 0
@@ -48,12 +48,12 @@ def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> Dat
     python_ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(vocabulary)
+        encoder = shared(WordEncoder, vocabulary)
         end = np.array([END_ID], dtype="<u4").tobytes()
         for part in slices(batches):
             row, piece, start, length, crc = [], [], [], [], []
-            for k, blob in enumerate(encoder.blobs([t or "" for t in part.column(1).to_pylist()])):
-                blob += end
+            for k, text in enumerate(part.column(1).to_pylist()):
+                blob = encoder.blob(text or "") + end
                 for p, at in enumerate(range(0, len(blob), 4 * capacity)):
                     ids = blob[at : at + 4 * capacity]
                     row.append(k)

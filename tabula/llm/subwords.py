@@ -11,11 +11,12 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from struct import pack
 
-import numpy as np
 import pyarrow as pa
 
-CACHE_LIMIT = 150_000
+CACHE_LIMIT = 600_000  # about 200 bytes an entry
 ROWS_AT_ONCE = 128
 #: Up to here (Latin letters) lower-casing and composition work per character.
 SIMPLE = re.compile("[\x00-į]*").fullmatch
@@ -28,6 +29,12 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=2)
+def shared(make: Callable, path: str):
+    """One encoder per worker process: its caches stay warm from task to task."""
+    return make(path)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Iterator[pa.RecordBatch]:
     """Small pieces of the Arrow batches, so that few texts are Python objects at once."""
     for batch in batches:
@@ -35,28 +42,25 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Itera
             yield batch.slice(at, rows)
 
 
-class Recent:
+class Recent(dict):
     """Values by key, made on demand; two generations of ``limit`` keys stay."""
 
-    def __init__(self, make: Callable[[list], list], limit: int = CACHE_LIMIT):
-        self.make, self.limit = make, limit
-        self.new: dict = {}
-        self.old: dict = {}
-
-    def having(self, keys: set) -> dict:
-        """A dictionary that holds at least ``keys``."""
-        if len(self.new) > self.limit:
-            self.old, self.new = self.new, {}
-        new, missing = self.new, []
-        for k in keys.difference(new):
-            v = self.old.get(k)
-            if v is None:
-                missing.append(k)
-            else:
-                new[k] = v
-        if missing:
-            new.update(zip(missing, self.make(missing)))
-        return new
+    def __init__(self, make: Callable, limit: int = CACHE_LIMIT):
+        super().__init__()
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+    def age(self) -> None:
+        """To be called now and then: the last generation gives way when this one is full."""
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
 
 
 def byte_letters() -> list[str]:
@@ -75,6 +79,12 @@ def spelled(data: bytes) -> str:
     return data.decode("latin-1").translate(_LETTERS)
 
 
+#: A stop or comma after a letter and before white space or the end is a
+#: pre-token of its own; cut off, it leaves a word that recurs.
+_LOWER_STOP = re.compile(r"(?<=[a-z\xdf-\xf6\xf8-\xff])([.,])(?=[ \n\t]|\Z)").sub
+_STOP = re.compile(r"(?<=[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff])([.,])(?=\x00|\Z)").sub
+
+
 class WordEncoder:
     """Ids of whole texts for a vocabulary that drops white space
     (``word_bpe_49k``): pre-tokens, normalisation and special strings never
@@ -85,41 +95,40 @@ class WordEncoder:
         import regex
 
         self.tokenizer = load_tokenizer(path)
+        self.merge = self.tokenizer.model.tokenize
         # fixed value: the vocabulary's own pattern
         self.parts = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-        self.chunks = Recent(self._encode, limit)
-        self.pre_tokens = Recent(self._merge, limit)
+        self.simple = Recent(self._simple, limit)
+        self.other = Recent(self._other, limit // 8)
 
-    def _merge(self, pre_tokens: list[str]) -> list[bytes]:
-        run = self.tokenizer.model.tokenize
-        return [np.array([t.id for t in run(spelled(p.encode()))], dtype="<u4").tobytes() for p in pre_tokens]
+    def _simple(self, chunk: str) -> bytes:
+        parts = [chunk] if chunk.isalpha() else self.parts(chunk)
+        ids = [t.id for p in parts for t in self.merge(spelled(p.encode()))]
+        return pack(f"<{len(ids)}I", *ids)
 
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        out: dict[str, bytes] = {}
-        simple = {c: self.parts(c.lower()) for c in chunks if "<|" not in c and SIMPLE(c)}
-        known = self.pre_tokens.having(set().union(*simple.values()))
-        for c, parts in simple.items():
-            out[c] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
-        rest = [c for c in chunks if c not in out]
-        for c, enc in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            out[c] = np.array(enc.ids, dtype="<u4").tobytes()
-        return [out[c] for c in chunks]
+    def _other(self, chunk: str) -> bytes:
+        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        return pack(f"<{len(ids)}I", *ids)
 
-    def blobs(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, as bytes."""
-        chunked = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        known = self.chunks.having(set().union(*chunked))
-        return [b"".join([known[c] for c in chunks]) for chunks in chunked]
+    def blob(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids of the text, as bytes."""
+        if SIMPLE(text) and "<|" not in text:
+            known, text = self.simple, _LOWER_STOP(r" \1", text.lower())
+        else:
+            known = self.other
+        known.age()
+        return b"".join(map(known.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
 
 
-#: A space beside other white space, or white space at either end: there the
-#: pattern's look-ahead matters and the chunks are not independent.
-_TIED = re.compile(r"\s | \s|^\s|\s$")
+#: Where white space meets white space or an end of the text, the pattern's
+#: look-ahead matters and the chunks are not independent.
+_TIED = re.compile(r"\s\s|^\s|\s$").search
 
 
 def space_chunks(text: str) -> list[str] | None:
-    """The text cut before every single space (which stays with the chunk it
-    leads), or None where white space does not allow it."""
-    if _TIED.search(text):
+    """The text cut before every space (which stays with the chunk it leads),
+    around newlines and before a closing stop or comma: all ends of
+    pre-tokens.  None where white space does not allow it."""
+    if "\x00" in text or _TIED(text):
         return None
-    return text.replace(" ", "\x00 ").split("\x00") if "\x00" not in text else None
+    return _STOP("\x00\\1", text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00")).split("\x00")
