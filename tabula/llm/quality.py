@@ -48,7 +48,7 @@ RULES = (
     Rule("bang_ratio", high=0.3),
     Rule("alpha_word_ratio", low=0.6),
     Rule("stop_words", low=2, from_words=50),
-    Rule("dup_line_ratio", high=0.3),
+    Rule("dup_line_ratio", high=0.5),
     Rule("bullet_line_ratio", high=0.9),
     Rule("ellipsis_line_ratio", high=0.3),
 )
@@ -174,7 +174,7 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
        (n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) as base_failed,
        not (n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words)
        and word_chars / nw between 2.0 and 14.0 and n_symbols / nw <= 0.25 and bangs / nw <= 0.3
-       and alphas / nw >= 0.6 and (n_words < 50 or stops >= 2) and n_dup_lines / nl <= 0.3
+       and alphas / nw >= 0.6 and (n_words < 50 or stops >= 2) and n_dup_lines / nl <= 0.5
        and bullets / nl <= 0.9 and dots / nl <= 0.3 as kept
 from m"""
 
