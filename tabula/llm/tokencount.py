@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import python_ready, table
-from .subwords import CACHE_LIMIT, SIMPLE, Recent, byte_letters, load_tokenizer, slices, space_chunks, spelled
+from .subwords import CACHE_LIMIT, SIMPLE, Recent, byte_letters, load_tokenizer, shared, slices, space_chunks, spelled
 
 LIMIT = 512
 
@@ -55,14 +55,14 @@ class PrefixTable:
             r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
         self.limit = limit
         self.follows: dict[int, bool] = {}
-        self.tables = Recent(lambda keys: [self.counts(k.encode()) for k in keys], limit)
-        self.totals = Recent(self._chunk_totals, limit)
+        self.tables = Recent(lambda p: self.counts(p.encode()), limit // 8)
+        self.totals = Recent(lambda c: sum([self.tables[p][-1] for p in self.pre_tokens(c)]), limit)
 
     def _may_follow(self, key: int, data: bytes, left: int) -> bool:
         """Whether the vocabulary entries on both sides of ``left`` are the
         encoding of their joint bytes (``left`` 0: whether the one entry is
         its own encoding, that is, its merges lead to it)."""
-        if len(self.follows) > 8 * self.limit:
+        if len(self.follows) > self.limit:
             self.follows.clear()
         halves = [data[:left], data[left:]] if left else [data]
         ids = [t.id for t in self.tokenizer.model.tokenize(spelled(data))]
@@ -94,52 +94,36 @@ class PrefixTable:
             return self.parts(text)
         return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
-    def _sum(self, pre_tokens: list[str]) -> int:
-        known = self.tables.having(set(pre_tokens))
-        return sum([known[p][-1] for p in pre_tokens])
-
-    def _chunk_totals(self, chunks: list[str]) -> list[int]:
-        parts = [self.pre_tokens(c) for c in chunks]
-        known = self.tables.having(set().union(*parts))
-        return [known[p[0]][-1] if len(p) == 1 else sum([known[x][-1] for x in p]) for p in parts]
-
     def total(self, text: str) -> int:
-        """Tokens of the whole text, as the library gives them."""
-        return self.total_of([text])[0]
-
-    def total_of(self, texts: list[str]) -> list[int]:
-        """Tokens of whole texts: special strings count one each, the rest is
-        the sum over independent chunks, or over all pre-tokens where white
-        space ties the chunks together."""
-        out, cut = [0] * len(texts), []
-        for k, text in enumerate(texts):
-            parts = [text]
-            if self.special is not None and self.special.search(text):
-                parts = self.special.split(text)
-                out[k] = len(parts) - 1
-            for p in parts:
-                chunks = space_chunks(p)
-                if chunks is None:
-                    out[k] += self._sum(self.pre_tokens(p))
-                else:
-                    cut.append((k, chunks))
-        known = self.totals.having(set().union(*[c for _, c in cut]))
-        for k, chunks in cut:
-            out[k] += sum([known[c] for c in chunks])
-        return out
+        """Tokens of the whole text, as the library gives them: special strings
+        count one each, the rest is the sum over independent chunks, or over
+        all pre-tokens where white space ties the chunks together."""
+        self.tables.age()
+        self.totals.age()
+        parts, n = [text], 0
+        if self.special is not None and self.special.search(text):
+            parts = self.special.split(text)
+            n = len(parts) - 1
+        for p in parts:
+            chunks = space_chunks(p)
+            if chunks is None:
+                n += sum([self.tables[x][-1] for x in self.pre_tokens(p)])
+            else:
+                n += sum(map(self.totals.__getitem__, chunks))
+        return n
 
     def prefix_counts(self, text: str) -> list[tuple[int, int]]:
         """(bytes, tokens) at every byte prefix of the text's running table:
         tokens of the whole pre-tokens before it plus the count of the part of
         its own pre-token.  Where a prefix ends inside white space the library
-        may cut the last pre-token differently; ``fits`` settles such a prefix."""
+        may cut the last pre-token differently; ``truncate`` settles such a prefix."""
         out, size, tokens = [(0, 0)], 0, 0
         cuts = [] if self.special is None else list(self.special.finditer(text))
         at = 0
         for m in [*cuts, None]:
             part = text[at : m.start() if m else len(text)]
             for p in self.pre_tokens(part) if part else []:
-                own = self.tables.having({p})[p]
+                own = self.tables[p]
                 out += [(size + k, tokens + own[k]) for k in range(1, len(own))]
                 size, tokens = size + len(own) - 1, tokens + own[-1]
             if m:
@@ -149,17 +133,13 @@ class PrefixTable:
 
     def truncate(self, text: str, budget: int) -> str:
         """The longest prefix, in whole characters, of at most ``budget`` tokens.
-        The table gives the candidate; only prefixes that end in white space or
-        inside a special string are counted on their own."""
-        ends, size = {0: 0}, 0
-        for k, ch in enumerate(text, 1):
-            size += len(ch.encode())
-            ends[size] = k
-        for size, tokens in reversed(self.prefix_counts(text)):
-            if tokens <= budget + 1 and size in ends:
-                prefix = text[: ends[size]]
-                if self.total(prefix) <= budget:
-                    return prefix
+        The table rules most prefixes out; one near the budget, or inside a
+        special string, is settled by the sum over its own pre-tokens."""
+        known, size = dict(self.prefix_counts(text)), len(text.encode())
+        for k in range(len(text), 0, -1):
+            if known.get(size, 0) <= budget + 1 and self.total(text[:k]) <= budget:
+                return text[:k]
+            size -= len(text[k - 1].encode())
         return ""
 
 
@@ -168,10 +148,10 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = LIMIT) -> DataFr
     python_ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prefixes = PrefixTable(vocabulary)
+        prefixes = shared(PrefixTable, vocabulary)
         for part in slices(batches):
             texts = [t or "" for t in part.column(1).to_pylist()]
-            tokens = prefixes.total_of(texts)
+            tokens = [prefixes.total(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(tokens, pa.int64()),
                  pa.array([n > limit for n in tokens], pa.bool_())],
