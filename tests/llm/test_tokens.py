@@ -183,13 +183,14 @@ def test_model_is_a_distribution_and_training_helps():
         seen.update(zip(ids, ids[1:]))
         seen[ids[-1], -1] += 1
     a, b = map(np.array, zip(*seen))
-    model = lm.fit_pairs((a, b, np.array(list(seen.values()))), sub.size)
-    mass = model.out.sum(axis=0)
-    assert np.all(mass < 1.01) and np.allclose(model.share.sum(), 1, atol=1e-3)
+    joints = Counter((v[-1], w[0]) for v, w in zip(sub.encode(words), sub.encode(words)[1:]))
+    ja, jb = map(np.array, zip(*joints))
+    model = lm.fit_pairs((a, b, np.array(list(seen.values()))), (ja, jb, np.array(list(joints.values()))), sub.size)
+    assert np.allclose(model.out.sum(axis=0), 1, atol=1e-2) and np.allclose(model.share.sum(), 1, atol=1e-3)
     seq = np.array([i for e in sub.encode(words) for i in e], np.int32)
     x, pad, y, ok = lm.layout([seq] * 40)
     assert ok.sum() == 40 * len(seq)  # each id is scored once
-    scorer = lambda: lm.Scorer(model, BYTES, {}, 10, 5)._id_logs([seq]).sum()
+    scorer = lambda: lm.Scorer(model, BYTES, {}, 10, 5)._id_logs([seq])[0].sum()
     first = scorer()
     lm.train_windows(model, x, pad, y, ok)
     assert scorer() > first
@@ -197,10 +198,30 @@ def test_model_is_a_distribution_and_training_helps():
 
 def test_context_is_causal():
     sub = lm.Subwords(BYTES)
-    model = lm.fit_pairs((np.array([-1, 262, 464]), np.array([262, -1, 262]), np.array([5, 5, 2])), sub.size)
+    none = np.empty(0, np.int64)
+    model = lm.fit_pairs((np.array([-1, 262, 464]), np.array([262, -1, 262]), np.array([5, 5, 2])), (none, none, none), sub.size)
     model.weights["v"] += np.random.default_rng(0).normal(0, 1, model.weights["v"].shape).astype(np.float32)
     scorer = lm.Scorer(model, BYTES, {}, 10, 5)
     ids = np.array([262, 464, 262, 50256] * 9, np.int32)
     other = ids.copy()
     other[20:] = 464
-    assert np.allclose(scorer._id_logs([ids])[:20], scorer._id_logs([other])[:20])
+    assert np.allclose(scorer._id_logs([ids])[0][:20], scorer._id_logs([other])[0][:20])
+
+
+def test_seen_words_do_not_add_up_to_more_than_a_context_holds():
+    """A rough bound: the ratios below also swap the probability of the end behind each word."""
+    texts = ["the cat sat", "the dog ran", "a cat ran", "the cat ran"] * 5
+    words = [w for t in texts for w in [*lm.words_of_text(t), lm.END]]
+    counts, sub, seen, joints = Counter(words), lm.Subwords(BYTES), Counter(), Counter()
+    ids = {w: [lm.END_ID] if w == lm.END else sub.encode([w])[0] for w in counts}
+    for w in words:
+        seen[-1, ids[w][0]] += 1
+        seen.update(zip(ids[w], ids[w][1:]))
+        seen[ids[w][-1], -1] += 1
+    joints.update((ids[v][-1], ids[w][0]) for v, w in zip(words, words[1:]))
+    pairs, joint = ((*map(np.array, zip(*c)), np.array(list(c.values()))) for c in (seen, joints))
+    model = lm.fit_pairs(pairs, joint, sub.size)
+    scorer = lm.Scorer(model, BYTES, dict(counts), len(words), len(counts))
+    start = scorer.score(["the cat"])[0][3] - scorer.score(["the"])[0][3]
+    ends = [10 ** (scorer.score([f"the {w.decode()}"])[0][3] - scorer.score(["the"])[0][3]) for w in counts if w != lm.END]
+    assert start < 0 and sum(ends) < 2
