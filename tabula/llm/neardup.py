@@ -9,19 +9,22 @@
    the threshold rules a pair out) and then exactly on the full shingle sets.
 4. Components by alternating large-star and small-star.
 
-A bucket never emits all its pairs.  In each of the first rounds a bucket
-elects a centre and pairs it with those members that are not yet in the
-centre's component; that joins the members of a true group, since a link more
-inside a component cannot change it.  Centres of later rounds are the members
-with most links so far.  The last round pairs what is still apart inside a
-bucket, across components only and without pairs already tested, so no link
-that could join two components is left out.
+A bucket never emits all its pairs.  Counting, over the sets in shared
+buckets, the shingles that only one set has bounds every overlap: sets with
+too many of their own leave their buckets, and pairs with too many together
+are never formed.  In each of the first rounds a bucket then elects a centre
+and pairs it with those members that are not yet in the centre's component;
+that joins the members of a true group, since a link more inside a component
+cannot change it.  The last round pairs what is still apart inside a bucket,
+across components only, without pairs already tested and without those whose
+rare shingles alone show too small an overlap, so no link that could join two
+components is left out.
 
 Defined results: null text, or text without words, has an empty set and links
 with nothing; a text of fewer than five words is one shingle; rows that repeat
 share class and component; a row with null doc_id gets the component of its
-class (null if nothing in it has an id) and is not kept; extra columns pass
-through ``drop_near_copies``; empty tables give no rows.
+class, null (and kept) if nothing in it has an id; extra columns pass through
+``drop_near_copies``; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, python_ready, stage, table, words_of
@@ -42,6 +45,7 @@ BANDS, ROWS = 24, 5
 HASHES = BANDS * ROWS
 SIGNATURE_SLACK = 5.0  # standard deviations
 STAR_ROUNDS = 2
+RARE = 64  # sets at most that hold a rare shingle
 _SEED = 20240229
 
 
@@ -82,11 +86,15 @@ def _word_rows(column: pa.ListArray):
     return [values[ends[k] : ends[k + 1]] for k in range(len(column))]
 
 
+def class_of(words: Column) -> Column:
+    """The class of a word sequence; null where there are no words."""
+    return F.when(F.size(words) > 0, F.xxhash64(F.md5(F.array_join(words, " "))))
+
+
 def hashed_words(docs: DataFrame) -> DataFrame:
-    """(doc_id, id, w): ``id`` hashes the word sequence (null if it has none), ``w`` its words."""
+    """(doc_id, id, w): the class and the hashes of the words of each (doc_id, text) row."""
     words = docs.select("doc_id", words_of(ascii_lower(F.col("text"))).alias("w"))
-    node = F.when(F.size("w") > 0, F.xxhash64(F.md5(F.array_join("w", " "))))
-    return words.select("doc_id", node.alias("id"), F.transform("w", lambda x: F.xxhash64(x)).alias("w"))
+    return words.select("doc_id", class_of(F.col("w")).alias("id"), F.transform("w", lambda x: F.xxhash64(x)).alias("w"))
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -178,58 +186,103 @@ def verified(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int =
     return both.filter(common * 100 >= union * percent).select("a", "b")
 
 
-def linked_classes(docs: DataFrame, sigs: DataFrame) -> DataFrame:
+def linked_classes(docs: DataFrame, sigs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(id, component) of the classes that link with another one.  ``sigs``:
     one row per class, with the doc_id whose text stands for it."""
     keys = sigs.select("id", F.posexplode("bands").alias("band", "key"))
-    shared = keys.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("id").alias("first")).filter("n > 1")
-    buckets = stage(keys.join(shared, ["band", "key"]).select("band", "key", "first", "id"), "op9-buckets")
+    shared = keys.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").select("band", "key")
+    buckets = stage(keys.join(shared, ["band", "key"]), "op9-buckets")
     busy = buckets.select("id").distinct()
     few = stage(sigs.join(busy, "id", "left_semi").select("id", "doc_id", "minima"), "op9-minima")
     # only the texts that stand for a class in a shared bucket are read into sets
     texts = hashed_words(docs).join(few.select("id", "doc_id"), ["id", "doc_id"], "left_semi")
     sets = stage(shingle_sets(texts).dropDuplicates(["id"]), "op9-sets")
+    buckets = _able(buckets, stage(_sizes(sets, percent), "op9-sizes"), "op9-able")
 
-    # first round: each bucket's smallest member
-    tested = stage(buckets.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "op9-pairs")
-    links = stage(verified(tested, few, sets), "op9-links")
-    comps = stage(components(links), "op9-components")
-    for k in range(STAR_ROUNDS):
-        apart = _apart(buckets, comps, f"op9-apart{k}")
-        if apart.isEmpty():
+    tested, links, comps = None, None, None
+    for k in range(STAR_ROUNDS + 1):
+        apart = buckets.withColumn("component", F.col("id")) if comps is None else _apart(buckets, comps, f"op9-apart{k}")
+        if comps is not None and apart.isEmpty():
             break
-        degree = (links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("links")))
-        ranked = apart.join(degree, "id", "left").fillna(0, ["links"])
-        if k + 1 < STAR_ROUNDS:
-            # another centre: the member with most links
-            best = F.max(F.struct("links", (-F.col("id")).alias("id"), "component")).alias("best")
-            centre = ranked.groupBy("band", "key").agg(best).select(
-                "band", "key", (-F.col("best.id")).alias("centre"), F.col("best.component").alias("own"))
-            new = apart.join(centre, ["band", "key"]).filter("component <> own").select(
-                F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
+        if k < STAR_ROUNDS:
+            # a centre for each bucket: the member with most links, at first the one with fewest shingles of its own
+            rank = apart.withColumn("links", F.lit(0)) if links is None else apart.join(_degrees(links), "id", "left").fillna(0, ["links"])
+            best = F.min(F.struct((-F.col("links")).alias("links"), "own", "id", "n", "component")).alias("c")
+            centre = rank.groupBy("band", "key").agg(best).select("band", "key", "c")
+            met = apart.join(centre, ["band", "key"]).select(
+                F.col("id").alias("ia"), F.col("n").alias("na"), F.col("own").alias("oa"), F.col("component").alias("ca"),
+                F.col("c.id").alias("ib"), F.col("c.n").alias("nb"), F.col("c.own").alias("ob"), F.col("c.component").alias("cb"))
+            new = met.filter(_may_link(percent) & (F.col("ca") != F.col("cb")))
         else:
-            # all pairs that are still apart
-            left = apart.select("band", "key", F.col("id").alias("a"), F.col("component").alias("ca"))
-            right = apart.select("band", "key", F.col("id").alias("b"), F.col("component").alias("cb"))
-            new = left.join(right, ["band", "key"]).filter("a < b and ca <> cb").select("a", "b")
-        new = stage(new.distinct().join(tested, ["a", "b"], "left_anti"), "op9-pairs")
-        found = stage(verified(new, few, sets), "op9-links")
-        tested, links = tested.union(new), links.union(found)
-        if found.isEmpty():
-            continue
-        comps = stage(components(links), "op9-components")
+            # all that is still apart, across components, but for pairs whose rare shingles differ too much
+            members = apart.join(stage(_rare_shingles(sets, apart), "op9-rare"), "id", "left")
+            side = lambda x: members.select("band", "key", F.col("id").alias(f"i{x}"), F.col("n").alias(f"n{x}"),
+                                            F.col("own").alias(f"o{x}"), F.col("component").alias(f"c{x}"),
+                                            F.coalesce("rare", F.array().cast("array<bigint>")).alias(f"r{x}"))
+            new = side("a").join(side("b"), ["band", "key"]).filter(
+                (F.col("ia") < F.col("ib")) & (F.col("ca") != F.col("cb")) & _may_link(percent) & _may_overlap(percent))
+        new = new.select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b")).distinct()
+        new = stage(new if tested is None else new.join(tested, ["a", "b"], "left_anti"), "op9-pairs")
+        found = stage(verified(new, few, sets, percent), "op9-links")
+        tested, links = (new, found) if tested is None else (tested.union(new), links.union(found))
+        if comps is None or not found.isEmpty():
+            comps = stage(components(links), "op9-components")
     return comps
 
 
+def _degrees(links: DataFrame) -> DataFrame:
+    return links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("links"))
+
+
+def _sizes(sets: DataFrame, percent: int) -> DataFrame:
+    """(id, n, own) of the sets that can link at all: ``own`` counts the
+    shingles no other set has.  A partner lacks them, so the overlap stays
+    under (n - own) / n."""
+    each = sets.select("id", F.explode("shingles").alias("g"))
+    alone = each.groupBy("g").agg(F.count("*").alias("k"), F.min("id").alias("id")).filter("k = 1")
+    own = alone.groupBy("id").agg(F.count("*").alias("own"))
+    sized = sets.select("id", F.size("shingles").cast("long").alias("n")).join(own, "id", "left").fillna(0, ["own"])
+    return sized.filter(F.col("own") * 100 <= F.col("n") * (100 - percent))
+
+
+def _may_link(percent: int) -> Column:
+    """What two linked sets must meet: their overlap c has
+    c (100 + p) >= p (na + nb), and neither set's own shingles are in it."""
+    shared = F.least(F.col("na") - F.col("oa"), F.col("nb") - F.col("ob"))
+    return shared * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+
+
+def _rare_shingles(sets: DataFrame, members: DataFrame, most: int = RARE) -> DataFrame:
+    """(id, rare): of each member's shingles those that at most ``most`` members have."""
+    each = sets.join(members.select("id").distinct(), "id", "left_semi").select("id", F.explode("shingles").alias("g"))
+    few = each.groupBy("g").agg(F.count("*").alias("k")).filter(F.col("k") <= most).select("g")
+    return each.join(few, "g", "left_semi").groupBy("id").agg(F.collect_list("g").alias("rare"))
+
+
+def _may_overlap(percent: int) -> Column:
+    """As ``_may_link``, with what either set has among rare shingles and the
+    other has not: a rare shingle that is in both is in both lists."""
+    lacking = lambda x, y: F.size(F.array_except(f"r{x}", f"r{y}"))
+    shared = F.least(F.col("na") - lacking("a", "b"), F.col("nb") - lacking("b", "a"))
+    return shared * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+
+
+def _able(buckets: DataFrame, sizes: DataFrame, name: str) -> DataFrame:
+    """Buckets that still hold two sets which can link, with (n, own) of each."""
+    able = buckets.join(sizes, "id")
+    shared = able.groupBy("band", "key").agg(F.count("*").alias("k")).filter("k > 1").select("band", "key")
+    return stage(able.join(shared, ["band", "key"], "left_semi"), name)
+
+
 def _apart(buckets: DataFrame, comps: DataFrame, name: str) -> DataFrame:
     """Members, with component, of buckets that still span several components."""
-    known = buckets.join(comps, "id", "left").select("band", "key", "id", F.coalesce("component", "id").alias("component"))
+    known = buckets.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
     split = known.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     return stage(known.join(split.select("band", "key"), ["band", "key"], "left_semi"), name)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of (doc_id, text)."""
+def judged(docs: DataFrame) -> DataFrame:
+    """(doc_id, id, n_shingles, component_id) of every row of (doc_id, text)."""
     docs = docs.select("doc_id", "text")
     rows = stage(signatures(docs), "op9-signatures")
     classes = rows.filter("id is not null").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
@@ -241,16 +294,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     per_class = joined.select("id", "component").join(named, "component").select("id", "component_id")
     out = rows.select("doc_id", "id", "n_shingles").join(per_class, "id", "left")
     own = F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    return out.select("doc_id", "id", "n_shingles", own.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of (doc_id, text)."""
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return judged(docs).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stand for their component, with all their
-    columns; of rows that repeat a kept doc_id and text, one stays."""
-    judged = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    kept = docs.join(judged.select(F.col("doc_id").alias("__id")), F.col("doc_id") == F.col("__id"), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One row of ``docs`` for each component, with all its columns.  Rows
+    without an id stay, once for each text, where no row with an id shares it."""
+    found = stage(judged(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "id").distinct(),
+                  "op9-kept")
+    ids = found.filter("doc_id is not null").select("doc_id")
+    named = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*[f"`{c}`" for c in docs.columns])
+    lone = found.filter("doc_id is null").select(F.coalesce("id", F.lit(0)).alias("__class"))
+    nameless = docs.filter("doc_id is null").withColumn(
+        "__class", F.coalesce(class_of(words_of(ascii_lower(F.col("text")))), F.lit(0)))
+    return named.unionByName(nameless.join(lone, "__class", "left_semi").dropDuplicates(["__class"]).drop("__class"))
 
 
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
