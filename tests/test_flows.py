@@ -115,3 +115,50 @@ def test_screening_plan_semantics(spark):
     assert old.filter(F.col("VISAO").isin("V1", "V4")).count() == 0
     assert old.filter((F.col("VISAO") == "V2") & F.col("ANO").isin("2025", "2026")).count() == 0
     assert old.filter(F.col("VISAO") == "V0").count() == t("siscan_pub").filter(F.col("VISAO") == "V0").count()
+
+
+AUTHORIZATION = {
+    "AP_CODUNI": " 2077485 ", "AP_AUTORIZ": "3524200000001", "AP_CMP": "202401", "AP_PRIPAL": "0304020010", "AP_VL_AP": "571.50",
+    "AP_UFMUN": "355030", "AP_CNPJCPF": "60003761000129", "AP_CNPJMNT": "NaN", "AP_COIDADE": "4", "AP_NUIDADE": "58",
+    "AP_MUNPCN": "350950", "AP_UFNACIO": "010", "AP_CEPPCN": "13010000", "AP_DTINIC": "20240101", "AP_DTFIM": "20240331",
+    "AP_TPATEN": "03", "AP_CATEND": "01", "AP_CIDPRI": "C50.9", "AP_CIDSEC": "0000", "AP_CIDCAS": "", "AP_DTSOLIC": "20231220",
+    "AP_DTAUT": "20231222", "AP_NATJUR": "3999", "AP_SEXO": "F", "AP_RACACOR": "77", "AP_TPAPAC": "2", "AP_CNSPCN": "700000",
+}
+PUBLISHED_HEADER = {
+    "COD_CNES": "2077485", "NUM_APAC": "3524200000001", "ANO_MES_ATENDIMENTO": "202401", "COD_PROCEDIMENTO_PRINCIPAL": "0304020010",
+    "VALOR_TOTAL_APAC": "571.50", "COD_UF_MUNICIPIO_ESTABELECIMENTO": "355030", "CNPJ_ESTABELECIMENTO": "60003761000129",
+    "CNPJ_MANTENEDORA": None, "COD_TIPO_IDADE": "4", "IDADE": "58", "COD_MUNICIPIO_RESIDENCIA": "350950",
+    "COD_NACIONALIDADE": "010", "CEP_PACIENTE": "13010000", "DATA_INICIO_VALIDADE": "20240101", "DATA_FIM_VALIDADE": "20240331",
+    "COD_TIPO_ATENDIMENTO": "03", "COD_CARATER_ATENDIMENTO": "01", "CID_PRINCIPAL": "C50.9", "CID_SECUNDARIO": "0000",
+    "CID_CAUSAS_ASSOCIADAS": None, "DATA_SOLICITACAO": "20231220", "DATA_AUTORIZACAO": "20231222", "COD_NATUREZA_JURIDICA": "3999",
+    "SEXO": "Feminino", "COD_RACA_COR": "77", "RACA_COR": "77", "COD_TIPO_APAC": "2", "TIPO_APAC": "Continuidade",
+}
+
+
+def _one(spark, record):
+    return spark.createDataFrame([tuple(record.values())], ", ".join(f"{k} string" for k in record))
+
+
+def test_published_rows_of_the_three_authorization_layouts(spark):
+    """Written out by hand, so a wrong name, position or label cannot pass."""
+    from tabula.plans import outpatient as OP
+
+    causes = spark.createDataFrame([("C509", "Mama, NE")], "CODIGO string, DESCRICAO string")
+    tumour = {"CID10": "C50.9", "ESTADI": "3", "LINFIN": "3", "GRAHIS": "G2", "TRANTE": "S", "DTIDEN": "20230901",
+              "CONTTR": "N", "DTINTR": "20240105"}
+    told = {"TOPOGRAFIA_CID10": "C50.9", "TOPOGRAFIA_CID10_DESCRICAO": "Mama, NE", "COD_ESTADIAMENTO": "3", "ESTADIAMENTO": "III",
+            "COD_LINFONODOS_INVADIDOS": "3", "LINFONODOS_INVADIDOS": "Não avaliáveis", "GRAU_HISTOPATOLOGICO": "G2",
+            "COD_TRATAMENTO_ANTERIOR": "S", "TEVE_TRATAMENTO_ANTERIOR": "Sim", "DATA_IDENTIFICACAO_PATOLOGICA": "20230901",
+            "COD_CONTINUIDADE": "N", "CONTINUIDADE_TRATAMENTO": "Não", "DATA_INICIO_TRATAMENTO": "20240105"}
+    file = {"ARQUIVO_ORIGEM": "AQSP2401.dbc"}
+    chemo = {**AUTHORIZATION, **{f"AQ_{k}": v for k, v in tumour.items()}, "AQ_ESQU_P1": "AC", "AQ_ESQU_P2": "T", "AQ_TOTMPL": "6",
+             "AQ_TOTMAU": "3", **file}
+    assert OP.curate_chemo(_one(spark, chemo), causes).first().asDict() == {
+        **PUBLISHED_HEADER, **told, "ESQUEMA_TERAPEUTICO_INICIO": "AC", "ESQUEMA_TERAPEUTICO_FIM": "T", "TOTAL_MESES_PLANEJADOS": "6",
+        "TOTAL_MESES_AUTORIZADOS": "3", **file}
+    radio = {**AUTHORIZATION, **{f"AR_{k}": v for k, v in tumour.items()}, "AR_FINALI": "4", **file}
+    assert OP.curate_radio(_one(spark, radio), causes).first().asDict() == {
+        **PUBLISHED_HEADER, **told, "COD_FINALIDADE": "4", "FINALIDADE_RADIOTERAPIA": "Paliativa", **file}
+    drugs = {**AUTHORIZATION, "AM_PESO": "70", "AM_ALTURA": "165", "AM_GESTANT": "N", **file}
+    assert OP.curate_drugs(_one(spark, drugs), causes).first().asDict() == {
+        **PUBLISHED_HEADER, "CID_PRINCIPAL_DESCRICAO": "Mama, NE", "PESO_KG": "70", "ALTURA_CM": "165", "GESTANTE": "Não", **file}
