@@ -10,6 +10,7 @@ from ..session import ship_package, staging_path
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACES = r"[\x20\x09-\x0D]+"
 NOT_ALNUM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+NOT_ALNUM_RAW = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before lower-casing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

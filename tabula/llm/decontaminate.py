@@ -26,10 +26,10 @@ passes them through); empty tables give no rows or no hits.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import NOT_ALNUM, ascii_lower, stage, table, words_of
+from .common import NOT_ALNUM, NOT_ALNUM_RAW, ascii_lower, stage, table, words_of
 
 WIDTH = 10
 RAREST = 2
@@ -37,7 +37,8 @@ SLOP = 3
 SMALL_TABLE_BYTES = 8 << 20
 
 
-def tokens(text) -> F.Column:
+def tokens(text: Column) -> Column:
+    """The words of a text, lower-cased."""
     return words_of(ascii_lower(text), NOT_ALNUM)
 
 
@@ -70,30 +71,40 @@ def anchors_of(docs: DataFrame, windows: DataFrame, rarest: int = RAREST) -> Dat
             .select("window", "place", "term", "offset", "words"))
 
 
+def _spaced(words: Column) -> Column:
+    """Words joined by single spaces, one more at either end."""
+    return F.when(F.size(words) > 0, F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))).otherwise(F.lit(" "))
+
+
 def index_postings(docs: DataFrame, anchors: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, term, pos, around, lead): postings of the anchors' terms.
-    ``around`` are the up to 2 width - 1 words about ``pos``, ``lead`` of them before it."""
-    terms = anchors.select("term").distinct()
+    """(doc_id, term, pos, before, after): postings of the anchors' terms.
+    Those of a window's rarest term carry the up to ``width - 1`` words on
+    either side; the more frequent terms' postings are positions alone."""
+    terms = anchors.groupBy("term").agg((F.min("place") == 0).alias("carries"))
     known = _sized(terms, terms.count(), 64)
     words = docs.select("doc_id", tokens(F.col("text")).alias("w"))
     seen = words.select("doc_id", "w", F.posexplode("w").alias("pos", "term")).join(known, "term")
     lead = F.least("pos", F.lit(width - 1))
-    return seen.select("doc_id", "term", "pos", F.slice("w", F.col("pos") - lead + 1, lead + width).alias("around"),
-                       lead.alias("lead"))
+    before = _spaced(F.slice("w", F.col("pos") - lead + 1, lead))
+    after = _spaced(F.slice("w", F.col("pos") + 2, F.lit(width - 1)))
+    return seen.select("doc_id", "term", "pos", F.when(F.col("carries"), before).alias("before"),
+                       F.when(F.col("carries"), after).alias("after"))
 
 
 def phrase_matches(postings: DataFrame, anchors: DataFrame) -> DataFrame:
     """(doc_id, window, start, length) of every exact occurrence of a window."""
-    known = _sized(anchors, anchors.count(), 256)
+    left = _spaced(F.slice("words", F.lit(1), F.col("offset")))
+    right = _spaced(F.slice("words", F.col("offset") + 2, F.size("words")))
+    told = anchors.select("window", "place", "term", "offset", F.size("words").alias("length"), left.alias("left"), right.alias("right"))
+    known = _sized(told, told.count(), 256)
     shifted = postings.join(known, "term").withColumn("start", F.col("pos") - F.col("offset"))
-    # a start whose carried words cannot hold the window is no candidate
-    own = F.slice("around", F.greatest(F.col("lead") - F.col("offset") + 1, F.lit(1)), F.size("words"))
-    exact = (F.col("start") >= 0) & (F.col("lead") >= F.col("offset")) & (own == F.col("words"))
+    # the words that the rarest term's posting carries must be the window's
+    exact = F.col("before").endswith(F.col("left")) & F.col("after").startswith(F.col("right"))
     wanted = anchors.groupBy("window").agg(F.count("*").alias("places"))
     wanted = _sized(wanted, wanted.count(), 16)
     met = (shifted.filter("start >= 0").groupBy("doc_id", "window", "start")
-           .agg(F.expr("bit_count(bit_or(shiftleft(1, place)))").alias("met"), F.max((F.col("place") == 0) & exact).alias("exact"),
-                F.max(F.size("words")).alias("length")))
+           .agg(F.expr("bit_count(bit_or(shiftleft(1, place)))").alias("met"), F.max((F.col("place") == 0) & F.coalesce(exact, F.lit(False))).alias("exact"),
+                F.max("length").alias("length")))
     return (met.join(wanted, "window").filter("met = places and exact")
             .select("doc_id", "window", "start", "length"))
 
@@ -125,7 +136,7 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> Data
     owners = _sized(owners, owners.count(), 24)
     found = matches.select("doc_id", "window").distinct().join(owners, "window").select("doc_id", "item_id").distinct()
     listed = found.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.col("item_id").cast("string"))).alias("ids"))
-    sized = docs.select("doc_id", F.size(tokens(F.col("text"))).cast("long").alias("n_words"))
+    sized = docs.select("doc_id", F.size(words_of(F.col("text"), NOT_ALNUM_RAW)).cast("long").alias("n_words"))
     told = (hit.select("doc_id", "n_hit", F.lit(None).cast("array<string>").alias("ids"))
             .unionByName(listed.select("doc_id", F.lit(None).cast("long").alias("n_hit"), "ids"))
             .groupBy(F.col("doc_id").alias("d")).agg(F.max("n_hit").alias("n_hit"), F.max("ids").alias("ids")))
