@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -175,6 +176,19 @@ def test_scores_of_odd_rows(spark, monkeypatch):
     assert lm.score_texts(no_documents(spark), BYTES).count() == 0
 
 
+def test_all_words_of_every_text_are_learned_from(spark):
+    texts = [" ".join(f"w{k % 97} the" for k in range(3000)), "one", None]
+    made = lm.count_joints(spark.createDataFrame([(t,) for t in texts], "text string"), BYTES).collect()
+    sub, want, n_ids = lm.Subwords(BYTES), Counter(), 0
+    for t in texts:
+        ids = [[lm.END_ID], *sub.encode(lm.words_of_text(t)), [lm.END_ID]]
+        want.update((v[-1], w[0]) for v, w in zip(ids, ids[1:]))
+        n_ids += sum(map(len, ids)) - 1
+    assert {(r["a"], r["b"]): r["n"] for r in made} == want
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    assert sum(ok.sum() for *_, ok in lm.training_windows(iter([batch]), BYTES)) == n_ids
+
+
 def test_model_is_a_distribution_and_training_helps():
     words = [w for t in ("the cat sat on the mat", "a dog ran to the house", "the dog sat") for w in t.encode().split()] * 4
     sub, seen = lm.Subwords(BYTES), Counter()
