@@ -189,6 +189,14 @@ def test_all_words_of_every_text_are_learned_from(spark):
     assert sum(ok.sum() for *_, ok in lm.training_windows(iter([batch]), BYTES)) == n_ids
 
 
+def test_long_unseen_words_cost_what_their_ids_cost(spark):
+    long = "".join(random.Random(5).choices("qxzjkvwy0123456789", k=600))
+    rows = [(0, "the cat sat on the mat"), (101, long), (109, ""), (111, f"the {long}")]
+    assert all(zlib.crc32(str(d).encode()) % 5 == 1 for d, _ in rows[1:])
+    out = {r["doc_id"]: r["score"] for r in lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), BYTES).collect()}
+    assert max(out[101], out[111]) < out[109] - 324
+
+
 def test_model_is_a_distribution_and_training_helps():
     words = [w for t in ("the cat sat on the mat", "a dog ran to the house", "the dog sat") for w in t.encode().split()] * 4
     sub, seen = lm.Subwords(BYTES), Counter()
