@@ -1,8 +1,8 @@
 """Operator 9, near-duplicates: MinHash, banding, verification, components.
 
-1. Each text gets ``HASHES`` universal hash minima over its distinct word
-   shingles, in numpy on Arrow batches, and one key for each band of ``ROWS``
-   minima.  At the threshold a pair misses every band once in a million times.
+1. Each text gets universal hash minima over its distinct word
+   shingles, in numpy on Arrow batches, and one key for each band of minima
+   (``shape``).  At the threshold a pair misses every band once in a million times.
 2. Texts with the same word sequence form one class, named by a hash of a
    128-bit digest, so a group of copies is one row from here on.
 3. Pairs are verified on signatures first (an estimate five deviations below
@@ -29,6 +29,7 @@ class, null (and kept) if nothing in it has an id; extra columns pass through
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,16 +41,22 @@ from .common import ascii_lower, python_ready, stage, table, words_of
 from .subwords import slices
 
 SHINGLE = 5
-PERCENT = 85
-BANDS, ROWS = 24, 5
-HASHES = BANDS * ROWS
+PERCENT = 85  # of op9; a stage names its own
+MISSED = 1e-6
 SIGNATURE_SLACK = 5.0  # standard deviations
 STAR_ROUNDS = 2
 RARE = 64  # sets at most that hold a rare shingle
 _SEED = 20240229
 
 
-def coefficients(hashes: int = HASHES) -> tuple[np.ndarray, np.ndarray]:
+def shape(percent: int) -> tuple[int, int]:
+    """Bands and rows in a band with which a pair at the threshold misses every
+    band with a probability of at most ``MISSED``."""
+    rows = 5 if percent >= 85 else 4
+    return math.ceil(math.log(MISSED) / math.log1p(-((percent / 100) ** rows))), rows
+
+
+def coefficients(hashes: int = math.prod(shape(PERCENT))) -> tuple[np.ndarray, np.ndarray]:
     """Multipliers and shifts of the universal family ((a x + b) mod 2^64) div 2^32."""
     rng = np.random.default_rng(_SEED)
     return rng.integers(0, 1 << 64, hashes, dtype=np.uint64), rng.integers(0, 1 << 64, hashes, dtype=np.uint64)
@@ -97,14 +104,15 @@ def hashed_words(docs: DataFrame) -> DataFrame:
     return words.select("doc_id", class_of(F.col("w")).alias("id"), F.transform("w", lambda x: F.xxhash64(x)).alias("w"))
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, id, n_shingles, minima, bands) of each row of (doc_id, text);
     no minima or bands for an empty set."""
     python_ready(docs.sparkSession)
+    n_bands, n_rows = shape(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = coefficients()
-        mix = np.random.default_rng(_SEED + 1).integers(1, 1 << 62, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
+        a, b = coefficients(n_bands * n_rows)
+        mix = np.random.default_rng(_SEED + 1).integers(1, 1 << 62, (n_bands, n_rows), dtype=np.uint64) | np.uint64(1)
         for part in slices(batches):
             n, sig, bands = [], [], []
             for h in _word_rows(part.column(2)):
@@ -113,7 +121,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 if len(s):
                     m = minima(s, a, b)
                     sig.append(m.astype(np.uint32).view(np.int32))
-                    k = (m.reshape(BANDS, ROWS) * mix).sum(axis=1, dtype=np.uint64)
+                    k = (m.reshape(n_bands, n_rows) * mix).sum(axis=1, dtype=np.uint64)
                     bands.append((k ^ (k >> np.uint64(29))).view(np.int64))
                 else:
                     sig.append(np.empty(0, np.int32))
@@ -174,8 +182,8 @@ def _tidy(edges: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose sets overlap by at least ``percent``; signatures first."""
-    t = percent / 100
-    least = HASHES * t - SIGNATURE_SLACK * (HASHES * t * (1 - t)) ** 0.5
+    t, hashes = percent / 100, math.prod(shape(percent))
+    least = hashes * t - SIGNATURE_SLACK * (hashes * t * (1 - t)) ** 0.5
     agree = F.aggregate(F.zip_with("ma", "mb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     side = lambda t, c, x: t.select(F.col("id").alias(c), F.col(x).alias(("m" if x == "minima" else "s") + c))
     likely = (pairs.join(side(sigs, "a", "minima"), "a").join(side(sigs, "b", "minima"), "b")
@@ -281,14 +289,14 @@ def _apart(buckets: DataFrame, comps: DataFrame, name: str) -> DataFrame:
     return stage(known.join(split.select("band", "key"), ["band", "key"], "left_semi"), name)
 
 
-def judged(docs: DataFrame) -> DataFrame:
+def judged(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, id, n_shingles, component_id) of every row of (doc_id, text)."""
     docs = docs.select("doc_id", "text")
-    rows = stage(signatures(docs), "op9-signatures")
+    rows = stage(signatures(docs, percent), "op9-signatures")
     classes = rows.filter("id is not null").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
     heads = classes.filter("doc_id is not null")
     sigs = rows.select("id", "doc_id", "bands", "minima").join(heads, ["id", "doc_id"], "left_semi").dropDuplicates(["id"])
-    comps = linked_classes(docs, stage(sigs, "op9-heads"))
+    comps = linked_classes(docs, stage(sigs, "op9-heads"), percent)
     joined = classes.join(comps, "id", "left").select("id", "doc_id", F.coalesce("component", "id").alias("component"))
     named = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     per_class = joined.select("id", "component").join(named, "component").select("id", "component_id")
@@ -297,16 +305,16 @@ def judged(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "id", "n_shingles", own.alias("component_id"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of (doc_id, text)."""
     kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return judged(docs).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+    return judged(docs, percent).select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
+def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row of ``docs`` for each component, with all its columns.  Rows
     without an id stay, once for each text, where no row with an id shares it."""
-    found = stage(judged(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "id").distinct(),
+    found = stage(judged(docs, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "id").distinct(),
                   "op9-kept")
     ids = found.filter("doc_id is not null").select("doc_id")
     named = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*[f"`{c}`" for c in docs.columns])

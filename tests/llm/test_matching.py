@@ -1,6 +1,7 @@
 """Decontamination, near-duplicates and the pipeline against plain Python."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -119,6 +120,24 @@ def test_near_duplicates_equal_brute_force(spark, seed):
     assert order(made.collect()) == order(brute_components(docs))
 
 
+def brute_kept(docs, percent):
+    """Doc ids that are the least of their component at ``percent``."""
+    sets = [shingles(t) for _, t in docs]
+    label = list(range(len(docs)))
+    for i, j in itertools.combinations(range(len(docs)), 2):
+        c = len(sets[i] & sets[j])
+        if sets[i] and sets[j] and 100 * c >= percent * (len(sets[i]) + len(sets[j]) - c):
+            label = [label[i] if x == label[j] else x for x in label]
+    return {min(d for (d, _), x in zip(docs, label) if x == c) for c in label}
+
+
+def test_near_copies_from_80_per_cent_on(spark):
+    docs = families(3)
+    assert brute_kept(docs, 80) != brute_kept(docs, 85)
+    kept = neardup.drop_near_copies(spark.createDataFrame(docs, "doc_id long, text string"), 80)
+    assert {r["doc_id"] for r in kept.collect()} == brute_kept(docs, 80)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     docs = odd_documents(spark, extra=True)
     rows = neardup.near_duplicates(docs).collect()
