@@ -1,6 +1,7 @@
 """Operator 1, licence scans: a trained paragraph classifier in Spark expressions.
 
-A paragraph is a line of a text.  Features are its distinct word 1- and
+A paragraph is a line of a text; runs of neighbouring lines with words are
+read joined as well, since notices are wrapped.  Features are its distinct word 1- and
 2-grams; the classes are licence families and ``unknown``.  The model is a
 sparse multinomial logistic regression, trained here on a bounded set of
 labelled paragraphs: variants of the families' notices (``VARIANTS`` of each),
@@ -13,7 +14,10 @@ Scanning is one pass without a shuffle: paragraphs that hold no word of any
 feature are unknown by the model itself (all their weights are zero), so only
 the others are scored.  The prediction is confirmed by comparing the
 paragraph with the family's notices: the share of a notice's word 3-grams that
-the paragraph contains.
+the paragraph contains.  A run that contains such a share of any notice is
+judged in windows of its words that overlap by the longest notice, so every
+notice lies whole in one of them; a family that a window confirms and no line
+of the run did is found once for the run, at its first line.
 
 Defined results: null and empty texts have no paragraphs; lines without a word
 are none; equal lines count each; repeated rows and null ids pass through;
@@ -122,6 +126,8 @@ EVERYDAY = [
 ]
 
 WORD = r"[^a-z0-9.\-]+"
+LINE_WITH_WORD = r"[\p{L}\p{N}]"
+RUN_BREAK = r"\n[^\p{L}\p{N}]*\n"  # lines without a word
 _SEPARATOR = re.compile(WORD)
 
 
@@ -268,19 +274,47 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
         return F.struct(index.alias("paragraph"), F.element_at(names, k).alias("family"),
                         F.array_max(known).alias("probability"), (threes >= CONFIRMED).alias("confirmed"))
 
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: x.rlike(r"[\p{L}\p{N}]"))
-    cut = docs.select("doc_id", lines.alias("lines")).withColumn("n_paragraphs", F.size("lines").cast("long"))
+    lines_of = lambda t: F.filter(F.split(t, "\n"), lambda x: x.rlike(LINE_WITH_WORD))
+    text = F.coalesce("text", F.lit(""))
+    runs = F.transform(F.filter(F.split(text, RUN_BREAK), lambda r: r.rlike(LINE_WITH_WORD)),
+                       lambda r: F.struct(r.alias("r"), F.size(lines_of(r)).alias("n")))
+    cut = docs.select("doc_id", lines_of(text).alias("lines"), runs.alias("runs")).withColumn("n_paragraphs", F.size("lines").cast("long"))
     # a line without an anchor has no feature: the bias alone says unknown
     anchors = _table(model.anchors, "array<string>")
     worded = F.transform("lines", lambda x, i: F.struct(i.alias("i"), line_words(x).alias("w")))
-    screened = cut.select("doc_id", "n_paragraphs", F.filter(worded, lambda s: F.arrays_overlap(s["w"], anchors)).alias("worth"))
+    before = lambda k: F.aggregate(F.slice("runs", F.lit(1), k), F.lit(0), lambda s, r: s + r["n"])
+    joined = F.filter(F.transform("runs", lambda r, k: F.when(r["n"] > 1, F.struct(k.alias("k"), r["n"].alias("n"), line_words(r["r"]).alias("w")))),
+                      lambda s: s.isNotNull() & F.arrays_overlap(s["w"], anchors))
+    every = _table(sorted({g for ns in NOTICES.values() for n in ns for g in _three(words_of_line(n))}), "array<string>")
+    holds = lambda w: let(F.array_intersect(every, _joined(w, 3)), lambda own: F.exists(F.flatten(notices), lambda n: (
+        F.size(F.array_intersect(n, own)) >= F.size(n) * CONFIRMED)))
+    screened = cut.select("doc_id", "n_paragraphs", F.filter(worded, lambda s: F.arrays_overlap(s["w"], anchors)).alias("worth"),
+                          F.transform(F.filter(joined, lambda s: holds(s["w"])), lambda s: F.struct(
+                              before(s["k"]).alias("i"), s["n"].alias("n"), s["w"].alias("w"))).alias("wrapped"))
+    sure = lambda judged: F.filter(judged, lambda r: r["probability"] >= model.threshold)
     judged = F.transform("worth", lambda s: let(probabilities(s["w"]), lambda p: verdict(s["w"], p, s["i"])))
-    return screened.select("doc_id", "n_paragraphs", F.filter(judged, lambda r: r["probability"] >= model.threshold).alias("found"))
+    single = screened.select("doc_id", "n_paragraphs", "wrapped", sure(judged).alias("lines"))
+
+    longest = max(len(words_of_line(n)) for ns in NOTICES.values() for n in ns)
+    stride = (longest + 1) // 2
+
+    def of_run(s: Column) -> Column:
+        at = F.sequence(F.lit(0), F.floor((F.size(s["w"]) - 1) / stride).cast("int"))
+        windows = F.transform(at, lambda k: F.slice(s["w"], k * stride + 1, F.lit(longest + stride)))
+        told = sure(F.transform(windows, lambda w: let(probabilities(w), lambda p: verdict(w, p, s["i"]))))
+        new = F.filter(told, lambda r: r["confirmed"] & ~F.exists("lines", lambda x: (
+            x["confirmed"] & (x["family"] == r["family"]) & (x["paragraph"] >= s["i"]) & (x["paragraph"] < s["i"] + s["n"]))))
+        # the surest window of each family
+        return let(new, lambda v: F.filter(v, lambda r, i: ~F.exists(F.transform(v, lambda x, j: F.struct(x.alias("x"), j.alias("j"))), lambda o: (
+            (o["x"]["family"] == r["family"]) & ((o["x"]["probability"] > r["probability"])
+                                                 | ((o["x"]["probability"] == r["probability"]) & (o["j"] < i)))))))
+
+    return single.select("doc_id", "n_paragraphs", F.concat("lines", F.flatten(F.transform("wrapped", of_run))).alias("found"))
 
 
 def licences(docs: DataFrame, background: int = BACKGROUND) -> DataFrame:
     """Per row of (doc_id, text): doc_id, n_paragraphs, n_licence (paragraphs
-    that name a licence), n_confirmed, families (sorted, comma-joined, of the
+    that name a licence, and runs with a wrapped notice), n_confirmed, families (sorted, comma-joined, of the
     confirmed ones), family and probability of the surest paragraph."""
     docs = docs.select("doc_id", "text")
     model = Model(background_lines(docs, background))

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,6 +91,17 @@ def test_licences_of_notices_and_plain_lines(spark, model):
     assert found[0][0]["paragraph"] == 1
 
 
+def test_licences_of_wrapped_notices(spark, model):
+    longest = {f: max(ns, key=len) for f, ns in licences.NOTICES.items() if f in ("mit", "gpl", "bsd")}
+    wrap = lambda t: "\n".join(f" * {line}" for line in textwrap.wrap(t, 60))
+    texts = [f"code\n\n/*\n{wrap(t)}\n */\nmore\n" for t in longest.values()]
+    texts += ["a b\n\n" + "\n *\n".join(map(wrap, longest.values())), longest["mit"] + "\nmore words here"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    found = {r["doc_id"]: [(f["family"], f["paragraph"]) for f in r["found"] if f["confirmed"]] for r in licences.scan(docs, model).collect()}
+    assert [found[k] for k in range(3)] == [[(f, 1)] for f in longest]
+    assert [f for f, _ in found[3]] == list(longest) and found[4] == [("mit", 0)]
+
+
 def test_licences_handle_odd_rows(spark):
     rows = licences.licences(odd_documents(spark, extra=True), background=10).collect()
     assert len(rows) == len(ODD_TEXTS) + 4 and all(r["n_licence"] == 0 and r["family"] == "unknown" for r in rows)
