@@ -145,6 +145,18 @@ def luhn(digits):
     return sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(digits))) % 10
 
 
+def test_names_without_title_and_keys_are_replaced(spark):
+    key, other = "gh" + "p_" + "abcdefghijklmnopqrstuvwx", "sk" + "-" + "abcdefghijklmnopqrstuvwx"
+    rows = [(1, "Mrs. Anna Smith came. Smith said so, Anna Smith left; Smithson stayed."), (2, f"use {key} here"), (3, f"use {other} here"),
+            (4, "Dr. Weber and Prof. Karl Weber met M. Dupont and Sra. Lopez."), (5, "Size M Shirt and Mr Smith")]
+    out = {r["doc_id"]: r["text"] for r in pii.surrogate_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    surname = re.match(r"Mrs\. \S+ (\w+) came\. (\w+) said so, \S+ (\w+) left; Smithson stayed", out[1]).groups()
+    assert len(set(surname)) == 1 and surname[0] != "Smith" and "Anna" not in out[1]
+    assert key not in out[2] and other not in out[3]
+    assert not re.search("Weber|Karl|Dupont|Lopez", out[4])
+    assert out[5] == f"Size M Shirt and Mr {surname[0]}"
+
+
 def test_collisions_get_another_attempt(spark):
     def narrow(kind, canon, attempt, key):  # four surrogates for the first attempts, one of them an entity that occurs
         few = F.concat(F.lit("e"), (F.crc32(canon) % 4).cast("string"))
