@@ -101,14 +101,14 @@ def leading(a: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray]:
     values, vectors = [], []
     for low, high, first, last in slices(a, wanted, scale):
         for number in range(first, min(last, wanted) + 1):
-            lo, hi, slack = low, high, 16 * EPS * scale
+            lo, hi, slack = low, high, max(64, 16 * len(a)) * EPS * scale
             plain = 2
             while True:
                 value, x = rayleigh(left, (lo + hi) / 2, rng.standard_normal(len(a)), scale, plain)
-                if lo - slack <= value <= hi + slack:
+                cut = first == last and hi - lo > TIE * scale
+                if (lo + slack < value < hi - slack) if cut else (lo - slack <= value <= hi + slack):
                     break
-                if hi - lo > TIE * scale and first == last:
-                    # a neighbour just outside drew it away: a narrower slice
+                if cut:  # it may belong to a neighbour: a narrower slice
                     middle = (lo + hi) / 2
                     lo, hi = (middle, hi) if count_above(a, middle) >= number else (lo, middle)
                 elif plain > 64:
@@ -131,6 +131,6 @@ def certify(a: np.ndarray, e: np.ndarray, u: np.ndarray, scale: float) -> None:
     """Each value is the eigenvalue of its number, up to its residual: fewer
     eigenvalues than its number lie above, and that many at least not below."""
     for k, value in enumerate(e, 1):
-        slack = max(2 * float(np.linalg.norm(a @ u[:, k - 1] - value * u[:, k - 1])), 8 * EPS * scale * len(a))
+        slack = max(2 * float(np.linalg.norm(a @ u[:, k - 1] - value * u[:, k - 1])), max(64, 16 * len(a)) * EPS * scale)
         if slack > 1e-9 * scale or not count_above(a, value + slack) < k <= count_above(a, value - slack):
             raise ArithmeticError(f"eigenvalue {k} is not certified by its counts")
