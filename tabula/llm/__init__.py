@@ -4,7 +4,7 @@ Nothing else in the library imports this package."""
 
 from importlib import import_module
 
-_MODULES = ["quality", "chat", "shards", "tokencount", "packing", "neardup", "decontaminate", "pii", "licences", "lm", "phrases", "whitening"]
+_MODULES = ["quality", "chat", "shards", "tokencount", "packing", "neardup", "decontaminate", "pii", "licences", "lm", "jaccard", "phrases", "whitening"]
 
 QUERIES: dict = {}
 ORACLES: dict = {}
