@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -80,3 +81,18 @@ def words_in(column: pa.Array, kinds: np.ndarray) -> Words:
         found = pa.array([], pa.large_binary())
     coded = found.dictionary_encode()
     return Words(coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int32), rows.astype(np.int32), leads)
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word of a dictionary."""
+    return np.frombuffer(b"".join(blake2b(w, digest_size=8).digest() for w in words.to_pylist()), np.uint64)
+
+
+def row_ends(found: Words, rows: int) -> np.ndarray:
+    """Where each text's words begin, and the last one's end."""
+    return np.concatenate([[0], np.cumsum(np.bincount(found.rows, minlength=rows))])
+
+
+def listed_codes(values: np.ndarray, found: Words, rows: int) -> pa.ListArray:
+    """For each text the values of its words, in order."""
+    return pa.ListArray.from_arrays(pa.array(row_ends(found, rows), pa.int32()), pa.array(values[found.codes].view(np.int64)))

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bytewords import byte_kinds, text_slices, words_in
+from .bytewords import byte_kinds, row_ends, text_slices, word_hashes, words_in
 from .common import python_ready, stage, table
 from .neardup import components
 
@@ -51,11 +51,6 @@ COLUMN_GROUPS = 4
 _KINDS = byte_kinds(b" \t\n\x0b\x0c\r")
 
 
-def _hashed(words: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each word."""
-    return np.frombuffer(b"".join(blake2b(w, digest_size=8).digest() for w in words.to_pylist()), np.uint64)
-
-
 def _windows(h: np.ndarray, width: int) -> np.ndarray:
     """A hash of each ``width`` neighbours."""
     n = len(h) - width + 1
@@ -74,8 +69,8 @@ def incidence(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
         key = TaskContext.get().partitionId() << 32
         for part in text_slices(batches, 1):
             found = words_in(part.column(1), _KINDS)
-            h = _hashed(found.dictionary)[found.codes]
-            ends = np.concatenate([[0], np.cumsum(np.bincount(found.rows, minlength=part.num_rows))])
+            h = word_hashes(found.dictionary)[found.codes]
+            ends = row_ends(found, part.num_rows)
             whole, sets = _windows(h, width), []
             for a, b in zip(ends[:-1], ends[1:]):
                 sets.append(np.unique(whole[a : b - width + 1] if b - a >= width else _windows(h[a:b], int(b - a)) if b > a else h[:0]).view(np.int64))

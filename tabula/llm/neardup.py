@@ -23,7 +23,8 @@ components is left out.
 Defined results: null text, or text without words, has an empty set and links
 with nothing; a text of fewer than five words is one shingle; rows that repeat
 share class and component; a row with null doc_id gets the component of its
-class, null (and kept) if nothing in it has an id; extra columns pass through
+class, null (and kept) if nothing in it has an id; rows of one doc_id with
+different texts are judged by their texts; extra columns pass through
 ``drop_near_copies``; empty tables give no rows.
 """
 
@@ -98,15 +99,20 @@ def class_of(words: Column) -> Column:
     return F.when(F.size(words) > 0, F.xxhash64(F.md5(F.array_join(words, " "))))
 
 
+def text_mark(text: Column) -> Column:
+    """Tells rows of one doc_id apart by their text; null and empty differ."""
+    return F.xxhash64(text.isNull(), text)
+
+
 def hashed_words(docs: DataFrame) -> DataFrame:
-    """(doc_id, id, w): the class and the hashes of the words of each (doc_id, text) row."""
-    words = docs.select("doc_id", words_of(ascii_lower(F.col("text"))).alias("w"))
-    return words.select("doc_id", class_of(F.col("w")).alias("id"), F.transform("w", lambda x: F.xxhash64(x)).alias("w"))
+    """(doc_id, id, w, mark): the class and the hashes of the words of each (doc_id, text) row."""
+    words = docs.select("doc_id", words_of(ascii_lower(F.col("text"))).alias("w"), text_mark(F.col("text")).alias("mark"))
+    return words.select("doc_id", class_of(F.col("w")).alias("id"), F.transform("w", lambda x: F.xxhash64(x)).alias("w"), "mark")
 
 
 def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, id, n_shingles, minima, bands) of each row of (doc_id, text);
-    no minima or bands for an empty set."""
+    """(doc_id, id, n_shingles, minima, bands, mark) of each row of (doc_id,
+    text); no minima or bands for an empty set."""
     python_ready(docs.sparkSession)
     n_bands, n_rows = shape(percent)
 
@@ -127,12 +133,12 @@ def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                     sig.append(np.empty(0, np.int32))
                     bands.append(np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(n, pa.int64()), _lists(sig, pa.int32()), _lists(bands, pa.int64())],
-                names=["doc_id", "id", "n_shingles", "minima", "bands"])
+                [part.column(0), part.column(1), pa.array(n, pa.int64()), _lists(sig, pa.int32()), _lists(bands, pa.int64()),
+                 part.column(3)], names=["doc_id", "id", "n_shingles", "minima", "bands", "mark"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return hashed_words(docs).mapInArrow(
-        run, f"doc_id {kind}, id long, n_shingles long, minima array<int>, bands array<long>")
+        run, f"doc_id {kind}, id long, n_shingles long, minima array<int>, bands array<long>, mark long")
 
 
 def shingle_sets(hashed: DataFrame) -> DataFrame:
@@ -290,7 +296,8 @@ def _apart(buckets: DataFrame, comps: DataFrame, name: str) -> DataFrame:
 
 
 def judged(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, id, n_shingles, component_id) of every row of (doc_id, text)."""
+    """(doc_id, mark, n_shingles, component, component_id) of every row of
+    (doc_id, text); no component for an empty set."""
     docs = docs.select("doc_id", "text")
     rows = stage(signatures(docs, percent), "op9-signatures")
     classes = rows.filter("id is not null").groupBy("id").agg(F.min("doc_id").alias("doc_id"))
@@ -299,10 +306,10 @@ def judged(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     comps = linked_classes(docs, stage(sigs, "op9-heads"), percent)
     joined = classes.join(comps, "id", "left").select("id", "doc_id", F.coalesce("component", "id").alias("component"))
     named = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    per_class = joined.select("id", "component").join(named, "component").select("id", "component_id")
-    out = rows.select("doc_id", "id", "n_shingles").join(per_class, "id", "left")
+    per_class = joined.select("id", "component").join(named, "component")
+    out = rows.select("doc_id", "id", "n_shingles", "mark").join(per_class, "id", "left")
     own = F.when(F.col("id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "id", "n_shingles", own.alias("component_id"))
+    return out.select("doc_id", "mark", "n_shingles", "component", own.alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -312,16 +319,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row of ``docs`` for each component, with all its columns.  Rows
-    without an id stay, once for each text, where no row with an id shares it."""
-    found = stage(judged(docs, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "id").distinct(),
-                  "op9-kept")
-    ids = found.filter("doc_id is not null").select("doc_id")
-    named = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*[f"`{c}`" for c in docs.columns])
-    lone = found.filter("doc_id is null").select(F.coalesce("id", F.lit(0)).alias("__class"))
-    nameless = docs.filter("doc_id is null").withColumn(
-        "__class", F.coalesce(class_of(words_of(ascii_lower(F.col("text")))), F.lit(0)))
-    return named.unionByName(nameless.join(lone, "__class", "left_semi").dropDuplicates(["__class"]).drop("__class"))
+    """One row of ``docs`` for each component, with all its columns: the one of
+    its smallest doc_id (a row without one only where none has an id), then of
+    the smallest mark.  Different texts under one id are rows of their own;
+    texts without words stay, once for each doc_id and text."""
+    found = stage(judged(docs, percent).select("doc_id", "mark", "component").distinct(), "op9-kept")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")).alias("r")
+    kept = (found.filter("component is not null").groupBy("component").agg(first).select("r.doc_id", "r.mark")
+            .union(found.filter("component is null").select("doc_id", "mark")))
+    kept = kept.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__kept"))
+    marked = docs.withColumn("__mark", text_mark(F.col("text")))
+    rows = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__kept")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "__mark"]).select(*[f"`{c}`" for c in docs.columns])
 
 
 def op9_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,16 +28,25 @@ def brute_contamination(docs, items):
         for k in range(max(1, len(w) - 9) if w else 0):
             windows.setdefault(tuple(w[k : k + 10]), set()).add(item)
     sizes = {len(w) for w in windows}
+    counts = Counter(w for _, text in docs for w in item_words(text))
+    anchors = {g: sorted((counts[w], k, w) for k, w in enumerate(g) if counts[w])[:2] for g in windows}
     out = []
     for d, text in docs:
-        w, hit, found = item_words(text), set(), set()
+        w, hit, found, near = item_words(text), set(), set(), set()
+        at = {}
+        for k, x in enumerate(w):
+            at.setdefault(x, []).append(k)
+        for g, two in anchors.items():
+            starts = [[p - k for p in at.get(x, [])] for _, k, x in two]
+            if len(two) == 2 and any(abs(a - b) <= 3 for a in starts[0] for b in starts[1]) or len(g) == 1 and g[0] in at:
+                near |= windows[g]
         for n in sizes:
             for k in range(len(w) - n + 1):
                 if own := windows.get(tuple(w[k : k + n])):
                     hit.update(range(k, k + n))
                     found |= own
         ids = ",".join(sorted(map(str, found)))
-        out.append((d, len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit)))
+        out.append((d, len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit), len(near)))
     return out
 
 
@@ -67,6 +77,28 @@ def test_contamination_of_repeated_rows_and_empty_tables(spark):
     assert decontaminate.contamination(no_documents(spark), items).count() == 0
 
 
+def test_every_row_has_hits_of_its_own(spark):
+    items = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
+    rows = [(k, t) for k in (None, 3) for t in ("a b c d e f g h i j", "x y z", "a b c d e f g h i j k", None)] + [(4, "x y z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontaminate.contamination(docs, items).collect()
+    assert order(got) == order(brute_contamination(rows, [(1, "a b c d e f g h i j")]))
+    assert order(decontaminate.clean(docs, items).collect()) == order([r for r in rows if r[1] in ("x y z", None)])
+
+
+def test_a_changed_word_is_a_proximity_match(spark):
+    items = [(1, "one two three four five six seven eight nine ten")]
+    docs = [(1, "so one two three four five SIX seven eight nine ten it is"), (2, "one two three four five other seven eight nine ten"),
+            (3, "one two three four five six seven eight nine inserted ten"), (4, "ten nine eight seven six five four three two one")]
+    made = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"),
+                                       spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert order(made) == order(brute_contamination(docs, items))
+    assert {r["doc_id"]: (r["n_items"], r["n_near"] > 0) for r in made}[1] == (1, True)
+    lost = decontaminate.contamination(spark.createDataFrame(docs[1:2], "doc_id long, text string"),
+                                       spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert [(r["n_items"], r["n_near"]) for r in lost] == [(0, 1)]  # six occurs nowhere
+
+
 def test_proximity_allows_slop(spark):
     docs = spark.createDataFrame([(1, "rare1 of the one rare2"), (2, "rare1 of the one and rare2"), (3, "rare1 x x x x x x x x rare2"),
                                   (4, "rare2 rare1"), (5, "of the one " * 9)], "doc_id long, text string")
@@ -78,13 +110,13 @@ def test_proximity_allows_slop(spark):
     assert {r["doc_id"] for r in decontaminate.proximity_matches(postings, anchors).collect()} == {1, 2}
 
 
-def brute_components(docs):
+def brute_components(docs, percent=85):
     sets = [shingles(t) for _, t in docs]
     label = list(range(len(docs)))
     for i in range(len(docs)):
         for j in range(i):
             c = len(sets[i] & sets[j])
-            if sets[i] and sets[j] and 100 * c >= 85 * (len(sets[i]) + len(sets[j]) - c) and label[i] != label[j]:
+            if sets[i] and sets[j] and 100 * c >= percent * (len(sets[i]) + len(sets[j]) - c) and label[i] != label[j]:
                 old, new = label[i], label[j]
                 label = [new if x == old else x for x in label]
     least = {c: min(d for (d, _), x in zip(docs, label) if x == c) for c in label}
@@ -138,6 +170,13 @@ def test_near_copies_from_80_per_cent_on(spark):
     assert {r["doc_id"] for r in kept.collect()} == brute_kept(docs, 80)
 
 
+def test_texts_under_one_id_are_rows_of_their_own(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six", "seven eight nine ten eleven twelve")
+    rows = [(1, a, 0), (1, b, 1), (1, a, 2), (2, a + " ", 3), (None, b, 4), (None, c, 5), (None, c.upper(), 6), (3, None, 7), (3, "", 8), (3, None, 9)]
+    kept = neardup.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, n int"), 80).collect()
+    assert order((r["doc_id"], (r["text"] or "").strip().lower()) for r in kept) == order([(1, a), (1, b), (None, c), (3, ""), (3, "")])
+
+
 def test_near_duplicates_of_odd_rows(spark):
     docs = odd_documents(spark, extra=True)
     rows = neardup.near_duplicates(docs).collect()
@@ -180,7 +219,7 @@ def test_pipeline_stages_against_plain_python(spark):
     assert first.columns == docs.columns and {r["doc_id"] for r in first.collect()} == kept
     rows = [r for r in rows if r[0] in kept]
     second = stage(stages[names[1]](spark, first, TABLES), "test-2")
-    kept = {d for d, _, _, own in brute_components(rows) if own}
+    kept = {d for d, _, _, own in brute_components(rows, 80) if own}
     assert second.columns == docs.columns and {r["doc_id"] for r in second.collect()} == kept
     rows = [r for r in rows if r[0] in kept]
     items = [(r["item_id"], r["text"]) for r in table(spark, TABLES, "benchmark").collect()]
