@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package, staging_path
+from ..session import remove_path, ship_package, staging_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -44,6 +44,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean_stage(df: DataFrame, name: str) -> DataFrame:
+    """As ``stage``; the shuffle files of the write go when it has ended, and
+    ``discard`` removes the table once nothing reads it any more."""
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        out = stage(df, name)
+    finally:
+        spark.conf.set(key, before)
+    out._staged_files = out.inputFiles()[:1]
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove what ``lean_stage`` wrote."""
+    for df in tables:
+        for file in getattr(df, "_staged_files", []):
+            remove_path(df.sparkSession, file.rsplit("/", 1)[0])
+
+
 def python_ready(spark: SparkSession) -> None:
     """Operators with Python in their tasks call this first."""
     ship_package(spark)

@@ -4,8 +4,9 @@ The incidence matrix has a row for each class of texts with the same set of
 4-word shingles and a column for each shingle.
 
 1. A set can only link with one that shares a shingle among its first
-   n - ceil(t n) + 1 in any common order; in the order of the hashes that
-   leaves the rows that can link at all, without counting any column.
+   p = n - ceil(t n) + 1 in any common order, and l of them among its first
+   p + l - 1.  In the order of the hashes that leaves the rows that can link
+   at all, from a part of each set; only their texts are read into whole sets.
 2. Over these rows columns are counted.  Shingles of one row alone are in no
    overlap: a row with too many of them leaves.  The others are ordered from
    the rarest, and only the leading ones (as in 1) make buckets, so a passage
@@ -33,18 +34,16 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytewords import byte_kinds, row_ends, text_slices, word_hashes, words_in
-from .common import python_ready, stage, table
-from .neardup import components
+from .common import discard, lean_stage, python_ready, table
+from .neardup import components, text_mark
 
 SHINGLE = 4
 PERCENT = 85
 STAR_ROUNDS = 3
-PARTS = 256  # of the classes' numbering
 BLOCK_WEIGHT = 2_000_000  # matrix entries that the pairs of a block bring in
 COLUMN_GROUPS = 4
 
@@ -61,28 +60,39 @@ def _windows(h: np.ndarray, width: int) -> np.ndarray:
     return acc
 
 
-def incidence(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """(doc_id, key, class, n, shingles) of each (doc_id, text) row: a key of
-    its own, a digest of the set, and the set itself, sorted."""
+def _leading(n, percent: int):
+    """How many of its n shingles, in any common order, a linked set's partner has one of."""
+    return n - _ceil(n * percent, 100) + 1
+
+
+def _ceil(x, by: int):
+    return F.ceil(x / by) if isinstance(x, Column) else -(-x // by)
+
+
+def incidence(docs: DataFrame, percent: int | None = None, width: int = SHINGLE) -> DataFrame:
+    """(doc_id, mark, class, n, shingles) of each (doc_id, text) row: a mark of
+    its text, a digest of the set and the set itself, sorted; with ``percent``
+    only the first 2 p - 1 of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = TaskContext.get().partitionId() << 32
-        for part in text_slices(batches, 1):
-            found = words_in(part.column(1), _KINDS)
+        for part in text_slices(batches, 2):
+            found = words_in(part.column(2), _KINDS)
             h = word_hashes(found.dictionary)[found.codes]
             ends = row_ends(found, part.num_rows)
             whole, sets = _windows(h, width), []
             for a, b in zip(ends[:-1], ends[1:]):
                 sets.append(np.unique(whole[a : b - width + 1] if b - a >= width else _windows(h[a:b], int(b - a)) if b > a else h[:0]).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(range(key, key + len(sets)), pa.int64()),
-                 pa.array([blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                 pa.array([len(s) for s in sets], pa.int64()), _lists(sets)], names=["doc_id", "key", "class", "n", "shingles"])
-            key += len(sets)
+            names = [blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            sizes = [len(s) for s in sets]
+            if percent is not None:
+                sets = [s[: 2 * _leading(len(s), percent) - 1] for s in sets]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(names, pa.binary()), pa.array(sizes, pa.int64()), _lists(sets)],
+                                             names=["doc_id", "mark", "class", "n", "shingles"])
 
     python_ready(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, key long, class binary, n long, shingles array<long>")
+    return docs.select("doc_id", text_mark(F.col("text")).alias("mark"), "text").mapInArrow(
+        run, f"doc_id {kind}, mark long, class binary, n long, shingles array<long>")
 
 
 def _lists(sets: list[np.ndarray]) -> pa.ListArray:
@@ -91,28 +101,29 @@ def _lists(sets: list[np.ndarray]) -> pa.ListArray:
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
-    """(class, id, key, doc_id): one row for each set, with an id of its own,
-    the key of a row that has it, and its smallest doc_id."""
-    each = rows.filter("n > 0").groupBy("class").agg(F.min("key").alias("key"), F.min("doc_id").alias("doc_id"))
-    part = F.pmod(F.xxhash64("class"), F.lit(PARTS)).cast("long")
-    # ids differ between parts in their remainder, inside a part in their place
-    place = F.row_number().over(Window.partitionBy("part").orderBy("class")).cast("long")
-    return each.withColumn("part", part).select("class", (place * PARTS + F.col("part")).alias("id"), "key", "doc_id")
-
-
-def _leading(n: Column, percent: int) -> Column:
-    """How many of its n shingles, in any common order, a linked set's partner has one of."""
-    return n - F.ceil(n * percent / 100) + 1
+    """(class, id, doc_id, mark, n, shingles): one row for each set that is not
+    empty, with an id of its own (fixed when it is staged), and the smallest
+    doc_id of its rows with the mark of that row's text."""
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")).alias("head")
+    each = rows.filter("n > 0").groupBy("class").agg(head, F.first("n").alias("n"), F.first("shingles").alias("shingles"))
+    return each.select("class", F.monotonically_increasing_id().alias("id"), "head.doc_id", "head.mark", "n", "shingles")
+
+
+def able_classes(classes: DataFrame, percent: int) -> DataFrame:
+    """(id) of the classes that share as many of their leading shingles by
+    hash with others as a linked set would have to."""
+    each = classes.select("id", "n", F.explode("shingles").alias("g"))
+    met = each.groupBy("g").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("g")
+    shared = each.join(met, "g", "left_semi").groupBy("id", "n").agg(F.count("*").alias("k"))
+    # both sets' parts hold as many as the smaller one's p
+    return shared.filter(F.col("k") >= _leading(_ceil(F.col("n") * percent, 100), percent)).select("id")
 
 
-def able_rows(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(id, n, shingles) of the classes that share one of their leading shingles by hash."""
-    first = rows.select("key", F.slice("shingles", F.lit(1), _leading(F.col("n"), percent).cast("int")).alias("s"))
-    each = first.join(classes.select("key", "id"), "key").select("id", F.explode("s").alias("g"))
-    met = each.groupBy("g").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("g")
-    busy = each.join(met, "g", "left_semi").select("id").distinct()
-    keys = classes.join(busy, "id", "left_semi").select("key", "id")
-    return rows.join(keys, "key").select("id", "n", "shingles")
+def whole_sets(docs: DataFrame, classes: DataFrame, able: DataFrame) -> DataFrame:
+    """(id, n, shingles) of the able classes, from the texts that stand for them."""
+    heads = classes.join(able, "id", "left_semi").select("class", "id", F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"))
+    texts = docs.join(heads.select("__id", "__mark"), F.col("doc_id").eqNullSafe(F.col("__id")) & (text_mark(F.col("text")) == F.col("__mark")), "left_semi")
+    return incidence(texts).dropDuplicates(["class"]).join(heads.select("class", "id"), "class").select("id", "n", "shingles")
 
 
 def columns_of(sets: DataFrame, percent: int) -> DataFrame:
@@ -215,7 +226,7 @@ def linked(columns: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
         known = columns.withColumn("component", F.col("id")) if comps is None else (
             columns.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id")))
         split = known.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("g")
-        apart = stage(known.join(split, "g", "left_semi"), f"op11-apart{k}")
+        apart = lean_stage(known.join(split, "g", "left_semi"), f"op11-apart{k}")
         if k < STAR_ROUNDS:
             degrees = None if links is None else links.select(F.col("a").alias("id")).union(links.select("b")).groupBy("id").agg(F.count("*").alias("links"))
             new = _with_centres(apart, degrees, percent)
@@ -223,24 +234,30 @@ def linked(columns: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
             new = candidates(apart, percent, across=True)
         if tested is not None:
             new = new.join(tested.select("a", "b").union(tested.select("b", "a")), ["a", "b"], "left_anti")
-        new = stage(new, "op11-pairs")
+        new = lean_stage(new, "op11-pairs")
         if new.isEmpty():
             if k < STAR_ROUNDS and not apart.isEmpty():
                 continue
             break
-        found = stage(products(new, sets, percent), "op11-links")
+        found = lean_stage(products(new, sets, percent), "op11-links")
         tested, links = (new, found) if tested is None else (tested.union(new), links.union(found))
         if comps is None or not found.isEmpty():
-            comps = stage(components(links, "op11-star"), "op11-components")
+            comps = lean_stage(components(links, "op11-star"), "op11-components")
     return comps
 
 
 def prepared(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Rows, classes, the sets that can link, and their leading columns."""
-    rows = stage(incidence(docs.select("doc_id", "text")), "op11-rows")
-    classes = stage(classes_of(rows), "op11-classes")
-    sets = stage(able_rows(rows, classes, percent), "op11-sets")
-    return rows, classes, sets, stage(columns_of(sets, percent), "op11-columns")
+    """Rows (doc_id, class, n), classes, the sets that can link, and their leading columns."""
+    docs = docs.select("doc_id", "text")
+    read = lean_stage(incidence(docs, percent), "op11-read")
+    rows = lean_stage(read.select("doc_id", "class", "n"), "op11-rows")
+    parts = lean_stage(classes_of(read), "op11-parts")
+    discard(read)
+    able = lean_stage(able_classes(parts, percent), "op11-able")
+    classes = lean_stage(parts.select("class", "id", "doc_id", "mark"), "op11-classes")
+    discard(parts)
+    sets = lean_stage(whole_sets(docs, classes, able), "op11-sets")
+    return rows, classes, sets, lean_stage(columns_of(sets, percent), "op11-columns")
 
 
 def similar_pairs(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -248,7 +265,7 @@ def similar_pairs(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
     (doc_id, id, n_shingles); id is null for an empty set.  Unlike ``joined``
     this lists a group's links one by one."""
     rows, classes, sets, columns = prepared(docs, percent)
-    pairs = stage(candidates(columns, percent), "op11-pairs")
+    pairs = lean_stage(candidates(columns, percent), "op11-pairs")
     member = rows.join(classes.select("class", "id"), "class", "left").select("doc_id", "id", F.col("n").alias("n_shingles"))
     return products(pairs, sets, percent), member
 
