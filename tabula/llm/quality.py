@@ -102,7 +102,7 @@ def measures(text: Column, words: Column) -> dict[str, Column]:
         "symbol_ratio": symbols / some,
         "bang_ratio": F.regexp_count(text, F.lit(r"!")) / some,
         "alpha_word_ratio": F.size(F.filter(words, lambda w: w.rlike(r"\p{L}"))) / some,
-        "stop_words": F.size(F.array_intersect(words, F.array(*[F.lit(w) for w in dict.fromkeys(STOP_WORDS)]))),
+        "stop_words": F.size(F.array_intersect(F.transform(words, F.lower), F.array(*[F.lit(w) for w in dict.fromkeys(STOP_WORDS)]))),
         "dup_line_ratio": dup_lines / n_lines,
         "bullet_line_ratio": F.size(F.filter(lines, lambda x: x.rlike(r"^\s*[-*•]"))) / n_lines,
         "ellipsis_line_ratio": F.size(F.filter(lines, lambda x: x.rlike(r"(\.\.\.|…)\s*$"))) / n_lines,
@@ -165,7 +165,7 @@ m as (
          len(ls) - len(list_distinct(ls)) as n_dup_lines, coalesce(c, 0) as n_repeat_words,
          length(t) - length(replace(t, '!', '')) as bangs, greatest(len(w), 1) as nw, greatest(len(ls), 1) as nl,
          len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) as alphas,
-         len(list_distinct(list_filter(w, lambda x: x in ({_STOPS})))) as stops,
+         len(list_distinct(list_filter(list_transform(w, lambda x: lower(x)), lambda x: x in ({_STOPS})))) as stops,
          len(list_filter(ls, lambda x: regexp_matches(x, '^\s*[-*\x{{2022}}]'))) as bullets,
          len(list_filter(ls, lambda x: regexp_matches(x, '(\.\.\.|\x{{2026}})\s*$'))) as dots
   from d left join n on d.doc_id = n.doc_id)
