@@ -140,6 +140,19 @@ def test_shards_are_balanced_and_slots_gapless(spark):
     assert shards.shard(no_documents(spark)).count() == 0
 
 
+def test_shards_stay_even_with_a_hot_id(spark):
+    """A third of the rows under one id, and a third without any."""
+    rng = random.Random(4)
+    rows = [([7, None, k][k % 3], "x" * rng.randrange(400)) for k in range(6000)] + [(7, "same")] * 300
+    made = shards.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    loads, slots = Counter(), {}
+    for r in made:
+        loads[r["shard"]] += r["size"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert len(made) == len(rows) and len(loads) == 24 and max(loads.values()) < 1.02 * sum(loads.values()) / 24
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_bounded_loads_hold_and_movement_is_limited():
     rng = random.Random(2)
     cells = [(c, rng.randint(1, 100)) for c in range(0, 1 << 16, 5)]
