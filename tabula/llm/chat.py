@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import let, table
 
 START, END, SEP = "<|im_start|>", "<|im_end|>", "<|im_sep|>"
 LEARNED_ROLE = "assistant"
@@ -90,20 +90,33 @@ def read_back(formatted: Column) -> Column:
     return F.flatten(F.transform(messages, turns))
 
 
+def masked_texts(formatted: Column, mask: Column) -> Column:
+    """The unescaped texts under the loss mask, in order: the string is cut
+    where the run lengths say, whatever its turns are."""
+    ends = F.aggregate(mask, F.array(F.lit(0)), lambda a, s: F.concat(a, F.array(F.element_at(a, -1) + s["n"])))
+
+    def cut(e: Column) -> Column:
+        runs = F.filter(F.transform(mask, lambda s, i: F.struct(F.get(e, i).alias("at"), s["n"].alias("n"), s["loss"].alias("loss"))),
+                        lambda r: r["loss"])
+        return F.transform(runs, lambda r: unescape(F.substr(formatted, r["at"] + 1, r["n"])))
+
+    return let(ends, cut)
+
+
 def digests(formatted: DataFrame) -> DataFrame:
     """What the formatted string and its mask say, read back from them."""
-    learned = F.aggregate(F.filter("loss_mask", lambda s: s["loss"]), F.lit(0).cast("long"), lambda a, s: a + s["n"])
-    parsed = formatted.select("conv_id", "formatted", learned.alias("masked"), read_back(F.col("formatted")).alias("rb"))
-    loss = F.array_join(F.transform(F.filter("rb", lambda t: t["role"] == LEARNED_ROLE), lambda t: t["text"]), "")
+    parsed = formatted.select("conv_id", "formatted", masked_texts(F.col("formatted"), F.col("loss_mask")).alias("learned"),
+                              read_back(F.col("formatted")).alias("rb"))
+    loss = F.array_join("learned", "")
+    said = F.array_join(F.transform(F.filter("rb", lambda t: t["role"] == LEARNED_ROLE), lambda t: t["text"]), "")
     told = F.array_join(F.transform("rb", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    read = parsed.select("conv_id", "formatted", "masked", F.size("rb").cast("long").alias("n_turns"),
-                         told.alias("told"), loss.alias("loss"))
+    read = parsed.select("conv_id", "formatted", F.size("rb").cast("long").alias("n_turns"), told.alias("told"), loss.alias("loss"), said.alias("said"))
     return read.select(
         "conv_id", "n_turns", F.sha2("told", 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
-        # the mask counts escaped characters: it must cover exactly the escaped assistant text
-        (F.col("masked") == F.length(escape(F.col("loss")))).alias("mask_agrees"))
+        # the text under the mask is the assistant's text, as the turns tell it
+        (F.col("loss") == F.col("said")).alias("mask_agrees"))
 
 
 def with_probe(conversations: DataFrame) -> DataFrame:

@@ -74,6 +74,24 @@ def test_chat_digests_and_probe(spark):
     assert rows[4]["loss_chars"] == 2 and all(r["mask_agrees"] for r in rows.values())
 
 
+def test_a_wrong_mask_changes_the_digest(spark):
+    rows = [(1, 0, "user", "abc"), (1, 1, "assistant", "xyz"), (1, 2, "user", "é😀&<|"), (1, 3, "assistant", "&<|😀é")]
+    right = chat.format_conversations(conversations(spark, rows))
+    # the loss moves from each assistant text to the user text before it, of the same length
+    runs = F.filter("loss_mask", lambda r: r["n"] >= 0)
+    moved = F.transform(runs, lambda r, i: F.struct(r["n"].alias("n"), F.coalesce(F.get(runs, i + 3)["loss"], F.lit(False)).alias("loss")))
+    good, bad = (chat.digests(d).first() for d in (right, right.withColumn("loss_mask", moved)))
+    assert good["loss_sha256"] == hashlib.sha256("xyz&<|😀é".encode()).hexdigest() and good["mask_agrees"]
+    assert bad["loss_sha256"] == hashlib.sha256("abcé😀&<|".encode()).hexdigest() and not bad["mask_agrees"]
+    assert bad["turns_sha256"] == good["turns_sha256"] and bad["loss_chars"] == good["loss_chars"]
+
+
+def test_quality_of_capitals(spark):
+    prose = " ".join(f"The {a} of the house and {b} to be with her" for a, b in zip("old small red wide tall long".split(), "may june july march april august".split()))
+    docs = spark.createDataFrame([(1, prose), (2, prose.upper()), (3, prose.title())], "doc_id long, text string")
+    assert {r["doc_id"] for r in quality.filter_documents(docs).collect()} == {1, 2, 3}
+
+
 @pytest.fixture(scope="module")
 def model():
     return licences.Model(["the house and the garden stood there on sunday"] * 20)
