@@ -7,12 +7,12 @@ with 0 rows, an unreadable file with null, and no data page is scanned.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.filters import not_control_file
+from ..session import ship_package
+from ..sources.files import open_store, store_options
 
 UNMAPPED = "(não mapeado)"
 CATALOGUE_COLUMNS = ["ARQUIVO", "DIRETORIO", "FONTE_RELACIONADA", "DESCRICAO", "NUM_REGISTROS",
@@ -26,27 +26,33 @@ def _mapped(mapping: dict | None, key):
     return F.try_element_at(F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv]), key)
 
 
-def _footers(batches):
-    """Row and column counts from each file's footer; null if it can't be read."""
-    import pyarrow as pa
-    import pyarrow.parquet as pq
-    from pyarrow import fs as pafs
-
-    for b in batches:
-        rows, cols = [], []
-        for path in b.column(0).to_pylist():
-            n = c = None
-            if path.endswith(".parquet"):
-                try:
-                    fs, own = pafs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
-                    meta = pq.read_metadata(own, filesystem=fs)
-                    n, c = meta.num_rows, meta.num_columns
-                except (OSError, pa.ArrowInvalid):
-                    pass
-            rows.append(n)
-            cols.append(c)
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, pa.int64()), pa.array(cols, pa.int32())],
-                                         names=[*b.schema.names, "NUM_REGISTROS", "NUM_COLUNAS"])
+def footers(options: str):
+    """Row and column counts from each file's footer; null if it can't be
+    read, with the reason.  A store that cannot be opened at all is an error:
+    it says nothing about the file."""
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for b in batches:
+            rows, cols, why = [], [], []
+            for path in b.column(0).to_pylist():
+                n = c = reason = None
+                if path.endswith(".parquet"):
+                    store, own = open_store(path, options)
+                    try:
+                        meta = pq.read_metadata(own, filesystem=store)
+                        n, c = meta.num_rows, meta.num_columns
+                    except (OSError, pa.ArrowInvalid) as e:
+                        reason = str(e).split("\n")[0][:200]
+                rows.append(n)
+                cols.append(c)
+                why.append(reason)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, pa.int64()), pa.array(cols, pa.int32()), pa.array(why, pa.string())],
+                                             names=[*b.schema.names, "NUM_REGISTROS", "NUM_COLUNAS", "MOTIVO"])
+
+    return run
 
 
 def catalogue(spark: SparkSession, tables: dict[str, str], names_by_file: dict | None = None,
@@ -55,10 +61,12 @@ def catalogue(spark: SparkSession, tables: dict[str, str], names_by_file: dict |
     """K2: one row per published file.  ``tables`` maps a table name to its
     path (a file or a folder).  The name is the file's own, else the first of
     the folder's names; the description is the file's own, else the folder's."""
+    ship_package(spark)
     listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([p for _, p in sorted(tables.items())])
               .select("path", "length", "modificationTime"))
     spread = listed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
-    u = spread.mapInArrow(_footers, "path string, length long, modificationTime timestamp, NUM_REGISTROS long, NUM_COLUNAS int")
+    u = spread.mapInArrow(
+        footers(store_options(spark)), "path string, length long, modificationTime timestamp, NUM_REGISTROS long, NUM_COLUNAS int, MOTIVO string")
     u = u.withColumn("ARQUIVO", F.element_at(F.split("path", "/"), -1)).filter(not_control_file("ARQUIVO"))
     folder = F.element_at(F.split("path", "/"), -2)
     session_tz = spark.conf.get("spark.sql.session.timeZone")

@@ -102,3 +102,72 @@ def test_wide_matrix_of_several_exports(spark, tmp_path):
     (tmp_path / "3.csv").write_text("no separator here\n")
     out = X.wide_matrix(spark, str(tmp_path)).select("Linha", "2019", "2020", "Total")
     assert sorted(rows(out)) == [("a", "1", None, "9"), ("b;c", None, "2", None)]
+
+
+FIELDS = [("ID", "N", 6), ("CAUSABAS", "C", 4), ("NOME", "C", 8)]
+
+
+def _many(folder, files=30):
+    for k in range(files):
+        cols = {"ID": [str(10 * k + j) for j in range(4)], "CAUSABAS": ["C509", " d10", "A000", None], "NOME": ["ana", "", "x", "é"]}
+        (folder / f"DO{k:02d}.dbf").write_bytes(dbf.dbf_bytes(cols, FIELDS))
+
+
+def test_dbf_small_files_share_partitions(spark, tmp_path):
+    _many(tmp_path)
+    df = dbf.scan(spark, str(tmp_path), schema="ID string")
+    assert df.rdd.getNumPartitions() < 5 and df.count() == 120
+    large = dbf.scan(spark, str(tmp_path), schema="ID string", bytesPerPartition=100)
+    assert large.count() == 120 and large.select("ID").distinct().count() == 120
+
+
+def test_dbf_filters_decode_one_field_of_dropped_records(spark, tmp_path):
+    _many(tmp_path, 2)
+    df = dbf.scan(spark, str(tmp_path), schema="ID string, CAUSABAS string, ARQUIVO_ORIGEM string", lineage="ARQUIVO_ORIGEM")
+    assert sorted(rows(df.filter("CAUSABAS = 'C509'"), "ID")) == [("0",), ("10",)]
+    assert sorted(rows(df.filter("CAUSABAS like 'A%' and ARQUIVO_ORIGEM = 'DO01.dbf'"), "ID")) == [("12",)]
+    assert sorted(rows(df.filter("CAUSABAS in ('A000', 'd10') and ID >= '11'"), "ID")) == [("11",), ("12",), ("2",)]
+    assert df.filter("CAUSABAS is not null").count() == 6 and df.filter("CAUSABAS <=> null").count() == 2
+    assert df.filter("CAUSABAS < 'C' or ID = '0'").count() == 3  # not pushed: evaluated by Spark
+    some = dbf.scan(spark, str(tmp_path), schema="ID string", prefixes={"CAUSABAS": ["C", "D1"]}, files=["DO00.dbf"])
+    assert sorted(rows(some)) == [("0",), ("1",)]
+    decoded = []
+    reader = dbf.DbfReader({"path": str(tmp_path), "files": '["DO00.dbf"]'}, df.schema)
+    assert list(reader.pushFilters([dbf.EqualTo(("CAUSABAS",), "A000")])) == []
+    real = dbf._convert
+    try:
+        dbf._convert = lambda kind, raw: decoded.append(len(raw)) or real(kind, raw)
+        list(reader.read(reader.partitions()[0]))
+    finally:
+        dbf._convert = real
+    assert decoded == [4, 1, 1]  # the tested field of all records, then two fields of the one left
+
+
+def test_dbf_read_report_and_skipping(spark, tmp_path):
+    _many(tmp_path, 3)
+    whole = (tmp_path / "DO01.dbf").read_bytes()
+    (tmp_path / "DO01.dbf").write_bytes(whole[:-30])
+    (tmp_path / "DO03.dbf").write_bytes(b"\x03\x7c")
+    (tmp_path / "DO04.dbf").write_bytes(b"")
+    (tmp_path / "DO05.dbf").write_bytes(whole.replace(b"NOME\x00\x00\x00\x00\x00\x00\x00C", b"NOME\x00\x00\x00\x00\x00\x00\x00M"))
+    told = {r["ARQUIVO"]: (r["REGISTROS"], r["MOTIVO"]) for r in dbf.read_report(spark, str(tmp_path)).collect()}
+    assert told["DO00.dbf"] == (4, None) and told["DO02.dbf"] == (4, None)
+    assert told["DO01.dbf"][1].startswith("ends in record") and told["DO03.dbf"] == (None, "no whole header")
+    assert told["DO04.dbf"][1] == "no whole header" and told["DO05.dbf"][1] == "field type 'M' not supported"
+    read = dbf.scan(spark, str(tmp_path), lineage="A", on_error="skip", bytesPerPartition=60)
+    assert sorted(rows(read.select("A").distinct())) == [("DO00.dbf",), ("DO02.dbf",)]
+    with pytest.raises(Exception, match="ends in record|no whole header|not supported"):
+        dbf.scan(spark, str(tmp_path), schema="ID string").collect()
+
+
+def test_paths_of_object_stores(tmp_path):
+    from tabula.sources.files import list_files, open_store
+
+    (tmp_path / "a.dbf").write_bytes(b"x")
+    (tmp_path / "_b.dbf").write_bytes(b"x")
+    assert list_files(f"file://{tmp_path}", ".dbf") == [(f"file://{tmp_path}/a.dbf", 1)] and list_files(str(tmp_path), ".dbf") == [(f"{tmp_path}/a.dbf", 1)]
+    for uri in (f"file:{tmp_path}/a.dbf", f"file:///{tmp_path}/a.dbf", f"{tmp_path}/a.dbf"):
+        store, own = open_store(uri)
+        assert store.open_input_file(own).read() == b"x"
+    store, own = open_store("s3a://landing/sim/a.dbf", '{"region": "sa-east-1", "endpoint_override": "store.example:9000"}')
+    assert store.type_name == "s3" and own == "landing/sim/a.dbf" and store.region == "sa-east-1"
