@@ -57,6 +57,10 @@ from {orders}""",
   cast(rec_id % 10 as string) as CIRURGIA, case when rec_id % 8 = 0 then 'nan' else cast(rec_id % 3 as string) end as NECROPSIA,
   cast(rec_id % 7 as string) as ATESTANTE, arquivo_origem as ARQUIVO_ORIGEM
 from {rec}""",
+    # the same records as a DBF file gives them back
+    "sim_dbf": "select " + ", ".join(f"nullif(trim({c}), '') as {c}" for c in (
+        "CONTADOR CAUSABAS IDADE DTOBITO CODMUNRES SEXO NATUR OCUP RACACOR ESTCIV ESCFALAGR1 LOCOCOR ASSISTMED TPPOS OBITOGRAV OBITOPUERP "
+        "DTNASC ETNIA CODMUNOCOR TIPOBITO EXAME CIRURGIA NECROPSIA ATESTANTE ARQUIVO_ORIGEM").split()) + " from {sim_do}",
     "sim_do_old": """select cast(rec_id as string) as contador, causa9 as CAUSABAS, idade as IDADE, dataobito as DATAOBITO,
   munres as MUNIRES, sexo as SEXO, naturalidade as NATUR, ocup as OCUPACAO,
   cast(rec_id % 5 as string) as INSTRUCAO, cast(rec_id % 6 as string) as RACACOR,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import merge as M
+from ..operators import snapshots as S
 from ..plans import mortality as MO
 from ..plans import outpatient as OP
 from ..session import staging_path
@@ -27,9 +27,10 @@ def _deliver_twice(t, landed, record, curate):
     again = landed.filter(year % 2 == 1)
     kept = again.filter((year % 10 != 7) & (F.col(record).cast("bigint") % 2 == 0))
     first = curate(landed)
-    M.publish_partitioned(first, path, FILE)
-    M.publish_replacing(curate(kept), path, FILE, again)
-    return M.read_published(t.spark, path, first.schema)
+    S.commit(first, path, FILE)
+    S.commit(curate(kept), path, FILE, again)
+    S.vacuum(t.spark, path, keep=1)
+    return S.read(t.spark, path)
 
 
 def _oracle(flow: str, record: str) -> str:

@@ -163,7 +163,7 @@ class DbfReader(DataSourceReader):
         step, only = int(self.options.get("bytesPerPartition", BYTES_PER_PARTITION)), self.options.get("files")
         names = set(json.loads(only)) if only else None
         out, held, weight = [], [], 0
-        for path, size in list_files(self.options["path"], ".dbf", self.options.get("store")):
+        for path, size in list_files(self.options["path"], self.options.get("suffix", ".dbf"), self.options.get("store")):
             if names is not None and posixpath.basename(path) not in names:
                 continue
             if size > step:
@@ -258,7 +258,7 @@ class DbfDataSource(DataSource):
 
     def schema(self):
         store = self.options.get("store")
-        files = list_files(self.options["path"], ".dbf", store)
+        files = list_files(self.options["path"], self.options.get("suffix", ".dbf"), store)
         names: list[str] = []
         # layouts drift between deliveries: the schema is the union of all
         # headers by name (case-insensitive), in order of first appearance
@@ -288,7 +288,8 @@ def scan(spark, path: str, schema: str | None = None, prefixes: dict | None = No
     """The DBF files under ``path``.  A path without a scheme is taken where
     Spark would take it, so executors open what the driver listed.
     ``prefixes`` ({field: [beginnings]}) keeps records whose field, stripped
-    and upper-cased, begins with one of them; ``files`` keeps files by name."""
+    and upper-cased, begins with one of them; ``files`` keeps files by name;
+    ``suffix`` is the ending of the files' names (``.dbf``)."""
     from ..session import qualified
 
     register(spark)
@@ -304,7 +305,7 @@ def scan(spark, path: str, schema: str | None = None, prefixes: dict | None = No
 REPORT = "ARQUIVO string, CAMINHO string, TAMANHO long, REGISTROS long, MOTIVO string"
 
 
-def read_report(spark, path: str):
+def read_report(spark, path: str, suffix: str = ".dbf"):
     """One row for each file under ``path``: name, path, size, records by its
     header, and why it cannot be read (null where it can).  Headers are read
     in the tasks; ``scan`` with ``on_error="skip"`` reads the same files."""
@@ -312,7 +313,7 @@ def read_report(spark, path: str):
 
     register(spark)
     options = store_options(spark)
-    listed = list_files(qualified(spark, path), ".dbf", options)
+    listed = list_files(qualified(spark, path), suffix, options)
     frame = spark.createDataFrame(listed, "CAMINHO string, TAMANHO long").repartition(min(max(1, len(listed)), 200))
 
     def look(batches):
@@ -376,3 +377,21 @@ def write_partitions(df, folder: str, fields: list, deleted_col: str | None = No
     fs, root = open_store(folder)
     fs.create_dir(root, recursive=True)
     return df.mapInPandas(write, "arquivo string, linhas long")
+
+
+def write_files(df, folder: str, fields: list, name: str):
+    """Write the rows of each value of ``name`` as the DBF file of that name
+    under ``folder``, over what is there; returns the (file, rows) DataFrame."""
+
+    def write(key, pdf):
+        import pandas as pd
+
+        store, root = open_store(folder)
+        cols = {n: [None if pd.isna(x) else x for x in pdf[n]] for n, _, _ in fields}
+        with store.open_output_stream(posixpath.join(root, key[0])) as f:
+            f.write(dbf_bytes(cols, fields))
+        return pd.DataFrame({"arquivo": [key[0]], "linhas": [len(pdf)]})
+
+    store, root = open_store(folder)
+    store.create_dir(root, recursive=True)
+    return df.groupBy(name).applyInPandas(write, "arquivo string, linhas long")
