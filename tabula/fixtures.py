@@ -63,7 +63,11 @@ from {rec}""",
         "DTNASC ETNIA CODMUNOCOR TIPOBITO EXAME CIRURGIA NECROPSIA ATESTANTE ARQUIVO_ORIGEM").split()) + " from {sim_do}",
     "sim_do_old": """select cast(rec_id as string) as contador, causa9 as CAUSABAS, idade as IDADE, dataobito as DATAOBITO,
   munres as MUNIRES, sexo as SEXO, naturalidade as NATUR, ocup as OCUPACAO,
-  cast(rec_id % 5 as string) as INSTRUCAO, cast(rec_id % 6 as string) as RACACOR,
+  cast(rec_id % 5 as string) as INSTRUCAO, cast(rec_id % 6 as string) as RACACOR, cast(rec_id % 6 as string) as ESTCIVIL,
+  case when rec_id % 4 = 0 then munres else substr(munres, 1, 6) end as MUNIOCOR, cast(rec_id % 8 as string) as LOCOCOR,
+  cast(rec_id % 4 as string) as TIPOBITO, cast(rec_id % 3 as string) as ASSISTMED, cast(rec_id % 4 as string) as EXAME,
+  case when rec_id % 9 = 0 then 'NaN' else cast(rec_id % 3 as string) end as CIRURGIA, cast(rec_id % 5 as string) as NECROPSIA,
+  cast(rec_id % 7 as string) as ATESTANTE,
   'DORBR' || substr(dataobito, 1, 2) || '.dbc' as ARQUIVO_ORIGEM
 from {rec}""",
     "ref_sinonimos": "select antigo as COD_MUNICIPIO_ANTIGO, atual as COD_MUNICIPIO_ATUAL from {ref_sin}",
@@ -103,7 +107,9 @@ from {customer}""",
     "manifesto": """select upper(nome) as chave, max(tamanho) + (case when upper(nome) like '%EN%' then 0 else 1 end) as assinatura
 from {listing} where nome not like '%08%' group by upper(nome)""",
     # grants: text plus key
-    "convenios": "select doc_id as num, text as objeto, case when doc_id % 3 = 0 then 'M' || cast(doc_id % 6 as string) else 'J' || cast(doc_id % 30 as string) end as convenente from {documents}",
+    "convenios": "select doc_id as num, text as objeto, case when doc_id % 3 = 0 then 'M' || cast(doc_id % 6 as string) else 'J' || cast(doc_id % 30 as string) end as convenente, "
+    + ", ".join(f"case when doc_id % {k} = 0 then '' else 'c{k}-' || cast(doc_id % {k + 40} as string) || '-' || coalesce(source, lang, '') end as c{k}"
+                for k in range(2, 26)) + " from {documents}",
 }
 
 
@@ -196,12 +202,16 @@ VIEWS["estab_reg"] = """select co_cnes as CO_CNES, cnpj as NU_CNPJ, cnpj_mantene
   'CPF' || co_cnes as NU_CPF, 'M' as CO_MOTIVO_DESAB
 from {estab}"""
 VIEWS["geo_saude"] = """select cast(n_nationkey + 1000 as string) as cod_municipio, cast(n_regionkey as string) as cod_macro,
-  'MACRO ' || cast(n_regionkey as string) as macro, n_name as no_municipio, cast(n_nationkey * 1000 as string) as populacao
+  'MACRO ' || cast(n_regionkey as string) as macro, n_name as no_municipio, cast(n_nationkey * 1000 as string) as populacao,
+  cast(n_regionkey + 1 as string) as co_regiao, 'REGIAO ' || cast(n_regionkey as string) as regiao,
+  cast(10 + n_nationkey as string) as co_uf, substr(n_name, 1, 2) as sg_uf, 'UF ' || n_name as uf,
+  cast(1000 + n_nationkey % 9 as string) as cod_saude, 'SAUDE ' || cast(n_nationkey % 9 as string) as saude
 from {nation}"""
 VIEWS["geo_xls"] = """select cast(n_nationkey + 1000 as string) as MUNCOD, cast(n_nationkey - 30 as string) as LATITUDE,
-  cast(n_nationkey - 50 as string) as LONGITUDE, cast(n_nationkey * 10 as string) as AREA
+  cast(n_nationkey - 50 as string) as LONGITUDE, cast(n_nationkey * 10 as string) as AREA,
+  cast(n_nationkey * 7 as string) as ALTITUDE, cast(n_nationkey + 1000 as string) || cast(n_nationkey % 10 as string) as MUNCODDV
 from {nation} where n_nationkey % 4 <> 1
-union all select cast(n_nationkey + 1000 as string), 'dup', 'dup', 'dup' from {nation} where n_nationkey % 5 = 0"""
+union all select cast(n_nationkey + 1000 as string), 'dup', 'dup', 'dup', 'dup', 'dup' from {nation} where n_nationkey % 5 = 0"""
 VIEWS["cadmun_full"] = """select '00' || cast(n_nationkey + 1000 as string) as MUNCOD,
   case when n_nationkey % 6 = 0 then 'EXTINTO' else 'ATIVO' end as SITUACAO,
   case when n_nationkey % 7 = 0 then 'S' else 'N' end as CAPITAL, cast(n_regionkey * 10 as string) as MESOCOD,
@@ -260,6 +270,22 @@ VIEWS["siscan_pub"] = """select VISAO, 'antigo' as EXAME, cast(null as string) a
   linha as CATEGORIA_LINHA, 'Coluna' as DIMENSAO_COLUNA, 'click' as CATEGORIA_COLUNA, 'Exames' as MEDIDA,
   cast(1000 as bigint) as QTD, ANO from {siscan_mat}"""
 
+# ten screening views and an unknown one: a matrix for each measure and year
+VIEWS["siscan_cube"] = """select case l_partkey % 6 when 0 then 'cito_colo' when 1 then 'histo_colo' when 2 then 'mamografia' when 3 then 'cito_mama'
+    when 4 then 'histo_mama' else 'outra' end || case when l_suppkey % 2 = 0 then '_residencia' else '_atendimento' end as VISAO,
+  case l_linenumber % 6 when 0 then 'Exames' when 1 then 'ASC-US' when 2 then 'Neo. NIC I' when 3 then 'Nódulo_Resul' when 4 then 'Lesão benigna'
+    else 'Inexistente' end as MEDIDA, cast(2013 + l_orderkey % 14 as string) as ANO,
+  case when l_suppkey % 9 = 0 then 'Total' else cast(11 + l_suppkey % 9 as string) || ' UF' end as linha,
+  cast(sum(case when l_returnflag = 'A' then 1 else 0 end) as string) as antes, cast(count(*) * 1000 as string) || ',00' as depois,
+  '7' as Total from {lineitem} group by 1, 2, 3, 4"""
+VIEWS["siscan_dates"] = """select case n_nationkey % 5 when 0 then 'cito_colo' when 1 then 'histo_colo' when 2 then 'mamografia' when 3 then 'cito_mama'
+    else 'histo_mama' end || case when n_nationkey < 5 then '_residencia' else '_atendimento' end as VISAO,
+  case when n_nationkey % 4 = 3 then 'Desconhecida' else '2024-0' || cast(1 + n_nationkey as string) end as DATA from {nation} where n_nationkey < 10"""
+VIEWS["siscan_seen"] = """select upper(VISAO) as chave, case when VISAO like 'cito_colo%' then DATA else 'antes' end as assinatura
+from {siscan_dates} where VISAO not like '%mama_residencia'"""
+VIEWS["siscan_old"] = """select distinct VISAO, 'antigo' as EXAME, cast(null as string) as PERFIL, 'Linha' as DIMENSAO_LINHA, linha as CATEGORIA_LINHA,
+  'Coluna' as DIMENSAO_COLUNA, 'antes' as CATEGORIA_COLUNA, MEDIDA, cast(1000 as bigint) as QTD, ANO from {siscan_cube}"""
+
 VIEWS["raw_cid10"] = """select 'C' || lpad(cast(p_partkey % 1000 as string), 3, '0') as CID10,
   'C' || lpad(cast(p_partkey % 1000 as string), 3, '0') || '  ' || p_name || ' ' as DESCR, p_partkey as ordem from {part}"""
 VIEWS["raw_cid9"] = """select cast(100 + p_size * 3 as string) as CAUSAS, cast(100 + p_size * 3 as string) || ' ' || p_type as DESCRICAO,

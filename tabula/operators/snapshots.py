@@ -2,9 +2,9 @@
 
 A table is a folder::
 
-    dados/lote=<lot>/<key>=<value>/...   rows as parquet; never changed once written
-    versoes/<version>-<id>/...           (key, lote): the lot that holds each key's rows
-    atual/<version>                      written last: the commit
+    lote=<lot>/<key>=<value>/...    rows as parquet; never changed once written
+    _versoes/<version>-<id>/...     (key, lote): the lot that holds each key's rows
+    _atual/<version>                written last: the commit
 
 A commit writes the new rows as a lot of their own, then the version's list of
 keys and lots (the old list without the keys that were read, plus the new
@@ -13,7 +13,9 @@ of two writers that began from one version, the second gets
 ``ConcurrentPublish`` and changes nothing.  Readers take the pointer with the
 highest number that is complete.  So a reader sees the state before a commit
 or after it; a failed publish leaves unreferenced files, which ``vacuum``
-removes.  Nothing is collected but the lots in use and pointer names.
+removes.  Nothing is collected but the lots in use and pointer names.  Read
+such a table with ``read``: a plain parquet scan of the folder finds the rows
+of every lot that is still there, replaced ones too.
 """
 
 from __future__ import annotations
@@ -93,11 +95,11 @@ class Version:
 
 def version(spark: SparkSession, path: str, number: int | None = None) -> Version | None:
     """The current version of a table, or a numbered one that is still kept."""
-    found = pointed(spark, f"{path}/atual", number)
+    found = pointed(spark, f"{path}/_atual", number)
     if found is None:
         return None
     n, told = found
-    return Version(n, told["key"], f"{path}/versoes/{told['listed']}", StructType.fromJson(told["schema"]))
+    return Version(n, told["key"], f"{path}/_versoes/{told['listed']}", StructType.fromJson(told["schema"]))
 
 
 def _listed(spark: SparkSession, v: Version) -> DataFrame:
@@ -115,7 +117,7 @@ def read(spark: SparkSession, path: str, number: int | None = None) -> DataFrame
     lots = [r[0] for r in keys.select(LOT).distinct().collect()]
     if not lots:
         return spark.createDataFrame([], v.schema)
-    rows = spark.read.schema(StructType([*v.schema.fields]).add(LOT, "string")).parquet(f"{path}/dados").filter(F.col(LOT).isin(lots))
+    rows = spark.read.schema(StructType([*v.schema.fields]).add(LOT, "string")).parquet(path).filter(F.col(LOT).isin(lots))
     own = keys.select(F.col(v.key).alias("__key"), F.col(LOT).alias("__lot"))
     held = rows.join(own, rows[v.key].eqNullSafe(F.col("__key")) & (F.col(LOT) == F.col("__lot")), "left_semi")
     return held.select(*[f"`{n}`" for n in v.schema.names])
@@ -128,14 +130,14 @@ def commit(rows: DataFrame, path: str, key: str, read_keys: DataFrame | None = N
     Returns the version's number."""
     spark, path = rows.sparkSession, path.rstrip("/")
     before = version(spark, path)
-    number, own = last_number(spark, f"{path}/atual") + 1, uuid.uuid4().hex[:12]
+    number, own = last_number(spark, f"{path}/_atual") + 1, uuid.uuid4().hex[:12]
     lot = f"{number:010d}-{own}"
     schema = rows.schema
     if before is not None:
         if before.key != key:
             raise ValueError(f"{path} is published by {before.key}, not {key}")
         schema = StructType([*before.schema.fields, *[f for f in schema.fields if f.name.lower() not in {x.lower() for x in before.schema.names}]])
-    target = f"{path}/dados/{LOT}={lot}"
+    target = f"{path}/{LOT}={lot}"
     rows.hint("rebalance", key).write.partitionBy(key).parquet(target)
     new = spark.read.schema(rows.schema).parquet(target).select(key).distinct()
     listed = new.withColumn(LOT, F.lit(lot))
@@ -143,8 +145,8 @@ def commit(rows: DataFrame, path: str, key: str, read_keys: DataFrame | None = N
         gone = new if read_keys is None else new.union(read_keys.select(key))
         listed = _listed(spark, before).join(gone.distinct(), key, "left_anti").unionByName(listed)
     folder = f"{lot}"
-    listed.select(key, LOT).write.parquet(f"{path}/versoes/{folder}")
-    point(spark, f"{path}/atual", number, {"key": key, "listed": folder, "schema": json.loads(schema.json())})
+    listed.select(key, LOT).write.parquet(f"{path}/_versoes/{folder}")
+    point(spark, f"{path}/_atual", number, {"key": key, "listed": folder, "schema": json.loads(schema.json())})
     return number
 
 
@@ -153,19 +155,19 @@ def vacuum(spark: SparkSession, path: str, keep: int = KEPT_VERSIONS) -> list[st
     lists.  Lots and lists numbered after the current version may belong to a
     publish that is under way and stay.  Returns what was removed."""
     path = path.rstrip("/")
-    numbers = [int(n) for n in _names(spark, f"{path}/atual") if n.isdigit()]
+    numbers = [int(n) for n in _names(spark, f"{path}/_atual") if n.isdigit()]
     kept = [v for v in (version(spark, path, n) for n in sorted(numbers, reverse=True)) if v is not None][:keep]
     if not kept:
         return []
     used = {r[0] for v in kept for r in _listed(spark, v).select(LOT).distinct().collect()}
     lists = {v.listed.rsplit("/", 1)[1] for v in kept}
     now = kept[0].number
-    gone = [f"{path}/atual/{n:010d}" for n in numbers if n < kept[-1].number]
-    gone += [f"{path}/versoes/{n}" for n in _names(spark, f"{path}/versoes") if n not in lists and int(n.split("-")[0]) <= now]
-    for name in _names(spark, f"{path}/dados"):
+    gone = [f"{path}/_atual/{n:010d}" for n in numbers if n < kept[-1].number]
+    gone += [f"{path}/_versoes/{n}" for n in _names(spark, f"{path}/_versoes") if n not in lists and int(n.split("-")[0]) <= now]
+    for name in _names(spark, path):
         lot = name.removeprefix(f"{LOT}=")
         if name.startswith(f"{LOT}=") and lot not in used and int(lot.split("-")[0]) <= now:
-            gone.append(f"{path}/dados/{name}")
+            gone.append(f"{path}/{name}")
     for g in gone:
         remove_path(spark, g)
     return gone

@@ -146,8 +146,8 @@ def recent_years_plan(views: DataFrame, manifest: DataFrame, view: str, key: str
                       first_year: int = 2013) -> DataFrame:
     """P10: a view never published gets its whole series (first_year..current),
     a known view only the current and previous year."""
-    known = manifest.select(F.col(key).alias("_k")).distinct().withColumn("_known", F.lit(True))
-    j = views.join(known, F.col(view) == F.col("_k"), "left")
+    known = manifest.select(F.upper(key).alias("_k")).distinct().withColumn("_known", F.lit(True))
+    j = views.join(known, F.upper(view) == F.col("_k"), "left")
     start = F.when(F.col("_known").isNull(), F.lit(first_year)).otherwise(F.lit(current_year - 1))
     return j.select("*", F.explode(F.sequence(start, F.lit(current_year))).alias("ANO")).drop("_k", "_known")
 

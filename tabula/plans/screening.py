@@ -7,7 +7,7 @@ a small (VISAO, ANO) table joined to them (semi-join), never a loop."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge as M
@@ -18,6 +18,36 @@ from ..plans import arrival as A
 FIRST_YEAR = 2013
 UNKNOWN_DATE = "Desconhecida"
 
+# The measures that are tabulated for each kind of exam.
+MEASURES = {
+    "cito_colo": ("Exames", "Exames Alterados", "ASC-US", "ASC-H", "Les IE Baixo Grau", "Les IEp Alto Grau", "Les IE AG Mic. Inv",
+                  "Carc. Epiderm. Inv", "Adenocarc in situ", "Adenocarc invasor", "Outras Neoplasias"),
+    "histo_colo": ("Exames", "Res_Exames_Neo_Preneo", "Neo. NIC I", "Neo. NIC II", "Neo. NIC III", "Neo. Carc. epid. Micr",
+                   "Neo. Carc. epid. Inva", "Neo. Carc. epid. imp.", "Neo. Adeno in situ", "Neo. Adeno invas", "Out  NEOPL.MALIG"),
+    "mamografia": ("Exames", "Mmg Diag Achados", "Mmg Diag Categoria 3", "Mmg Diag Lesao cancer", "Mmg Diag Aval QT", "Mmg Diag Revisao",
+                   "Mmg Diag pos biopsia", "Assimetria Focal", "Assimetria Difusa", "Distorção Focal", "Area Densa", "Achado Benigno",
+                   "Nódulo_Resul", "Microcalcificação"),
+    "cito_mama": ("Exames",),
+    "histo_mama": ("Exames", "Lesão benigna", "Les B_Hip duc.s/at", "Les B_Hip duc.c/at", "Les B_Hip lob.c/at", "Ben_Adnose SOE",
+                   "Ben_Lesão esc. rad", "Ben_Cond fibrocíst", "Ben_Fibroadenoma", "Ben_Pap. solitário", "Ben_Pap. múltiplo",
+                   "Ben_Pap. flor. mam", "Ben_Mastite", "Ben_Outros"),
+}
+# How the exams are named, and the two places they are counted by.
+EXAMS = {"cito_colo": "Colo do útero (citopatológico)", "histo_colo": "Colo do útero (histopatológico)", "mamografia": "Mamografia",
+         "cito_mama": "Mama (citopatológico)", "histo_mama": "Mama (histopatológico)"}
+PLACES = {"residencia": ("Por local de residência", "UF de residencia"), "atendimento": ("Por local de atendimento", "UF do prest.serviço")}
+COLUMN_DIMENSION = "Ano competencia"
+_TAGS = ["EXAME", "PERFIL", "DIMENSAO_LINHA", "DIMENSAO_COLUNA"]
+
+
+def view_definitions(spark: SparkSession) -> DataFrame:
+    """One row for each of the ten views and its measures: (VISAO, EXAME,
+    PERFIL, DIMENSAO_LINHA, DIMENSAO_COLUNA, MEDIDA, ORDEM)."""
+    rows = [(f"{exam}_{place}", EXAMS[exam], profile, row, COLUMN_DIMENSION, measure, k)
+            for exam, measures in MEASURES.items() for place, (profile, row) in PLACES.items() for k, measure in enumerate(measures, 1)]
+    return spark.createDataFrame(rows, "VISAO string, EXAME string, PERFIL string, DIMENSAO_LINHA string, DIMENSAO_COLUNA string, "
+                                       "MEDIDA string, ORDEM int")
+
 
 def plan_years(views: DataFrame, manifest: DataFrame, current_year: int) -> DataFrame:
     """(VISAO, ANO) to process: views whose date changed or is unknown; the
@@ -36,6 +66,24 @@ def curate_screening(matrices: DataFrame, published: DataFrame | None, views: Da
     plan = plan_years(views, manifest, current_year)
     todo = matrices.join(plan, ["VISAO", "ANO"], "left_semi")
     new = R.unpivot_matrix(todo, tags, ids=["VISAO", "ANO"])
+    return _replaced(published, new, todo)
+
+
+def curate_views(matrices: DataFrame, published: DataFrame | None, views: DataFrame, manifest: DataFrame,
+                 current_year: int, definitions: DataFrame) -> DataFrame:
+    """As ``curate_screening`` for matrices of one measure each, stacked by
+    (VISAO, MEDIDA, ANO): exam, profile and dimensions follow the row's view.
+    Matrices of a view or a measure without a definition are left out."""
+    plan = plan_years(views, manifest, current_year)
+    known = definitions.select("VISAO", "MEDIDA").distinct()
+    todo = matrices.join(plan, ["VISAO", "ANO"], "left_semi").join(known, ["VISAO", "MEDIDA"], "left_semi")
+    long = R.unpivot_matrix(todo, ids=["VISAO", "MEDIDA", "ANO"]).drop(*_TAGS)
+    tags = definitions.groupBy("VISAO").agg(*[F.min(c).alias(c) for c in _TAGS])
+    new = long.join(tags, "VISAO", "left").select(*R.LONG_COLUMNS, "ANO")
+    return _replaced(published, new, todo)
+
+
+def _replaced(published: DataFrame | None, new: DataFrame, todo: DataFrame) -> DataFrame:
     if published is None:
         return new
     landed = todo.select("VISAO", "ANO").distinct().join(new.select("VISAO").distinct(), "VISAO", "left_semi")

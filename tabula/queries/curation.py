@@ -84,13 +84,21 @@ def curate_mortality_modern(t):
     return MO.curate_death_records(_landed(t, "sim_do"), "modern", _refs(t))
 
 
-OLD_SQL = f"""with l as (select {', '.join(f'{_nt(c)} as {c}' for c in ['contador', 'CAUSABAS', 'IDADE', 'DATAOBITO', 'MUNIRES', 'SEXO', 'NATUR', 'OCUPACAO', 'INSTRUCAO', 'ARQUIVO_ORIGEM'])} from sim_do_old),
+def _old(c):
+    return _dec(f'b.{c}', MORTALITY_OLD[c]) if c in MORTALITY_OLD else f'b.{c}'
+
+
+OLD_SQL = f"""with l as (select {', '.join(f'{_nt(c)} as {c}' for c in ['contador', 'CAUSABAS', 'IDADE', 'DATAOBITO', 'MUNIRES', 'SEXO', 'NATUR', 'OCUPACAO', 'INSTRUCAO', 'ESTCIVIL', 'MUNIOCOR', 'LOCOCOR', 'TIPOBITO', 'ASSISTMED', 'EXAME', 'CIRURGIA', 'NECROPSIA', 'ATESTANTE', 'ARQUIVO_ORIGEM'])} from sim_do_old),
 b as (select *, NATUR as NAT, OCUPACAO as OCUP, MUNIRES as MUNI from l where {S.f3('CAUSABAS')}),
 ref_icd_x as (select * from ref_cid9)
 select b.contador as ID_REGISTRO, b.CAUSABAS as CAUSA_BASICA, rc.descricao as CAUSA_BASICA_DESCRICAO,
   case when regexp_matches(trim(b.DATAOBITO), '^[0-9]{{2}}') then cast(substr(trim(b.DATAOBITO), 1, 2) as integer) + 1900 end as ANO_OBITO,
   b.DATAOBITO as DATA_OBITO, {_age('b.IDADE')} as IDADE_ANOS,
-  {_dec('b.SEXO', MORTALITY_OLD['SEXO'])} as SEXO, {_dec('b.INSTRUCAO', MORTALITY_OLD['INSTRUCAO'])} as ESCOLARIDADE,
+  {_dec('b.SEXO', MORTALITY_OLD['SEXO'])} as SEXO, {_old('ESTCIVIL')} as ESTADO_CIVIL,
+  {_dec('b.INSTRUCAO', MORTALITY_OLD['INSTRUCAO'])} as ESCOLARIDADE, {_old('MUNIOCOR')} as COD_MUNICIPIO_OCORRENCIA,
+  {_old('LOCOCOR')} as LOCAL_OCORRENCIA, {_old('TIPOBITO')} as TIPO_OBITO, {_old('ASSISTMED')} as ASSISTENCIA_MEDICA,
+  {_old('EXAME')} as TEVE_EXAME, {_old('CIRURGIA')} as TEVE_CIRURGIA, {_old('NECROPSIA')} as TEVE_NECROPSIA,
+  {_old('ATESTANTE')} as MEDICO_ATESTANTE,
   case when ro.descricao is not null then b.OCUP || ' - ' || ro.descricao else b.OCUP end as OCUPACAO,
   case when substr(b.NAT, 1, 1) = '8' then ru.descricao else rp.descricao end as NATURALIDADE,
   {_muni('b.MUNI')} as COD_MUNICIPIO_RESIDENCIA, coalesce(rs.atual, {_muni('b.MUNI')}) as COD_MUNICIPIO_RESIDENCIA_ATUAL,
@@ -276,6 +284,14 @@ def _first(c):
     return f"arg_min({c}, COD_CNES) filter (where {c} is not null)"
 
 
+# The other columns of the grants export, as its header names them.
+_GRANT_NUMBER = "NÚMERO CONVÊNIO"
+_GRANT_COLUMNS = dict(zip((f"c{k}" for k in range(2, 26)), (
+    "UF", "CÓDIGO SIAFI MUNICÍPIO", "NOME MUNICÍPIO", "SITUAÇÃO CONVÊNIO", "NÚMERO ORIGINAL", "NÚMERO PROCESSO DO CONVÊNIO",
+    "CÓDIGO ÓRGÃO SUPERIOR", "NOME ÓRGÃO SUPERIOR", "CÓDIGO ÓRGÃO CONCEDENTE", "NOME ÓRGÃO CONCEDENTE", "CÓDIGO UG CONCEDENTE",
+    "NOME UG CONCEDENTE", "TIPO CONVENENTE", "NOME CONVENENTE", "TIPO ENTE CONVENENTE", "TIPO INSTRUMENTO", "VALOR CONVÊNIO",
+    "VALOR LIBERADO", "DATA PUBLICAÇÃO", "DATA INÍCIO VIGÊNCIA", "DATA FINAL VIGÊNCIA", "VALOR CONTRAPARTIDA", "DATA ÚLTIMA LIBERAÇÃO",
+    "VALOR ÚLTIMA LIBERAÇÃO")))
 GRANTS_SQL = f"""with fac as ({FACILITIES_SQL}),
 k as (select {_EK} as KEY, bool_or(TEM_ONCOLOGIA_PEDIATRICA) as CNES_TEM_ONCOLOGIA_PEDIATRICA,
   {_first('NOME_FANTASIA')} as CNES_NOME_FANTASIA, {_first('RAZAO_SOCIAL')} as CNES_RAZAO_SOCIAL,
@@ -285,7 +301,8 @@ k as (select {_EK} as KEY, bool_or(TEM_ONCOLOGIA_PEDIATRICA) as CNES_TEM_ONCOLOG
   {_first('LOGRADOURO')} as CNES_LOGRADOURO, {_first('LATITUDE')} as CNES_LATITUDE, {_first('LONGITUDE')} as CNES_LONGITUDE,
   bool_or({S.blank('CNPJ')} and not {S.blank('CNPJ_MANTENEDORA')}) as CNES_VIA_CNPJ_MANTENEDORA
   from fac where not {S.blank(_EK)} group by 1),
-g as (select num as NUM_CONVENIO, objeto as "{FA.GRANT_TEXT}", convenente as "{FA.GRANT_KEY}" from convenios
+g as (select num as "{_GRANT_NUMBER}", objeto as "{FA.GRANT_TEXT}", convenente as "{FA.GRANT_KEY}",
+    {', '.join(f'{c} as "{n}"' for c, n in _GRANT_COLUMNS.items())} from convenios
   where regexp_matches(lower(objeto), '{FL.keyword_pattern(_KW).replace("'", "''")}'))
 select g.*, k.* exclude (KEY), k.KEY is not null as HABILITADO_CNES_ONCOLOGIA
 from g left join k on g."{FA.GRANT_KEY}" = k.KEY"""
@@ -295,24 +312,27 @@ from g left join k on g."{FA.GRANT_KEY}" = k.KEY"""
 def curate_grants(t):
     """Grants: keyword filter over whole texts, then the published facilities
     rolled up by effective registry key (own, else parent) and joined."""
-    g = t("convenios").select(F.col("num").alias("NUM_CONVENIO"), F.col("objeto").alias(FA.GRANT_TEXT),
-                              F.col("convenente").alias(FA.GRANT_KEY))
+    g = t("convenios").select(F.col("num").alias(_GRANT_NUMBER), F.col("objeto").alias(FA.GRANT_TEXT),
+                              F.col("convenente").alias(FA.GRANT_KEY), *[F.col(c).alias(n) for c, n in _GRANT_COLUMNS.items()])
     return FA.curate_grants(g, _published_facilities(t), _KW)
 
 
 GEO_SQL = f"""with m as (select {S.pad('cod_municipio', 6)} as COD_MUNICIPIO, cod_macro as COD_MACRORREGIAO_DE_SAUDE,
-  macro as MACRORREGIAO_DE_SAUDE, no_municipio as NOME_MUNICIPIO, populacao as POPULACAO_IBGE_2022 from geo_saude),
-g as (select * from (select *, row_number() over (partition by M6 order by LATITUDE, LONGITUDE, AREA) as rn
-  from (select {S.pad('MUNCOD', 6)} as M6, LATITUDE, LONGITUDE, AREA from geo_xls) x) y where rn = 1),
+  macro as MACRORREGIAO_DE_SAUDE, no_municipio as NOME_MUNICIPIO, populacao as POPULACAO_IBGE_2022, co_regiao as CO_REGIAO_PAIS,
+  regiao as REGIAO_PAIS, co_uf as CO_UF, sg_uf as SG_UF, uf as UF, cod_saude as COD_REGIAO_DE_SAUDE, saude as REGIAO_DE_SAUDE from geo_saude),
+g as (select * from (select *, row_number() over (partition by M6 order by LATITUDE, LONGITUDE, AREA, ALTITUDE, MUNCODDV) as rn
+  from (select {S.pad('MUNCOD', 6)} as M6, LATITUDE, LONGITUDE, AREA, ALTITUDE, MUNCODDV from geo_xls) x) y where rn = 1),
 c as (select * from (select *, row_number() over (partition by M6 order by SITUACAO, CAPITAL, MESOCOD, MICROCOD) as rn
   from (select {S.pad('MUNCOD', 6)} as M6, SITUACAO, CAPITAL, MESOCOD, MICROCOD from cadmun_full) x) y where rn = 1)
-select m.*, g.LATITUDE, g.LONGITUDE, g.AREA as AREA_KM2, c.SITUACAO as SITUACAO_MUNICIPIO, c.CAPITAL as EH_CAPITAL,
+select m.*, g.LATITUDE, g.LONGITUDE, g.ALTITUDE, g.MUNCODDV, g.AREA as AREA_KM2, c.SITUACAO as SITUACAO_MUNICIPIO, c.CAPITAL as EH_CAPITAL,
   c.MESOCOD as COD_MESORREGIAO, c.MICROCOD as COD_MICRORREGIAO
 from m left join g on m.COD_MUNICIPIO = g.M6 left join c on m.COD_MUNICIPIO = c.M6"""
 
 # Source headers as delivered (accents, spaces, BOM): normalised by the flow.
 _GEO_HEADERS = {"cod_municipio": "cod_municipio", "cod_macro": "COD_MACRORREGIÃO_DE_SAÚDE",
-                "macro": " macrorregião_de_saúde", "no_municipio": "﻿NO_MUNICÍPIO", "populacao": "POPULAÇÃO_IBGE_2022"}
+                "macro": " macrorregião_de_saúde", "no_municipio": "﻿NO_MUNICÍPIO", "populacao": "POPULAÇÃO_IBGE_2022",
+                "co_regiao": "CO_REGIÃO_PAÍS", "regiao": "Região_País", "co_uf": "co_uf", "sg_uf": "SG_UF ", "uf": "Uf",
+                "cod_saude": "cod_região_de_saúde", "saude": "REGIÃO_DE_SAÚDE"}
 
 
 @query("curate_geography", GEO_SQL, ["geo_saude", "geo_xls", "cadmun_full"])
@@ -415,6 +435,31 @@ def curate_screening(t):
                                _SC_TAGS)
 
 
+# written out here, apart from the flow's own definitions
+SCREENING_VIEWS_SQL = """with v(VISAO, EXAME, medidas) as (values
+  ('cito_colo', 'Colo do útero (citopatológico)', ['Exames', 'ASC-US']), ('histo_colo', 'Colo do útero (histopatológico)', ['Exames', 'Neo. NIC I']),
+  ('mamografia', 'Mamografia', ['Exames', 'Nódulo_Resul']), ('cito_mama', 'Mama (citopatológico)', ['Exames']),
+  ('histo_mama', 'Mama (histopatológico)', ['Exames', 'Lesão benigna'])),
+d as (select v.VISAO || '_' || l as VISAO, EXAME, medidas, 'Por local de ' || case l when 'residencia' then 'residência' else l end as PERFIL,
+  case l when 'residencia' then 'UF de residencia' else 'UF do prest.serviço' end as DIMENSAO_LINHA from v, (values ('residencia'), ('atendimento')) x(l)),
+ch as (select t.VISAO, m.chave is null as nova from siscan_dates t left join siscan_seen m on upper(t.VISAO) = m.chave
+  where t.DATA = 'Desconhecida' or m.assinatura is distinct from t.DATA),
+todo as (select c.*, EXAME, PERFIL, DIMENSAO_LINHA from siscan_cube c join d on c.VISAO = d.VISAO and list_contains(medidas, c.MEDIDA)
+  join ch on ch.VISAO = c.VISAO and (nova or c.ANO in ('2025', '2026'))),
+u as (select VISAO, EXAME, PERFIL, DIMENSAO_LINHA, linha, 'antes' as col, cast(antes as bigint) as QTD, MEDIDA, ANO from todo
+  union all select VISAO, EXAME, PERFIL, DIMENSAO_LINHA, linha, 'depois', cast(replace(depois, ',00', '') as bigint), MEDIDA, ANO from todo)
+select VISAO, EXAME, PERFIL, DIMENSAO_LINHA, linha as CATEGORIA_LINHA, 'Ano competencia' as DIMENSAO_COLUNA, col as CATEGORIA_COLUNA, MEDIDA, QTD, ANO
+from u where linha <> 'Total' and QTD > 0
+union all select * from siscan_old o where not exists (select 1 from todo t where t.VISAO = o.VISAO and t.ANO = o.ANO)"""
+
+
+@query("curate_screening_views", SCREENING_VIEWS_SQL, ["siscan_cube", "siscan_dates", "siscan_seen", "siscan_old"])
+def curate_screening_views(t):
+    """The ten views with their measures: exam, profile and dimensions follow
+    the row's view; unknown views and measures are left out."""
+    return SC.curate_views(t("siscan_cube"), t("siscan_old"), t("siscan_dates"), t("siscan_seen"), 2026, SC.view_definitions(t.spark))
+
+
 def _dedupe_sql(select, key, order):
     return (f"select * exclude (rn) from (select *, row_number() over (partition by {key} order by {order}) as rn "
             f"from ({select}) x) y where rn = 1")

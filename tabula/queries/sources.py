@@ -106,6 +106,51 @@ def wide_matrix_scan(t):
     return X.wide_matrix(t.spark, path)
 
 
+def _bad_lines(t):
+    """Suppliers as lines: every 7th lacks a field, every 11th has one more, some quotes hold separators, a few never close."""
+    s = t("supplier")
+    key = F.col("s_suppkey")
+    name = F.when(key % 5 == 0, F.concat(F.lit('"'), F.col("s_name"), F.lit('; ""x"""'))).when(key % 13 == 0, F.concat(F.lit('"'), F.col("s_name"))).otherwise(F.col("s_name"))
+    line = F.concat_ws(";", key.cast("string"), name, F.when(key % 7 != 0, F.concat(F.lit("T"), F.col("s_nationkey").cast("string"))), F.when(key % 11 == 0, F.lit("mais")))
+    return s.select(F.pmod(key, F.lit(3)).alias("parte"), key.alias("o"), line.alias("value"))
+
+
+_SUP = """select *, case when s_suppkey % 5 = 0 then s_name || '; "x"' when s_suppkey % 13 = 0 then '"' || s_name else s_name end as nome,
+  case when s_suppkey % 5 <> 0 and s_suppkey % 13 = 0 then 'quote not closed'
+    when (s_suppkey % 7 = 0) <> (s_suppkey % 11 = 0) then cast(3 - cast(s_suppkey % 7 = 0 as integer) + cast(s_suppkey % 11 = 0 as integer) as varchar) || ' fields of 3'
+    end as motivo from supplier"""
+
+
+def _landed_lines(t):
+    path = staging_path(t.spark, "linhas")
+    body = _bad_lines(t)
+    head = t.spark.range(3).select(F.col("id").alias("parte"), F.lit(-1).cast("long").alias("o"), F.lit('chave;"nome; completo";telefone').alias("value"))
+    (body.unionByName(head).repartition("parte").sortWithinPartitions("parte", "o").select("parte", "value").write.partitionBy("parte").text(path))
+    return path
+
+
+@query("wide_matrix_rejects", f"""select motivo as MOTIVO, count(*) as N from ({_SUP}) s where motivo is not null group by motivo""")
+def wide_matrix_rejects(t):
+    """Lines with too few or too many fields, or an open quote, come as rejects with file, line and reason."""
+    _, bad = X.wide_matrix_with_rejects(t.spark, _landed_lines(t))
+    return bad.filter("ARQUIVO is not null and LINHA > 1").groupBy("MOTIVO").agg(F.count("*").alias("N"))
+
+
+@query("csv_scan_rejects", f"""select motivo as MOTIVO, count(*) as N from ({_SUP}) s group by motivo""")
+def csv_scan_rejects(t):
+    """Rows and rejects of delimited text with faulty lines; rows count under no reason."""
+    good, bad = X.csv_with_rejects(t.spark, _landed_lines(t))
+    both = good.select(F.lit(None).cast("string").alias("MOTIVO")).unionAll(bad.select("MOTIVO"))
+    return both.groupBy("MOTIVO").agg(F.count("*").alias("N"))
+
+
+@query("wide_matrix_header", f"""select cast(s_suppkey as varchar) as chave, nome as "nome; completo",
+  case when s_suppkey % 7 = 0 then 'mais' else 'T' || cast(s_nationkey as varchar) end as telefone from ({_SUP}) s where motivo is null""")
+def wide_matrix_header(t):
+    """A header whose quoted name holds the separator; the rows that are left."""
+    return X.wide_matrix(t.spark, _landed_lines(t))
+
+
 @query("candidate_column_filter", f"select * from rec where {S.f1('causabas')}", ["rec"])
 def candidate_column_filter(t):
     """The filter runs on the first candidate column present; with no

@@ -162,3 +162,28 @@ def test_published_rows_of_the_three_authorization_layouts(spark):
     drugs = {**AUTHORIZATION, "AM_PESO": "70", "AM_ALTURA": "165", "AM_GESTANT": "N", **file}
     assert OP.curate_drugs(_one(spark, drugs), causes).first().asDict() == {
         **PUBLISHED_HEADER, "CID_PRINCIPAL_DESCRICAO": "Mama, NE", "PESO_KG": "70", "ALTURA_CM": "165", "GESTANTE": "Não", **file}
+
+
+def test_screening_view_definitions(spark):
+    from tabula.plans import screening as SC
+
+    rows = SC.view_definitions(spark).collect()
+    count = {}
+    for r in rows:
+        count[r["VISAO"]] = count.get(r["VISAO"], 0) + 1
+    each = {"cito_colo": 11, "histo_colo": 11, "mamografia": 14, "cito_mama": 1, "histo_mama": 14}
+    assert count == {f"{exam}_{place}": n for exam, n in each.items() for place in ("residencia", "atendimento")}
+    assert {(r["PERFIL"], r["DIMENSAO_LINHA"]) for r in rows if r["VISAO"].endswith("atendimento")} == {("Por local de atendimento", "UF do prest.serviço")}
+    # a first load: tags follow the view, unknown views and measures are left out
+    cube = spark.createDataFrame([("mamografia_residencia", "Nódulo_Resul", "2025", "35 SP", "1.200", "9"), ("mamografia_residencia", "ASC-US", "2025", "35 SP", "1", "9"),
+                                  ("outra", "Exames", "2025", "35 SP", "1", "9"), ("histo_mama_atendimento", "Exames", "2014", " total ", "1", "9")],
+                                 "VISAO string, MEDIDA string, ANO string, linha string, `2025` string, Total string")
+    dates = spark.createDataFrame([(v, "2025-01") for v in (*count, "outra")], "VISAO string, DATA string")
+    none = spark.createDataFrame([], "chave string, assinatura string")
+    out = SC.curate_views(cube, None, dates, none, 2026, SC.view_definitions(spark)).collect()
+    assert [r.asDict() for r in out] == [{"VISAO": "mamografia_residencia", "EXAME": "Mamografia", "PERFIL": "Por local de residência",
+        "DIMENSAO_LINHA": "UF de residencia", "CATEGORIA_LINHA": "35 SP", "DIMENSAO_COLUNA": "Ano competencia", "CATEGORIA_COLUNA": "2025",
+        "MEDIDA": "Nódulo_Resul", "QTD": 1200, "ANO": "2025"}]
+    # what is recorded after the run (upper-cased keys) is known to the next one
+    seen = SC.signatures_after(dates, none)
+    assert SC.plan_years(dates.withColumn("DATA", F.lit("2025-02")), seen, 2026).select("ANO").distinct().count() == 2

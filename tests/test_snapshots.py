@@ -70,7 +70,7 @@ def test_a_publish_that_fails_leaves_the_table_as_it_was(spark, tmp_path, monkey
         with pytest.raises(OSError):
             S.commit(frame(spark, ("a", 2)), path, "ARQUIVO")
     assert held(spark, path) == [("a", 1)]
-    (tmp_path / "t" / "atual" / "0000000002").write_text('{"key": "ARQ')  # a writer that was lost while it wrote the pointer
+    (tmp_path / "t" / "_atual" / "0000000002").write_text('{"key": "ARQ')  # a writer that was lost while it wrote the pointer
     assert held(spark, path) == [("a", 1)]
     assert S.commit(frame(spark, ("a", 3)), path, "ARQUIVO") == 3
     assert held(spark, path) == [("a", 3)]
@@ -106,9 +106,9 @@ def test_vacuum_keeps_what_kept_versions_need(spark, tmp_path):
     now, before = held(spark, path), held(spark, path, 3)
     assert S.vacuum(spark, path, keep=2)
     assert held(spark, path) == now and held(spark, path, 3) == before and S.version(spark, path, 1) is None
-    lots = {p.name for p in (tmp_path / "t" / "dados").iterdir()}
+    lots = {p.name for p in (tmp_path / "t").glob("lote=*")}
     assert len(lots) == 4  # k0 and k1 still live in the first two lots
     S.commit(frame(spark, ("a", 9)), path, "ARQUIVO", replace_all=True)
     S.vacuum(spark, path, keep=1)
-    assert held(spark, path) == [("a", 9)] and len(list((tmp_path / "t" / "dados").iterdir())) == 1
+    assert held(spark, path) == [("a", 9)] and len(list((tmp_path / "t").glob("lote=*"))) == 1
     assert S.vacuum(spark, path, keep=1) == []

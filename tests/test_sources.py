@@ -171,3 +171,23 @@ def test_paths_of_object_stores(tmp_path):
         assert store.open_input_file(own).read() == b"x"
     store, own = open_store("s3a://landing/sim/a.dbf", '{"region": "sa-east-1", "endpoint_override": "store.example:9000"}')
     assert store.type_name == "s3" and own == "landing/sim/a.dbf" and store.region == "sa-east-1"
+
+
+def test_wide_matrix_headers_and_odd_lines(spark, tmp_path):
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "a.csv").write_bytes('﻿Titulo\r\n"Faixa; etaria";"Ate 10";"Total"\r\n"a; b";"1";"2"\r\n"x";"5"\r\n"y";"1";"2";"3"\r\n"z;1;2\r\nFonte\r\n'.encode())
+    (tmp_path / "m" / "b.csv").write_text('﻿Total;;Total;`q`\n1;2;3;4\n')
+    (tmp_path / "m" / "c.csv").write_text("only;one\n")
+    good, bad = X.wide_matrix_with_rejects(spark, str(tmp_path / "m"))
+    assert sorted(good.columns) == sorted(["Faixa; etaria", "Ate 10", "Total", "coluna_2", "Total_3", "`q`"])
+    got = [{k: v for k, v in r.asDict().items() if v is not None} for r in good.collect()]
+    assert sorted(got, key=len) == [{"Faixa; etaria": "a; b", "Ate 10": "1", "Total": "2"}, {"Total": "1", "coluna_2": "2", "Total_3": "3", "`q`": "4"}]
+    assert sorted(rows(bad, "ARQUIVO", "LINHA", "MOTIVO")) == [("a.csv", 4, "2 fields of 3"), ("a.csv", 5, "4 fields of 3"), ("a.csv", 6, "quote not closed")]
+
+
+def test_csv_rejects_cost_their_line_alone(spark, tmp_path):
+    p = tmp_path / "c.csv"
+    p.write_bytes('CÓDIGO;NOME\n1;São Paulo\n2\n3;"a;b"\n4;x;y\n5;\n'.encode("latin1"))
+    good, bad = X.csv_with_rejects(spark, str(p), encoding="ISO-8859-1")
+    assert good.columns == ["CÓDIGO", "NOME"] and sorted(rows(good), key=str) == [("1", "São Paulo"), ("3", "a;b"), ("5", None)]
+    assert sorted(rows(bad)) == [("c.csv", "1 fields of 2", "2"), ("c.csv", "3 fields of 2", "4;x;y")]
