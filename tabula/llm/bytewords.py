@@ -14,7 +14,7 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 
-BYTES_AT_ONCE = 4 << 20
+BYTES_AT_ONCE = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

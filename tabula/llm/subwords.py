@@ -2,8 +2,8 @@
 
 A chunk is what stands between plain separators that no token of the
 vocabulary can cross; it is worked out once and then looked up.  Caches keep
-two generations of at most ``limit`` entries, so what recurs stays and a
-worker's memory does not follow the corpus.
+two generations of at most ``limit`` bytes and no long chunks, so what recurs
+stays and a worker's memory follows neither the corpus nor its longest words.
 """
 
 from __future__ import annotations
@@ -16,7 +16,9 @@ from struct import pack
 
 import pyarrow as pa
 
-CACHE_LIMIT = 600_000  # about 200 bytes an entry
+CACHE_LIMIT = 48 << 20  # bytes of a generation
+LONGEST_KEPT = 256  # characters; longer chunks hardly recur
+ENTRY_BYTES = 160  # what an entry takes beside its key and value
 ROWS_AT_ONCE = 128
 #: Up to here (Latin letters) lower-casing and composition work per character.
 SIMPLE = re.compile("[\x00-į]*").fullmatch
@@ -43,24 +45,25 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Itera
 
 
 class Recent(dict):
-    """Values by key, made on demand; two generations of ``limit`` keys stay."""
+    """Values by key, made on demand; two generations of ``limit`` bytes stay."""
 
     def __init__(self, make: Callable, limit: int = CACHE_LIMIT):
         super().__init__()
-        self.make, self.limit, self.old = make, limit, {}
+        self.make, self.limit, self.old, self.held = make, limit, {}, 0
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        self[key] = value
-        return value
-
-    def age(self) -> None:
-        """To be called now and then: the last generation gives way when this one is full."""
-        if len(self) > self.limit:
+        if len(key) > LONGEST_KEPT:
+            return value
+        self.held += ENTRY_BYTES + 2 * len(key) + (0 if isinstance(value, int) else len(value) if isinstance(value, bytes) else 8 * len(value))
+        if self.held > self.limit:
             self.old = dict(self)
             self.clear()
+            self.held = 0
+        self[key] = value
+        return value
 
 
 def byte_letters() -> list[str]:
@@ -116,7 +119,6 @@ class WordEncoder:
             known, text = self.simple, _LOWER_STOP(r" \1", text.lower())
         else:
             known = self.other
-        known.age()
         return b"".join(map(known.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import python_ready, table
-from .subwords import CACHE_LIMIT, SIMPLE, Recent, byte_letters, load_tokenizer, shared, slices, space_chunks, spelled
+from .subwords import CACHE_LIMIT, ENTRY_BYTES, SIMPLE, Recent, byte_letters, load_tokenizer, shared, slices, space_chunks, spelled
 
 LIMIT = 512
 
@@ -53,9 +53,9 @@ class PrefixTable:
         # fixed value: the vocabulary's own pattern
         self.parts = regex.compile(
             r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
-        self.limit = limit
+        self.limit = limit // ENTRY_BYTES
         self.follows: dict[int, bool] = {}
-        self.tables = Recent(lambda p: self.counts(p.encode()), limit // 8)
+        self.tables = Recent(lambda p: self.counts(p.encode()), limit // 2)
         self.totals = Recent(lambda c: sum([self.tables[p][-1] for p in self.pre_tokens(c)]), limit)
 
     def _may_follow(self, key: int, data: bytes, left: int) -> bool:
@@ -98,8 +98,6 @@ class PrefixTable:
         """Tokens of the whole text, as the library gives them: special strings
         count one each, the rest is the sum over independent chunks, or over
         all pre-tokens where white space ties the chunks together."""
-        self.tables.age()
-        self.totals.age()
         parts, n = [text], 0
         if self.special is not None and self.special.search(text):
             parts = self.special.split(text)

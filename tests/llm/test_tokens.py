@@ -260,3 +260,19 @@ def test_seen_words_do_not_add_up_to_more_than_a_context_holds():
     start = scorer.score(["the cat"])[0][3] - scorer.score(["the"])[0][3]
     ends = [10 ** (scorer.score([f"the {w.decode()}"])[0][3] - scorer.score(["the"])[0][3]) for w in counts if w != lm.END]
     assert start < 0 and sum(ends) < 2
+
+
+def test_caches_are_bounded_by_bytes():
+    from tabula.llm.subwords import ENTRY_BYTES, LONGEST_KEPT, Recent
+
+    made = []
+    cache = Recent(lambda k: made.append(k) or k.encode(), 100 * ENTRY_BYTES)
+    for k in range(5000):
+        assert cache[f"word{k}"] == f"word{k}".encode()
+        assert len(cache) + len(cache.old) <= 200
+    assert cache["x" * (LONGEST_KEPT + 1)] == b"x" * (LONGEST_KEPT + 1) and "x" * (LONGEST_KEPT + 1) not in cache
+    n = len(made)
+    assert cache["word4999"] and len(made) == n  # what was used last is still there
+    long = [("w%d" % k) * 700 for k in range(300)]
+    before = cache.held
+    assert [cache[w] for w in long] == [w.encode() for w in long] and cache.held == before
