@@ -22,9 +22,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -123,6 +124,19 @@ def read(spark: SparkSession, path: str, number: int | None = None) -> DataFrame
     return held.select(*[f"`{n}`" for n in v.schema.names])
 
 
+def read_latest(spark: SparkSession, path: str, order: Callable[[Column], Column] = lambda key: key) -> DataFrame | None:
+    """P5 over a table that is published by period: the rows of the latest
+    key, by ``order``.  The key comes from the version's list alone, and only
+    its partition is read."""
+    v = version(spark, path)
+    if v is None:
+        return None
+    keys = _listed(spark, v).filter(F.col(v.key).isNotNull())
+    top = keys.select(v.key, order(F.col(v.key)).alias("__order")).filter("__order is not null").orderBy(F.desc("__order"), F.desc(v.key)).first()
+    rows = read(spark, path)
+    return rows.limit(0) if top is None else rows.filter(F.col(v.key) == F.lit(top[0]))
+
+
 def commit(rows: DataFrame, path: str, key: str, read_keys: DataFrame | None = None, replace_all: bool = False) -> int:
     """Publish ``rows``: they replace whatever the table holds of their keys
     and of ``read_keys`` (what was read, also without a surviving row), or all

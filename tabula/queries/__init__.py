@@ -7,7 +7,7 @@ from importlib import import_module
 
 from .registry import ORACLES, QUERIES
 
-_MODULES = ["aggregating", "cleaning", "decoding", "filtering", "joining", "reshaping", "merging", "planning", "sources", "catalogue", "curation", "streaming", "documented", "incremental", "delivery"]
+_MODULES = ["aggregating", "cleaning", "decoding", "filtering", "joining", "reshaping", "merging", "planning", "sources", "catalogue", "curation", "streaming", "documented", "incremental", "delivery", "contracts"]
 
 for _m in _MODULES:
     import_module(f"{__name__}.{_m}")

@@ -3,6 +3,7 @@
 import threading
 
 import pytest
+from pyspark.sql import functions as F
 
 from tabula.operators import snapshots as S
 
@@ -112,3 +113,17 @@ def test_vacuum_keeps_what_kept_versions_need(spark, tmp_path):
     S.vacuum(spark, path, keep=1)
     assert held(spark, path) == [("a", 9)] and len(list((tmp_path / "t").glob("lote=*"))) == 1
     assert S.vacuum(spark, path, keep=1) == []
+
+
+def test_latest_period_reads_one_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert S.read_latest(spark, path) is None
+    S.commit(spark.createDataFrame([("9912", 1), ("0105", 2), ("0105", 3), (None, 4)], "AAMM string, n int"), path, "AAMM")
+    S.commit(spark.createDataFrame([("0106", 5), ("0004", 6)], "AAMM string, n int"), path, "AAMM")
+    full = lambda p: F.concat(F.when(p >= "90", "19").otherwise("20"), p)
+    latest = S.read_latest(spark, path, full)
+    assert sorted(tuple(r) for r in latest.collect()) == [("0106", 5)]
+    assert len(latest.inputFiles()) >= 1 and sorted(tuple(r) for r in S.read_latest(spark, path).collect()) == [("9912", 1)]
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "(AAMM" in pruned and "lote" in pruned
