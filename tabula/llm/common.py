@@ -44,16 +44,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: For a lean stage: what the shuffles of a write leave goes when it has ended, and batches for Python are small.
+LEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+
 def lean_stage(df: DataFrame, name: str) -> DataFrame:
-    """As ``stage``; the shuffle files of the write go when it has ended, and
-    ``discard`` removes the table once nothing reads it any more."""
-    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, "false")
-    spark.conf.set(key, "true")
+    """As ``stage`` under the settings ``LEAN``, which hold for this write
+    alone; ``discard`` removes the table once nothing reads it any more."""
+    conf = df.sparkSession.conf
+    before = {k: conf.get(k, None) for k in LEAN}
+    for k, v in LEAN.items():
+        conf.set(k, v)
     try:
         out = stage(df, name)
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            conf.set(k, v) if v is not None else conf.unset(k)
     out._staged_files = out.inputFiles()[:1]
     return out
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bytewords import byte_kinds, listed_codes, text_slices, word_hashes, words_in
-from .common import python_ready, stage, table
+from .common import lean_stage, python_ready, table
 
 WIDTH = 10
 RAREST = 2
@@ -77,7 +77,7 @@ def anchors_of(docs: DataFrame, windows: DataFrame, rarest: int = RAREST) -> Dat
     """(window, place, term, offset, words): each window's rarest terms, of
     those that occur, by their occurrences in all documents and then by their
     offset; place 0 is the rarest."""
-    terms = stage(windows.select(F.explode("words").alias("term")).distinct(), "op2-terms")
+    terms = lean_stage(windows.select(F.explode("words").alias("term")).distinct(), "op2-terms")
     counts = hashed(docs).select(F.explode("w").alias("term")).join(terms, "term").groupBy("term").count()
     places = windows.select("window", "words").distinct().select("window", "words", F.posexplode("words").alias("offset", "term"))
     first = Window.partitionBy("window").orderBy("count", "offset")
@@ -89,7 +89,7 @@ def index_postings(docs: DataFrame, anchors: DataFrame, width: int = WIDTH) -> D
     """(doc_id, row, term, pos, first, around): postings of the anchors' terms.
     Those of a window's rarest term carry the up to ``width - 1`` words on
     either side, from the position ``first``; the others are positions alone."""
-    terms = stage(anchors.groupBy("term").agg((F.min("place") == 0).alias("carries")), "op2-anchor-terms")
+    terms = lean_stage(anchors.groupBy("term").agg((F.min("place") == 0).alias("carries")), "op2-anchor-terms")
     seen = hashed(docs).select("doc_id", "row", "w", F.posexplode("w").alias("pos", "term")).join(terms, "term")
     first = F.greatest(F.col("pos") - (width - 1), F.lit(0))
     around = F.slice("w", first + 1, F.col("pos") + width - first)
@@ -127,10 +127,10 @@ def proximity_matches(postings: DataFrame, anchors: DataFrame, slop: int = SLOP)
 
 def found_in(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The rows in words, the windows, and what ``intersected`` finds, each staged."""
-    words = stage(hashed(docs.select("doc_id", "text")), "op2-words")
-    windows = stage(windows_of(items, width), "op2-windows")
-    anchors = stage(anchors_of(words, windows), "op2-anchors")
-    return words, windows, stage(intersected(index_postings(words, anchors, width), anchors), "op2-matches")
+    words = lean_stage(hashed(docs.select("doc_id", "text")), "op2-words")
+    windows = lean_stage(windows_of(items, width), "op2-windows")
+    anchors = lean_stage(anchors_of(words, windows), "op2-anchors")
+    return words, windows, lean_stage(intersected(index_postings(words, anchors, width), anchors), "op2-matches")
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
