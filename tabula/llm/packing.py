@@ -262,12 +262,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         place, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity: int = CAPACITY) -> DataFrame:
     """Pieces of all texts with their place in the packed sequences."""
-    if vocabulary is None:
-        import public_tokenizers
-
-        vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return pack(pieces_of(docs, vocabulary, capacity), capacity)
 
 

@@ -24,11 +24,21 @@ ROWS_AT_ONCE = 128
 SIMPLE = re.compile("[\x00-į]*").fullmatch
 
 
+def vocabulary_file(path: str) -> str:
+    """A path as it is; a bare file name where this machine keeps the public
+    vocabularies, so a task finds the file wherever its executor has it."""
+    if os.sep in path:
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path(path)
+
+
 def load_tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+    return Tokenizer.from_file(vocabulary_file(path))
 
 
 @lru_cache(maxsize=2)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import python_ready, table
-from .subwords import CACHE_LIMIT, ENTRY_BYTES, SIMPLE, Recent, byte_letters, load_tokenizer, shared, slices, space_chunks, spelled
+from .subwords import CACHE_LIMIT, ENTRY_BYTES, SIMPLE, Recent, byte_letters, load_tokenizer, shared, slices, space_chunks, spelled, vocabulary_file
 
 LIMIT = 512
 
@@ -43,7 +43,7 @@ class PrefixTable:
         import regex
 
         self.tokenizer = load_tokenizer(path)
-        with open(path, encoding="utf-8") as f:
+        with open(vocabulary_file(path), encoding="utf-8") as f:
             spec = json.load(f)
         byte_of = {c: b for b, c in enumerate(byte_letters())}
         special = {t["content"] for t in spec["added_tokens"]}
@@ -162,9 +162,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = LIMIT) -> DataFr
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact token counts of all documents by prefix dynamic programming."""
-    import public_tokenizers
-
-    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return count_tokens(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
 
 QUERIES = {"op5_token_counts": op5_token_counts}
