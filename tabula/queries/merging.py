@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import year_ddmmyyyy
 from ..operators import filters as fl
 from ..operators import merge as M
+from ..operators import policy as P
 from . import sqlbits as S
 from .aggregating import SUMMARY_SQL, annual_summary_frame
 from .registry import query
@@ -120,3 +121,17 @@ def manifest_upsert(t):
     new = (lst.filter(F.col("nome").contains("EN") | F.col("nome").contains("08"))
            .groupBy(F.upper("nome").alias("chave")).agg(F.max("tamanho").alias("assinatura")))
     return M.manifest_upsert(t("manifesto"), new, "chave")
+
+
+def _death_columns(columns):
+    """What a query hook makes of a layout: the fields both eras name differently, under one name."""
+    there = {c.upper() for c in columns}
+    wanted = [("CONTADOR", "ID"), ("OCUP", "OCUPACAO"), ("OCUPACAO", "OCUPACAO"), ("CODMUNRES", "MUNICIPIO"), ("MUNIRES", "MUNICIPIO"), ("TPPOS", "POSICAO")]
+    return [f"trim({src}) as {dst}" for src, dst in wanted if src in there] + ["ARQUIVO_ORIGEM"]
+
+
+@query("columns_hook", """select trim(CONTADOR) as ID, trim(OCUP) as OCUPACAO, trim(CODMUNRES) as MUNICIPIO, trim(TPPOS) as POSICAO, ARQUIVO_ORIGEM from sim_do
+union all select trim(contador), trim(OCUPACAO), trim(MUNIRES), null, ARQUIVO_ORIGEM from sim_do_old""", ["sim_do", "sim_do_old"])
+def columns_hook(t):
+    """One hook over two layouts, each selecting what is there; united by name (M4)."""
+    return M.union_by_name([P.select_by_columns(t(v), _death_columns) for v in ("sim_do", "sim_do_old")])
