@@ -288,5 +288,18 @@ def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined(table(spark, sf_dir, "documents"))
 
 
+ORACLE = r"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, array_to_string(list_slice(w, i, i + 3), ' ') as g
+      from d, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as u(i) where len(w) > 0),
+n as (select doc_id, count(*) as n from s group by doc_id),
+c as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+e as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+t as (select a, b from e union all select b, a from e),
+r(id, x) as (select doc_id, doc_id from d union select r.id, t.b from r join t on r.x = t.a)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, m.x as component_id
+from d left join n on d.doc_id = n.doc_id join (select id, min(x) as x from r group by id) m on m.id = d.doc_id"""
+
 QUERIES = {"op11_ngram_jaccard_join": op11_ngram_jaccard_join}
-ORACLES: dict = {}
+ORACLES = {"op11_ngram_jaccard_join": ORACLE}
