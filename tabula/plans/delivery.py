@@ -21,12 +21,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import filters as fl
 from ..operators import merge as M
 from ..operators import snapshots
 from ..session import remove_path, staging_path
 from ..sources import dbf
 from . import arrival as A
 from . import mortality as MO
+from . import outpatient as OP
 
 FILE, KEPT = "ARQUIVO_ORIGEM", "_mantido"
 PUBLISHED, UNCHANGED, OUTSIDE, BROKEN, FOREIGN = "publicado", "inalterado", "fora da janela", "quarentena", "outro nome"
@@ -66,6 +68,20 @@ def deaths(refs: MO.References, layout: str, source: str = "CID10") -> Microdata
         summary=lambda old, read: MO.annual_summary(old, [(read, source, "modern")]))
 
 
+def authorizations(prefix: str, causes: DataFrame | None, layout: str) -> Microdata:
+    """Outpatient authorizations (AQ chemotherapy, AR radiotherapy, AM drugs) as a source: every record of AQ and AR is kept."""
+    curate = {"AQ": OP.curate_chemo, "AR": OP.curate_radio, "AM": OP.curate_drugs}[prefix]
+
+    def named(name: Column) -> Column:
+        told = {c: v for c, v in zip(("PREFIXO", "UF", "ANO", "MES", "VALIDO"), A.authorization_attributes(name))}
+        return (told["PREFIXO"] == prefix) & told["VALIDO"]
+
+    def keep(raw: DataFrame) -> Column:
+        return fl.drug_onco(F.col("AP_CIDPRI")) if prefix == "AM" else F.lit(True)
+
+    return Microdata(folder=f"siasus_{prefix.lower()}", layout=layout, named=named, keep=keep, curate=lambda raw: curate(raw, causes))
+
+
 def plan(spark: SparkSession, source: Microdata, places: Places) -> DataFrame:
     """(nome, caminho, tamanho, assinatura, motivo, ACAO) of every landed file."""
     report = dbf.read_report(spark, places.landing, source.suffix).select(
