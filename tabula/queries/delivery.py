@@ -21,6 +21,7 @@ LAYOUT = [("CONTADOR", 12), ("CAUSABAS", 7), ("IDADE", 3), ("DTOBITO", 8), ("COD
           ("RACACOR", 1), ("ESTCIV", 1), ("ESCFALAGR1", 2), ("LOCOCOR", 1), ("ASSISTMED", 4), ("TPPOS", 1), ("OBITOGRAV", 1), ("OBITOPUERP", 1),
           ("DTNASC", 8), ("ETNIA", 4), ("CODMUNOCOR", 7), ("TIPOBITO", 1), ("EXAME", 1), ("CIRURGIA", 1), ("NECROPSIA", 3), ("ATESTANTE", 1)]
 FIELDS = [(n, "C", w) for n, w in LAYOUT]
+PIECE = 4 << 20  # bytes
 
 
 def _land(df, landing, *years, even=False, onco=True):
@@ -33,13 +34,16 @@ def _land(df, landing, *years, even=False, onco=True):
 
 
 def _cut(landing, year):
-    """Drop the end of a landed file."""
+    """Drop the end of a landed file, which is copied piece by piece."""
     store, root = open_store(landing)
-    name = f"{root}/DOBR{year}.dbc"
-    with store.open_input_file(name) as f:
-        data = f.read()
-    with store.open_output_stream(name) as f:
-        f.write(data[: len(data) * 2 // 3])
+    name, part = f"{root}/DOBR{year}.dbc", f"{root}/_DOBR{year}.part"
+    with store.open_input_file(name) as f, store.open_output_stream(part) as out:
+        left = f.size() * 2 // 3
+        while left:
+            data = f.read(min(left, PIECE))
+            out.write(data)
+            left -= len(data)
+    store.move(part, name)
 
 
 def _three_runs(t):

@@ -39,7 +39,7 @@ from dataclasses import dataclass
 from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualNullSafe, EqualTo, GreaterThan, GreaterThanOrEqual, In,
                                     InputPartition, IsNotNull, LessThan, LessThanOrEqual, StringStartsWith)
 
-from .files import list_files, open_store, store_options
+from .files import list_files, open_store, store_options, write_named
 
 BYTES_PER_PARTITION = 64 << 20
 OPEN_COST = 1 << 20  # what opening one more file counts for
@@ -336,20 +336,31 @@ def dbf_bytes(columns: dict, fields: list, deleted=None) -> bytes:
     import pandas as pd
 
     n = len(next(iter(columns.values()))) if columns else 0
+    flags = pd.Series(["*" if d else " " for d in deleted] if deleted is not None else [" "] * n, dtype=object)
+    return _head(n, fields) + "".join(_lines(flags, columns, fields)).encode("latin1", "replace") + END
+
+
+END = b"\x1a"
+
+
+def _head(n: int, fields: list) -> bytes:
+    """Header of a file of ``n`` records."""
     rlen = 1 + sum(s for _, _, s in fields)
-    hlen = 32 + 32 * len(fields) + 1
-    out = bytearray(struct.pack("<BBBBIHH20x", 3, 124, 1, 1, n, hlen, rlen))
+    out = bytearray(struct.pack("<BBBBIHH20x", 3, 124, 1, 1, n, 32 + 32 * len(fields) + 1, rlen))
     for name, kind, size in fields:
         out += struct.pack("<11sc4xBB14x", name.encode("latin1")[:11], kind.encode(), size, 0)
-    out += b"\r"
-    flags = pd.Series(["*" if d else " " for d in deleted] if deleted is not None else [" "] * n, dtype=object)
+    return bytes(out + b"\r")
+
+
+def _lines(flags, columns: dict, fields: list):
+    """The records as text, behind their deletion flags."""
+    import pandas as pd
+
     lines = flags
     for name, kind, size in fields:
         text = pd.Series(columns[name], dtype=object).map(lambda v: "" if v is None else str(v)).str.slice(0, size)
         lines = lines + (text.str.rjust(size) if kind in ("N", "F") else text.str.ljust(size))
-    out += "".join(lines).encode("latin1", "replace")
-    out += b"\x1a"
-    return bytes(out)
+    return lines
 
 
 def write_partitions(df, folder: str, fields: list, deleted_col: str | None = None):
@@ -381,17 +392,18 @@ def write_partitions(df, folder: str, fields: list, deleted_col: str | None = No
 
 def write_files(df, folder: str, fields: list, name: str):
     """Write the rows of each value of ``name`` as the DBF file of that name
-    under ``folder``, over what is there; returns the (file, rows) DataFrame."""
+    under ``folder``, over what is there; returns the (file, rows) DataFrame.
+    Records are encoded where the rows lie, batch by batch, and one task per
+    file puts them behind the header (``files.write_named``)."""
+    from pyspark.sql import functions as F
 
-    def write(key, pdf):
+    def encode(batches):
         import pandas as pd
 
-        store, root = open_store(folder)
-        cols = {n: [None if pd.isna(x) else x for x in pdf[n]] for n, _, _ in fields}
-        with store.open_output_stream(posixpath.join(root, key[0])) as f:
-            f.write(dbf_bytes(cols, fields))
-        return pd.DataFrame({"arquivo": [key[0]], "linhas": [len(pdf)]})
+        for pdf in batches:
+            cols = {n: [None if pd.isna(x) else x for x in pdf[n]] for n, _, _ in fields}
+            lines = _lines(pd.Series([" "] * len(pdf), dtype=object), cols, fields)
+            yield pd.DataFrame({"arquivo": pdf[name], "registro": [x.encode("latin1", "replace") for x in lines]})
 
-    store, root = open_store(folder)
-    store.create_dir(root, recursive=True)
-    return df.groupBy(name).applyInPandas(write, "arquivo string, linhas long")
+    sizes = df.groupBy(F.col(name).alias("arquivo")).agg(F.count("*").alias("total"))
+    return write_named(df.mapInPandas(encode, "arquivo string, registro binary"), folder, sizes, lambda n: _head(n, fields), END)

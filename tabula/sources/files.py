@@ -54,3 +54,66 @@ def list_files(uri: str, suffix: str = "", options: str | None = None) -> list[t
     lead = uri[: uri.index("://") + 3] if "://" in uri else ""
     return sorted((lead + (i.path if lead != "file://" else "/" + i.path.lstrip("/")), i.size) for i in found
                   if i.type == pafs.FileType.File and i.path.lower().endswith(suffix) and not posixpath.basename(i.path).startswith((".", "_")))
+
+
+def write_named(df, folder: str, sizes=None, head=None, tail: bytes = b""):
+    """Write ``df`` (arquivo, registro binary): the rows of each name, in
+    their order, as the file of that name under ``folder``, over what is
+    there; returns the (arquivo, linhas) DataFrame.  ``head`` makes the bytes
+    before the rows from their number, which ``sizes`` (arquivo, total) tells;
+    ``tail`` ends the file.  One task writes a file, row by row: its memory
+    does not follow the file's size."""
+    from pyspark.sql import functions as F
+
+    spark = df.sparkSession
+    options = store_options(spark)
+    store, root = open_store(folder, options)
+    store.create_dir(root, recursive=True)
+    total = F.lit(None).cast("long")
+    rows = df.select("arquivo", "registro", F.monotonically_increasing_id().alias("o"))
+    if sizes is not None:
+        rows, total = rows.join(sizes, "arquivo", "left"), F.col("total")
+    # as many parts as asked for: few small rows can be very many files
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.select("arquivo", total.alias("total"), "o", "registro").repartition(parts, "arquivo").sortWithinPartitions("arquivo", "o").drop("o")
+
+    def write(batches):
+        import pyarrow as pa
+
+        store, root = open_store(folder, options)
+        out, name, told, n = None, None, None, 0
+        done: tuple = ([], [])
+
+        def end():
+            if told is not None and n != told:
+                raise OSError(f"{name}: {n} rows, {told} counted")
+            out.write(tail)
+            out.close()
+            done[0].append(name)
+            done[1].append(n)
+
+        for batch in batches:
+            at, names = 0, batch.column(0).to_pylist()
+            while at < len(names):
+                if out is None or names[at] != name:
+                    if out is not None:
+                        end()
+                    if names[at] is None:
+                        raise ValueError("a row without the name of its file")
+                    name, told, n = names[at], batch.column(1)[at].as_py(), 0
+                    out = store.open_output_stream(posixpath.join(root, name))
+                    out.write(head(told) if head is not None else b"")
+                to = at + 1
+                while to < len(names) and names[to] == name:
+                    to += 1
+                out.write(b"".join(batch.column(2).slice(at, to - at).to_pylist()))
+                n, at = n + to - at, to
+            if len(done[0]) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(done[0], pa.string()), pa.array(done[1], pa.int64())], names=["arquivo", "linhas"])
+                done = ([], [])
+        if out is not None:
+            end()
+        if done[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(done[0], pa.string()), pa.array(done[1], pa.int64())], names=["arquivo", "linhas"])
+
+    return rows.mapInArrow(write, "arquivo string, linhas long")
