@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..fixtures import VIEWS
 from ..plans import arrival as A
 from ..session import staging_path
+from ..sources.files import write_named
 from .registry import query
 
 PAT = "(?i)^(AQ|AR|AM)([A-Z]{2})([0-9]{2})([0-9]{2})\\.dbc$"
@@ -191,7 +192,11 @@ def changed_by_content(t):
     file's bytes, compared with a manifest that is stale for every third."""
     path = staging_path(t.spark, "content")
     s = t("supplier").select("s_suppkey", "s_name")
-    s.select("s_suppkey", F.col("s_name").alias("value")).write.partitionBy("s_suppkey").text(path)
+    # as many files as suppliers: written by all tasks into one folder
+    key = F.coalesce(F.col("s_suppkey").cast("string"), F.lit("sem"))
+    lines = s.select(F.concat(F.lit("s_suppkey="), key, F.lit(".txt")).alias("arquivo"),
+                     F.concat(F.coalesce("s_name", F.lit("")), F.lit("\n")).cast("binary").alias("registro"))
+    write_named(lines, path).count()
     key = F.regexp_extract("path", "s_suppkey=([0-9]+)", 1)
     landed = A.content_signatures(t.spark, path).select(key.alias("nome"), "assinatura")
     stale = F.when(F.col("s_suppkey") % 3 == 0, F.lit("antigo")).otherwise(F.col("s_name"))
