@@ -386,13 +386,20 @@ def _survey_sql(sv, view):
     return f"select {', '.join(cols)} from {view} where {' and '.join(preds)}"
 
 
+def _survey_lines(t, view):
+    """The lines, built in all tasks: the customers of a line each are a small
+    file, which one task would read, their lines are 150 times that."""
+    parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return t.spark.sql(_V[view], customer=t("customer").repartition(parts))
+
+
 def _survey_query(key):
     edition = key.rsplit("_", 1)[1]
     view = f"pns{edition}"
     sv = SV.SURVEYS[key]
 
     def run(t):
-        return SV.curate_survey(t(view), sv)
+        return SV.curate_survey(_survey_lines(t, view), sv)
 
     run.__doc__ = f"Survey extract {key}: position filter, layout, decode, ages, order."
     query(f"curate_survey_{key}", _survey_sql(sv, view), [view])(run)
