@@ -276,3 +276,25 @@ def test_caches_are_bounded_by_bytes():
     long = [("w%d" % k) * 700 for k in range(300)]
     before = cache.held
     assert [cache[w] for w in long] == [w.encode() for w in long] and cache.held == before
+
+
+def test_training_reads_ids_without_lists_and_logs_once():
+    """op3: a text's ids are joined bytes, and the posteriors' logarithms are taken once, not at every step."""
+    import numpy as np
+
+    from tabula.llm import lm
+
+    spellings = lm.Spellings("byte_bpe_50k.json")
+    words = spellings.words("Ab cd Ab")
+    ids = [i for e in spellings.sub.encode([b"ab", b"cd", b"ab"]) for i in e] + [lm.END_ID]
+    assert np.frombuffer(b"".join(words), "<i4").tolist() == ids and spellings.words(None) == [lm._END_IDS]
+    size, rng = 60, np.random.default_rng(3)
+    model = lm.Attention(size, rng.random((size, lm.LATENT)).astype(np.float32), rng.dirichlet(np.ones(lm.LATENT), size).astype(np.float32),
+                         np.full(size, 1 / size, np.float32), np.ones(size))
+    lm.END_ID, kept = 1, lm.END_ID
+    try:
+        windows = lm.layout([rng.integers(0, size, 200).astype(np.int32)])
+    finally:
+        lm.END_ID = kept
+    lm.train_windows(model, *windows)
+    assert model.logs is model.logs and np.array_equal(model.logs, np.log(model.prior)) and "logs" not in lm._copy(model).__dict__
