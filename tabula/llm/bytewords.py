@@ -47,6 +47,40 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = BYT
             at = to
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: int, limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """The batches as lists of small pieces that hold at most ``limit`` bytes
+    of text together, or one row."""
+    held, size = [], 0
+    for piece in text_slices(batches, column, min(limit, BYTES_AT_ONCE)):
+        ends = _offsets(piece.column(column))
+        own = int(ends[-1] - ends[0])
+        if held and size + own > limit:
+            yield held
+            held, size = [], 0
+        held.append(piece)
+        size += own
+    if held:
+        yield held
+
+
+def words_of_pieces(pieces: list[pa.RecordBatch], column: int, kinds: np.ndarray) -> Words:
+    """``words_in`` of a column of several pieces, worked out piece by piece:
+    what a text takes in numpy meanwhile is many times its size."""
+    found, rows = [], 0
+    for piece in pieces:
+        words = words_in(piece.column(column), kinds)
+        words.rows += np.int32(rows)
+        rows += piece.num_rows
+        found.append(words)
+    if len(found) == 1:
+        return found[0]
+    every = pa.concat_arrays([w.dictionary for w in found]).dictionary_encode()
+    places = every.indices.to_numpy(zero_copy_only=False).astype(np.int32)
+    starts = np.cumsum([0, *(len(w.dictionary) for w in found)])
+    codes = [places[at + w.codes] for at, w in zip(starts, found)]
+    return Words(every.dictionary, np.concatenate(codes), np.concatenate([w.rows for w in found]), np.concatenate([w.leads for w in found]))
+
+
 def _offsets(column: pa.Array) -> np.ndarray:
     kind = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
     return np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)

@@ -35,8 +35,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bytewords import byte_kinds, text_slices, words_in
-from .common import python_ready, stage, table
+from .bytewords import byte_kinds, gathered, words_of_pieces
+from .common import lean_stage, python_ready, stage, table
 from .quotient import U, QuotientFilter, merged, packed, permuted, ranged, restored, tallied, unpacked
 
 LEAST = 10  # occurrences of a candidate
@@ -44,6 +44,7 @@ COVERED = 50  # per cent of a phrase's occurrences inside a longer candidate
 TOP = 2000
 PARTS = 256  # of a language's ranking, and of the dictionary's numbering
 BLOCK_BYTES = 8 << 20
+BATCH_BYTES = 8 << 20  # that Python gets at once: a block's row is some MB
 HELD = 2_000_000  # entries a task counts before it hands its filters over, and of one merge
 MOST_RANGES = 12  # bits; more come by merging groups of shards and cutting again
 FAN = 64  # shards merged before a range is cut finer
@@ -63,9 +64,9 @@ def blocks_of(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        for part in text_slices(batches, 1, block_bytes):
-            found = words_in(part.column(1), kinds)
-            langs = part.column(0).dictionary_encode()
+        for pieces in gathered(batches, 1, block_bytes):
+            found = words_of_pieces(pieces, 1, kinds)
+            langs = pa.concat_arrays([p.column(0) for p in pieces]).dictionary_encode()
             lang_of = langs.indices.to_numpy(zero_copy_only=False)[found.rows]
             for k, lang in enumerate(langs.dictionary.to_pylist()):
                 mine = lang_of == k
@@ -205,7 +206,7 @@ def counted_phrases(blocks: DataFrame, words: DataFrame, known: int, occurrences
     each = spots.groupBy("block").agg(F.collect_list(F.struct("spot", "id")).alias("s"))
     places = each.select("block", F.col("s.spot").alias("spots"), F.col("s.id").alias("ids"))
     prefix = min(most_ranges, max(0, (4 * occurrences // held).bit_length()))
-    filters = stage(phrase_filters(blocks, places, bits, prefix, held), "op12-filters")
+    filters = lean_stage(phrase_filters(blocks, places, bits, prefix, held), "op12-filters", BATCH_BYTES)
     while True:
         half = filters.groupBy("n", "half").agg(F.max("prefix").alias("prefix"), F.sum("size").alias("size"), F.max("shard").alias("shard")).collect()
         if all(r["size"] >> r["prefix"] <= 2 * held or r["prefix"] >= r["half"] or r["shard"] == 0 for r in half):
@@ -222,7 +223,7 @@ def score(a: Column, first: Column, rest: Column) -> Column:
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, covered: int = COVERED, **limits: int) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's best phrases of (lang, text) rows."""
-    blocks = stage(blocks_of(docs, limits.pop("block_bytes", BLOCK_BYTES)), "op12-blocks")
+    blocks = lean_stage(blocks_of(docs, limits.pop("block_bytes", BLOCK_BYTES)), "op12-blocks", BATCH_BYTES)
     each = blocks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("z")).select("lang", "z.words", "z.counts")
     sums = F.aggregate("counts", F.lit(0).cast("long"), lambda s, c: s + c)
     totals = stage(blocks.groupBy("lang").agg(F.sum(sums).alias("n")), "op12-totals")

@@ -147,3 +147,21 @@ def test_scores_past_64_bits(spark):
     row = spark.range(1).select(phrases.F.lit(a).cast("long").alias("a"), phrases.F.lit(left).cast("long").alias("l"), phrases.F.lit(right).cast("long").alias("r"))
     got = row.select(phrases.score(phrases.F.col("a"), phrases.F.col("l"), phrases.F.col("r"))).first()[0]
     assert got == 1_000_000 * a * a // (left * right)
+
+
+def test_blocks_from_small_pieces():
+    """Blocks gather batches of any size, and words found piece by piece are those found at once."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tabula.llm import bytewords as B
+
+    texts = ["A b. c", None, "", "b a,a", "\u00e9 c b", "x " * 40, "c"]
+    batches = [pa.record_batch({"lang": ["x"] * len(t), "text": pa.array(t, pa.string())}) for t in (texts[:2], texts[2:5], texts[5:])]
+    groups = list(B.gathered(iter(batches), 1, 30))
+    assert len(groups) == 3 and sum(p.num_rows for g in groups for p in g) == len(texts)
+    kinds = B.byte_kinds(b" \t", b".,")
+    once, pieces = B.words_in(pa.array(texts), kinds), B.words_of_pieces(batches, 1, kinds)
+    assert once.dictionary.equals(pieces.dictionary)
+    for name in ("codes", "rows", "leads"):
+        assert np.array_equal(getattr(once, name), getattr(pieces, name)), name
