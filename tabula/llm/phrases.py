@@ -45,6 +45,8 @@ TOP = 2000
 PARTS = 256  # of a language's ranking, and of the dictionary's numbering
 BLOCK_BYTES = 8 << 20
 BATCH_BYTES = 8 << 20  # that Python gets at once: a block's row is some MB
+MERGE_BITS = 4  # leading bits of the ranges that are merged one after the other
+WORDS_AT_ONCE = 1 << 17  # of a block that phrases are packed from at once
 HELD = 2_000_000  # entries a task counts before it hands its filters over, and of one merge
 MOST_RANGES = 12  # bits; more come by merging groups of shards and cutting again
 FAN = 64  # shards merged before a range is cut finer
@@ -82,6 +84,8 @@ def blocks_of(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                     [pa.array([number], pa.int64()), pa.array([lang]), _one(words), _one(pa.array(counts[used], pa.int64())),
                      pa.array([told.tobytes()], pa.binary())], names=["block", "lang", "words", "counts", "codes"])
                 number += 1
+            del found
+            pa.default_memory_pool().release_unused()
 
     python_ready(docs.sparkSession)
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
@@ -110,9 +114,18 @@ def phrase_filters(blocks: DataFrame, places: DataFrame, bits: int, prefix: int,
     """Each task's filters of two- and three-word phrases, by range."""
 
     def rows(n: int, held_parts: list) -> list:
-        left, right, counts = (np.concatenate(c) for c in zip(*held_parts))
-        left, right, counts = tallied(left, right, _half(n, bits), counts)
-        return [left, right, counts]
+        """The sorted parts as one, merged range by range: sorting takes many times what it sorts."""
+        half = _half(n, bits)
+        top = min(MERGE_BITS, half)
+        bounds = np.arange(1, 1 << top).astype(U) << U(half - top)
+        cuts = [[0, *np.searchsorted(part[0], bounds), len(part[0])] for part in held_parts]
+        done = []
+        for k in range(1 << top):
+            own = [[c[cut[k] : cut[k + 1]] for c in part] for part, cut in zip(held_parts, cuts)]
+            left, right, counts = (np.concatenate(c) for c in zip(*own))
+            done.append(tallied(left, right, half, counts))
+        held_parts.clear()
+        return [np.concatenate(c) for c in zip(*done)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
@@ -121,9 +134,10 @@ def phrase_filters(blocks: DataFrame, places: DataFrame, bits: int, prefix: int,
         def count(ids: list[np.ndarray], n: int) -> Iterator[pa.RecordBatch]:
             left, right, half = packed(ids, bits)
             held_of[n].append(tallied(*permuted(left, right, half), half))
-            if sum(len(h[0]) for h in held_of[n]) > held:
+            # the first part holds what was merged so far
+            if sum(len(h[0]) for h in held_of[n][1:]) > held // 8:
                 held_of[n] = [rows(n, held_of[n])]
-                if len(held_of[n][0][0]) > held // 2:
+                if len(held_of[n][0][0]) > held // 4 * 3:
                     yield hand_over(n)
 
         def hand_over(n: int) -> pa.RecordBatch:
@@ -138,15 +152,18 @@ def phrase_filters(blocks: DataFrame, places: DataFrame, bits: int, prefix: int,
                 spots, ids = (batch.column(c)[k].values for c in (1, 2))
                 known = np.full(int(codes.max()) // 2 + 1, -1, dtype=np.int64)
                 known[spots.to_numpy(zero_copy_only=False)] = ids.to_numpy(zero_copy_only=False)
-                w = known[codes >> 1]
-                follows = np.append(codes[1:] & 1 == 0, False) & (w >= 0) & (np.append(w[1:], -1) >= 0)
-                w = w.astype(U)
-                two = np.flatnonzero(follows)
-                if len(two):
-                    yield from count([w[two], w[two + 1]], 2)
-                three = two[follows[two + 1]] if len(two) else two
-                if len(three):
-                    yield from count([w[three], w[three + 1], w[three + 2]], 3)
+                for at in range(0, len(codes), WORDS_AT_ONCE):
+                    own = codes[at : at + WORDS_AT_ONCE + 2]  # a phrase may reach two words further
+                    w = known[own >> 1]
+                    follows = np.append(own[1:] & 1 == 0, False) & (w >= 0) & (np.append(w[1:], -1) >= 0)
+                    w = w.astype(U)
+                    two = np.flatnonzero(follows[:WORDS_AT_ONCE])
+                    if len(two):
+                        yield from count([w[two], w[two + 1]], 2)
+                    three = two[follows[two + 1]] if len(two) else two
+                    if len(three):
+                        yield from count([w[three], w[three + 1], w[three + 2]], 3)
+            pa.default_memory_pool().release_unused()
         for n in (2, 3):
             if held_of[n]:
                 yield hand_over(n)
