@@ -165,3 +165,18 @@ def test_blocks_from_small_pieces():
     assert once.dictionary.equals(pieces.dictionary)
     for name in ("codes", "rows", "leads"):
         assert np.array_equal(getattr(once, name), getattr(pieces, name)), name
+
+
+def test_large_rows_get_pages_of_their_own(spark):
+    """op12: a staged row of some MB is a page, and the settings hold for that write alone."""
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from tabula.llm import common
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    staged = common.lean_stage(spark.range(0, 4, numPartitions=1).select(F.repeat(F.lit("ab"), 1 << 20).alias("t")), "rows", 8 << 20)
+    assert spark.conf.get(key) == before and staged.count() == 4
+    column = pq.ParquetFile(staged.inputFiles()[0].removeprefix("file://")).metadata.row_group(0).column(0)
+    assert column.compression == "ZSTD"
