@@ -298,3 +298,63 @@ def test_training_reads_ids_without_lists_and_logs_once():
         lm.END_ID = kept
     lm.train_windows(model, *windows)
     assert model.logs is model.logs and np.array_equal(model.logs, np.log(model.prior)) and "logs" not in lm._copy(model).__dict__
+
+
+def test_texts_are_spelled_once_and_read_as_ids(spark):
+    """op3: joints and training read the staged ids of a text, without a vocabulary, and they are those of the text."""
+    texts = ["The cat, the caté ran", "", None, "the " * 3000 + "zqxj'll end"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    sub = lm.Subwords(BYTES)
+    often = dict(zip([b"the", lm.END], lm.packed([sub.encode([b"the"])[0], [lm.END_ID]])))
+    staged = lm.spell_texts(docs, BYTES, often)
+    for row in staged.collect():
+        words = [*lm.words_of_text(texts[row["doc_id"]]), lm.END]
+        ids = np.frombuffer(row["ids"], "<i4")
+        cut = np.split(lm.plain(ids), np.flatnonzero(ids < 0)[1:])
+        assert [c.tolist() for c in cut] == [*sub.encode(words[:-1]), [lm.END_ID]]
+        ranks = np.frombuffer(row["ranks"], "<i4")
+        assert ranks.tolist() == [list(often).index(w) if w in often else -1 for w in words]
+        assert row["others"] == [w for w in words if w not in often]
+    counted = [{(r["a"], r["b"]): r["n"] for r in lm.count_joints(t, BYTES).collect()} for t in (staged, docs)]
+    assert counted[0] == counted[1] and sum(counted[0].values()) == 3000 + 2 + 5 + 4
+    columns = [pa.array([bytes(r["ids"]) for r in staged.orderBy("doc_id").collect()], pa.binary()), pa.array(texts)]
+    ways = [list(lm.training_windows(iter([pa.RecordBatch.from_arrays([c], names=["c"])]), path)) for c, path in zip(columns, ("no such file", BYTES))]
+    assert len(ways[0]) == len(ways[1]) and all(np.array_equal(a, b) for v, w in zip(*ways) for a, b in zip(v, w))
+
+
+def test_training_steps_are_those_of_the_plain_formulas():
+    """op3: Adam on the mixture's gradients, window by window and id by id."""
+    size, rng, depth, block = 40, np.random.default_rng(5), lm.DEPTH, lm.BLOCK
+    model = lm.Attention(size, rng.random((size, lm.LATENT)).astype(np.float32), rng.dirichlet(np.ones(lm.LATENT), size).astype(np.float32),
+                         np.full(size, 1 / size, np.float32), np.ones(size))
+    model.weights["v"] += rng.normal(0, 1, model.weights["v"].shape).astype(np.float32)
+    n = 2 * lm.BATCH + 7  # the last batch is not full
+    x, y = rng.integers(0, size, (n, 2 * block)), rng.integers(0, size, (n, block))
+    pad, ok = np.zeros((n, 2 * block), bool), np.ones((n, block), bool)
+    pad[::5, :block], pad[3::9, -2:], ok[3::9, -2:] = True, True, False
+    w = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    m, s = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
+    for step, at in enumerate(range(0, n, lm.BATCH), 1):
+        grad = {k: np.zeros_like(v) for k, v in w.items()}
+        rows = range(at, min(n, at + lm.BATCH))
+        for r, i in ((r, i) for r in rows for i in range(block) if ok[r, i]):
+            j = np.flatnonzero(~pad[r, : block + i + 1])
+            p, own = model.prior[x[r, j]].astype(np.float64), model.prior[x[r, block + i]].astype(np.float64)
+            q, k, v = own @ w["q"] / math.sqrt(depth), p @ w["k"], p @ w["v"]
+            a = np.exp(k @ q + w["r"][block + i - j])
+            a /= a.sum()
+            mix = np.exp(a @ v + w["c"]) * own
+            mix /= mix.sum()
+            joint = mix * model.out[y[r, i]]
+            d = (mix - joint / joint.sum()) / ok[at : at + lm.BATCH].sum()
+            da = a * (v @ d - a @ v @ d)
+            grad["v"] += np.outer(a @ p, d)
+            grad["c"] += d
+            np.add.at(grad["r"], block + i - j, da)
+            grad["q"] += np.outer(own, da @ k) / math.sqrt(depth)
+            grad["k"] += np.outer(da @ p, q)
+        for k, g in grad.items():
+            m[k], s[k] = 0.9 * m[k] + 0.1 * g, 0.99 * s[k] + 0.01 * g * g
+            w[k] -= lm.RATE * m[k] / (1 - 0.9**step) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-6)
+    lm.train_windows(model, x, pad, y, ok)
+    assert all(np.abs(model.weights[k] - w[k]).max() < 2e-3 for k in w)
