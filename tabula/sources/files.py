@@ -69,13 +69,15 @@ def write_named(df, folder: str, sizes=None, head=None, tail: bytes = b""):
     options = store_options(spark)
     store, root = open_store(folder, options)
     store.create_dir(root, recursive=True)
-    total = F.lit(None).cast("long")
-    rows = df.select("arquivo", "registro", F.monotonically_increasing_id().alias("o"))
+    rows = df.select("arquivo", F.lit(None).cast("long").alias("total"), F.monotonically_increasing_id().alias("o"), "registro")
     if sizes is not None:
-        rows, total = rows.join(sizes, "arquivo", "left"), F.col("total")
+        # as a row before the name's others, not by a join: one that becomes a broadcast while it runs
+        # reads its rows where they were written, after Spark has left out the repartition below
+        first = sizes.select("arquivo", "total", F.lit(-1).cast("long").alias("o"), F.lit(None).cast("binary").alias("registro"))
+        rows = first.unionByName(rows)
     # as many parts as asked for: few small rows can be very many files
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.select("arquivo", total.alias("total"), "o", "registro").repartition(parts, "arquivo").sortWithinPartitions("arquivo", "o").drop("o")
+    rows = rows.repartition(parts, "arquivo").sortWithinPartitions("arquivo", "o").drop("o")
 
     def write(batches):
         import pyarrow as pa
@@ -103,6 +105,9 @@ def write_named(df, folder: str, sizes=None, head=None, tail: bytes = b""):
                     name, told, n = names[at], batch.column(1)[at].as_py(), 0
                     out = store.open_output_stream(posixpath.join(root, name))
                     out.write(head(told) if head is not None else b"")
+                    if told is not None:  # the row of the number itself
+                        at += 1
+                        continue
                 to = at + 1
                 while to < len(names) and names[to] == name:
                     to += 1
